@@ -1,23 +1,13 @@
-"""Column functions whose results must agree with the SQL oracle to the bit."""
+"""Expressions whose results must agree with the SQL oracle to the bit."""
 
 from tierwise.functions.calendar import day_name, day_of_week, minutes_between
-from tierwise.functions.numeric import (
-    half_away,
-    number,
-    percent_of,
-    ratio,
-    round2,
-    round2_agg,
-    whole,
-)
+from tierwise.functions.numeric import number, ratio, round2, round2_agg, whole
 
 __all__ = [
     "day_name",
     "day_of_week",
-    "half_away",
     "minutes_between",
     "number",
-    "percent_of",
     "ratio",
     "round2",
     "round2_agg",

@@ -1,10 +1,7 @@
-"""Date and time functions with the source data's conventions."""
+"""Date and time functions with the source data's conventions, as SQL text."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # Full English names, Sunday first.
 DAY_NAMES = (
     "Sunday",
@@ -17,20 +14,21 @@ DAY_NAMES = (
 )
 
 
-def day_of_week(c: Column) -> Column:
+def day_of_week(x: str) -> str:
     """0 for Sunday up to 6 for Saturday."""
-    return (F.dayofweek(c) - 1).cast("short")
+    return f"CAST(dayofweek({x}) - 1 AS SMALLINT)"
 
 
-def day_name(c: Column) -> Column:
+def day_name(x: str) -> str:
     """Full English weekday name; a lookup is cheaper than a date formatter."""
-    return F.element_at(F.array(*[F.lit(d) for d in DAY_NAMES]), F.dayofweek(c))
+    names = ", ".join(f"'{d}'" for d in DAY_NAMES)
+    return f"element_at(array({names}), dayofweek({x}))"
 
 
-def _minute_number(ts: Column) -> Column:
-    return F.floor(F.unix_seconds(ts.cast("timestamp")) / F.lit(60))
+def _minute_number(x: str) -> str:
+    return f"floor(unix_seconds(CAST({x} AS TIMESTAMP)) / 60D)"
 
 
-def minutes_between(start: Column, end: Column) -> Column:
+def minutes_between(start: str, end: str) -> str:
     """Number of minute boundaries crossed, so 00:00:59 to 00:01:00 is one."""
-    return _minute_number(end) - _minute_number(start)
+    return f"({_minute_number(end)} - {_minute_number(start)})"

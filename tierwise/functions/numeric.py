@@ -1,53 +1,46 @@
-"""Rounding, tolerant casts and guarded ratios.
+"""Rounding, tolerant casts and guarded ratios, as SQL expression text.
 
-Everything here is built from codegen'd primitives: no decimal objects are
-allocated per row, which `F.round` on a double would do.
+One parsed expression costs one call into the JVM, where the same expression
+built operator by operator in Python costs dozens.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
-# Sums of doubles depend on the order of the rows, by far less than this step.
-# Snapping to it first means that a sum lying exactly on a half cent rounds the
-# same way however Spark happened to split and merge the work.
-_NOISE_STEPS = 1e7
-
-
-def half_away(x: Column) -> Column:
-    """Nearest whole number as a double, halves away from zero."""
-    nearest = F.rint(x)
-    is_half = F.abs(x - nearest) == F.lit(0.5)
-    return F.when(is_half, x + F.signum(x) * F.lit(0.5)).otherwise(nearest)
-
-
-def round2(x: Column) -> Column:
-    """Two decimals in binary arithmetic: 0.285 gives 0.28, 1.005 gives 1.0."""
-    return half_away(x.cast("double") * F.lit(100.0)) / F.lit(100.0)
+def number(x: str) -> str:
+    """Double, or null where the text is not a number."""
+    return f"try_cast({x} AS DOUBLE)"
 
 
-def round2_agg(x: Column) -> Column:
-    """`round2` for aggregated doubles, independent of the order of summation."""
-    steps = F.lit(_NOISE_STEPS)
-    return round2(half_away(x.cast("double") * steps) / steps)
+def whole(x: str, type_name: str) -> str:
+    """Narrow to an integer type, halves to even, null where it does not fit."""
+    return f"try_cast(rint({number(x)}) AS {type_name})"
 
 
-def number(c: Column) -> Column:
-    """Double, or null where the text is not a number."""
-    return c.try_cast("double")
+def round2(x: str) -> str:
+    """Two decimals in binary arithmetic: 0.285 gives 0.28, 1.005 gives 1.0.
 
+    For use on every row: halves go away from zero without the decimal object
+    that the built-in `round` allocates per value.
+    """
+    hundredths = f"(({x}) * 100D)"
+    return (
+        f"CASE WHEN abs({hundredths} - rint({hundredths})) = 0.5D"
+        f" THEN {hundredths} + signum({hundredths}) * 0.5D"
+        f" ELSE rint({hundredths}) END / 100D"
+    )
 
-def whole(c: Column, type_name: str) -> Column:
-    """Narrow to an integer type, halves to even, null where it does not fit."""
-    return F.rint(number(c)).try_cast(type_name)
 
+def round2_agg(x: str) -> str:
+    """`round2` for finished aggregates, independent of the order of summation.
 
-def ratio(numerator: Column, denominator: Column) -> Column:
-    """Quotient of two aggregates, null when the denominator is zero."""
-    return numerator.cast("double") / F.nullif(denominator.cast("double"), F.lit(0.0))
+    Sums of doubles depend on the order of the rows, by far less than 1e-7.
+    Snapping to that step first means that a sum lying exactly on a half cent
+    rounds the same way however Spark happened to split and merge the work.
+    """
+    return f"round(round(({x}) * 1e7D) / 1e7D * 100D) / 100D"
 
 
-def percent_of(part: Column, total: Column) -> Column:
-    """Share in percent, in doubles (a decimal literal would change the type)."""
-    return part.cast("double") * F.lit(100.0) / F.nullif(total.cast("double"), F.lit(0.0))
+def ratio(numerator: str, denominator: str) -> str:
+    """Quotient of two aggregates in double, null when the denominator is zero."""
+    return f"CAST({numerator} AS DOUBLE) / nullif(CAST({denominator} AS DOUBLE), 0D)"

@@ -1,33 +1,29 @@
-"""Audit columns and batch contracts of the Bronze layer."""
+"""Audit columns of the Bronze layer."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-TRIP_FILE_FORMAT = "raw/taxi/%d-%02d.parquet"
-WEATHER_FILE_FORMAT = "raw/weather/%d.tar.gz"
+_TRIP_FILE = "concat('raw/taxi/', source_year, '-', lpad(source_month, 2, '0'), '.parquet')"
+_WEATHER_FILE = "concat('raw/weather/', source_year, '.tar.gz')"
+_MONTH = "CAST(month(try_cast(`DATE` AS DATE)) AS TINYINT)"
 
 
-def audit_trips(df: DataFrame, ingested_at: Column | None = None) -> DataFrame:
+def audit_trips(df: DataFrame, ingested_at: str = "current_timestamp()") -> DataFrame:
     """Ingest time and source file of monthly batches; the batch columns are
     already there, so any number of months is audited in one pass."""
     return df.withColumns(
-        {
-            "ingested_at": F.current_timestamp() if ingested_at is None else ingested_at,
-            "source_file": F.format_string(
-                TRIP_FILE_FORMAT, F.col("source_year").cast("int"), F.col("source_month").cast("int")
-            ),
-        }
+        {"ingested_at": F.expr(ingested_at), "source_file": F.expr(_TRIP_FILE)}
     )
 
 
-def audit_weather(df: DataFrame, ingested_at: Column | None = None) -> DataFrame:
+def audit_weather(df: DataFrame, ingested_at: str = "current_timestamp()") -> DataFrame:
     """As for trips, with a yearly source file and the month of each row."""
     return df.withColumns(
         {
-            "ingested_at": F.current_timestamp() if ingested_at is None else ingested_at,
-            "source_file": F.format_string(WEATHER_FILE_FORMAT, F.col("source_year").cast("int")),
-            "source_month": F.month(F.col("DATE").try_cast("date")).cast("byte"),
+            "ingested_at": F.expr(ingested_at),
+            "source_file": F.expr(_WEATHER_FILE),
+            "source_month": F.expr(_MONTH),
         }
     )

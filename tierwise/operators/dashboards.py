@@ -3,51 +3,37 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from tierwise.functions import round2_agg
-
-
-def _sum(c: str):
-    return round2_agg(F.sum(F.col(c).cast("double")))
-
-
-def _avg(c: str):
-    return round2_agg(F.avg(F.col(c).cast("double")))
+from tierwise.operators import metrics as m
 
 
 def revenue_by_year(staged_trips: DataFrame) -> DataFrame:
     return staged_trips.groupBy("source_year").agg(
-        F.count("*").alias("total_trips"),
-        _sum("total_amount").alias("total_revenue"),
-        _sum("fare_amount").alias("total_fare_revenue"),
-        _sum("tip_amount").alias("total_tips"),
+        *m.columns(m.pick("total_trips", "total_revenue", "total_fare_revenue", "total_tips"))
     )
 
 
 def fare_trend(staged_trips: DataFrame) -> DataFrame:
     return staged_trips.groupBy("source_year", "source_month").agg(
-        F.count("*").alias("total_trips"),
-        _avg("fare_amount").alias("avg_fare"),
-        _avg("trip_distance").alias("avg_trip_distance"),
+        *m.columns(m.pick("total_trips", "avg_fare", "avg_trip_distance"))
     )
 
 
 def zone_hour(trips_with_zones: DataFrame) -> DataFrame:
     return trips_with_zones.groupBy("pickup_borough", "pickup_zone", "pickup_hour").agg(
-        F.count("*").alias("total_trips"),
-        _sum("total_amount").alias("total_revenue"),
+        *m.columns(m.pick("total_trips", "total_revenue"))
     )
 
 
 def weather_trend(staged_weather: DataFrame) -> DataFrame:
+    temperature = m.temperature("min_temp", "max_temp")
+    rain = m.precipitation("precipitation_days")
     return staged_weather.groupBy("source_year", "source_month").agg(
-        F.count("*").alias("observations"),
-        _avg("temp_c").alias("avg_temp_c"),
-        _sum("prcp_in").alias("total_precipitation_in"),
-        _avg("wdsp_kmh").alias("avg_wind_speed_kmh"),
-        F.count_if("is_freezing").alias("freezing_days"),
-        F.count_if("is_extreme_heat").alias("extreme_heat_days"),
-        F.count_if("has_precipitation").alias("precipitation_days"),
-        F.count_if("is_gale").alias("gale_days"),
+        *m.columns(
+            {"observations": "count(*)", "avg_temp_c": temperature["avg_temp_c"]},
+            {k: rain[k] for k in ("total_precipitation_in", "precipitation_days")},
+            {"avg_wind_speed_kmh": m.WIND_AVERAGE["avg_wind_speed_kmh"]},
+            {k: m.TEMPERATURE_EVENTS[k] for k in ("freezing_days", "extreme_heat_days")},
+            m.GALE,
+        )
     )

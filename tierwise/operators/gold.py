@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,17 +16,14 @@ class TripModel:
 
     name: str
     keys: tuple[str, ...]
-    blocks: tuple[Callable[[], list[Column]], ...]
+    blocks: tuple[m.Block, ...]
     order: tuple[str, ...]
 
-    def metrics(self) -> list[Column]:
-        return [c for block in self.blocks for c in block()]
-
     def build(self, trips: DataFrame) -> DataFrame:
-        return trips.groupBy(*self.keys).agg(*self.metrics())
+        return trips.groupBy(*self.keys).agg(*m.columns(*self.blocks))
 
 
-_BASE = (m.volume, m.revenue, m.averages, m.efficiency)
+_BASE = (m.VOLUME, m.REVENUE, m.AVERAGES, m.EFFICIENCY)
 
 TRIP_MODELS = {
     model.name: model
@@ -36,13 +31,13 @@ TRIP_MODELS = {
         TripModel(
             "daily_summary",
             ("pickup_day_of_week", "day_name", "source_year", "source_month"),
-            (*_BASE, m.peak_hours, m.payment_split),
+            (*_BASE, m.PEAK_HOURS, m.PAYMENT_SPLIT),
             ("pickup_day_of_week",),
         ),
         TripModel(
             "hourly_summary",
             ("pickup_hour", "source_year", "source_month"),
-            (*_BASE, m.payment_split),
+            (*_BASE, m.PAYMENT_SPLIT),
             ("pickup_hour",),
         ),
         TripModel(
@@ -55,13 +50,13 @@ TRIP_MODELS = {
                 "is_weekend",
                 "day_name",
             ),
-            (*_BASE, m.peak_hours, m.payment_split),
+            (*_BASE, m.PEAK_HOURS, m.PAYMENT_SPLIT),
             ("pickup_date",),
         ),
         TripModel(
             "payment_summary",
             ("payment_type", "payment_method", "source_year", "source_month"),
-            (*_BASE, m.peak_hours),
+            (*_BASE, m.PEAK_HOURS),
             ("payment_type",),
         ),
         TripModel(
@@ -75,7 +70,7 @@ TRIP_MODELS = {
                 "source_year",
                 "source_month",
             ),
-            (*_BASE, m.peak_hours, m.payment_split),
+            (*_BASE, m.PEAK_HOURS, m.PAYMENT_SPLIT),
             ("-total_trips",),
         ),
     )
@@ -120,45 +115,47 @@ def daily_climate(staged: DataFrame) -> DataFrame:
 def monthly_climate(staged: DataFrame) -> DataFrame:
     keys = (*_STATION, "source_year", "source_month", "season_northern")
     return staged.groupBy(*keys).agg(
-        F.count("*").alias("observation_days"),
-        *m.temperature("min_temp", "max_temp"),
-        *m.precipitation("days_with_precipitation"),
-        *m.wind_average(),
-        *m.max_wind(),
-        *m.max_gust("max_gust_kts"),
-        *m.gale(),
-        *m.temperature_events(),
-        *m.snow(),
-        *m.max_snow(),
-        *m.visibility(),
-        *m.min_visibility(),
+        *m.columns(
+            {"observation_days": "count(*)"},
+            m.temperature("min_temp", "max_temp"),
+            m.precipitation("days_with_precipitation"),
+            m.WIND_AVERAGE,
+            m.MAX_WIND,
+            m.max_gust("max_gust_kts"),
+            m.GALE,
+            m.TEMPERATURE_EVENTS,
+            m.SNOW,
+            m.MAX_SNOW,
+            m.VISIBILITY,
+            m.MIN_VISIBILITY,
+        )
     )
 
 
-def _station_blocks(years: Column) -> list[Column]:
-    return [
-        *m.span(years),
-        *m.temperature("record_low_temp", "record_high_temp"),
-        *m.precipitation("precipitation_days"),
-        *m.wind_average(),
-        *m.max_gust("max_gust_recorded_kts"),
-        *m.temperature_events(),
-        *m.snow(),
-        *m.visibility(),
-        *m.gale(),
-    ]
+def _station_columns(years: str) -> list[Column]:
+    return m.columns(
+        m.span(years),
+        m.temperature("record_low_temp", "record_high_temp"),
+        m.precipitation("precipitation_days"),
+        m.WIND_AVERAGE,
+        m.max_gust("max_gust_recorded_kts"),
+        m.TEMPERATURE_EVENTS,
+        m.SNOW,
+        m.VISIBILITY,
+        m.GALE,
+    )
 
 
 def station_metrics(staged: DataFrame) -> DataFrame:
-    """Station statistics per month. The year is a grouping key, so the number
-    of distinct years in a group is one and needs no distinct count."""
-    years = F.count_if(F.col("source_year").isNotNull()).cast("boolean").cast("bigint")
-    return staged.groupBy(*_STATION, "source_year", "source_month").agg(*_station_blocks(years))
+    """Station statistics per month. The year is a grouping key, so a group has
+    one distinct year (none if it is null) and needs no distinct count."""
+    years = "CAST(count(source_year) > 0 AS BIGINT)"
+    return staged.groupBy(*_STATION, "source_year", "source_month").agg(*_station_columns(years))
 
 
 def station_longterm(staged: DataFrame) -> DataFrame:
     """The same statistics over all years of a station."""
-    return staged.groupBy(*_STATION).agg(*_station_blocks(F.count_distinct("source_year")))
+    return staged.groupBy(*_STATION).agg(*_station_columns("count(DISTINCT source_year)"))
 
 
 WEATHER_MODELS = {
@@ -194,47 +191,22 @@ def trip_models_in_one_pass(trips: DataFrame) -> DataFrame:
     which stays in memory and is aggregated before it is shuffled.
     """
     keys = sorted({k for model in TRIP_MODELS.values() for k in model.keys})
-    blocks = (*_BASE, m.peak_hours, m.payment_split)
-    names = list(TRIP_MODELS)
-    sets = [[F.col(k) for k in TRIP_MODELS[n].keys] for n in names]
-    in_model = F.lit(None).cast("string")
-    for name in names:
-        # grouping(k) is 1 where the set lacks the key.
-        matches = reduce(
-            lambda a, b: a & b,
-            [
-                F.grouping(k) == F.lit(0 if k in TRIP_MODELS[name].keys else 1).cast("byte")
-                for k in keys
-            ],
-        )
-        in_model = F.when(matches, name).otherwise(in_model)
+    sets = [[F.col(k) for k in model.keys] for model in TRIP_MODELS.values()]
+    # The grouping id has a bit per key, set where the model lacks the key.
+    ids = {
+        sum(1 << (len(keys) - 1 - i) for i, k in enumerate(keys) if k not in model.keys): name
+        for name, model in TRIP_MODELS.items()
+    }
+    cases = " ".join(f"WHEN {bits} THEN '{name}'" for bits, name in ids.items())
     return trips.groupingSets(sets, *[F.col(k) for k in keys]).agg(
-        in_model.alias("model"), *[c for block in blocks for c in block()]
+        F.expr(f"CASE grouping_id() {cases} END").alias("model"),
+        *m.columns(*_BASE, m.PEAK_HOURS, m.PAYMENT_SPLIT),
     )
 
 
 def pick_trip_model(combined: DataFrame, name: str) -> DataFrame:
     """One model's rows and columns out of the combined result."""
     model = TRIP_MODELS[name]
-    produced = [c for block in model.blocks for c in _names(block)]
-    return combined.where(F.col("model") == name).select(*model.keys, *produced)
-
-
-_BLOCK_NAMES = {
-    m.volume: ("total_trips", "total_passengers"),
-    m.revenue: ("total_fare_revenue", "total_tips", "total_tolls", "total_revenue"),
-    m.averages: (
-        "avg_fare",
-        "avg_tip",
-        "avg_trip_distance",
-        "avg_trip_duration_minutes",
-        "avg_passengers_per_trip",
-    ),
-    m.efficiency: ("revenue_per_mile", "revenue_per_minute", "tip_percentage"),
-    m.peak_hours: ("peak_pickup_hour", "modal_pickup_hour"),
-    m.payment_split: ("credit_card_trips", "cash_trips", "no_charge_trips"),
-}
-
-
-def _names(block: Callable[[], list[Column]]) -> tuple[str, ...]:
-    return _BLOCK_NAMES[block]
+    return combined.where(F.col("model") == name).select(
+        *model.keys, *[c for block in model.blocks for c in block]
+    )

@@ -1,9 +1,9 @@
-"""Aggregate blocks shared by the Gold models.
+"""Aggregate blocks shared by the Gold models, as SQL expression text.
 
-A block is a list of aliased aggregate columns. Sums and averages run in double
-and are rounded once, on the finished aggregate. All of them have constant-size
-state and merge map-side, so a group that holds most of the rows costs no more
-than any other.
+A block maps output names to aggregate expressions. Sums and averages run in
+double and are rounded once, on the finished aggregate. All of them have
+constant-size state and merge map-side, so a group that holds most of the rows
+costs no more than any other.
 """
 
 from __future__ import annotations
@@ -11,168 +11,146 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tierwise.functions import percent_of, ratio, round2, round2_agg
+from tierwise.functions import ratio, round2_agg
 
-HOURS = range(24)
+Block = dict[str, str]
 
 
-def _sum(c: str) -> Column:
-    return F.sum(F.col(c).cast("double"))
+def columns(*blocks: Block) -> list[Column]:
+    return [F.expr(e).alias(name) for block in blocks for name, e in block.items()]
 
 
-def _avg(c: str) -> Column:
-    return round2_agg(F.avg(F.col(c).cast("double")))
+def _sum(c: str) -> str:
+    return f"sum(CAST({c} AS DOUBLE))"
 
 
-# --- trips ---------------------------------------------------------------
-
-
-def volume() -> list[Column]:
-    return [
-        F.count("*").alias("total_trips"),
-        F.sum(F.col("passenger_count").cast("bigint")).alias("total_passengers"),
-    ]
-
+def _avg(c: str) -> str:
+    return round2_agg(f"avg(CAST({c} AS DOUBLE))")
 
-def revenue() -> list[Column]:
-    columns = {
-        "total_fare_revenue": "fare_amount",
-        "total_tips": "tip_amount",
-        "total_tolls": "tolls_amount",
-        "total_revenue": "total_amount",
-    }
-    return [round2_agg(_sum(c)).alias(name) for name, c in columns.items()]
-
-
-def averages() -> list[Column]:
-    columns = {
-        "avg_fare": "fare_amount",
-        "avg_tip": "tip_amount",
-        "avg_trip_distance": "trip_distance",
-        "avg_trip_duration_minutes": "trip_duration_minutes",
-        "avg_passengers_per_trip": "passenger_count",
-    }
-    return [_avg(c).alias(name) for name, c in columns.items()]
-
-
-def efficiency() -> list[Column]:
-    fare, tip = _sum("fare_amount"), _sum("tip_amount")
-    return [
-        round2_agg(ratio(fare, _sum("trip_distance"))).alias("revenue_per_mile"),
-        round2_agg(ratio(fare, _sum("trip_duration_minutes"))).alias("revenue_per_minute"),
-        round2_agg(ratio(tip, fare) * 100).alias("tip_percentage"),
-    ]
 
+# --- trips ---------------------------------------------------------------
 
-def peak_hours(hour: str = "pickup_hour") -> list[Column]:
+VOLUME = {
+    "total_trips": "count(*)",
+    "total_passengers": "sum(CAST(passenger_count AS BIGINT))",
+}
+
+REVENUE = {
+    "total_fare_revenue": round2_agg(_sum("fare_amount")),
+    "total_tips": round2_agg(_sum("tip_amount")),
+    "total_tolls": round2_agg(_sum("tolls_amount")),
+    "total_revenue": round2_agg(_sum("total_amount")),
+}
+
+AVERAGES = {
+    "avg_fare": _avg("fare_amount"),
+    "avg_tip": _avg("tip_amount"),
+    "avg_trip_distance": _avg("trip_distance"),
+    "avg_trip_duration_minutes": _avg("trip_duration_minutes"),
+    "avg_passengers_per_trip": _avg("passenger_count"),
+}
+
+EFFICIENCY = {
+    "revenue_per_mile": round2_agg(ratio(_sum("fare_amount"), _sum("trip_distance"))),
+    "revenue_per_minute": round2_agg(ratio(_sum("fare_amount"), _sum("trip_duration_minutes"))),
+    "tip_percentage": round2_agg(f"{ratio(_sum('tip_amount'), _sum('fare_amount'))} * 100"),
+}
+
+PAYMENT_SPLIT = {
+    "credit_card_trips": "count_if(payment_type = 1)",
+    "cash_trips": "count_if(payment_type = 2)",
+    "no_charge_trips": "count_if(payment_type = 3)",
+}
+
+
+def _peak_hours(hour: str = "pickup_hour") -> Block:
     """Lower median and most frequent hour (the earliest on a tie).
 
     Both come from 24 running counters, the number of trips up to each hour.
     The built-in percentile and mode keep a map per group, and Spark turns to
     sorting all rows once a task holds more than a few such groups.
     """
-    up_to = [F.count_if(F.col(hour) <= h) for h in HOURS]
+    up_to = [f"count_if({hour} <= {h})" for h in range(24)]
     total = up_to[-1]
-    median = sum((F.when(up_to[h] * 2 < total, 1).otherwise(0) for h in HOURS), F.lit(0))
-    at = [up_to[0]] + [up_to[h] - up_to[h - 1] for h in HOURS if h > 0]
-    largest = F.greatest(*at)
-    mode = F.coalesce(*[F.when(at[h] == largest, F.lit(h)) for h in HOURS])
-    return [
-        F.when(total > 0, median).cast("short").alias("peak_pickup_hour"),
-        F.when(total > 0, mode).cast("short").alias("modal_pickup_hour"),
-    ]
-
-
-def payment_split() -> list[Column]:
-    codes = {"credit_card_trips": 1, "cash_trips": 2, "no_charge_trips": 3}
-    return [F.count_if(F.col("payment_type") == code).alias(n) for n, code in codes.items()]
-
-
-# --- station days --------------------------------------------------------
-
-
-def _extreme(aggregate, c: str) -> Column:
-    return round2(aggregate(F.col(c).cast("double")))
-
-
-def _event(flag: str, days: str, share: str | None = None) -> list[Column]:
-    happened = F.count_if(F.col(flag))
-    columns = [happened.alias(days)]
-    if share:
-        columns.append(round2(percent_of(happened, F.count("*"))).alias(share))
-    return columns
-
-
-def temperature(low: str, high: str) -> list[Column]:
-    return [
-        _avg("temp_f").alias("avg_temp_f"),
-        _extreme(F.min, "temp_f").alias(f"{low}_f"),
-        _extreme(F.max, "temp_f").alias(f"{high}_f"),
-        round2_agg(F.stddev(F.col("temp_f").cast("double"))).alias("temp_stddev_f"),
-        _avg("temp_c").alias("avg_temp_c"),
-        _extreme(F.min, "temp_c").alias(f"{low}_c"),
-        _extreme(F.max, "temp_c").alias(f"{high}_c"),
-    ]
-
-
-def precipitation(days: str) -> list[Column]:
-    return [
-        round2_agg(_sum("prcp_in")).alias("total_precipitation_in"),
-        _avg("prcp_in").alias("avg_daily_precipitation_in"),
-        *_event("has_precipitation", days, "precipitation_frequency_pct"),
-    ]
+    median = " + ".join(f"CAST({up_to[h]} * 2 < {total} AS INT)" for h in range(24))
+    at = [up_to[0]] + [f"({up_to[h]} - {up_to[h - 1]})" for h in range(1, 24)]
+    mode = f"array_position(array({', '.join(at)}), greatest({', '.join(at)})) - 1"
+    return {
+        "peak_pickup_hour": f"CASE WHEN {total} > 0 THEN CAST({median} AS SMALLINT) END",
+        "modal_pickup_hour": f"CASE WHEN {total} > 0 THEN CAST({mode} AS SMALLINT) END",
+    }
 
 
-def wind_average() -> list[Column]:
-    return [
-        _avg("wdsp_kts").alias("avg_wind_speed_kts"),
-        _avg("wdsp_kmh").alias("avg_wind_speed_kmh"),
-    ]
+PEAK_HOURS = _peak_hours()
 
 
-def max_wind() -> list[Column]:
-    return [_extreme(F.max, "mxspd_kts").alias("max_wind_speed_kts")]
+def pick(*names: str) -> Block:
+    """Single metrics out of the trip blocks."""
+    known = {**VOLUME, **REVENUE, **AVERAGES}
+    return {name: known[name] for name in names}
 
 
-def max_gust(name: str) -> list[Column]:
-    return [_extreme(F.max, "gust_kts").alias(name)]
+# --- station days --------------------------------------------------------
 
 
-def gale() -> list[Column]:
-    return _event("is_gale", "gale_days")
+def _extreme(function: str, c: str) -> str:
+    return round2_agg(f"{function}(CAST({c} AS DOUBLE))")
 
 
-def temperature_events() -> list[Column]:
-    return [
-        *_event("is_freezing", "freezing_days", "freezing_frequency_pct"),
-        *_event("is_extreme_heat", "extreme_heat_days", "extreme_heat_frequency_pct"),
-    ]
+def _share(flag: str) -> str:
+    return round2_agg(f"CAST(count_if({flag}) AS DOUBLE) * 100 / nullif(CAST(count(*) AS DOUBLE), 0D)")
 
 
-def snow() -> list[Column]:
-    depth = F.col("sndp_in").cast("double")
-    return [
-        F.count_if(depth > 0).alias("snow_days"),
-        round2_agg(F.avg(F.when(depth > 0, depth))).alias("avg_snow_depth_in"),
-    ]
+def temperature(low: str, high: str) -> Block:
+    return {
+        "avg_temp_f": _avg("temp_f"),
+        f"{low}_f": _extreme("min", "temp_f"),
+        f"{high}_f": _extreme("max", "temp_f"),
+        "temp_stddev_f": round2_agg("stddev(CAST(temp_f AS DOUBLE))"),
+        "avg_temp_c": _avg("temp_c"),
+        f"{low}_c": _extreme("min", "temp_c"),
+        f"{high}_c": _extreme("max", "temp_c"),
+    }
 
 
-def max_snow() -> list[Column]:
-    return [_extreme(F.max, "sndp_in").alias("max_snow_depth_in")]
+def precipitation(days: str) -> Block:
+    return {
+        "total_precipitation_in": round2_agg(_sum("prcp_in")),
+        "avg_daily_precipitation_in": _avg("prcp_in"),
+        days: "count_if(has_precipitation)",
+        "precipitation_frequency_pct": _share("has_precipitation"),
+    }
 
 
-def visibility() -> list[Column]:
-    return [_avg("visib_mi").alias("avg_visibility_mi")]
+def max_gust(name: str) -> Block:
+    return {name: _extreme("max", "gust_kts")}
 
 
-def min_visibility() -> list[Column]:
-    return [_extreme(F.min, "visib_mi").alias("min_visibility_mi")]
+def span(years: str) -> Block:
+    return {
+        "total_observations": "count(*)",
+        "first_observation": "min(date)",
+        "last_observation": "max(date)",
+        "years_of_data": years,
+    }
 
 
-def span(years: Column) -> list[Column]:
-    return [
-        F.count("*").alias("total_observations"),
-        F.min("date").alias("first_observation"),
-        F.max("date").alias("last_observation"),
-        years.alias("years_of_data"),
-    ]
+WIND_AVERAGE = {
+    "avg_wind_speed_kts": _avg("wdsp_kts"),
+    "avg_wind_speed_kmh": _avg("wdsp_kmh"),
+}
+MAX_WIND = {"max_wind_speed_kts": _extreme("max", "mxspd_kts")}
+GALE = {"gale_days": "count_if(is_gale)"}
+TEMPERATURE_EVENTS = {
+    "freezing_days": "count_if(is_freezing)",
+    "freezing_frequency_pct": _share("is_freezing"),
+    "extreme_heat_days": "count_if(is_extreme_heat)",
+    "extreme_heat_frequency_pct": _share("is_extreme_heat"),
+}
+SNOW = {
+    "snow_days": "count_if(sndp_in > 0)",
+    "avg_snow_depth_in": _avg("CASE WHEN sndp_in > 0 THEN sndp_in END"),
+}
+MAX_SNOW = {"max_snow_depth_in": _extreme("max", "sndp_in")}
+VISIBILITY = {"avg_visibility_mi": _avg("visib_mi")}
+MIN_VISIBILITY = {"min_visibility_mi": _extreme("min", "visib_mi")}

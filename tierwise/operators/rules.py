@@ -8,17 +8,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierwise.functions import minutes_between, number
 from tierwise.schemas import PARTITION_KEYS
 
 # Thresholds of the trip rules.
-MIN_FARE, MAX_FARE = 0.0, 500.0
-MIN_DISTANCE = 0.0
+MIN_FARE, MAX_FARE = 0, 500
+MIN_DISTANCE = 0
 MIN_PASSENGERS, MAX_PASSENGERS = 1, 6
 MIN_MINUTES, MAX_MINUTES = 1, 1440
 
@@ -54,69 +53,70 @@ WEATHER_REQUIRED = (
 @dataclass(frozen=True)
 class Rule:
     name: str
-    holds: Column
+    condition: str
 
 
-def _all(conditions: Sequence[Column]) -> Column:
-    return reduce(lambda a, b: a & b, conditions)
+def _every(conditions: Sequence[str]) -> str:
+    return " AND ".join(f"({c})" for c in conditions)
 
 
-def _required(columns: Sequence[str]) -> Column:
-    return _all([F.col(c).isNotNull() for c in columns])
+def _required(columns: Sequence[str]) -> str:
+    return _every([f"{c} IS NOT NULL" for c in columns])
 
 
-def _in_ranges(ranges: dict[str, tuple[float, float]]) -> Column:
-    return _all([number(F.col(c)).between(low, high) for c, (low, high) in ranges.items()])
+def _in_ranges(ranges: dict[str, tuple[int, int]]) -> str:
+    return _every([f"{number(c)} BETWEEN {low} AND {high}" for c, (low, high) in ranges.items()])
 
 
 def trip_rules() -> list[Rule]:
-    pickup, dropoff = F.col("tpep_pickup_datetime"), F.col("tpep_dropoff_datetime")
-    fare, passengers = F.col("fare_amount"), F.col("passenger_count")
+    pickup, dropoff = "tpep_pickup_datetime", "tpep_dropoff_datetime"
+    minutes = minutes_between(pickup, dropoff)
     return [
         Rule("required", _required(TRIP_REQUIRED)),
-        Rule("fare", (fare > MIN_FARE) & (fare < MAX_FARE)),
-        Rule("distance", F.col("trip_distance") >= MIN_DISTANCE),
-        Rule("passengers", passengers.between(MIN_PASSENGERS, MAX_PASSENGERS)),
-        Rule("time_order", pickup < dropoff),
-        Rule("duration", minutes_between(pickup, dropoff).between(MIN_MINUTES, MAX_MINUTES)),
+        Rule("fare", f"fare_amount > {MIN_FARE} AND fare_amount < {MAX_FARE}"),
+        Rule("distance", f"trip_distance >= {MIN_DISTANCE}"),
+        Rule("passengers", f"passenger_count BETWEEN {MIN_PASSENGERS} AND {MAX_PASSENGERS}"),
+        Rule("time_order", f"{pickup} < {dropoff}"),
+        Rule("duration", f"{minutes} BETWEEN {MIN_MINUTES} AND {MAX_MINUTES}"),
         # Compared with the batch columns, so that all batches run as one job.
-        Rule(
-            "batch",
-            (F.year(pickup) == F.col("source_year")) & (F.month(pickup) == F.col("source_month")),
-        ),
+        Rule("batch", f"year({pickup}) = source_year AND month({pickup}) = source_month"),
     ]
 
 
-def weather_rules(today: Column | None = None) -> list[Rule]:
-    today = F.current_date() if today is None else today
-    temp, dewp = number(F.col("TEMP")), number(F.col("DEWP"))
-    low, high, snow = number(F.col("MIN")), number(F.col("MAX")), number(F.col("SNDP"))
-    no_extremes = F.col("MIN").isNull() | F.col("MAX").isNull()
-    date = F.col("DATE").try_cast("date")
+def weather_rules(today: str = "current_date()") -> list[Rule]:
+    """`today` is an expression, a parameter so that tests can fix the date."""
+    temp, dewp, snow = number("TEMP"), number("DEWP"), number("SNDP")
+    low, high = number("`MIN`"), number("`MAX`")
+    no_extremes = "`MIN` IS NULL OR `MAX` IS NULL"
+    date = "try_cast(`DATE` AS DATE)"
+    winter = ", ".join(map(str, WINTER_MONTHS))
     return [
-        Rule("required", _required(WEATHER_REQUIRED)),
-        Rule("sentinel", _all([number(F.col(c)) < limit for c, limit in SENTINELS.items()])),
+        Rule("required", _required([f"`{c}`" for c in WEATHER_REQUIRED])),
+        Rule("sentinel", _every([f"{number(c)} < {limit}D" for c, limit in SENTINELS.items()])),
         Rule(
             "winter_snow",
-            ~F.col("source_month").isin(*WINTER_MONTHS)
-            | (F.col("SNDP").isNotNull() & (snow < SNOW_SENTINEL)),
+            f"source_month NOT IN ({winter}) OR (SNDP IS NOT NULL AND {snow} < {SNOW_SENTINEL}D)",
         ),
         Rule("position", _in_ranges(POSITION_RANGES)),
         Rule("plausible", _in_ranges(VALUE_RANGES)),
         Rule(
             "consistent",
-            (F.col("DEWP").isNull() | (dewp <= temp))
-            & (no_extremes | (low <= high))
-            & (no_extremes | temp.between(low, high)),
+            _every(
+                [
+                    f"DEWP IS NULL OR {dewp} <= {temp}",
+                    f"{no_extremes} OR {low} <= {high}",
+                    f"{no_extremes} OR {temp} BETWEEN {low} AND {high}",
+                ]
+            ),
         ),
-        Rule("not_future", date <= today),
-        Rule("batch", F.year(date) == F.col("source_year")),
+        Rule("not_future", f"{date} <= {today}"),
+        Rule("batch", f"year({date}) = source_year"),
     ]
 
 
 def keep(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Rows for which every rule holds."""
-    return df.where(_all([r.holds for r in rules]))
+    return df.where(_every([r.condition for r in rules]))
 
 
 def drop_report(
@@ -124,11 +124,12 @@ def drop_report(
 ) -> DataFrame:
     """Per batch: rows read, kept and dropped, and how many rows each rule
     rejects. A row may fail several rules, so these counts can overlap."""
-    flags = df.select(*batch, *[F.coalesce(r.holds, F.lit(False)).alias(r.name) for r in rules])
-    kept = F.count_if(_all([F.col(r.name) for r in rules]))
-    return flags.groupBy(*batch).agg(
-        F.count("*").alias("rows_read"),
-        kept.alias("rows_kept"),
-        (F.count("*") - kept).alias("rows_dropped"),
-        *[F.count_if(~F.col(r.name)).alias(f"failed_{r.name}") for r in rules],
-    )
+    flags = df.selectExpr(*batch, *[f"coalesce({r.condition}, FALSE) AS {r.name}" for r in rules])
+    kept = f"count_if({_every([r.name for r in rules])})"
+    measures = [
+        "count(*) AS rows_read",
+        f"{kept} AS rows_kept",
+        f"count(*) - {kept} AS rows_dropped",
+        *[f"count_if(NOT {r.name}) AS failed_{r.name}" for r in rules],
+    ]
+    return flags.groupBy(*batch).agg(*[F.expr(x) for x in measures])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierwise.functions import (
@@ -64,58 +64,50 @@ STRICT_SENTINELS = {
 }
 
 
-def silver_trips(bronze: DataFrame, processed_at: Column | None = None) -> DataFrame:
+def silver_trips(bronze: DataFrame, processed_at: str = "current_timestamp()") -> DataFrame:
     """Clean trips with derived columns; one plan for any number of batches."""
-    pickup = F.col("tpep_pickup_datetime")
-    minutes = F.col("trip_duration_minutes")
-    weekday = F.col("pickup_day_of_week")
-    method = F.lit(None).cast("string")
-    for code, name in reversed(PAYMENT_METHODS.items()):
-        method = F.when(F.col("payment_type") == code, name).otherwise(method)
-    return (
-        keep(bronze, trip_rules())
-        .withColumns(
-            {
-                "trip_duration_minutes": minutes_between(pickup, F.col("tpep_dropoff_datetime")),
-                "pickup_day_of_week": day_of_week(pickup),
-            }
-        )
-        .select(
-            "VendorID",
-            "tpep_pickup_datetime",
-            "tpep_dropoff_datetime",
-            whole(F.col("passenger_count"), "smallint").alias("passenger_count"),
-            F.col("trip_distance").cast("float").alias("trip_distance"),
-            F.col("PULocationID").try_cast("int").alias("PULocationID"),
-            F.col("DOLocationID").try_cast("int").alias("DOLocationID"),
-            F.col("payment_type").try_cast("smallint").alias("payment_type"),
-            F.col("fare_amount").cast("float").alias("fare_amount"),
-            "extra",
-            "mta_tax",
-            "tip_amount",
-            "tolls_amount",
-            "improvement_surcharge",
-            "total_amount",
-            "congestion_surcharge",
-            "airport_fee",
-            "store_and_fwd_flag",
-            "RatecodeID",
-            "source_year",
-            "source_month",
-            "source_file",
-            "ingested_at",
-            "trip_duration_minutes",
-            "pickup_day_of_week",
-            F.when(minutes > 0, (F.col("trip_distance") / (minutes / F.lit(60.0))).cast("float")).alias(
-                "trip_speed_mph"
-            ),
-            F.hour(pickup).cast("short").alias("pickup_hour"),
-            (F.current_timestamp() if processed_at is None else processed_at).alias("processed_at"),
-            method.alias("payment_method"),
-            day_name(pickup).alias("day_name"),
-            F.coalesce(weekday.isin(0, 6), F.lit(False)).alias("is_weekend"),
-            pickup.cast("date").alias("pickup_date"),
-        )
+    pickup = "tpep_pickup_datetime"
+    methods = " ".join(f"WHEN {code} THEN '{name}'" for code, name in PAYMENT_METHODS.items())
+    cleaned = keep(bronze, trip_rules()).withColumns(
+        {
+            "trip_duration_minutes": F.expr(minutes_between(pickup, "tpep_dropoff_datetime")),
+            "pickup_day_of_week": F.expr(day_of_week(pickup)),
+        }
+    )
+    return cleaned.selectExpr(
+        "VendorID",
+        "tpep_pickup_datetime",
+        "tpep_dropoff_datetime",
+        f"{whole('passenger_count', 'SMALLINT')} AS passenger_count",
+        "CAST(trip_distance AS FLOAT) AS trip_distance",
+        "try_cast(PULocationID AS INT) AS PULocationID",
+        "try_cast(DOLocationID AS INT) AS DOLocationID",
+        "try_cast(payment_type AS SMALLINT) AS payment_type",
+        "CAST(fare_amount AS FLOAT) AS fare_amount",
+        "extra",
+        "mta_tax",
+        "tip_amount",
+        "tolls_amount",
+        "improvement_surcharge",
+        "total_amount",
+        "congestion_surcharge",
+        "airport_fee",
+        "store_and_fwd_flag",
+        "RatecodeID",
+        "source_year",
+        "source_month",
+        "source_file",
+        "ingested_at",
+        "trip_duration_minutes",
+        "pickup_day_of_week",
+        "CASE WHEN trip_duration_minutes > 0"
+        " THEN CAST(trip_distance / (trip_duration_minutes / 60D) AS FLOAT) END AS trip_speed_mph",
+        f"CAST(hour({pickup}) AS SMALLINT) AS pickup_hour",
+        f"{processed_at} AS processed_at",
+        f"CASE payment_type {methods} END AS payment_method",
+        f"{day_name(pickup)} AS day_name",
+        "coalesce(pickup_day_of_week IN (0, 6), FALSE) AS is_weekend",
+        f"CAST({pickup} AS DATE) AS pickup_date",
     )
 
 
@@ -124,60 +116,61 @@ def without_sentinels(bronze: DataFrame) -> DataFrame:
     instead of entering averages and records, or costing the whole row."""
     return bronze.withColumns(
         {
-            c: F.when(number(F.col(c)) < limit, F.col(c))
+            c: F.expr(f"CASE WHEN {number(f'`{c}`')} < {limit}D THEN `{c}` END")
             for c, limit in STRICT_SENTINELS.items()
         }
     )
 
 
-def _celsius(c: str) -> Column:
-    return round2((number(F.col(c)) - 32) * 5.0 / 9.0)
+def _celsius(c: str) -> str:
+    return round2(f"({number(f'`{c}`')} - 32) * 5D / 9D")
 
 
-def _kmh(c: str) -> Column:
-    return round2(number(F.col(c)) * KMH_PER_KNOT)
+def _kmh(c: str) -> str:
+    return round2(f"{number(c)} * {KMH_PER_KNOT}D")
 
 
 def silver_weather(
     bronze: DataFrame,
-    processed_at: Column | None = None,
-    today: Column | None = None,
+    processed_at: str = "current_timestamp()",
+    today: str = "current_date()",
     strict_sentinels: bool = False,
 ) -> DataFrame:
     """Clean station days with unit conversions and event flags."""
-    date = F.col("DATE").try_cast("date")
-    season = F.lit(None).cast("string")
-    for name, months in SEASONS.items():
-        season = F.when(F.month(date).isin(*months), name).otherwise(season)
+    date = "try_cast(`DATE` AS DATE)"
+    seasons = " ".join(
+        f"WHEN month({date}) IN ({', '.join(map(str, months))}) THEN '{name}'"
+        for name, months in SEASONS.items()
+    )
     cleaned = keep(
         without_sentinels(bronze) if strict_sentinels else bronze, weather_rules(today)
     )
-    return cleaned.select(
-        F.col("STATION").cast("string").alias("STATION"),
-        date.alias("DATE"),
-        number(F.col("LATITUDE")).cast("float").alias("LATITUDE"),
-        number(F.col("LONGITUDE")).cast("float").alias("LONGITUDE"),
-        whole(F.col("ELEVATION"), "smallint").alias("ELEVATION"),
-        F.col("NAME").cast("string").alias("NAME"),
-        *[number(F.col(c)).cast("float").alias(c) for c in WEATHER_METRICS],
+    return cleaned.selectExpr(
+        "CAST(STATION AS STRING) AS STATION",
+        f"{date} AS `DATE`",
+        f"CAST({number('LATITUDE')} AS FLOAT) AS LATITUDE",
+        f"CAST({number('LONGITUDE')} AS FLOAT) AS LONGITUDE",
+        f"{whole('ELEVATION', 'SMALLINT')} AS ELEVATION",
+        "CAST(NAME AS STRING) AS NAME",
+        *[f"CAST({number(f'`{c}`')} AS FLOAT) AS `{c}`" for c in WEATHER_METRICS],
         "source_year",
         "source_month",
         "source_file",
         "ingested_at",
-        season.alias("season_northern"),
-        day_name(date).alias("day_name"),
-        F.coalesce(day_of_week(date).isin(0, 6), F.lit(False)).alias("is_weekend"),
-        _celsius("TEMP").alias("temp_c"),
-        _celsius("MAX").alias("max_temp_c"),
-        _celsius("MIN").alias("min_temp_c"),
-        _kmh("WDSP").alias("wdsp_kmh"),
-        _kmh("MXSPD").alias("mxspd_kmh"),
-        _kmh("GUST").alias("gust_kmh"),
-        (number(F.col("TEMP")) <= FREEZING_F).alias("is_freezing"),
-        (number(F.col("TEMP")) >= EXTREME_HEAT_F).alias("is_extreme_heat"),
-        (number(F.col("PRCP")) > 0.0).alias("has_precipitation"),
-        (number(F.col("WDSP")) >= GALE_KNOTS).alias("is_gale"),
-        (F.current_timestamp() if processed_at is None else processed_at).alias("processed_at"),
+        f"CASE {seasons} END AS season_northern",
+        f"{day_name(date)} AS day_name",
+        f"coalesce({day_of_week(date)} IN (0, 6), FALSE) AS is_weekend",
+        f"{_celsius('TEMP')} AS temp_c",
+        f"{_celsius('MAX')} AS max_temp_c",
+        f"{_celsius('MIN')} AS min_temp_c",
+        f"{_kmh('WDSP')} AS wdsp_kmh",
+        f"{_kmh('MXSPD')} AS mxspd_kmh",
+        f"{_kmh('GUST')} AS gust_kmh",
+        f"{number('TEMP')} <= {FREEZING_F}D AS is_freezing",
+        f"{number('TEMP')} >= {EXTREME_HEAT_F}D AS is_extreme_heat",
+        f"{number('PRCP')} > 0 AS has_precipitation",
+        f"{number('WDSP')} >= {GALE_KNOTS}D AS is_gale",
+        f"{processed_at} AS processed_at",
     )
 
 

@@ -16,6 +16,10 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # The JVM never compiles a method above 8000 bytes of bytecode. A fused stage
+    # beyond that would be interpreted, tens of times slower; with this limit
+    # Spark runs such a stage operator by operator, each of them compiled.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

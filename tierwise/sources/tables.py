@@ -7,121 +7,102 @@ tables and grows with them.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierwise.session import configure
 
+_TRIP_COLUMNS = {
+    "VendorID": "l_suppkey % 2 + 1",
+    "tpep_pickup_datetime": "pickup",
+    "tpep_dropoff_datetime": """timestampadd(SECOND,
+        CAST(CASE WHEN l_orderkey % 50 = 0 THEN -60D WHEN l_orderkey % 53 = 0 THEN 90000D
+             ELSE l_quantity * 180 + l_linenumber * 7 - 150 END AS BIGINT), pickup)""",
+    "passenger_count": "CASE WHEN l_partkey % 97 != 0 THEN CAST(l_linenumber AS DOUBLE) END",
+    "trip_distance": "CASE WHEN l_orderkey % 61 = 0 THEN -1D ELSE l_quantity / 2 END",
+    "RatecodeID": "l_orderkey % 6 + 1",
+    "store_and_fwd_flag": "CASE WHEN l_linestatus = 'O' THEN 'Y' ELSE 'N' END",
+    "PULocationID": "l_partkey % 27 + 1",
+    "DOLocationID": "l_suppkey % 27 + 1",
+    "payment_type": "CAST(substr(o_orderpriority, 1, 1) AS BIGINT)",
+    "fare_amount": "CASE WHEN l_orderkey % 67 = 0 THEN -l_extendedprice / 200"
+    " ELSE l_extendedprice / 200 END",
+    "extra": "CAST(l_linenumber % 3 AS DOUBLE) / 2",
+    "mta_tax": "0.5D",
+    "tip_amount": "l_extendedprice / 200 * l_discount",
+    "tolls_amount": "l_tax * 100",
+    "improvement_surcharge": "0.3D",
+    "total_amount": "l_extendedprice / 200 * (1 + l_discount) + l_tax * 100 + 0.8D",
+    "congestion_surcharge": "2.5D",
+    "airport_fee": "CASE WHEN l_partkey % 27 < 2 THEN 1.25D ELSE 0D END",
+    "source_year": "CAST(year(l_shipdate) AS SMALLINT)",
+    "source_month": "CAST(month(l_shipdate) AS TINYINT)",
+}
+_PICKUP = """timestampadd(MINUTE,
+    (l_partkey % 24) * 60 + l_orderkey % 60 + CASE WHEN l_orderkey % 59 = 0 THEN 46080 ELSE 0 END,
+    l_shipdate)"""
+
+_BASE_TEMP = "(CAST((o_orderkey * 7) % 1500 AS DOUBLE) / 10 - 20)"
+_STATION = "CAST(o_custkey % 50 AS DOUBLE)"
+_WEATHER_COLUMNS = {
+    "STATION": "concat('S', lpad(CAST(o_custkey % 50 AS STRING), 3, '0'))",
+    "DATE": "CAST(o_orderdate AS DATE)",
+    "LATITUDE": f"CASE WHEN o_orderkey % 211 = 0 THEN 95D ELSE {_STATION} * 3 - 70 END",
+    "LONGITUDE": f"{_STATION} * 7 - 170",
+    "ELEVATION": f"CASE WHEN o_orderkey % 223 != 0 THEN {_STATION} * 40 - 100.5D END",
+    "NAME": "concat('STATION ', CAST(o_custkey % 50 AS STRING))",
+    "TEMP": f"CASE WHEN o_orderkey % 101 = 0 THEN 9999.9D ELSE {_BASE_TEMP} END",
+    "DEWP": f"CASE WHEN o_orderkey % 109 = 0 THEN 9999.9D ELSE {_BASE_TEMP} - 10 END",
+    "SLP": "CAST(1000 + o_orderkey % 30 AS DOUBLE)",
+    "STP": "CAST(990 + o_orderkey % 30 AS DOUBLE)",
+    "VISIB": "CASE WHEN o_orderkey % 113 = 0 THEN 999.9D ELSE CAST(o_orderkey % 100 AS DOUBLE) / 10 END",
+    "WDSP": "CASE WHEN o_orderkey % 103 = 0 THEN 999.9D ELSE CAST(o_orderkey % 450 AS DOUBLE) / 10 END",
+    "MXSPD": "CASE WHEN o_orderkey % 127 = 0 THEN 999.9D ELSE CAST(o_orderkey % 600 AS DOUBLE) / 10 END",
+    "GUST": "CASE WHEN o_orderkey % 4 = 0 THEN 999.9D ELSE CAST(o_orderkey % 800 AS DOUBLE) / 10 END",
+    "MAX": f"{_BASE_TEMP} + 8",
+    "MIN": f"CASE WHEN o_orderkey % 131 = 0 THEN {_BASE_TEMP} + 20 ELSE {_BASE_TEMP} - 8 END",
+    "PRCP": "CASE WHEN o_orderkey % 107 = 0 THEN 99.99D WHEN o_orderkey % 3 = 0 THEN 0D"
+    " ELSE CAST(o_orderkey % 650 AS DOUBLE) / 100 END",
+    "SNDP": "CASE WHEN o_orderkey % 5 = 0 THEN 999.9D ELSE CAST(o_orderkey % 40 AS DOUBLE) / 10 END",
+    "FRSHTT": "'000000'",
+    "source_year": "CAST(year(o_orderdate) AS SMALLINT)",
+    "source_month": "CAST(month(o_orderdate) AS TINYINT)",
+}
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _double(value: float) -> Column:
-    return F.lit(value).cast("double")
+def _project(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    return df.selectExpr(*[f"{expression} AS `{name}`" for name, expression in columns.items()])
 
 
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw trips, one row per order line, with their batch columns."""
+    """Raw trips, one row per order line, with their batch columns.
+
+    Both sides grow with the data, so neither is broadcast, however small a
+    test set may make one of them; Spark splits hot order keys at run time.
+    """
     lines = table(spark, sf_dir, "lineitem")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
-    key, part, supp = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey")
-    qty, price, line = F.col("l_quantity"), F.col("l_extendedprice"), F.col("l_linenumber")
-    minutes = (part % 24) * 60 + key % 60 + F.when(key % 59 == 0, 46080).otherwise(0)
-    seconds = (
-        F.when(key % 50 == 0, -60)
-        .when(key % 53 == 0, 90000)
-        .otherwise(qty * 180 + line * 7 - 150)
-        .cast("bigint")
-    )
-    fare = price / 200
-    return (
-        lines.join(orders, key == F.col("o_orderkey"))
-        .withColumn("_pickup", F.timestamp_add("MINUTE", minutes.cast("bigint"), F.col("l_shipdate")))
-        .select(
-            (supp % 2 + 1).alias("VendorID"),
-            F.col("_pickup").cast("timestamp_ntz").alias("tpep_pickup_datetime"),
-            F.timestamp_add("SECOND", seconds, F.col("_pickup"))
-            .cast("timestamp_ntz")
-            .alias("tpep_dropoff_datetime"),
-            F.when(part % 97 == 0, None).otherwise(line).cast("double").alias("passenger_count"),
-            F.when(key % 61 == 0, _double(-1.0)).otherwise(qty / 2).alias("trip_distance"),
-            (key % 6 + 1).alias("RatecodeID"),
-            F.when(F.col("l_linestatus") == "O", "Y").otherwise("N").alias("store_and_fwd_flag"),
-            (part % 27 + 1).alias("PULocationID"),
-            (supp % 27 + 1).alias("DOLocationID"),
-            F.substring("o_orderpriority", 1, 1).cast("bigint").alias("payment_type"),
-            F.when(key % 67 == 0, -price / 200).otherwise(fare).alias("fare_amount"),
-            ((line % 3).cast("double") / 2).alias("extra"),
-            _double(0.5).alias("mta_tax"),
-            (fare * F.col("l_discount")).alias("tip_amount"),
-            (F.col("l_tax") * 100).alias("tolls_amount"),
-            _double(0.3).alias("improvement_surcharge"),
-            (fare * (F.lit(1) + F.col("l_discount")) + F.col("l_tax") * 100 + _double(0.8)).alias(
-                "total_amount"
-            ),
-            _double(2.5).alias("congestion_surcharge"),
-            F.when(part % 27 < 2, _double(1.25)).otherwise(_double(0.0)).alias("airport_fee"),
-            F.year("l_shipdate").cast("short").alias("source_year"),
-            F.month("l_shipdate").cast("byte").alias("source_month"),
-        )
-    )
+    joined = lines.join(orders.hint("merge"), F.expr("l_orderkey = o_orderkey"))
+    return _project(joined.withColumn("pickup", F.expr(_PICKUP)), _TRIP_COLUMNS)
 
 
 def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The zone dimension: id, borough, zone name and service zone."""
     nation = table(spark, sf_dir, "nation")
     region = table(spark, sf_dir, "region")
-    service = (
-        F.when(F.col("r_regionkey") == 0, "Airports")
-        .when(F.col("r_regionkey") == 1, "Yellow Zone")
-        .otherwise("Boro Zone")
-    )
-    return nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
-        (F.col("n_nationkey") + 1).cast("int").alias("LocationID"),
-        F.col("r_name").alias("Borough"),
-        F.col("n_name").alias("Zone"),
-        service.alias("service_zone"),
+    return nation.join(region, F.expr("n_regionkey = r_regionkey")).selectExpr(
+        "n_nationkey + 1 AS LocationID",
+        "r_name AS Borough",
+        "n_name AS Zone",
+        "CASE r_regionkey WHEN 0 THEN 'Airports' WHEN 1 THEN 'Yellow Zone' ELSE 'Boro Zone' END"
+        " AS service_zone",
     )
 
 
 def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw station days, one row per order, with their batch columns."""
-    key = F.col("o_orderkey")
-    station = F.col("o_custkey") % 50
-    base = ((key * 7) % 1500).cast("double") / 10 - 20
-
-    def tenth(modulus: int) -> Column:
-        return (key % modulus).cast("double") / 10
-
-    def or_sentinel(modulus: int, sentinel: float, value: Column) -> Column:
-        return F.when(key % modulus == 0, _double(sentinel)).otherwise(value)
-
-    return table(spark, sf_dir, "orders").select(
-        F.concat(F.lit("S"), F.lpad(station.cast("string"), 3, "0")).alias("STATION"),
-        F.col("o_orderdate").cast("date").alias("DATE"),
-        or_sentinel(211, 95.0, station.cast("double") * 3 - 70).alias("LATITUDE"),
-        (station.cast("double") * 7 - 170).alias("LONGITUDE"),
-        F.when(key % 223 == 0, None)
-        .otherwise(station.cast("double") * 40 - _double(100.5))
-        .alias("ELEVATION"),
-        F.concat(F.lit("STATION "), station.cast("string")).alias("NAME"),
-        or_sentinel(101, 9999.9, base).alias("TEMP"),
-        or_sentinel(109, 9999.9, base - 10).alias("DEWP"),
-        (key % 30 + 1000).cast("double").alias("SLP"),
-        (key % 30 + 990).cast("double").alias("STP"),
-        or_sentinel(113, 999.9, tenth(100)).alias("VISIB"),
-        or_sentinel(103, 999.9, tenth(450)).alias("WDSP"),
-        or_sentinel(127, 999.9, tenth(600)).alias("MXSPD"),
-        or_sentinel(4, 999.9, tenth(800)).alias("GUST"),
-        (base + 8).alias("MAX"),
-        F.when(key % 131 == 0, base + 20).otherwise(base - 8).alias("MIN"),
-        F.when(key % 107 == 0, _double(99.99))
-        .when(key % 3 == 0, _double(0.0))
-        .otherwise((key % 650).cast("double") / 100)
-        .alias("PRCP"),
-        or_sentinel(5, 999.9, tenth(40)).alias("SNDP"),
-        F.lit("000000").alias("FRSHTT"),
-        F.year("o_orderdate").cast("short").alias("source_year"),
-        F.month("o_orderdate").cast("byte").alias("source_month"),
-    )
+    return _project(table(spark, sf_dir, "orders"), _WEATHER_COLUMNS)
