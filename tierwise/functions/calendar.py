@@ -26,7 +26,8 @@ def day_name(x: str) -> str:
 
 
 def _minute_number(x: str) -> str:
-    return f"floor(unix_seconds(CAST({x} AS TIMESTAMP)) / 60D)"
+    # Calendar fields only: no zone conversion, whichever kind of timestamp.
+    return f"(unix_date(CAST({x} AS DATE)) * 1440L + hour({x}) * 60 + minute({x}))"
 
 
 def minutes_between(start: str, end: str) -> str:

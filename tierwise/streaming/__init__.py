@@ -1 +1 @@
-
+"""Catching up with batches that have landed since the last run."""
