@@ -82,9 +82,13 @@ class VersionedTable:
             commits = commits.where(F.col("ts") <= F.lit(at).cast("timestamp"))
         return commits.agg(F.max("version")).first()[0]
 
-    def _schema_at(self, version: int) -> dict[str, str]:
-        row = self.commits().where(F.col("version") == version).select("schema").first()
-        return {f.name: f.type for f in row["schema"]} if row else {}
+    def _schema_at(self, version: int | None = None) -> tuple[int, dict[str, str]] | None:
+        """A version, by default the newest, and the schema it left."""
+        commits = self.commits()
+        if version is not None:
+            commits = commits.where(F.col("version") == version)
+        newest = commits.select("version", "schema").orderBy(F.desc("version")).first()
+        return newest and (newest.version, {f.name: f.type for f in newest.schema})
 
     # --- writing ---------------------------------------------------------
 
@@ -101,11 +105,11 @@ class VersionedTable:
         replaced year that the new rows lack are gone afterwards. Returns the
         new version, or None, with a warning, if there were no rows to write.
         """
-        latest = self.latest_version()
-        if latest is not None and not replace:
+        latest, schema = self._schema_at() or (-1, {})
+        if latest >= 0 and not replace:
             raise ValueError("name the batches to replace in an existing table")
-        version = 0 if latest is None else latest + 1
-        df, schema = _merge_schema(df, {} if latest is None else self._schema_at(latest))
+        version = latest + 1
+        df, schema = _merge_schema(df, schema)
         folder = f"{self.path}/data/_commit={version}"
         # Rows of a partition go to as many tasks as its size asks for: the
         # rebalance splits a partition that holds most of the rows and joins
@@ -193,9 +197,10 @@ class VersionedTable:
         The driver receives one path per live partition, the same list that
         Spark keeps for any partitioned table, and no other folder is listed.
         """
-        if version is None or self.latest_version() is None or version > self.latest_version():
+        known = self._schema_at(version)
+        if known is None:
             raise ValueError(f"no version {version} in {self.path}")
-        fields = ", ".join(f"`{n}` {t}" for n, t in self._schema_at(version).items())
+        fields = ", ".join(f"`{n}` {t}" for n, t in known[1].items())
         folders = [
             f"{self.path}/data/_commit={p.from_version}/source_year={p.source_year}"
             f"/source_month={p.source_month}"
@@ -217,7 +222,10 @@ class VersionedTable:
 
     def read(self) -> DataFrame:
         """The live table."""
-        return self.as_of(self.latest_version())
+        version = self.latest_version()
+        if version is None:
+            raise ValueError(f"no version of {self.path}")
+        return self.as_of(version)
 
     # --- audits ----------------------------------------------------------
 
@@ -239,7 +247,7 @@ class VersionedTable:
 
     def schema_drift(self, baseline: int = 0) -> DataFrame:
         """Columns added, removed or changed at each version against a baseline."""
-        base = ", ".join(f"'{n}', '{t}'" for n, t in self._schema_at(baseline).items())
+        base = ", ".join(f"'{n}', '{t}'" for n, t in self._schema_at(baseline)[1].items())
         names = "explode(array_union(map_keys(now), map_keys(base))) AS name"
         return (
             self.commits()

@@ -6,10 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tierwise.operators import dashboards, gold
+from pyspark.sql import functions as F
+
+from tierwise.operators import batches, dashboards, gold, pruning, quality, serving
+from tierwise.operators.bronze import audit_trips, audit_weather
 from tierwise.operators.rules import drop_report, trip_rules, weather_rules
-from tierwise.plans import layers
-from tierwise.sources import tables
+from tierwise.operators.silver import WEATHER_METRICS
+from tierwise.operators.versions import VersionedTable
+from tierwise.plans import layers, sample_files, stored
+from tierwise.session import configure, fresh_dir
+from tierwise.sources import month_files, station_files, tables, zone_lookup
+from tierwise.streaming.catchup import catch_up_trips
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -101,5 +108,237 @@ def _dashboard_queries() -> dict[str, Query]:
     }
 
 
+# The month and year the scans ask for.
+SCAN_YEAR, SCAN_MONTH = 1996, 6
+
+
+def _scan_queries() -> dict[str, Query]:
+    def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return stored.bronze_table(spark, sf_dir).read().drop(*_CLOCKS)
+
+    return {
+        "write_roundtrip": bronze,
+        "scan_full": bronze,
+        "scan_month": lambda s, d: pruning.scan_month(bronze(s, d), SCAN_YEAR, SCAN_MONTH),
+        "scan_year": lambda s, d: pruning.scan_year(bronze(s, d), SCAN_YEAR),
+        "pruning_rows": lambda s, d: pruning.pruning_rows(bronze(s, d), SCAN_YEAR, SCAN_MONTH),
+    }
+
+
+def _batch_queries() -> dict[str, Query]:
+    def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return tables.trips(spark, sf_dir)
+
+    def backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+        rows = trips(spark, sf_dir)
+        return batches.backfill_summary(batches.months_spanned(rows, True), rows, trip_rules())
+
+    return {
+        "batch_calendar": lambda s, d: batches.calendar_with_rows(
+            batches.months_spanned(trips(s, d), True), trips(s, d)
+        ),
+        "missing_batches": lambda s, d: batches.missing_batches(
+            batches.months_spanned(trips(s, d), True), trips(s, d)
+        ),
+        "backfill_summary": backfill,
+        "backfill_totals": lambda s, d: batches.summary_totals(backfill(s, d)),
+    }
+
+
+def _typed_days(rows: DataFrame) -> DataFrame:
+    """Text columns of station days as dates and numbers."""
+    numbers = ("LATITUDE", "LONGITUDE", "ELEVATION", *WEATHER_METRICS)
+    typed = {c: F.col(c).try_cast("double") for c in numbers if c in rows.columns}
+    return rows.withColumns({"DATE": F.col("DATE").try_cast("date"), **typed})
+
+
+def _weather_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = sample_files.archives(tables.weather(spark, sf_dir).drop("source_month"))
+    rows = station_files.parse_members(station_files.unpack_archives(packed))
+    bronze = audit_weather(station_files.with_year(rows)).drop(*_CLOCKS)
+    return _typed_days(bronze).drop(*[c for c in bronze.columns if c.endswith("_ATTRIBUTES")])
+
+
+def _weather_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = sample_files.station_csvs(configure(spark), sf_dir)
+    return _typed_days(station_files.with_year(station_files.read_station_files(spark, root)))
+
+
+def _month_file_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = sample_files.month_files(configure(spark), sf_dir)
+    return audit_trips(month_files.read_months(spark, root)).drop(*_CLOCKS)
+
+
+def _zone_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_dir(configure(spark), "zones")
+    zone_lookup.write_zones(tables.zones(spark, sf_dir), path)
+    return zone_lookup.read_zones(spark, path)
+
+
+def _catch_up(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs: batches up to 1997 land before the first, the rest after it."""
+    configure(spark)
+    root, checkpoint = fresh_dir(spark, "raw-trips"), fresh_dir(spark, "catchup-state")
+    table = VersionedTable(spark, fresh_dir(spark, "catchup-trips"))
+    rows = tables.trips(spark, sf_dir)
+    for landing in ("source_year <= 1997", "source_year > 1997"):
+        month_files.write_months(rows.where(landing), root)
+        catch_up_trips(spark, root, table, checkpoint)
+    return table.read().drop(*_CLOCKS)
+
+
+def _ingest_queries() -> dict[str, Query]:
+    return {
+        "ingest_month_files": _month_file_ingest,
+        "bronze_weather_archive": _weather_archive,
+        "weather_union_by_name": _weather_union,
+        "zone_lookup_file": _zone_file,
+        "catchup_ingest": _catch_up,
+    }
+
+
+_MONTHLY_DIGEST = (
+    "count(*) AS rows",
+    "sum(CAST(trip_distance * 2 AS BIGINT)) AS half_miles",
+    "count(passenger_count) AS with_passengers",
+)
+
+
+def _digest(df: DataFrame, *more: str) -> DataFrame:
+    return df.groupBy("source_year", "source_month").agg(
+        *[F.expr(e) for e in (*_MONTHLY_DIGEST, *more)]
+    )
+
+
+def _version_queries() -> dict[str, Query]:
+    revised = stored.revised_trips
+
+    def at_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+        table = revised(spark, sf_dir)
+        moment = table.history().where("version = 1").first().ts
+        return _digest(table.as_of_time(moment))
+
+    def merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return _digest(
+            revised(spark, sf_dir).read(),
+            "count(airport_fee) AS with_fee",
+            "sum(CAST(airport_fee * 4 AS BIGINT)) AS fee_quarters",
+        )
+
+    return {
+        "replace_month": lambda s, d: _digest(revised(s, d).as_of(1)),
+        "replace_year": lambda s, d: _digest(revised(s, d).as_of(2)),
+        "schema_merge": merged,
+        "asof_version": lambda s, d: revised(s, d).as_of(2).drop(*_CLOCKS),
+        "asof_timestamp": at_time,
+        "rows_per_version": lambda s, d: revised(s, d).rows_per_version(),
+        "table_history": lambda s, d: revised(s, d).history(3).drop("ts"),
+        "schema_history": lambda s, d: revised(s, d)
+        .schema_history()
+        .drop("position")
+        .join(revised(s, d).rows_per_version(), "version"),
+        "schema_diff": lambda s, d: revised(s, d)
+        .schema_drift()
+        .join(revised(s, d).rows_per_version(), "version"),
+    }
+
+
+def _suites(spark: SparkSession, sf_dir: str, kinds: tuple[str, ...] | None, *names: str) -> DataFrame:
+    """Report of the named suites, or of only some kinds of their checks."""
+    suites = {
+        "taxi/bronze": (layers.bronze_trips, quality.trip_bronze_suite(), quality.MONTHLY),
+        "taxi/silver": (layers.clean_trips, quality.trip_silver_suite(), quality.MONTHLY),
+        "weather/bronze": (layers.bronze_weather, quality.weather_bronze_suite(), quality.YEARLY),
+        "weather/silver": (layers.clean_weather, quality.weather_silver_suite(), quality.YEARLY),
+    }
+    result = None
+    for name in names:
+        source, checks, batch = suites[name]
+        checks = [c for c in checks if kinds is None or c.kind in kinds]
+        domain, layer = name.split("/")
+        report = quality.evaluate(source(spark, sf_dir), checks, batch, domain, layer)
+        result = report if result is None else result.unionAll(report)
+    return result
+
+
+def _checks(kind: str, *names: str) -> Query:
+    return lambda spark, sf_dir: _suites(spark, sf_dir, (kind,), *names)
+
+
+_TRIP_SUITES = ("taxi/bronze", "taxi/silver")
+_WEATHER_SUITES = ("weather/bronze", "weather/silver")
+
+
+def _stored_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_dir(configure(spark), "reports")
+    quality.write_report(_suites(spark, sf_dir, None, *_TRIP_SUITES, *_WEATHER_SUITES), path)
+    return quality.verdicts(quality.read_report(spark, path))
+
+
+def _gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze verdicts, and the rows that go on to Silver."""
+    bronze = layers.bronze_trips(spark, sf_dir)
+    report = quality.evaluate(
+        bronze, quality.trip_bronze_suite(stored.GATE_ROWS), quality.MONTHLY, "taxi", "bronze"
+    )
+    verdict = quality.verdicts(report)
+    admitted = (
+        quality.admit(bronze, verdict, quality.MONTHLY)
+        .groupBy(F.expr(quality.batch_label(quality.MONTHLY)).alias("batch"))
+        .agg(F.count("*").alias("admitted"))
+    )
+    return verdict.join(admitted, "batch", "left").na.fill(0, ["admitted"])
+
+
+def _quality_queries() -> dict[str, Query]:
+    return {
+        "dq_row_count": _checks(quality.ROW_COUNT, *_TRIP_SUITES, *_WEATHER_SUITES),
+        "dq_columns_exist": _checks(quality.EXISTS, "taxi/bronze", "weather/bronze"),
+        "dq_not_null": _checks(quality.NOT_NULL, *_TRIP_SUITES),
+        "dq_between": _checks(quality.BETWEEN, "taxi/silver", "weather/silver"),
+        "dq_pair_greater": _checks(quality.PAIR_GREATER, "taxi/silver"),
+        "dq_in_set": _checks(quality.IN_SET, "taxi/silver", "weather/silver"),
+        "dq_unique_count": _checks(quality.UNIQUE_COUNT, "weather/silver"),
+        "dq_compound_unique": _checks(quality.COMPOUND_UNIQUE, "weather/silver"),
+        "dq_suite_trips": lambda s, d: _suites(s, d, None, *_TRIP_SUITES),
+        "dq_suite_weather": lambda s, d: _suites(s, d, None, *_WEATHER_SUITES),
+        "dq_report": _stored_report,
+        "dq_gate": _gate,
+    }
+
+
+def _top_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Best zone pairs by trips; the other columns settle ties."""
+    model = gold.TRIP_MODELS["zone_performance"]
+    zones = model.build(layers.zoned_trips(spark, sf_dir))
+    ties = [F.asc_nulls_last(k) for k in model.keys]
+    return zones.orderBy(F.desc("total_trips"), *ties).limit(100)
+
+
+def _catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    flows = (stored.trip_pipeline(spark, sf_dir), stored.weather_pipeline(spark, sf_dir))
+    serving.register(spark, {m: flow.gold(m).read() for flow in flows for m in flow.models()})
+    return serving.table_rows(spark)
+
+
+def _pipeline_queries() -> dict[str, Query]:
+    return {
+        "top_zones": _top_zones,
+        "pipeline_trips": lambda s, d: stored.trip_pipeline(s, d).summary(),
+        "pipeline_weather": lambda s, d: stored.weather_pipeline(s, d).summary(),
+        "catalog_tables": _catalog,
+    }
+
+
 def queries() -> dict[str, Query]:
-    return {**_layer_queries(), **_gold_queries(), **_dashboard_queries()}
+    return {
+        **_layer_queries(),
+        **_batch_queries(),
+        **_scan_queries(),
+        **_gold_queries(),
+        **_dashboard_queries(),
+        **_quality_queries(),
+        **_version_queries(),
+        **_ingest_queries(),
+        **_pipeline_queries(),
+    }

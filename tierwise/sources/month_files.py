@@ -104,6 +104,7 @@ def write_months(trips: DataFrame, root: str) -> None:
         )
         .drop("source_year", "source_month")
         .hint("rebalance", "batch")
-        .write.partitionBy("batch")
+        .write.mode("append")
+        .partitionBy("batch")
         .parquet(root)
     )
