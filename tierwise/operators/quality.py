@@ -258,7 +258,8 @@ def write_report(report: DataFrame, path: str) -> None:
     """JSON documents by domain, layer and batch. Re-validated batches replace
     their own documents and leave the others alone."""
     (
-        report.write.mode("overwrite")
+        report.hint("rebalance", "domain", "layer", "batch")
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("domain", "layer", "batch")
         .json(path)

@@ -26,6 +26,9 @@ def register(spark: SparkSession, models: dict[str, DataFrame], schema: str = "g
     A view over the live version of a table costs nothing to replace, and
     always shows the version that was current when it was registered.
     """
+    for old in spark.catalog.listTables():
+        if old.isTemporary and old.name.startswith(f"{schema}_"):
+            spark.catalog.dropTempView(old.name)
     names = []
     for model, df in models.items():
         name = f"{schema}_{SERVED_NAMES[model]}"
@@ -47,6 +50,8 @@ def list_tables(spark: SparkSession, schema: str = "gold") -> DataFrame:
 def table_rows(spark: SparkSession, schema: str = "gold") -> DataFrame:
     """Registered tables with their row counts, asked through SQL."""
     names = [r.table_name for r in list_tables(spark, schema).collect()]
+    if not names:
+        return spark.createDataFrame([], "table_name STRING, table_schema STRING, rows BIGINT")
     counts = [
         spark.sql(
             f"SELECT '{n}' AS table_name, '{schema}' AS table_schema, count(*) AS rows"

@@ -188,9 +188,14 @@ class Medallion:
 
     def _rows(self, table: VersionedTable, batches: Sequence[Batch]) -> DataFrame:
         """A table's live rows in the batches, as a partition filter."""
-        months = [f"(source_year = {y} AND source_month = {m})" for y, m in batches if m is not None]
-        years = [f"source_year = {y}" for y, m in batches if m is None]
-        return table.read().where(" OR ".join(months + years))
+        by_year: dict[int, list[int | None]] = {}
+        for year, month in batches:
+            by_year.setdefault(year, []).append(month)
+        wanted = []
+        for year, months in by_year.items():
+            in_months = "" if None in months else f" AND source_month IN ({', '.join(map(str, months))})"
+            wanted.append(f"(source_year = {year}{in_months})")
+        return table.read().where(" OR ".join(wanted))
 
 
 def trip_gold(spark: SparkSession, zones: DataFrame) -> GoldBuilder:

@@ -154,7 +154,7 @@ def _typed_days(rows: DataFrame) -> DataFrame:
 
 def _weather_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = sample_files.archives(tables.weather(spark, sf_dir).drop("source_month"))
-    rows = station_files.parse_members(station_files.unpack_archives(packed))
+    rows = station_files.parse_pieces(station_files.unpack_archives(packed))
     bronze = audit_weather(station_files.with_year(rows)).drop(*_CLOCKS)
     return _typed_days(bronze).drop(*[c for c in bronze.columns if c.endswith("_ATTRIBUTES")])
 
@@ -317,7 +317,8 @@ def _top_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     flows = (stored.trip_pipeline(spark, sf_dir), stored.weather_pipeline(spark, sf_dir))
-    serving.register(spark, {m: flow.gold(m).read() for flow in flows for m in flow.models()})
+    served = {m: flow.gold(m) for flow in flows for m in flow.models()}
+    serving.register(spark, {m: t.read() for m, t in served.items() if t.exists()})
     return serving.table_rows(spark)
 
 

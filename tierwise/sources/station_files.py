@@ -12,6 +12,7 @@ import csv
 import io
 import tarfile
 from collections.abc import Iterable, Iterator, Sequence
+from typing import IO
 
 import pyarrow as pa
 from pyarrow import csv as arrow_csv
@@ -20,13 +21,22 @@ from pyspark.sql import functions as F
 
 from tierwise.schemas import WEATHER_SOURCE
 
-_MEMBERS = "path STRING, member STRING, content BINARY"
-_MEMBER_ARROW = pa.schema(
-    [("path", pa.string()), ("member", pa.string()), ("content", pa.large_binary())]
+_PIECES = "path STRING, member STRING, piece INT, content BINARY"
+_PIECE_ARROW = pa.schema(
+    [
+        ("path", pa.string()),
+        ("member", pa.string()),
+        ("piece", pa.int32()),
+        ("content", pa.large_binary()),
+    ]
 )
-# Members travel between Python and Spark in batches of about this many bytes.
+# A CSV is handed on in pieces of about this many bytes, so that one huge file
+# is parsed by many tasks; batches between Python and Spark hold a few pieces.
+PIECE_BYTES = 4 << 20
 _BATCH_BYTES = 16 << 20
 
+Piece = tuple[str, str, int, bytes]
+
 
 def read_files(spark: SparkSession, paths: str | Sequence[str], pattern: str) -> DataFrame:
     """Whole files as rows of path and content."""
@@ -39,46 +49,82 @@ def read_files(spark: SparkSession, paths: str | Sequence[str], pattern: str) ->
     )
 
 
-def _batched(rows: Iterable[tuple[str, str, bytes]]) -> Iterator[pa.RecordBatch]:
-    waiting: list[tuple[str, str, bytes]] = []
+def split_csv(stream: IO[bytes], piece_bytes: int = PIECE_BYTES) -> Iterator[bytes]:
+    """Pieces of a CSV, each with the header line and whole records. A line
+    break inside quotes is not the end of a record."""
+    header = stream.readline()
+    if not header.strip():
+        return
+    if not header.endswith(b"\n"):
+        header += b"\n"
+    records, size, quotes, sent = [header], 0, 0, False
+    for line in stream:
+        records.append(line)
+        size += len(line)
+        quotes += line.count(b'"')
+        if size >= piece_bytes and quotes % 2 == 0:
+            yield b"".join(records)
+            records, size, quotes, sent = [header], 0, 0, True
+    if size or not sent:
+        yield b"".join(records)
+
+
+def _batched(pieces: Iterable[Piece]) -> Iterator[pa.RecordBatch]:
+    waiting: list[Piece] = []
     size = 0
-    for row in rows:
-        waiting.append(row)
-        size += len(row[2])
+    for piece in pieces:
+        waiting.append(piece)
+        size += len(piece[3])
         if size >= _BATCH_BYTES:
-            yield _member_batch(waiting)
+            yield _piece_batch(waiting)
             waiting, size = [], 0
     if waiting:
-        yield _member_batch(waiting)
+        yield _piece_batch(waiting)
 
 
-def _member_batch(rows: list[tuple[str, str, bytes]]) -> pa.RecordBatch:
-    columns = [pa.array(values, type=f.type) for values, f in zip(zip(*rows), _MEMBER_ARROW)]
-    return pa.RecordBatch.from_arrays(columns, schema=_MEMBER_ARROW)
+def _piece_batch(pieces: list[Piece]) -> pa.RecordBatch:
+    columns = [pa.array(values, type=f.type) for values, f in zip(zip(*pieces), _PIECE_ARROW)]
+    return pa.RecordBatch.from_arrays(columns, schema=_PIECE_ARROW)
 
 
-def _unpack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def members() -> Iterator[tuple[str, str, bytes]]:
-        for batch in batches:
-            for path, content in zip(batch["path"], batch["content"]):
-                with tarfile.open(fileobj=io.BytesIO(content.as_py()), mode="r|gz") as archive:
-                    for entry in archive:
-                        if entry.isfile() and entry.name.endswith(".csv"):
-                            yield path.as_py(), entry.name, archive.extractfile(entry).read()
+def _files(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[str, bytes]]:
+    for batch in batches:
+        for path, content in zip(batch["path"], batch["content"]):
+            yield path.as_py(), content.as_py()
 
-    return _batched(members())
+
+def _unpack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def pieces() -> Iterator[Piece]:
+        for path, content in _files(batches):
+            with tarfile.open(fileobj=io.BytesIO(content), mode="r|gz") as archive:
+                for entry in archive:
+                    if entry.isfile() and entry.name.endswith(".csv"):
+                        for i, piece in enumerate(split_csv(archive.extractfile(entry))):
+                            yield path, entry.name, i, piece
+
+    return _batched(pieces())
+
+
+def _split(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return _batched(
+        (path, path, i, piece)
+        for path, content in _files(batches)
+        for i, piece in enumerate(split_csv(io.BytesIO(content)))
+    )
 
 
 def unpack_archives(archives: DataFrame) -> DataFrame:
-    """CSV members of tar.gz archives. Gzip cannot be split, so an archive is
-    opened by one task, as a stream; its members are then spread by hash, so
-    that parsing a large archive is shared by the whole cluster."""
-    return archives.select("path", "content").mapInArrow(_unpack, _MEMBERS).repartition("path", "member")
+    """CSV members of tar.gz archives, in pieces. Gzip cannot be split, so an
+    archive is opened by one task, as a stream; its pieces are then spread by
+    hash, so that parsing a large archive is shared by the whole cluster."""
+    pieces = archives.select("path", "content").mapInArrow(_unpack, _PIECES)
+    return pieces.repartition("path", "member", "piece")
 
 
-def csv_members(files: DataFrame) -> DataFrame:
-    """Loose CSV files in the shape `parse_members` takes."""
-    return files.select("path", F.col("path").alias("member"), "content")
+def csv_pieces(files: DataFrame) -> DataFrame:
+    """Loose CSV files, in pieces, spread likewise."""
+    pieces = files.select("path", "content").mapInArrow(_split, _PIECES)
+    return pieces.repartition("path", "member", "piece")
 
 
 def _header(content: bytes) -> list[str]:
@@ -89,74 +135,68 @@ def _header(content: bytes) -> list[str]:
 
 def _headers(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        names = {n for c in batch["content"] for n in _header(c.as_py()[: 1 << 16])}
+        names = {n for first in batch["first"] for n in _header(first.as_py())}
         yield pa.RecordBatch.from_pydict({"name": sorted(names)})
 
 
-def discover_columns(members: DataFrame) -> list[str]:
-    """All header names in use: contract columns first, then the others. Only
-    distinct names reach the driver."""
-    names = members.mapInArrow(_headers, "name STRING").distinct().collect()
+def discover_columns(files: DataFrame) -> list[str]:
+    """All header names used by loose CSV files: contract columns first, then
+    the others. Only the first line of a file goes to Python, and only distinct
+    names reach the driver."""
+    first = files.select(F.substring_index(F.decode("content", "UTF-8"), "\n", 1).cast("binary").alias("first"))
+    names = first.distinct().mapInArrow(_headers, "name STRING").distinct().collect()
     fold = {c.upper(): c for c in WEATHER_SOURCE}
     seen = {fold.get(r.name.upper(), r.name) for r in names if r.name}
     return [c for c in WEATHER_SOURCE if c in seen] + sorted(seen - set(WEATHER_SOURCE))
 
 
-def parse_members(members: DataFrame, columns: Sequence[str] = WEATHER_SOURCE) -> DataFrame:
-    """Rows of all CSV members, by header name, every column as text; a column
+def parse_pieces(pieces: DataFrame, columns: Sequence[str] = WEATHER_SOURCE) -> DataFrame:
+    """Rows of all CSV pieces, by header name, every column as text; a column
     that a file lacks is null. `path` tells the file or archive of a row."""
     columns = list(columns)
     by_name = {c.upper(): c for c in columns}
     schema = pa.schema([("path", pa.string()), *[(c, pa.string()) for c in columns]])
 
     def parse(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for path, content in zip(batch["path"], batch["content"]):
-                data = content.as_py()
-                header = _header(data)
-                if not header:
-                    continue
-                names = [by_name.get(n.upper(), n) for n in header]
-                table = arrow_csv.read_csv(
-                    io.BytesIO(data),
-                    read_options=arrow_csv.ReadOptions(
-                        column_names=names, skip_rows=1, use_threads=False
-                    ),
-                    parse_options=arrow_csv.ParseOptions(newlines_in_values=True),
-                    convert_options=arrow_csv.ConvertOptions(
-                        column_types={n: pa.string() for n in names},
-                        include_columns=columns,
-                        include_missing_columns=True,
-                        strings_can_be_null=True,
-                        null_values=[""],
-                    ),
-                )
-                for piece in table.to_batches():
-                    texts = [
-                        piece[c] if c in names else pa.nulls(piece.num_rows, pa.string())
-                        for c in columns
-                    ]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([path.as_py()] * piece.num_rows, pa.string()), *texts], schema=schema
-                    )
+        for path, data in _files(batches):
+            names = [by_name.get(n.upper(), n) for n in _header(data)]
+            table = arrow_csv.read_csv(
+                io.BytesIO(data),
+                read_options=arrow_csv.ReadOptions(
+                    column_names=names, skip_rows=1, use_threads=False
+                ),
+                parse_options=arrow_csv.ParseOptions(newlines_in_values=True),
+                convert_options=arrow_csv.ConvertOptions(
+                    column_types={n: pa.string() for n in names},
+                    strings_can_be_null=True,
+                    null_values=[""],
+                ),
+            )
+            for rows in table.to_batches():
+                texts = [
+                    rows[c] if c in names else pa.nulls(rows.num_rows, pa.string()) for c in columns
+                ]
+                paths = pa.array([path] * rows.num_rows, pa.string())
+                yield pa.RecordBatch.from_arrays([paths, *texts], schema=schema)
 
     fields = ", ".join(f"`{c}` STRING" for c in columns)
-    return members.mapInArrow(parse, f"path STRING, {fields}")
+    return pieces.mapInArrow(parse, f"path STRING, {fields}")
 
 
 def with_year(rows: DataFrame) -> DataFrame:
     """The batch year, from the archive's or folder's name."""
-    return rows.withColumn(
-        "source_year", F.regexp_extract("path", r"(\d{4})[^/]*(?:\.tar\.gz|/[^/]*\.csv)$", 1).try_cast("smallint")
-    ).drop("path")
+    name = r"(\d{4})[^/]*(?:\.tar\.gz|/[^/]*\.csv)$"
+    year = F.regexp_extract("path", name, 1).try_cast("smallint")
+    return rows.withColumn("source_year", year).drop("path")
 
 
 def read_archives(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """Rows of yearly tar.gz archives, ready for the Bronze audit columns."""
-    return with_year(parse_members(unpack_archives(read_files(spark, paths, "*.tar.gz"))))
+    return with_year(parse_pieces(unpack_archives(read_files(spark, paths, "*.tar.gz"))))
 
 
 def read_station_files(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Loose station CSVs merged by column name, keeping every column found."""
-    members = csv_members(read_files(spark, paths, "*.csv"))
-    return parse_members(members, discover_columns(members))
+    """Rows of loose station CSVs merged by column name, keeping every column
+    found, with the path of their file."""
+    files = read_files(spark, paths, "*.csv")
+    return parse_pieces(csv_pieces(files), discover_columns(files))
