@@ -211,7 +211,7 @@ class VersionedTable:
         reader = self.spark.read.schema(f"{fields}, _commit INT").option(
             "basePath", f"{self.path}/data"
         )
-        return reader.parquet(*folders).drop("_commit")
+        return reader.parquet(*folders).select(*known[1])
 
     def as_of_time(self, at: datetime.datetime | str) -> DataFrame:
         """The table as it was at a point in time."""
