@@ -1,9 +1,10 @@
 """Expressions whose results must agree with the SQL oracle to the bit."""
 
 from tierwise.functions.calendar import day_name, day_of_week, minutes_between
-from tierwise.functions.numeric import number, ratio, round2, round2_agg, whole
+from tierwise.functions.numeric import count_where, number, ratio, round2, round2_agg, whole
 
 __all__ = [
+    "count_where",
     "day_name",
     "day_of_week",
     "minutes_between",

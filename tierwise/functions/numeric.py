@@ -44,3 +44,9 @@ def round2_agg(x: str) -> str:
 def ratio(numerator: str, denominator: str) -> str:
     """Quotient of two aggregates in double, null when the denominator is zero."""
     return f"CAST({numerator} AS DOUBLE) / nullif(CAST({denominator} AS DOUBLE), 0D)"
+
+
+def count_where(condition: str) -> str:
+    """Rows for which a condition holds. Unlike `count_if`, it is not planned
+    with a column of its own below the aggregate."""
+    return f"count(CASE WHEN {condition} THEN 1 END)"

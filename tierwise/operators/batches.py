@@ -9,6 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tierwise.functions import count_where
 from tierwise.operators.rules import Rule
 from tierwise.schemas import PARTITION_KEYS
 
@@ -97,7 +98,7 @@ def backfill_summary(requested: DataFrame, bronze: DataFrame, rules: Sequence[Ru
     outcome = (
         bronze.selectExpr(*PARTITION_KEYS, f"coalesce({kept}, FALSE) AS kept")
         .groupBy(*PARTITION_KEYS)
-        .agg(F.count("*").alias("bronze_rows"), F.expr("count_if(kept)").alias("silver_rows"))
+        .agg(F.count("*").alias("bronze_rows"), F.expr(count_where("kept")).alias("silver_rows"))
     )
     return requested.join(outcome, list(PARTITION_KEYS), "left").selectExpr(
         "concat(source_year, '-', lpad(source_month, 2, '0')) AS batch",
@@ -111,8 +112,8 @@ def backfill_summary(requested: DataFrame, bronze: DataFrame, rules: Sequence[Ru
 def summary_totals(summary: DataFrame) -> DataFrame:
     """How many batches succeeded and failed, and which failed."""
     return summary.agg(
-        F.expr("count_if(status = 'success')").alias("successful"),
-        F.expr("count_if(status = 'failed')").alias("failed"),
+        F.expr(count_where("status = 'success'")).alias("successful"),
+        F.expr(count_where("status = 'failed'")).alias("failed"),
         F.expr(
             "array_join(array_sort(collect_list(CASE WHEN status = 'failed' THEN batch END)), ', ')"
         ).alias("failed_batches"),

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tierwise.functions import ratio, round2_agg
+from tierwise.functions import count_where, ratio, round2_agg
 
 Block = dict[str, str]
 
@@ -57,9 +57,9 @@ EFFICIENCY = {
 }
 
 PAYMENT_SPLIT = {
-    "credit_card_trips": "count_if(payment_type = 1)",
-    "cash_trips": "count_if(payment_type = 2)",
-    "no_charge_trips": "count_if(payment_type = 3)",
+    "credit_card_trips": count_where("payment_type = 1"),
+    "cash_trips": count_where("payment_type = 2"),
+    "no_charge_trips": count_where("payment_type = 3"),
 }
 
 
@@ -70,7 +70,7 @@ def _peak_hours(hour: str = "pickup_hour") -> Block:
     The built-in percentile and mode keep a map per group, and Spark turns to
     sorting all rows once a task holds more than a few such groups.
     """
-    up_to = [f"count_if({hour} <= {h})" for h in range(24)]
+    up_to = [count_where(f"{hour} <= {h}") for h in range(24)]
     total = up_to[-1]
     median = " + ".join(f"CAST({up_to[h]} * 2 < {total} AS INT)" for h in range(24))
     at = [up_to[0]] + [f"({up_to[h]} - {up_to[h - 1]})" for h in range(1, 24)]
@@ -98,7 +98,7 @@ def _extreme(function: str, c: str) -> str:
 
 
 def _share(flag: str) -> str:
-    return round2_agg(f"CAST(count_if({flag}) AS DOUBLE) * 100 / nullif(CAST(count(*) AS DOUBLE), 0D)")
+    return round2_agg(f"CAST({count_where(flag)} AS DOUBLE) * 100 / nullif(CAST(count(*) AS DOUBLE), 0D)")
 
 
 def temperature(low: str, high: str) -> Block:
@@ -117,7 +117,7 @@ def precipitation(days: str) -> Block:
     return {
         "total_precipitation_in": round2_agg(_sum("prcp_in")),
         "avg_daily_precipitation_in": _avg("prcp_in"),
-        days: "count_if(has_precipitation)",
+        days: count_where("has_precipitation"),
         "precipitation_frequency_pct": _share("has_precipitation"),
     }
 
@@ -140,15 +140,15 @@ WIND_AVERAGE = {
     "avg_wind_speed_kmh": _avg("wdsp_kmh"),
 }
 MAX_WIND = {"max_wind_speed_kts": _extreme("max", "mxspd_kts")}
-GALE = {"gale_days": "count_if(is_gale)"}
+GALE = {"gale_days": count_where("is_gale")}
 TEMPERATURE_EVENTS = {
-    "freezing_days": "count_if(is_freezing)",
+    "freezing_days": count_where("is_freezing"),
     "freezing_frequency_pct": _share("is_freezing"),
-    "extreme_heat_days": "count_if(is_extreme_heat)",
+    "extreme_heat_days": count_where("is_extreme_heat"),
     "extreme_heat_frequency_pct": _share("is_extreme_heat"),
 }
 SNOW = {
-    "snow_days": "count_if(sndp_in > 0)",
+    "snow_days": count_where("sndp_in > 0"),
     "avg_snow_depth_in": _avg("CASE WHEN sndp_in > 0 THEN sndp_in END"),
 }
 MAX_SNOW = {"max_snow_depth_in": _extreme("max", "sndp_in")}

@@ -8,6 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tierwise.functions import count_where
+
 
 def scan_month(df: DataFrame, year: int, month: int) -> DataFrame:
     """One month; on a partitioned table only its folder is read."""
@@ -22,7 +24,7 @@ def scan_year(df: DataFrame, year: int) -> DataFrame:
 def pruning_rows(df: DataFrame, year: int, month: int) -> DataFrame:
     """Rows read with and without the partition filter, rows skipped, and the
     share read. Only partition columns are needed, so no data page is read."""
-    wanted = f"count_if(source_year = {year} AND source_month = {month})"
+    wanted = count_where(f"source_year = {year} AND source_month = {month}")
     return df.agg(
         F.expr("count(*)").alias("rows_full"),
         F.expr(wanted).alias("rows_read"),

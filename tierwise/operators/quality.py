@@ -14,6 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tierwise.functions import count_where
 from tierwise.schemas import AUDIT, PARTITION_KEYS
 
 MONTHLY = PARTITION_KEYS
@@ -129,7 +130,7 @@ def _counters(i: int, check: Check) -> dict[str, str]:
             judged = f"count(coalesce(`{check.column}`, `{check.other}`))"
         else:
             judged = f"count(`{check.column}`)"
-        return {f"_p{i}": judged, f"_u{i}": f"count_if(NOT ({_holds(check)}))"}
+        return {f"_p{i}": judged, f"_u{i}": count_where(f"NOT ({_holds(check)})")}
     if check.kind == UNIQUE_COUNT:
         return {f"_d{i}": f"count(DISTINCT `{check.column}`)"}
     return {}
@@ -236,7 +237,7 @@ def evaluate(
 def verdicts(report: DataFrame) -> DataFrame:
     """Per batch: checks passed, checks made, and whether all passed."""
     return report.groupBy("domain", "layer", "batch").agg(
-        F.expr("count_if(success)").alias("passed"),
+        F.expr(count_where("success")).alias("passed"),
         F.count("*").alias("total"),
         F.expr("every(success)").alias("success"),
     )

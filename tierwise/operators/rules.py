@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierwise.functions import minutes_between, number
+from tierwise.functions import count_where, minutes_between, number
 from tierwise.schemas import PARTITION_KEYS
 
 # Thresholds of the trip rules.
@@ -125,11 +125,11 @@ def drop_report(
     """Per batch: rows read, kept and dropped, and how many rows each rule
     rejects. A row may fail several rules, so these counts can overlap."""
     flags = df.selectExpr(*batch, *[f"coalesce({r.condition}, FALSE) AS {r.name}" for r in rules])
-    kept = f"count_if({_every([r.name for r in rules])})"
+    kept = count_where(_every([r.name for r in rules]))
     measures = [
         "count(*) AS rows_read",
         f"{kept} AS rows_kept",
         f"count(*) - {kept} AS rows_dropped",
-        *[f"count_if(NOT {r.name}) AS failed_{r.name}" for r in rules],
+        *[f"{count_where(f'NOT {r.name}')} AS failed_{r.name}" for r in rules],
     ]
     return flags.groupBy(*batch).agg(*[F.expr(x) for x in measures])
