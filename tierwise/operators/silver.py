@@ -213,3 +213,14 @@ def stage_trips(silver: DataFrame) -> DataFrame:
 
 def stage_weather(silver: DataFrame) -> DataFrame:
     return silver.withColumnsRenamed(WEATHER_STAGING_NAMES)
+
+
+def new_columns(before: DataFrame, after: DataFrame) -> DataFrame:
+    """Columns of `after` that `before` lacks: name, type and filled rows, from
+    one aggregation."""
+    old = set(before.columns)
+    added = {f.name: f.dataType.simpleString() for f in after.schema.fields if f.name not in old}
+    if not added:
+        return after.sparkSession.createDataFrame([], "name STRING, type STRING, filled BIGINT")
+    fields = ", ".join(f"named_struct('name', '{n}', 'type', '{t}', 'filled', `{n}`)" for n, t in added.items())
+    return after.agg(*[F.count(n).alias(n) for n in added]).selectExpr(f"inline(array({fields}))")

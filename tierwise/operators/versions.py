@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierwise.schemas import PARTITION_KEYS, PARTITION_TYPES
+from tierwise.session import size_shuffles
 
 _COMMITS = (
     "version INT, ts TIMESTAMP, operation STRING,"
@@ -211,7 +212,7 @@ class VersionedTable:
         reader = self.spark.read.schema(f"{fields}, _commit INT").option(
             "basePath", f"{self.path}/data"
         )
-        return reader.parquet(*folders).select(*known[1])
+        return size_shuffles(reader.parquet(*folders)).select(*known[1])
 
     def as_of_time(self, at: datetime.datetime | str) -> DataFrame:
         """The table as it was at a point in time."""

@@ -177,14 +177,21 @@ SELECT source_year, source_month, count(*) AS rows_read,
 FROM {source} GROUP BY source_year, source_month"""
 
 
-_MONTHS = """
-    SELECT CAST(year(m) AS SMALLINT) AS source_year, CAST(month(m) AS TINYINT) AS source_month
-    FROM (SELECT unnest(generate_series(DATE '{first}', DATE '{last}', INTERVAL 1 MONTH)) AS m) s"""
-
-
-def calendar(first: str, last: str) -> str:
-    return _MONTHS.format(first=f"{first}-01", last=f"{last}-01")
-
+# Columns that cleaning adds to trips, with their Spark types.
+_ADDED = {
+    "trip_duration_minutes": "bigint",
+    "pickup_day_of_week": "smallint",
+    "trip_speed_mph": "float",
+    "pickup_hour": "smallint",
+    "payment_method": "string",
+    "day_name": "string",
+    "is_weekend": "boolean",
+    "pickup_date": "date",
+}
+_ENRICHED = "\nUNION ALL\n".join(
+    f"SELECT '{name}' AS name, '{kind}' AS type, count({name}) AS filled FROM silver_trips"
+    for name, kind in _ADDED.items()
+)
 
 def statements() -> dict[str, str]:
     whole = {
@@ -196,6 +203,7 @@ def statements() -> dict[str, str]:
         "stg_weather": ("staged_weather", "SELECT * FROM staged_weather"),
         "zone_lookup": ("zones", "SELECT * FROM zones"),
         "trips_with_zones": ("trips_with_zones", "SELECT * FROM trips_with_zones"),
+        "enriched_columns": ("silver_trips", _ENRICHED),
         "drop_report": ("bronze_trips", _drop_report("bronze_trips", TRIP_RULES)),
         "drop_report_weather": ("bronze_weather", _drop_report("bronze_weather", WEATHER_RULES)),
         "gold_daily_climate": ("staged_weather", DAILY_CLIMATE),

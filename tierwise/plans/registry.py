@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tierwise.operators import batches, dashboards, gold, pruning, quality, serving
 from tierwise.operators.bronze import audit_trips, audit_weather
 from tierwise.operators.rules import drop_report, trip_rules, weather_rules
-from tierwise.operators.silver import WEATHER_METRICS
+from tierwise.operators.silver import WEATHER_METRICS, new_columns
 from tierwise.operators.versions import VersionedTable
 from tierwise.plans import layers, sample_files, stored
 from tierwise.session import configure, fresh_dir
@@ -69,6 +69,12 @@ def _one_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _enriched_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns that cleaning adds to Bronze, with how many rows have a value."""
+    silver = _without_clocks(layers.clean_trips)(spark, sf_dir)
+    return new_columns(layers.bronze_trips(spark, sf_dir), silver)
+
+
 def _layer_queries() -> dict[str, Query]:
     return {
         "bronze_trips": _without_clocks(layers.bronze_trips),
@@ -79,6 +85,7 @@ def _layer_queries() -> dict[str, Query]:
         "stg_weather": _without_clocks(layers.staged_weather),
         "zone_lookup": tables.zones,
         "trips_with_zones": _without_clocks(layers.zoned_trips),
+        "enriched_columns": _enriched_columns,
         "drop_report": lambda s, d: drop_report(tables.trips(s, d), trip_rules()),
         "drop_report_weather": lambda s, d: drop_report(tables.weather(s, d), weather_rules()),
     }

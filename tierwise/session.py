@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings only: they can be applied to a session somebody else made.
 RUNTIME_CONF = {
@@ -24,13 +24,47 @@ RUNTIME_CONF = {
 }
 
 
+# Applied only where the session does not say otherwise.
+DEFAULT_CONF = {
+    # Rebalanced writes aim at this much shuffled data per file, about 100 MB of
+    # Parquet; Spark's own 64 MB would leave millions of small files at scale.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256MB",
+}
+
+# A shuffle starts with one partition per this many bytes of input files, which
+# grow about threefold when decoded, within a limit that keeps the number of
+# shuffle blocks in hand. Adaptive execution merges what turns out too small.
+SHUFFLE_TARGET_BYTES = 256 << 20
+DECODED_PER_STORED = 3
+MAX_SHUFFLE_PARTITIONS = 65_536
+
+
 def configure(spark: SparkSession) -> SparkSession:
     for key, value in RUNTIME_CONF.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
+    for key, value in DEFAULT_CONF.items():
+        if spark.conf.get(key, None) is None:
+            spark.conf.set(key, value)
     return spark
 
 
+def size_shuffles(scan: DataFrame) -> DataFrame:
+    """Make sure that shuffles start with enough partitions for a table that is
+    about to be read; the fixed default would put terabytes into each.
+
+    Takes a plain scan, whose size is that of its files; returns it unchanged.
+    """
+    spark = scan.sparkSession
+    stored = int(scan._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    needed = min(stored * DECODED_PER_STORED // SHUFFLE_TARGET_BYTES + 1, MAX_SHUFFLE_PARTITIONS)
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    current = spark.conf.get(key, None) or spark.conf.get("spark.sql.shuffle.partitions")
+    if needed > int(current):
+        spark.conf.set(key, str(needed))
+    return scan
+
+
 def local_session(cores: int = 8, shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
     """A single-machine session for tests and the benchmark."""
     builder = (

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierwise.schemas import TRIP_SOURCE
+from tierwise.session import size_shuffles
 
 # A batch is a file or folder whose name ends in YYYY-MM.parquet.
 _BATCH = r"^(.*?(\d{4})-(\d{2})\.parquet)"
@@ -63,9 +64,9 @@ def read_months(spark: SparkSession, root: str, requested: DataFrame | None = No
         alike.setdefault(schema.simpleString(), []).append(i)
     parts = [
         conform(
-            spark.read.schema(schemas[members[0]])
-            .parquet(*[paths[i] for i in members])
-            .withColumn("_path", F.col("_metadata.file_path"))
+            size_shuffles(
+                spark.read.schema(schemas[members[0]]).parquet(*[paths[i] for i in members])
+            ).withColumn("_path", F.col("_metadata.file_path"))
         )
         for members in alike.values()
     ]

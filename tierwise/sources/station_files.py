@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierwise.schemas import WEATHER_SOURCE
+from tierwise.session import size_shuffles
 
 _PIECES = "path STRING, member STRING, piece INT, content BINARY"
 _PIECE_ARROW = pa.schema(
@@ -40,13 +41,13 @@ Piece = tuple[str, str, int, bytes]
 
 def read_files(spark: SparkSession, paths: str | Sequence[str], pattern: str) -> DataFrame:
     """Whole files as rows of path and content."""
-    return (
+    files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", pattern)
         .load(paths)
-        .select("path", "content")
     )
+    return size_shuffles(files).select("path", "content")
 
 
 def split_csv(stream: IO[bytes], piece_bytes: int = PIECE_BYTES) -> Iterator[bytes]:

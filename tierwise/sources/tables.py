@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierwise.session import configure
+from tierwise.session import configure, size_shuffles
 
 _TRIP_COLUMNS = {
     "VendorID": "l_suppkey % 2 + 1",
@@ -71,7 +71,7 @@ _WEATHER_COLUMNS = {
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    return size_shuffles(configure(spark).read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def _project(df: DataFrame, columns: dict[str, str]) -> DataFrame:
