@@ -56,7 +56,7 @@ def size_shuffles(scan: DataFrame) -> DataFrame:
     Takes a plain scan, whose size is that of its files; returns it unchanged.
     """
     spark = scan.sparkSession
-    stored = int(scan._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    stored = int(str(scan._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     needed = min(stored * DECODED_PER_STORED // SHUFFLE_TARGET_BYTES + 1, MAX_SHUFFLE_PARTITIONS)
     key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     current = spark.conf.get(key, None) or spark.conf.get("spark.sql.shuffle.partitions")
