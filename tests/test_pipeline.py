@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import datetime
+import io
+import tarfile
 
 import pytest
 
@@ -11,7 +13,7 @@ from tierwise.operators.versions import VersionedTable
 from tierwise.plans import pipeline
 from tierwise.session import fresh_dir
 from tierwise.sources.month_files import write_months
-from tierwise.streaming.catchup import catch_up_trips
+from tierwise.streaming.catchup import catch_up_trips, catch_up_weather
 
 ZONES = "LocationID INT, Borough STRING, Zone STRING, service_zone STRING"
 ANY = (1, 10**9)
@@ -132,3 +134,21 @@ def test_catch_up_takes_only_what_is_new(spark):
     assert table.history(1).first().predicate == (
         "source_year = 2023 AND source_month = 2 OR source_year = 2023 AND source_month = 3"
     )
+
+
+def test_weather_catch_up_replaces_years(spark, tmp_path):
+    table = VersionedTable(spark, fresh_dir(spark, "caught-up"))
+
+    def land(name, *dates):
+        data = "STATION,DATE,TEMP\n" + "".join(f"1,{d},50\n" for d in dates)
+        with tarfile.open(tmp_path / name, "w:gz") as archive:
+            entry = tarfile.TarInfo("1.csv")
+            entry.size = len(data)
+            archive.addfile(entry, io.BytesIO(data.encode()))
+        catch_up_weather(spark, str(tmp_path), table, f"{table.path}-state")
+        return {(r.source_year, r["count"]) for r in table.read().groupBy("source_year").count().collect()}
+
+    assert land("2021.tar.gz", "2021-01-01", "2021-02-01") == {(2021, 2)}
+    assert land("2022.tar.gz", "2022-01-01") == {(2021, 2), (2022, 1)}
+    assert land("2021-late.tar.gz", "2021-12-31") == {(2021, 3), (2022, 1)}
+    assert table.history(1).first().predicate == "source_year = 2021"

@@ -124,14 +124,15 @@ def test_pruned_read_lists_only_its_partition(revised):
     assert "source_year" in filters and "source_month" in filters
 
 
-def test_a_large_partition_is_written_by_several_tasks(spark, table):
+@pytest.mark.parametrize("sort", [(), ("v",)])
+def test_a_large_partition_is_written_by_several_tasks(spark, table, sort):
     before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "100KB")
     try:
         hot = spark.range(200_000).selectExpr(
             "2023 AS source_year", "IF(id % 3 = 0, 2, 1) AS source_month", "uuid() AS v"
         ).repartition(8)
-        table.commit(hot)
+        table.commit(hot, sort=sort)
     finally:
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
     assert len([f for f in table.read().inputFiles() if "source_month=1" in f]) > 1

@@ -8,6 +8,7 @@ are not held up by it.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -129,10 +130,18 @@ class Medallion:
         self._replace(self.silver, self.domain.clean(self._rows(self.bronze, batches)), batches)
 
     def aggregate(self, batches: Sequence[Batch], build: GoldBuilder) -> None:
-        for model, df in build(self._rows(self.silver, batches)).items():
+        """Write the Gold models. They are separate tables, so their jobs run
+        side by side and fill the cluster between them."""
+
+        def write(model: str, df: DataFrame) -> None:
             order = [k for k in gold.ORDER[model] if not k.startswith("-")]
             self._replace(self.gold(model), df, batches, sort=order)
 
+        models = build(self._rows(self.silver, batches))
+        with ThreadPoolExecutor(max_workers=len(models)) as pool:
+            for done in [pool.submit(write, *model) for model in models.items()]:
+                done.result()
+
     def run(self, raw: DataFrame, batches: Sequence[Batch], build: GoldBuilder) -> DataFrame:
         """All steps for the batches, each as far as it gets; returns `summary`."""
         landed = self.ingest(raw, batches)

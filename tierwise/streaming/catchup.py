@@ -1,48 +1,79 @@
-"""Scheduled catch-up: ingest the monthly batches that are new since last time.
+"""Scheduled catch-up: ingest the batches that are new since last time.
 
 A file stream remembers which files it has seen. Every run takes what has
-landed since the previous one, works out the months concerned, and replaces
-those months in the Bronze table from all of their files. Because a month is
+landed since the previous one, works out the batches concerned, and replaces
+those batches in the Bronze table from all of their files. Because a batch is
 replaced as a whole, running a step again after a failure changes nothing, and
-a month whose files arrive in two runs still ends up complete.
+a batch whose files arrive in two runs still ends up complete.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
-from tierwise.operators.bronze import audit_trips
+from tierwise.operators.bronze import audit_trips, audit_weather
 from tierwise.operators.versions import VersionedTable
 from tierwise.sources.month_files import landed_in, read_months
+from tierwise.sources.station_files import read_archives, with_year
 
 _FILES = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
 
 
-def catch_up_trips(
-    spark: SparkSession, raw_root: str, table: VersionedTable, checkpoint: str
+def _take_new_files(
+    spark: SparkSession,
+    root: str,
+    pattern: str,
+    checkpoint: str,
+    ingest: Callable[[DataFrame], None],
 ) -> None:
-    """Process everything that has landed, then stop."""
-
-    def replace_months(files: DataFrame, _: int) -> None:
-        session = files.sparkSession
-        months = landed_in(files).select("source_year", "source_month").distinct()
-        batches = [(r.source_year, r.source_month) for r in months.collect()]
-        if batches:
-            rows = audit_trips(read_months(session, raw_root, requested=months))
-            VersionedTable(session, table.path).commit(rows, replace=batches)
-
+    """Hand the paths of files not seen before to `ingest`, then stop. Only
+    names are read; a failed `ingest` is given the same files again."""
     stream = (
         spark.readStream.format("binaryFile")
         .schema(_FILES)
         .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.parquet")
-        .load(raw_root)
+        .option("pathGlobFilter", pattern)
+        .load(root)
         .select("path")
     )
     query = (
-        stream.writeStream.foreachBatch(replace_months)
+        stream.writeStream.foreachBatch(lambda files, _: ingest(files))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
+
+
+def catch_up_trips(
+    spark: SparkSession, raw_root: str, table: VersionedTable, checkpoint: str
+) -> None:
+    """Months that have landed since the last run."""
+
+    def ingest(files: DataFrame) -> None:
+        session = files.sparkSession
+        months = landed_in(files).select("source_year", "source_month").distinct()
+        batches = [(r.source_year, r.source_month) for r in months.collect()]
+        if batches:
+            rows = audit_trips(read_months(session, raw_root, requested=months))
+            VersionedTable(session, table.path).commit(rows, replace=batches)
+
+    _take_new_files(spark, raw_root, "*.parquet", checkpoint, ingest)
+
+
+def catch_up_weather(
+    spark: SparkSession, raw_root: str, table: VersionedTable, checkpoint: str
+) -> None:
+    """Yearly archives that have landed since the last run."""
+
+    def ingest(files: DataFrame) -> None:
+        session = files.sparkSession
+        years = [r.source_year for r in with_year(files).distinct().collect()]
+        if years:
+            archives = [f"{raw_root}/{year}*.tar.gz" for year in years]
+            rows = audit_weather(read_archives(session, archives))
+            VersionedTable(session, table.path).commit(rows, replace=[(y, None) for y in years])
+
+    _take_new_files(spark, raw_root, "*.tar.gz", checkpoint, ingest)
