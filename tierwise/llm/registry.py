@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tierwise.llm import bpe, exact, licenses, packing
+from tierwise.llm import bpe, exact, licenses, line_runs, packing, secret_scan, units
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,9 +14,17 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_packing": packing.op1_packing,
         "op3_license": licenses.op3_license,
         "op4_bpe": bpe.op4_bpe,
+        "op5_secrets": secret_scan.op5_secrets,
         "op6_exact_dedup": exact.op6_exact_dedup,
+        "op9_line_hash": units.op9_line_hash,
+        "op10_line_runs": line_runs.op10_line_runs,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_license": licenses.OP3_SQL, "op6_exact_dedup": exact.OP6_SQL}
+    return {
+        "op3_license": licenses.OP3_SQL,
+        "op6_exact_dedup": exact.OP6_SQL,
+        "op9_line_hash": units.OP9_SQL,
+        "op10_line_runs": line_runs.OP10_SQL,
+    }
