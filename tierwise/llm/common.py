@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,6 +27,18 @@ def bounded_batches(spark: SparkSession, rows: int = ROWS_PER_BATCH) -> None:
         spark.conf.set(key, str(rows))
 
 
+@contextmanager
+def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Arrow batches of `rows` rows for what runs inside, and as before after it."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tierwise.llm import bpe, exact, licenses, line_runs, packing, secret_scan, units
+from tierwise.llm import bpe, exact, licenses, line_runs, packing, secret_scan, topk, units
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_packing": packing.op1_packing,
+        "op2_topk": topk.op2_topk,
         "op3_license": licenses.op3_license,
         "op4_bpe": bpe.op4_bpe,
         "op5_secrets": secret_scan.op5_secrets,
@@ -23,6 +24,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op2_topk": topk.OP2_SQL,
         "op3_license": licenses.OP3_SQL,
         "op6_exact_dedup": exact.OP6_SQL,
         "op9_line_hash": units.OP9_SQL,
