@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tierwise.llm import bpe, exact, langid, licenses, line_runs, packing, secret_scan, topk, units
+from tierwise.llm import bpe, exact, jaccard, langid, licenses, line_runs, packing, secret_scan, topk, units
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -17,6 +17,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_bpe": bpe.op4_bpe,
         "op5_secrets": secret_scan.op5_secrets,
         "op6_exact_dedup": exact.op6_exact_dedup,
+        "op7_ngram_join": jaccard.op7_ngram_join,
         "op8_langid": langid.op8_langid,
         "op9_line_hash": units.op9_line_hash,
         "op10_line_runs": line_runs.op10_line_runs,
@@ -28,6 +29,7 @@ def oracle_sql() -> dict[str, str]:
         "op2_topk": topk.OP2_SQL,
         "op3_license": licenses.OP3_SQL,
         "op6_exact_dedup": exact.OP6_SQL,
+        "op7_ngram_join": jaccard.op7_ngram_join,
         "op8_langid": langid.op8_langid,
         "op9_line_hash": units.OP9_SQL,
         "op10_line_runs": line_runs.OP10_SQL,
