@@ -2,28 +2,51 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from tierwise.llm import exact, jaccard, langid, packing, secret_scan
 from tierwise.llm.common import read_table, stored
-from tierwise.llm.exact import drop_exact_duplicates
-from tierwise.llm.packing import pack
 
+# Near duplicates of the pipeline: words in a shingle, and per cent of similarity.
+NEAR_WORDS, NEAR_PERCENT = 5, 80
 
-def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a recognisable language go; the model learns from `docs`."""
+    model = langid.fit(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    return langid.keep_identified(docs, model)
+
+
+def drop_exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts, the row with the smallest doc_id stays."""
-    return drop_exact_duplicates(docs)
+    return exact.drop_exact_duplicates(docs)
 
 
-def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents, placed in sequences of at most 2048 tokens."""
-    import public_tokenizers
+def drop_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents that near copies connect, the one with the smallest doc_id stays."""
+    return jaccard.drop_similar(docs, NEAR_WORDS, NEAR_PERCENT)
 
-    return pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document stays; secrets in its text become a placeholder."""
+    return secret_scan.redact(docs, secret_scan.train(docs))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents, placed in sequences of at most 2048 tokens."""
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
-STAGES = [("exact dedup", exact_dedup), ("packing", packing)]
+STAGES = [
+    ("language ID", identify_language),
+    ("exact dedup", drop_exact),
+    ("n-gram Jaccard join", drop_near),
+    ("secret scans", redact_secrets),
+    ("packing", pack),
+]
 
-# Language ID, the Markov scan and tokenisation are beyond SQL.
+# Language ID, the Markov models and tokenisation are beyond SQL.
 ORACLE_SQL = None
 
 

@@ -30,8 +30,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tierwise.llm import hashing
 from tierwise.llm.common import batches_of, bounded_batches, read_table, stored, texts
 from tierwise.llm.components import components
+from tierwise.llm.hashing import mix
 
 SHINGLE_WORDS = 3
 PERCENT = 90
@@ -49,51 +51,23 @@ CHUNK_SHINGLES = 1 << 19
 LONG_LIST_FACTOR = 0.0085
 
 
-def _mix(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return h ^ (h >> np.uint64(31))
-
-
-_SPACE = np.zeros(256, bool)
-_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
-_WEIGHTS = _mix(np.arange(1, 4097, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
-
-
-def _weights(length: int) -> np.ndarray:
-    """Odd random multipliers by place in a word."""
-    global _WEIGHTS
-    if length > len(_WEIGHTS):
-        places = np.arange(1, 2 * length, dtype=np.uint64)
-        _WEIGHTS = _mix(places * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
-    return _WEIGHTS
-
-
 def shingles(text: str, words: int = SHINGLE_WORDS) -> np.ndarray:
     """Sorted hashes of the distinct shingles: `words` words in a row, or all of
     them if there are fewer; A-Z lower-cased, words divided by ASCII white space."""
-    raw = np.frombuffer(text.encode("utf-8", "replace").lower(), np.uint8)
-    inside = ~_SPACE[raw]
-    edges = np.flatnonzero(np.diff(np.concatenate([[False], inside, [False]]).view(np.int8)))
-    starts, ends = edges[::2], edges[1::2]
-    if not len(starts):
-        return np.zeros(0, np.uint64)
-    lengths = ends - starts
-    chars = raw[inside].astype(np.uint64) + np.uint64(1)
-    first = np.concatenate([[0], np.cumsum(lengths)[:-1]])
-    place = np.arange(len(chars)) - np.repeat(first, lengths)
-    word = _mix(np.add.reduceat(chars * _weights(int(lengths.max()))[place], first) + lengths.astype(np.uint64))
+    word = mix(hashing.words(np.frombuffer(text.encode("utf-8", "replace").lower(), np.uint8))[2])
+    if not len(word):
+        return word
     count = min(words, len(word))
     h = np.full(len(word) - count + 1, count, np.uint64)
     for i in range(count):
-        h = _mix(h * np.uint64(0x9E3779B97F4A7C15) + word[i : len(word) - count + 1 + i])
+        h = mix(h * hashing.GOLDEN + word[i : len(word) - count + 1 + i])
     return np.unique(h)
 
 
 def set_digest(items: np.ndarray) -> tuple[int, int]:
     """128 bits that name a set, as two signed numbers."""
-    a = _mix(items + np.uint64(0x632BE59BD9B4E019))
-    b = _mix(items * np.uint64(0xD6E8FEB86659FD93) + np.uint64(len(items)))
+    a = mix(items + np.uint64(0x632BE59BD9B4E019))
+    b = mix(items * np.uint64(0xD6E8FEB86659FD93) + np.uint64(len(items)))
     return tuple(int(x.sum(dtype=np.uint64).astype(np.int64)) for x in (a, b))
 
 

@@ -31,6 +31,8 @@ from tierwise.llm.common import batches_of, bounded_batches, read_table, rows_of
 SAMPLE_ROWS = 20_000
 ROUNDS = 2
 UNDETERMINED = "und"
+# Score below which a filter rejects a text: no language is likelier than all others together.
+LEAST_SCORE = 0.5
 # Longest piece in characters; probability of a character outside the vocabulary.
 LONGEST_PIECE = 12
 UNKNOWN = 1e-8
@@ -356,6 +358,23 @@ def predict(
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def keep_identified(docs: DataFrame, model: Model, least: float = LEAST_SCORE) -> DataFrame:
+    """The rows of `docs` whose text has a language with a score of `least` at least."""
+    spark = docs.sparkSession
+    bounded_batches(spark)
+    shared = spark.sparkContext.broadcast(model)  # vocabulary x languages
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = scorer_of(shared.value)
+        for batch in batches:
+            if batch.num_rows:
+                labels, scores = scorer.predict([text or "" for text in batch.column("text").to_pylist()])
+                kept = [a != UNDETERMINED and b >= least for a, b in zip(labels, scores, strict=True)]
+                yield batch.filter(pa.array(kept))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
