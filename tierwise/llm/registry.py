@@ -29,8 +29,6 @@ def oracle_sql() -> dict[str, str]:
         "op2_topk": topk.OP2_SQL,
         "op3_license": licenses.OP3_SQL,
         "op6_exact_dedup": exact.OP6_SQL,
-        "op7_ngram_join": jaccard.op7_ngram_join,
-        "op8_langid": langid.op8_langid,
         "op9_line_hash": units.OP9_SQL,
         "op10_line_runs": line_runs.OP10_SQL,
     }
