@@ -304,11 +304,13 @@ class Scorer:
         self.number.update(zip(new, range(first, first + len(new)), strict=True))
 
     def predict(self, batch: list[str]) -> tuple[list[str], list[float]]:
+        if not self.model.languages:
+            return [UNDETERMINED] * len(batch), [0.0] * len(batch)
         cut = [text.lower().split() for text in batch]
         self.learn({w for words in cut for w in words})
         labels, scores = [], []
         for text, words in zip(batch, cut, strict=True):
-            if not self.model.languages or LETTERS.search(text) is None:
+            if LETTERS.search(text) is None:
                 labels.append(UNDETERMINED)
                 scores.append(0.0)
                 continue
