@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import decimal
+
 import duckdb
 import pytest
 
@@ -28,6 +30,17 @@ def test_round2_agg_ignores_the_order_of_summation(spark):
     assert left == value(spark, fn.round2_agg(f"CAST('{b!r}' AS DOUBLE)"))
 
 
+def test_exact_sums_do_not_depend_on_partitions(spark):
+    # About 5e11 in all, in amounts that binary fractions cannot hold.
+    rows = spark.range(3_000_000).selectExpr("CAST(id % 1000 * 333.37 + 0.01 AS DOUBLE) * (id % 3 + 1) AS x")
+    sums = {rows.repartition(n).selectExpr(fn.sum2("x") + " AS s").first().s for n in (1, 3, 7)}
+    exact = sum(
+        (decimal.Decimal(repr((i % 1000 * 333.37 + 0.01) * (i % 3 + 1))).quantize(decimal.Decimal("1e-8"))) * 1000
+        for i in range(3000)
+    )
+    assert exact > 10**11 and sums == {float(round(exact, 2))}
+
+
 @pytest.mark.parametrize("kind", ["TIMESTAMP_NTZ", "TIMESTAMP"])
 @pytest.mark.parametrize(
     "start, end, minutes",

@@ -10,7 +10,11 @@ from tierwise.plans import registry
 
 SMALL, LARGER = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 # The gates of these need batches of some size to let anything through.
-GATED = {"pipeline_trips", "pipeline_weather", "catalog_tables", "dq_gate"}
+GATED = {
+    name
+    for name in registry.queries()
+    if name.startswith(("pipeline_", "stored_", "catalog_", "dq_pipeline")) or name == "dq_gate"
+}
 
 QUERIES = registry.queries()
 ORACLE = entry_points.oracle_sql()

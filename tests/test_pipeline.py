@@ -152,3 +152,20 @@ def test_weather_catch_up_replaces_years(spark, tmp_path):
     assert land("2022.tar.gz", "2022-01-01") == {(2021, 2), (2022, 1)}
     assert land("2021-late.tar.gz", "2021-12-31") == {(2021, 3), (2022, 1)}
     assert table.history(1).first().predicate == "source_year = 2021"
+    # Below another folder, with a prefix, with an unreadable date, and not of any year.
+    (tmp_path / "sub").mkdir()
+    assert land("sub/2022.tar.gz", "2022-03-01", "2022-04-01") == {(2021, 3), (2022, 3)}
+    assert land("gsod_2022.tar.gz", "2022-05-01", "someday") == {(2021, 3), (2022, 5)}
+    assert table.read().where("source_month IS NULL").count() == 1
+    assert land("notes.tar.gz", "2020-01-01") == {(2021, 3), (2022, 5)}
+    names = {r.source_file.rsplit("/", 1)[1] for r in table.read().select("source_file").distinct().collect()}
+    assert names == {"2021.tar.gz", "2021-late.tar.gz", "2022.tar.gz", "gsod_2022.tar.gz"}
+
+
+def test_stray_parquet_does_not_stop_catch_up(spark):
+    root, state = fresh_dir(spark, "raw"), fresh_dir(spark, "state")
+    table = VersionedTable(spark, fresh_dir(spark, "caught-up"))
+    write_months(trips(spark, month(1)), root)
+    spark.range(1).write.parquet(f"{root}/notes.parquet")
+    catch_up_trips(spark, root, table, state)
+    assert table.read().count() == 1

@@ -5,21 +5,23 @@ import pytest
 from tierwise import session
 from tierwise.sources import tables
 
-KEY = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
+def test_reading_leaves_the_session_as_it_was(spark):
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    tables.trips(spark, "/root/testdata/sf0.001").count()
+    assert spark.conf.get(key, None) is None
 
-def test_shuffles_are_sized_by_the_files(spark, monkeypatch):
-    scan = tables.table(spark, "/root/testdata/sf0.001", "lineitem")
-    assert spark.conf.get(KEY, None) is None
-    monkeypatch.setattr(session, "SHUFFLE_TARGET_BYTES", 1 << 10)
+
+def test_scratch_folders_are_removed(spark):
+    path = session.fresh_dir(spark, "scratch")
+    spark.range(3).write.parquet(path)
+    before, session._made[:] = list(session._made), [(spark, path)]
     try:
-        session.size_shuffles(scan)
-        assert 200 < int(spark.conf.get(KEY)) < 500
-        # Reading something smaller afterwards does not take it back.
-        session.size_shuffles(tables.table(spark, "/root/testdata/sf0.001", "region"))
-        assert int(spark.conf.get(KEY)) > 200
+        session.remove_scratch()
     finally:
-        spark.conf.unset(KEY)
+        session._made[:] = before
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
 
 
 def test_own_settings_are_kept(spark):

@@ -27,8 +27,11 @@ def csv_folder(tmp_path):
 
 def test_csvs_are_merged_by_name(spark, csv_folder):
     df = station_files.with_year(station_files.read_station_files(spark, csv_folder))
-    assert df.columns == ["STATION", "DATE", "NAME", "TEMP", "NEW_COLUMN", "source_year"]
-    rows = sorted(map(tuple, df.collect()), key=lambda r: r[1])
+    named = ["STATION", "DATE", "NAME", "TEMP", "NEW_COLUMN", "source_year"]
+    assert df.columns == ["source_file", *named[:-1], "bad_record", "source_year"]
+    assert "Python" not in df._jdf.queryExecution().executedPlan().toString()
+    assert {r.source_file.rsplit("/", 1)[1] for r in df.collect()} == {"a.csv", "b.csv", "c.csv"}
+    rows = sorted(map(tuple, df.select(named).collect()), key=lambda r: r[1])
     assert rows == [
         ("100", "2023-01-01", "JAN MAYEN, NO", "50.0", None, 2023),
         ("100", "2023-01-02", "X", None, None, 2023),
@@ -48,8 +51,33 @@ def test_yearly_archives(spark, tmp_path):
     df = audit_weather(station_files.read_archives(spark, str(tmp_path)))
     assert df.count() == 8
     assert set(WEATHER_SOURCE) <= set(df.columns)
-    got = {(r.source_year, r.source_month, r.source_file) for r in df.collect()}
-    assert got == {(y, m, f"raw/weather/{y}.tar.gz") for y in (2022, 2023) for m in (1, 2, 3)}
+    got = {(r.source_year, r.source_month, r.source_file.rsplit("/", 1)[1]) for r in df.collect()}
+    assert got == {(y, m, f"{y}.tar.gz") for y in (2022, 2023) for m in (1, 2, 3)}
+    # A column that the contract does not know is kept.
+    assert {r.NEW_COLUMN for r in df.collect()} == {None, "extra"}
+
+
+def write_archive(path, text: bytes) -> None:
+    with tarfile.open(path, "w:gz") as archive:
+        entry = tarfile.TarInfo("a.csv")
+        entry.size = len(text)
+        archive.addfile(entry, io.BytesIO(text))
+
+
+# One byte that is not UTF-8, and a record with a field too few.
+BROKEN = b"STATION,DATE,NAME\n1,2023-01-01,CAF\xc9\n2,2023-01-02\n3,2023-01-03,OK\n"
+
+
+def test_bad_records_are_kept_and_counted(spark, tmp_path):
+    (tmp_path / "2023").mkdir()
+    (tmp_path / "2023" / "a.csv").write_bytes(BROKEN)
+    write_archive(tmp_path / "2023.tar.gz", BROKEN)
+    loose = station_files.read_station_files(spark, str(tmp_path))
+    packed = station_files.read_archives(spark, str(tmp_path))
+    for df in (loose, packed):
+        assert df.where("bad_record IS NOT NULL").count() == 1
+        good = df.where("bad_record IS NULL").select("STATION", "NAME").orderBy("STATION").collect()
+        assert [tuple(r) for r in good] == [("1", "CAF\ufffd"), ("3", "OK")]
 
 
 def test_a_large_csv_is_cut_between_records():
@@ -85,13 +113,45 @@ def drifting_months(spark, root):
 def test_drifting_month_files(spark, tmp_path):
     drifting_months(spark, tmp_path)
     df = month_files.read_months(spark, str(tmp_path))
-    assert df.columns == list(GOOD_TRIP)
+    assert df.columns == [*GOOD_TRIP, "source_file"]
     assert dict(df.dtypes)["passenger_count"] == "double"
     assert dict(df.dtypes)["PULocationID"] == "bigint"
     got = sorted((r.source_month, r.passenger_count or 0, r.airport_fee) for r in df.collect())
     assert got == [(1, 0, None), (1, 2.0, None), (2, 0, 0.0), (2, 2.0, 0.0), (3, 0, 0.0), (3, 2.0, 0.0)]
 
 
+def test_two_schemas_in_one_batch(spark, tmp_path):
+    whole = trips(spark, {}).drop("source_year", "source_month")
+    batch = f"{tmp_path}/2021-05.parquet"
+    whole.drop("airport_fee").coalesce(1).write.parquet(batch)
+    whole.selectExpr("*", "'x' AS new_column").coalesce(1).write.mode("append").parquet(batch)
+    df = month_files.read_months(spark, str(tmp_path))
+    got = sorted(((r.airport_fee, r.new_column) for r in df.collect()), key=str)
+    assert got == [(0.0, "x"), (None, None)]
+    # A column of two types: each file is read as it was written.
+    whole.withColumn("passenger_count", whole.passenger_count.cast("string")).coalesce(1).write.mode("append").parquet(batch)
+    df = month_files.read_months(spark, str(tmp_path))
+    assert [r.passenger_count for r in df.collect()] == [2.0] * 3
+    assert all(r.source_file.startswith("file:") and "/2021-05.parquet/part-" in r.source_file for r in df.collect())
+
+
+def test_stray_files_are_reported_and_left(spark, tmp_path):
+    drifting_months(spark, tmp_path)
+    for name in ("notes.parquet", "2021-13.parquet"):
+        trips(spark, {}).write.parquet(f"{tmp_path}/{name}")
+    assert month_files.read_months(spark, str(tmp_path)).count() == 6
+    stray = month_files.stray_files(month_files.listed_files(spark, str(tmp_path)))
+    assert {r.path.split("/")[-2] for r in stray.collect()} == {"notes.parquet", "2021-13.parquet"}
+
+
+def test_all_missing_months_are_named(spark, tmp_path):
+    drifting_months(spark, tmp_path)
+    wanted = BatchRange((2019, 1), (2021, 3)).calendar(spark)
+    with pytest.raises(FileNotFoundError) as error:
+        month_files.read_months(spark, str(tmp_path), wanted)
+    assert str(error.value).count("-") >= 24 and "2020-12" in str(error.value)
+
+
 def test_missing_month_is_an_error(spark, tmp_path):
     drifting_months(spark, tmp_path)
     wanted = BatchRange((2021, 2), (2021, 4)).calendar(spark)

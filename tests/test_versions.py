@@ -85,6 +85,18 @@ def test_empty_write_is_skipped(spark, revised):
     assert revised.latest_version() == 3
 
 
+def test_rows_without_a_month_live_until_their_year_is_replaced(spark, revised):
+    revised.commit(rows(spark, (2023, None, 7), (2023, 1, 7)), replace=[(2023, None)])
+    assert sorted(revised.read().select("v").collect()) == [(1,), (4,), (7,), (7,)]
+    assert revised.read().where("source_month IS NULL").count() == 1
+    revised.commit(rows(spark, (2023, 2, 8)), replace=[(2023, None)])
+    assert state(revised.read()) == [(2022, 12, 1), (2023, 2, 8), (2024, 1, 4)]
+    counts = {r.version: r.rows for r in revised.rows_per_version().collect()}
+    assert (counts[4], counts[5]) == (4, 3)
+    with pytest.raises(ValueError, match="source_year"):
+        revised.commit(rows(spark, (None, 1, 9)), replace=[(2023, None)])
+
+
 def test_existing_table_needs_a_batch(spark, revised):
     with pytest.raises(ValueError, match="batches"):
         revised.commit(rows(spark, (2023, 1, 1)))

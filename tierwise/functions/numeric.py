@@ -32,15 +32,31 @@ def round2(x: str) -> str:
 
 
 def round2_agg(x: str) -> str:
-    """`round2` for finished aggregates, independent of the order of summation.
+    """`round2` for quotients of exact sums, and for extremes and deviations.
 
-    Sums of doubles depend on the order of the rows, by far less than 1e-7.
-    Snapping to that step first means that a sum lying exactly on a half cent
-    rounds the same way however Spark happened to split and merge the work.
+    A quotient that lies on a half cent may miss it by its last bit, depending
+    on how it is computed; snapping to 1e-7 first puts it back there. Sums do
+    not need it: see `exact_sum`.
     """
     return f"round(round(({x}) * 1e7D) / 1e7D * 100D) / 100D"
 
 
+def exact_sum(x: str) -> str:
+    """Sum of numbers to eight decimals, as a decimal: exact, so independent of
+    how Spark splits and merges the rows, with a state of constant size."""
+    return f"sum(try_cast(CAST({x} AS DOUBLE) AS DECIMAL(18, 8)))"
+
+
+def sum2(x: str) -> str:
+    """`exact_sum` to the cent, as a double."""
+    return f"CAST(round({exact_sum(x)}, 2) AS DOUBLE)"
+
+
+def average(x: str) -> str:
+    """Mean of the values that are not null, from their exact sum."""
+    return ratio(exact_sum(x), f"count({x})")
+
+
 def ratio(numerator: str, denominator: str) -> str:
     """Quotient of two aggregates in double, null when the denominator is zero."""
     return f"CAST({numerator} AS DOUBLE) / nullif(CAST({denominator} AS DOUBLE), 0D)"

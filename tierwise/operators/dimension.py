@@ -5,23 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Location ids are unsigned 16-bit numbers, so a lookup keyed by them has at
-# most this many rows. Anything larger is not broadcast.
-MAX_ZONES = 65_536
 
-
-def is_bounded(dimension: DataFrame, max_rows: int = MAX_ZONES) -> bool:
-    """Whether a count proves the lookup small. The count stops just past the
-    bound, so a huge input is not read in full."""
-    return dimension.limit(max_rows + 1).count() <= max_rows
-
-
-def trips_with_zones(
-    staged: DataFrame, zones: DataFrame, max_rows: int = MAX_ZONES
-) -> DataFrame:
+def trips_with_zones(staged: DataFrame, zones: DataFrame) -> DataFrame:
     """Left joins on pickup and dropoff id; unmatched ids keep their trips.
-    The dropoff side brings no service zone. Past the size bound both joins are
-    left to Spark, which sorts and splits skewed keys."""
+    The dropoff side brings no service zone. Spark broadcasts the lookup as long
+    as it is small in bytes, and sorts and splits skewed keys beyond that."""
     pickup = zones.select(
         F.col("LocationID").alias("_pickup_id"),
         F.col("Borough").alias("pickup_borough"),
@@ -33,8 +21,6 @@ def trips_with_zones(
         F.col("Borough").alias("dropoff_borough"),
         F.col("Zone").alias("dropoff_zone"),
     )
-    if is_bounded(zones, max_rows):
-        pickup, dropoff = F.broadcast(pickup), F.broadcast(dropoff)
     return (
         staged.join(pickup, F.col("pickup_location_id") == F.col("_pickup_id"), "left")
         .join(dropoff, F.col("dropoff_location_id") == F.col("_dropoff_id"), "left")

@@ -1,7 +1,7 @@
 """Aggregate blocks shared by the Gold models, as SQL expression text.
 
-A block maps output names to aggregate expressions. Sums and averages run in
-double and are rounded once, on the finished aggregate. All of them have
+A block maps output names to aggregate expressions. Sums are exact decimals, and
+sums, averages and ratios are rounded once, on the finished aggregate. All of them have
 constant-size state and merge map-side, so a group that holds most of the rows
 costs no more than any other.
 """
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tierwise.functions import count_where, ratio, round2_agg
+from tierwise.functions import average, count_where, exact_sum, ratio, round2_agg, sum2
 
 Block = dict[str, str]
 
@@ -20,12 +20,8 @@ def columns(*blocks: Block) -> list[Column]:
     return [F.expr(e).alias(name) for block in blocks for name, e in block.items()]
 
 
-def _sum(c: str) -> str:
-    return f"sum(CAST({c} AS DOUBLE))"
-
-
 def _avg(c: str) -> str:
-    return round2_agg(f"avg(CAST({c} AS DOUBLE))")
+    return round2_agg(average(c))
 
 
 # --- trips ---------------------------------------------------------------
@@ -36,10 +32,10 @@ VOLUME = {
 }
 
 REVENUE = {
-    "total_fare_revenue": round2_agg(_sum("fare_amount")),
-    "total_tips": round2_agg(_sum("tip_amount")),
-    "total_tolls": round2_agg(_sum("tolls_amount")),
-    "total_revenue": round2_agg(_sum("total_amount")),
+    "total_fare_revenue": sum2("fare_amount"),
+    "total_tips": sum2("tip_amount"),
+    "total_tolls": sum2("tolls_amount"),
+    "total_revenue": sum2("total_amount"),
 }
 
 AVERAGES = {
@@ -51,9 +47,9 @@ AVERAGES = {
 }
 
 EFFICIENCY = {
-    "revenue_per_mile": round2_agg(ratio(_sum("fare_amount"), _sum("trip_distance"))),
-    "revenue_per_minute": round2_agg(ratio(_sum("fare_amount"), _sum("trip_duration_minutes"))),
-    "tip_percentage": round2_agg(f"{ratio(_sum('tip_amount'), _sum('fare_amount'))} * 100"),
+    "revenue_per_mile": round2_agg(ratio(exact_sum("fare_amount"), exact_sum("trip_distance"))),
+    "revenue_per_minute": round2_agg(ratio(exact_sum("fare_amount"), exact_sum("trip_duration_minutes"))),
+    "tip_percentage": round2_agg(f"{ratio(exact_sum('tip_amount'), exact_sum('fare_amount'))} * 100"),
 }
 
 PAYMENT_SPLIT = {
@@ -115,7 +111,7 @@ def temperature(low: str, high: str) -> Block:
 
 def precipitation(days: str) -> Block:
     return {
-        "total_precipitation_in": round2_agg(_sum("prcp_in")),
+        "total_precipitation_in": sum2("prcp_in"),
         "avg_daily_precipitation_in": _avg("prcp_in"),
         days: count_where("has_precipitation"),
         "precipitation_frequency_pct": _share("has_precipitation"),

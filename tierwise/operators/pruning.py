@@ -8,8 +8,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierwise.functions import count_where
-
 
 def scan_month(df: DataFrame, year: int, month: int) -> DataFrame:
     """One month; on a partitioned table only its folder is read."""
@@ -22,16 +20,16 @@ def scan_year(df: DataFrame, year: int) -> DataFrame:
 
 
 def pruning_rows(df: DataFrame, year: int, month: int) -> DataFrame:
-    """Rows read with and without the partition filter, rows skipped, and the
-    share read. Only partition columns are needed, so no data page is read."""
-    wanted = count_where(f"source_year = {year} AND source_month = {month}")
-    return df.agg(
-        F.expr("count(*)").alias("rows_full"),
-        F.expr(wanted).alias("rows_read"),
-        F.expr(f"count(*) - {wanted}").alias("rows_skipped"),
-        F.expr(f"CAST({wanted} AS DOUBLE) * 100 / nullif(CAST(count(*) AS DOUBLE), 0D)").alias(
-            "read_pct"
-        ),
+    """Rows of a whole read and of a read with the partition filter, rows
+    skipped, and the share read. Only partition columns are needed, so no data
+    page is read, and the filtered read lists one partition."""
+    full = df.agg(F.count("*").alias("rows_full"), F.lit(0).cast("long").alias("rows_read"))
+    read = scan_month(df, year, month).agg(F.lit(0).cast("long").alias("rows_full"), F.count("*").alias("rows_read"))
+    return full.unionAll(read).agg(
+        F.sum("rows_full").alias("rows_full"),
+        F.sum("rows_read").alias("rows_read"),
+        (F.sum("rows_full") - F.sum("rows_read")).alias("rows_skipped"),
+        F.expr("CAST(sum(rows_read) AS DOUBLE) * 100 / nullif(CAST(sum(rows_full) AS DOUBLE), 0D)").alias("read_pct"),
     )
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierwise.functions import count_where
-from tierwise.schemas import AUDIT, PARTITION_KEYS
+from tierwise.schemas import AUDIT, PARTITION_KEYS, PARTITION_TYPES
 
 MONTHLY = PARTITION_KEYS
 YEARLY = ("source_year",)
@@ -246,13 +246,13 @@ def verdicts(report: DataFrame) -> DataFrame:
 def admit(df: DataFrame, verdict: DataFrame, batch: Sequence[str]) -> DataFrame:
     """Rows of the batches that passed; the next layer's input.
 
-    The verdicts have one row per batch, at most one per (smallint, tinyint)
-    pair, so they are broadcast and the rows are not shuffled.
+    Batches are matched by the partition columns, so that Spark reads only the
+    partitions that go on.
     """
-    passed = verdict.where("success").select(F.col("batch").alias("_batch"))
-    return df.join(
-        F.broadcast(passed), F.expr(f"{batch_label(batch)} = _batch"), "left_semi"
-    )
+    parts = [
+        F.element_at(F.split("batch", "_"), i + 1).cast(PARTITION_TYPES[key]).alias(key) for i, key in enumerate(batch)
+    ]
+    return df.join(verdict.where("success").select(*parts), list(batch), "left_semi")
 
 
 def write_report(report: DataFrame, path: str) -> None:

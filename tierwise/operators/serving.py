@@ -20,43 +20,35 @@ SERVED_NAMES = {
 }
 
 
-def register(spark: SparkSession, models: dict[str, DataFrame], schema: str = "gold") -> list[str]:
-    """Drop and recreate the served views of a schema, `schema_name` each.
-
-    A view over the live version of a table costs nothing to replace, and
-    always shows the version that was current when it was registered.
-    """
-    for old in spark.catalog.listTables():
-        if old.isTemporary and old.name.startswith(f"{schema}_"):
-            spark.catalog.dropTempView(old.name)
+def register(spark: SparkSession, models: dict[str, DataFrame], root: str, schema: str = "gold") -> list[str]:
+    """Drop and recreate the served tables of a schema in the session's catalog,
+    with their files below `root`. Other tables of the schema stay."""
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
+    for name in SERVED_NAMES.values():
+        spark.sql(f"DROP TABLE IF EXISTS {schema}.{name}")
     names = []
     for model, df in models.items():
-        name = f"{schema}_{SERVED_NAMES[model]}"
-        df.createOrReplaceTempView(name)
-        names.append(name)
+        name = SERVED_NAMES[model]
+        df.write.mode("overwrite").option("path", f"{root}/{name}").saveAsTable(f"{schema}.{name}")
+        names.append(f"{schema}.{name}")
     return names
 
 
 def list_tables(spark: SparkSession, schema: str = "gold") -> DataFrame:
-    """Registered tables of a schema, in order."""
-    names = [
-        (t.name.removeprefix(f"{schema}_"), schema)
-        for t in spark.catalog.listTables()
-        if t.name.startswith(f"{schema}_")
-    ]
+    """Tables of a schema, in order."""
+    if not spark.catalog.databaseExists(schema):
+        return spark.createDataFrame([], "table_name STRING, table_schema STRING")
+    names = [(t.name, schema) for t in spark.catalog.listTables(schema) if not t.isTemporary]
     return spark.createDataFrame(names, "table_name STRING, table_schema STRING").orderBy("table_name")
 
 
 def table_rows(spark: SparkSession, schema: str = "gold") -> DataFrame:
-    """Registered tables with their row counts, asked through SQL."""
+    """Tables of a schema with their row counts, asked through SQL."""
     names = [r.table_name for r in list_tables(spark, schema).collect()]
     if not names:
         return spark.createDataFrame([], "table_name STRING, table_schema STRING, rows BIGINT")
     counts = [
-        spark.sql(
-            f"SELECT '{n}' AS table_name, '{schema}' AS table_schema, count(*) AS rows"
-            f" FROM {schema}_{n}"
-        )
+        spark.sql(f"SELECT '{n}' AS table_name, '{schema}' AS table_schema, count(*) AS rows FROM {schema}.{n}")
         for n in names
     ]
     return reduce(DataFrame.unionAll, counts).orderBy(F.col("table_name"))

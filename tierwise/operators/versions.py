@@ -23,7 +23,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierwise.schemas import PARTITION_KEYS, PARTITION_TYPES
-from tierwise.session import size_shuffles
 
 _COMMITS = (
     "version INT, ts TIMESTAMP, operation STRING,"
@@ -34,6 +33,9 @@ _COMMITS = (
 
 Batch = tuple[int, int | None]
 
+# How a partition folder spells a null.
+_NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+
 # Widenings under which Parquet files written earlier remain readable.
 _WIDER = {
     "tinyint": ("smallint", "int", "bigint", "double"),
@@ -83,13 +85,9 @@ class VersionedTable:
             commits = commits.where(F.col("ts") <= F.lit(at).cast("timestamp"))
         return commits.agg(F.max("version")).first()[0]
 
-    def _schema_at(self, version: int | None = None) -> tuple[int, dict[str, str]] | None:
-        """A version, by default the newest, and the schema it left."""
-        commits = self.commits()
-        if version is not None:
-            commits = commits.where(F.col("version") == version)
-        newest = commits.select("version", "schema").orderBy(F.desc("version")).first()
-        return newest and (newest.version, {f.name: f.type for f in newest.schema})
+    def _log(self) -> list[T.Row]:
+        """All commits in order: a row per version, in one job."""
+        return sorted(self.commits().collect(), key=lambda c: c.version)
 
     # --- writing ---------------------------------------------------------
 
@@ -103,10 +101,12 @@ class VersionedTable:
         """Create the table, or replace whole batches of it in one step.
 
         A batch is (year, month), or (year, None) for a whole year; months of a
-        replaced year that the new rows lack are gone afterwards. Returns the
-        new version, or None, with a warning, if there were no rows to write.
+        replaced year that the new rows lack are gone afterwards, and so are its
+        rows without a month. Rows without a year are refused. Returns the new
+        version, or None, with a warning, if there were no rows to write.
         """
-        latest, schema = self._schema_at() or (-1, {})
+        log = self._log()
+        latest, schema = (log[-1].version, {f.name: f.type for f in log[-1].schema}) if log else (-1, {})
         if latest >= 0 and not replace:
             raise ValueError("name the batches to replace in an existing table")
         version = latest + 1
@@ -125,6 +125,8 @@ class VersionedTable:
             return None
         allowed = {tuple(batch) for batch in replace}
         for year, month, _ in written:
+            if year is None:
+                raise ValueError("rows without a source_year have no batch")
             if allowed and not {(year, month), (year, None)} & allowed:
                 raise ValueError(f"rows of {year}-{month} are outside the replaced batches")
         record = (
@@ -159,7 +161,8 @@ class VersionedTable:
 
     def lifetimes(self) -> DataFrame:
         """Partitions with the version that wrote them and the version, if any,
-        that superseded them. A year commit covers all twelve months."""
+        that superseded them. A year commit covers all twelve months, and the rows
+        of the year that have none."""
         commits = self.commits()
         written = commits.select("version", F.explode("partitions").alias("p")).select(
             "p.source_year", "p.source_month", "version", "p.rows"
@@ -167,7 +170,7 @@ class VersionedTable:
         covered = commits.select("version", F.inline("replaced")).selectExpr(
             "source_year",
             "explode(CASE WHEN source_month IS NULL"
-            " THEN CAST(sequence(1, 12) AS ARRAY<TINYINT>)"
+            " THEN CAST(sequence(1, 12) || array(NULL) AS ARRAY<TINYINT>)"
             " ELSE array(source_month) END) AS source_month",
             "version",
             "0L AS rows",
@@ -185,34 +188,37 @@ class VersionedTable:
             F.lead("version").over(per_month).alias("to_version"),
         ).where("rows > 0")
 
-    def live(self, version: int) -> DataFrame:
-        """Partitions that make up the table at a version."""
-        return self.lifetimes().where(
-            (F.col("from_version") <= version)
-            & (F.col("to_version").isNull() | (F.col("to_version") > version))
-        )
-
-    def as_of(self, version: int) -> DataFrame:
-        """The table as it was at a version.
+    def as_of(self, version: int | None = None) -> DataFrame:
+        """The table as it was at a version, by default the newest.
 
-        The driver receives one path per live partition, the same list that
-        Spark keeps for any partitioned table, and no other folder is listed.
+        The commits tell schema and live partitions in one job. The driver
+        receives a row per commit and makes a path per live partition of them,
+        the same list that Spark keeps for any partitioned table; no other
+        folder is listed.
         """
-        known = self._schema_at(version)
-        if known is None:
+        log = self._log()
+        if version is None and log:
+            version = log[-1].version
+        log = [c for c in log if version is not None and c.version <= version]
+        if not log or log[-1].version != version:
             raise ValueError(f"no version {version} in {self.path}")
-        fields = ", ".join(f"`{n}` {t}" for n, t in known[1].items())
+        live: dict[tuple[int, int | None], int] = {}
+        for commit in log:
+            for year, month in commit.replaced:
+                live = {p: v for p, v in live.items() if p[0] != year or month is not None and p[1] != month}
+            live |= {(p.source_year, p.source_month): commit.version for p in commit.partitions}
+        fields = ", ".join(f"`{f.name}` {f.type}" for f in log[-1].schema)
         folders = [
-            f"{self.path}/data/_commit={p.from_version}/source_year={p.source_year}"
-            f"/source_month={p.source_month}"
-            for p in self.live(version).collect()
+            f"{self.path}/data/_commit={commit}/source_year={year}"
+            f"/source_month={_NO_VALUE if month is None else month}"
+            for (year, month), commit in live.items()
         ]
         if not folders:
             return self.spark.createDataFrame([], fields)
         reader = self.spark.read.schema(f"{fields}, _commit INT").option(
             "basePath", f"{self.path}/data"
         )
-        return size_shuffles(reader.parquet(*folders)).select(*known[1])
+        return reader.parquet(*folders).select(*[f"`{f.name}`" for f in log[-1].schema])
 
     def as_of_time(self, at: datetime.datetime | str) -> DataFrame:
         """The table as it was at a point in time."""
@@ -223,10 +229,7 @@ class VersionedTable:
 
     def read(self) -> DataFrame:
         """The live table."""
-        version = self.latest_version()
-        if version is None:
-            raise ValueError(f"no version of {self.path}")
-        return self.as_of(version)
+        return self.as_of()
 
     # --- audits ----------------------------------------------------------
 
@@ -248,7 +251,8 @@ class VersionedTable:
 
     def schema_drift(self, baseline: int = 0) -> DataFrame:
         """Columns added, removed or changed at each version against a baseline."""
-        base = ", ".join(f"'{n}', '{t}'" for n, t in self._schema_at(baseline)[1].items())
+        first = next(c for c in self._log() if c.version == baseline)
+        base = ", ".join(f"'{f.name}', '{f.type}'" for f in first.schema)
         names = "explode(array_union(map_keys(now), map_keys(base))) AS name"
         return (
             self.commits()

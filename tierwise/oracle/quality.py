@@ -129,6 +129,13 @@ JOIN (SELECT {_BATCH["taxi"]} AS batch, count(*) AS admitted FROM bronze_trips G
         "dq_compound_unique": report(("weather/silver",), kind=q.COMPOUND_UNIQUE),
         "dq_suite_trips": report(trips),
         "dq_suite_weather": report(weather),
-        "dq_report": report(trips + weather, then=verdicts),
+        "dq_report": report(trips + weather),
+        "dq_pipeline_weather": report(
+            ("weather/silver",),
+            then="""
+SELECT domain, layer, batch, expectation, "column", element_count, unexpected_count
+FROM report WHERE NOT success""",
+            rows=gate_rows,
+        ),
         "dq_gate": report(("taxi/bronze",), then=gate, rows=gate_rows),
     }

@@ -75,6 +75,12 @@ WEATHER = """
         CAST(month(o_orderdate) AS TINYINT) AS source_month
     FROM (SELECT *, CAST((o_orderkey * 7) % 1500 AS DOUBLE) / 10 - 20 AS t0 FROM orders) days"""
 
+# The same with one row per station and day.
+WEATHER_ONCE = WEATHER.replace(
+    "FROM orders)",
+    "FROM orders QUALIFY o_orderkey = min(o_orderkey) OVER (PARTITION BY o_custkey % 50, o_orderdate))",
+)
+
 BRONZE_TRIPS = """
     SELECT *, printf('raw/taxi/%d-%02d.parquet', source_year, source_month) AS source_file FROM trips"""
 
@@ -212,8 +218,11 @@ _RELATIONS = {
 }
 
 
-def using(*names: str, then: str, also: dict[str, str] | None = None) -> str:
-    """A statement over the named relations and everything they rest on."""
+def using(
+    *names: str, then: str, also: dict[str, str] | None = None, instead: dict[str, str] | None = None
+) -> str:
+    """A statement over the named relations and everything they rest on; texts in
+    `instead` take the place of the usual ones."""
     needed: list[str] = []
 
     def need(name: str) -> None:
@@ -224,6 +233,7 @@ def using(*names: str, then: str, also: dict[str, str] | None = None) -> str:
 
     for name in names:
         need(name)
-    parts = [f"{name} AS MATERIALIZED ({_RELATIONS[name][0]})" for name in needed]
+    texts = {name: _RELATIONS[name][0] for name in needed} | (instead or {})
+    parts = [f"{name} AS MATERIALIZED ({texts[name]})" for name in needed]
     parts += [f"{name} AS MATERIALIZED ({body})" for name, body in (also or {}).items()]
     return "WITH " + ",\n".join(parts) + "\n" + then

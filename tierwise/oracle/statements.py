@@ -6,27 +6,43 @@ from tierwise.oracle.relations import TRIP_RULES, WEATHER_RULES, using
 
 
 def _agg2(expression: str) -> str:
-    """Two decimals, after removing what the order of summation leaves behind."""
+    """Two decimals, after removing what the order of division leaves behind."""
     return f"round(round({expression}, 7), 2)"
 
 
+def _exact(x: str) -> str:
+    return f"sum(CAST(CAST({x} AS DOUBLE) AS DECIMAL(18, 8)))"
+
+
+def _sum2(x: str) -> str:
+    return f"CAST(round({_exact(x)}, 2) AS DOUBLE)"
+
+
+def _share2(top: str, below: str, times: str = "") -> str:
+    return _agg2(f"CAST({top} AS DOUBLE) / nullif(CAST({below} AS DOUBLE), 0){times}")
+
+
+def _avg2(x: str) -> str:
+    return _share2(_exact(x), f"count({x})")
+
+
 _TRIP_BASE = f"""
     count(*) AS total_trips,
     CAST(sum(passenger_count) AS BIGINT) AS total_passengers,
-    {_agg2("sum(CAST(fare_amount AS DOUBLE))")} AS total_fare_revenue,
-    {_agg2("sum(tip_amount)")} AS total_tips,
-    {_agg2("sum(tolls_amount)")} AS total_tolls,
-    {_agg2("sum(total_amount)")} AS total_revenue,
-    {_agg2("avg(CAST(fare_amount AS DOUBLE))")} AS avg_fare,
-    {_agg2("avg(tip_amount)")} AS avg_tip,
-    {_agg2("avg(CAST(trip_distance AS DOUBLE))")} AS avg_trip_distance,
-    {_agg2("avg(trip_duration_minutes)")} AS avg_trip_duration_minutes,
-    {_agg2("avg(passenger_count)")} AS avg_passengers_per_trip,
-    {_agg2("sum(CAST(fare_amount AS DOUBLE)) / nullif(sum(CAST(trip_distance AS DOUBLE)), 0)")}
+    {_sum2("fare_amount")} AS total_fare_revenue,
+    {_sum2("tip_amount")} AS total_tips,
+    {_sum2("tolls_amount")} AS total_tolls,
+    {_sum2("total_amount")} AS total_revenue,
+    {_avg2("fare_amount")} AS avg_fare,
+    {_avg2("tip_amount")} AS avg_tip,
+    {_avg2("trip_distance")} AS avg_trip_distance,
+    {_avg2("trip_duration_minutes")} AS avg_trip_duration_minutes,
+    {_avg2("passenger_count")} AS avg_passengers_per_trip,
+    {_share2(_exact("fare_amount"), _exact("trip_distance"))}
         AS revenue_per_mile,
-    {_agg2("sum(CAST(fare_amount AS DOUBLE)) / nullif(CAST(sum(trip_duration_minutes) AS DOUBLE), 0)")}
+    {_share2(_exact("fare_amount"), _exact("trip_duration_minutes"))}
         AS revenue_per_minute,
-    {_agg2("sum(tip_amount) / nullif(sum(CAST(fare_amount AS DOUBLE)), 0) * 100")} AS tip_percentage"""
+    {_share2(_exact("tip_amount"), _exact("fare_amount"), " * 100")} AS tip_percentage"""
 
 _PAYMENTS = """
     count(*) FILTER (WHERE payment_type = 1) AS credit_card_trips,
@@ -56,16 +72,16 @@ def trip_model(name: str, peak: bool = True, payments: bool = True) -> tuple[str
         return body, {}
     on = " AND ".join(f"g.{k} IS NOT DISTINCT FROM h.{k}" for k in keys)
     per_hour = (
-        f"SELECT {columns}, pickup_hour, row_number() OVER (PARTITION BY {columns} "
+        f"SELECT {columns}, pickup_hour AS hour_of_day, row_number() OVER (PARTITION BY {columns} "
         f"ORDER BY count(*) DESC, pickup_hour) AS place FROM trips_with_zones "
-        f"GROUP BY {columns}, pickup_hour"
+        f"GROUP BY {', '.join(dict.fromkeys((*keys, 'pickup_hour')))}"
     )
     metrics = _TRIP_BASE + ", percentile_disc(0.5) WITHIN GROUP (ORDER BY pickup_hour) AS peak_pickup_hour"
     if payments:
         metrics += "," + _PAYMENTS
     grouped = f"SELECT {columns},{metrics}\nFROM trips_with_zones GROUP BY {columns}"
     body = (
-        f"SELECT g.*, h.pickup_hour AS modal_pickup_hour FROM {name}_groups g "
+        f"SELECT g.*, h.hour_of_day AS modal_pickup_hour FROM {name}_groups g "
         f"JOIN {name}_hours h ON h.place = 1 AND {on}"
     )
     return body, {f"{name}_groups": grouped, f"{name}_hours": per_hour}
@@ -76,30 +92,35 @@ def _trip_gold(name: str, **options: bool) -> str:
     return using("trips_with_zones", then=body, also=also)
 
 
+_ALL_KEYS = sorted({k for keys in _TRIP_KEYS.values() for k in keys})
+# The metrics of the trip models.
+_METRICS = (
+    "total_trips", "total_passengers", "total_fare_revenue", "total_tips", "total_tolls", "total_revenue",
+    "avg_fare", "avg_tip", "avg_trip_distance", "avg_trip_duration_minutes", "avg_passengers_per_trip",
+    "revenue_per_mile", "revenue_per_minute", "tip_percentage",
+    "peak_pickup_hour", "modal_pickup_hour", "credit_card_trips", "cash_trips", "no_charge_trips",
+)
+
+
 def _one_pass() -> str:
     also: dict[str, str] = {}
     parts = []
-    for name in _TRIP_KEYS:
-        body, helpers = trip_model(
-            name, peak=name != "hourly_summary", payments=name != "payment_summary"
-        )
+    for name, keys in _TRIP_KEYS.items():
+        # Every model gets all metrics there, also those it does not store.
+        body, helpers = trip_model(name, peak=True, payments=True)
         also.update(helpers)
-        parts.append(
-            f"SELECT '{name}' AS model, source_year, source_month, total_trips, total_passengers, "
-            f"total_fare_revenue, total_tips, total_tolls, total_revenue, avg_fare, avg_tip, "
-            f"avg_trip_distance, avg_trip_duration_minutes, avg_passengers_per_trip, "
-            f"revenue_per_mile, revenue_per_minute, tip_percentage FROM ({body}) m"
-        )
+        columns = [k if k in keys else f"NULL AS {k}" for k in _ALL_KEYS]
+        parts.append(f"SELECT '{name}' AS model, {', '.join([*columns, *_METRICS])} FROM ({body}) m")
     return using("trips_with_zones", then="\nUNION ALL\n".join(parts), also=also)
 
 
 def _temperature(low: str, high: str) -> str:
     return f"""
-    {_agg2("avg(CAST(temp_f AS DOUBLE))")} AS avg_temp_f,
+    {_avg2("temp_f")} AS avg_temp_f,
     round(min(CAST(temp_f AS DOUBLE)), 2) AS {low}_f,
     round(max(CAST(temp_f AS DOUBLE)), 2) AS {high}_f,
     {_agg2("stddev(CAST(temp_f AS DOUBLE))")} AS temp_stddev_f,
-    {_agg2("avg(temp_c)")} AS avg_temp_c,
+    {_avg2("temp_c")} AS avg_temp_c,
     round(min(temp_c), 2) AS {low}_c,
     round(max(temp_c), 2) AS {high}_c"""
 
@@ -116,20 +137,20 @@ def _event(flag: str, days: str, share: str | None = None) -> str:
 
 def _precipitation(days: str) -> str:
     return f"""
-    {_agg2("sum(CAST(prcp_in AS DOUBLE))")} AS total_precipitation_in,
-    {_agg2("avg(CAST(prcp_in AS DOUBLE))")} AS avg_daily_precipitation_in,
+    {_sum2("prcp_in")} AS total_precipitation_in,
+    {_avg2("prcp_in")} AS avg_daily_precipitation_in,
     {_event("has_precipitation", days, "precipitation_frequency_pct")}"""
 
 
 _WEATHER_COMMON = f"""
-    {_agg2("avg(CAST(wdsp_kts AS DOUBLE))")} AS avg_wind_speed_kts,
-    {_agg2("avg(wdsp_kmh)")} AS avg_wind_speed_kmh,
+    {_avg2("wdsp_kts")} AS avg_wind_speed_kts,
+    {_avg2("wdsp_kmh")} AS avg_wind_speed_kmh,
     {_event("is_gale", "gale_days")},
     {_event("is_freezing", "freezing_days", "freezing_frequency_pct")},
     {_event("is_extreme_heat", "extreme_heat_days", "extreme_heat_frequency_pct")},
     count(*) FILTER (WHERE sndp_in > 0) AS snow_days,
-    {_agg2("avg(CASE WHEN sndp_in > 0 THEN CAST(sndp_in AS DOUBLE) END)")} AS avg_snow_depth_in,
-    {_agg2("avg(CAST(visib_mi AS DOUBLE))")} AS avg_visibility_mi"""
+    {_avg2("CASE WHEN sndp_in > 0 THEN sndp_in END")} AS avg_snow_depth_in,
+    {_avg2("visib_mi")} AS avg_visibility_mi"""
 
 _STATION = "station, station_name, latitude, longitude, elevation"
 
@@ -163,6 +184,9 @@ SELECT {keys}, count(*) AS total_observations, min(date) AS first_observation,
 FROM staged_weather GROUP BY {keys}"""
 
 
+STATION_METRICS = _station(_STATION + ", source_year, source_month")
+
+
 def _drop_report(source: str, rules: dict[str, str]) -> str:
     kept = " AND ".join(f"({c})" for c in rules.values())
     failed = ",\n    ".join(
@@ -187,9 +211,11 @@ _ADDED = {
     "day_name": "string",
     "is_weekend": "boolean",
     "pickup_date": "date",
+    "processed_at": "timestamp",
 }
 _ENRICHED = "\nUNION ALL\n".join(
-    f"SELECT '{name}' AS name, '{kind}' AS type, count({name}) AS filled FROM silver_trips"
+    f"SELECT '{name}' AS name, '{kind}' AS type, count({name}) AS filled"
+    " FROM (SELECT *, now() AS processed_at FROM silver_trips) s"
     for name, kind in _ADDED.items()
 )
 
@@ -210,38 +236,38 @@ def statements() -> dict[str, str]:
         "gold_monthly_climate": ("staged_weather", MONTHLY_CLIMATE),
         "gold_station_metrics": (
             "staged_weather",
-            _station(_STATION + ", source_year, source_month"),
+            STATION_METRICS,
         ),
         "gold_station_longterm": ("staged_weather", _station(_STATION)),
         "dash_revenue_by_year": (
             "staged_trips",
             f"""
-SELECT source_year, count(*) AS total_trips, {_agg2("sum(total_amount)")} AS total_revenue,
-    {_agg2("sum(CAST(fare_amount AS DOUBLE))")} AS total_fare_revenue,
-    {_agg2("sum(tip_amount)")} AS total_tips
+SELECT source_year, count(*) AS total_trips, {_sum2("total_amount")} AS total_revenue,
+    {_sum2("fare_amount")} AS total_fare_revenue,
+    {_sum2("tip_amount")} AS total_tips
 FROM staged_trips GROUP BY source_year""",
         ),
         "dash_fare_trend": (
             "staged_trips",
             f"""
 SELECT source_year, source_month, count(*) AS total_trips,
-    {_agg2("avg(CAST(fare_amount AS DOUBLE))")} AS avg_fare,
-    {_agg2("avg(CAST(trip_distance AS DOUBLE))")} AS avg_trip_distance
+    {_avg2("fare_amount")} AS avg_fare,
+    {_avg2("trip_distance")} AS avg_trip_distance
 FROM staged_trips GROUP BY source_year, source_month""",
         ),
         "dash_zone_hour": (
             "trips_with_zones",
             f"""
 SELECT pickup_borough, pickup_zone, pickup_hour, count(*) AS total_trips,
-    {_agg2("sum(total_amount)")} AS total_revenue
+    {_sum2("total_amount")} AS total_revenue
 FROM trips_with_zones GROUP BY pickup_borough, pickup_zone, pickup_hour""",
         ),
         "dash_weather_trend": (
             "staged_weather",
             f"""
 SELECT source_year, source_month, count(*) AS observations,
-    {_agg2("avg(temp_c)")} AS avg_temp_c, {_agg2("sum(CAST(prcp_in AS DOUBLE))")} AS total_precipitation_in,
-    {_agg2("avg(wdsp_kmh)")} AS avg_wind_speed_kmh,
+    {_avg2("temp_c")} AS avg_temp_c, {_sum2("prcp_in")} AS total_precipitation_in,
+    {_avg2("wdsp_kmh")} AS avg_wind_speed_kmh,
     count(*) FILTER (WHERE is_freezing) AS freezing_days,
     count(*) FILTER (WHERE is_extreme_heat) AS extreme_heat_days,
     count(*) FILTER (WHERE has_precipitation) AS precipitation_days,

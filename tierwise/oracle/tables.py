@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from tierwise.oracle.relations import TRIP_RULES, using
-from tierwise.oracle.statements import trip_model
+from tierwise.oracle.relations import TRIP_RULES, WEATHER_ONCE, using
+from tierwise.oracle.statements import DAILY_CLIMATE, MONTHLY_CLIMATE, STATION_METRICS, trip_model
 
 _WHOLE_YEARS = """
     SELECT CAST(year(m) AS SMALLINT) AS source_year, CAST(month(m) AS TINYINT) AS source_month
@@ -56,7 +56,7 @@ def _scans(year: int, month: int) -> dict[str, str]:
     wanted = f"source_year = {year} AND source_month = {month}"
     bronze = "SELECT * FROM bronze_trips"
     return {
-        "write_roundtrip": using("bronze_trips", then=bronze),
+        "write_roundtrip": using("bronze_trips", then="SELECT *, 1 AS version FROM bronze_trips"),
         "scan_full": using("bronze_trips", then=bronze),
         "scan_month": using("bronze_trips", then=f"{bronze} WHERE {wanted}"),
         "scan_year": using("bronze_trips", then=f"{bronze} WHERE source_year = {year}"),
@@ -174,13 +174,29 @@ def _files() -> dict[str, str]:
             " FROM bronze_trips",
         ),
         "catchup_ingest": using("bronze_trips", then="SELECT * FROM bronze_trips"),
-        "bronze_weather_archive": using("bronze_weather", then="SELECT * FROM bronze_weather"),
+        "bronze_weather_archive": using(
+            "bronze_weather",
+            then="""
+SELECT *, CASE WHEN "STATION" < 'S010' THEN 'net ' || "STATION" END AS "NETWORK",
+    CAST(NULL AS VARCHAR) AS bad_record FROM bronze_weather""",
+        ),
+        "catchup_weather": using("bronze_weather", then="SELECT * FROM bronze_weather"),
+        "undated_days": using(
+            "weather",
+            then="""
+SELECT source_year, CASE WHEN undated THEN NULL ELSE source_month END AS source_month,
+    count(*) AS "rows", count(*) FILTER (WHERE NOT undated) AS dated
+FROM (SELECT *, "STATION" IN ('S007', 'S008') AND "TEMP" > 50 AS undated FROM weather) w
+WHERE NOT (undated AND source_year = 1995)
+GROUP BY 1, 2""",
+        ),
         "weather_union_by_name": using(
             "weather",
             then="""
 SELECT * EXCLUDE (source_month)
     REPLACE (CASE WHEN CAST(substr("STATION", 2, 3) AS INTEGER) % 3 != 1 THEN "SNDP" END AS "SNDP"),
-    CASE WHEN CAST(substr("STATION", 2, 3) AS INTEGER) % 3 = 2 THEN 'net ' || "STATION" END AS "NETWORK"
+    CASE WHEN CAST(substr("STATION", 2, 3) AS INTEGER) % 3 = 2 THEN 'net ' || "STATION" END AS "NETWORK",
+    CAST(NULL AS VARCHAR) AS bad_record
 FROM weather""",
         ),
         "zone_lookup_file": using("zones", then="SELECT * FROM zones"),
@@ -227,7 +243,8 @@ def _pipelines(low: int) -> dict[str, str]:
         "bronze_ok": f"SELECT source_year FROM weather GROUP BY source_year HAVING count(*) >= {low}",
         "silver_rows": "SELECT w.* FROM staged_weather w JOIN bronze_ok USING (source_year)",
         "silver_ok": "SELECT source_year FROM silver_rows GROUP BY source_year"
-        f" HAVING count(*) >= {low} AND count(DISTINCT source_month) = 12",
+        f" HAVING count(*) >= {low} AND count(DISTINCT source_month) = 12"
+        " AND count(*) = count(DISTINCT (station, date))",
         "gold_rows": "SELECT w.* FROM silver_rows w JOIN silver_ok USING (source_year)",
     }
     trips = [
@@ -244,12 +261,32 @@ def _pipelines(low: int) -> dict[str, str]:
     trip_text = using(
         "bronze_trips", "trips_with_zones", also=trips_also, then="\nUNION ALL\n".join(trips)
     )
-    weather_text = using("staged_weather", also=weather_also, then="\nUNION ALL\n".join(weather))
+    once = {"weather": WEATHER_ONCE}
+    all_weather = "\nUNION ALL\n".join(weather)
+    weather_text = using("staged_weather", also=weather_also, then=all_weather, instead=once)
     served = f"""
 SELECT domain || substr("table", 5) AS table_name, 'gold' AS table_schema, "rows"
 FROM (SELECT * FROM ({trip_text}) a UNION ALL SELECT * FROM ({weather_text}) b) t
 WHERE "table" LIKE 'gold%'"""
-    return {"pipeline_trips": trip_text, "pipeline_weather": weather_text, "catalog_tables": served}
+    stored = {}
+    for name in _TRIP_MODEL_KEYS:
+        body, helpers = trip_model(name, peak=name != "hourly_summary", payments=name != "payment_summary")
+        helpers = {k: v.replace("trips_with_zones", "gold_rows") for k, v in helpers.items()}
+        body = body.replace("FROM trips_with_zones", "FROM gold_rows")
+        stored[f"stored_{name}"] = using(
+            "bronze_trips", "trips_with_zones", also={**trips_also, **helpers}, then=body
+        )
+    models = {"daily_climate": DAILY_CLIMATE, "monthly_climate": MONTHLY_CLIMATE, "station_metrics": STATION_METRICS}
+    for name, body in models.items():
+        body = body.replace("FROM staged_weather", "FROM gold_rows")
+        stored[f"stored_{name}"] = using("staged_weather", also=weather_also, then=body, instead=once)
+    return {
+        "pipeline_trips": trip_text,
+        "pipeline_weather": weather_text,
+        "pipeline_weather_stopped": using("staged_weather", also=weather_also, then=all_weather),
+        "catalog_tables": served,
+        **stored,
+    }
 
 
 def _top_zones() -> str:
@@ -261,8 +298,7 @@ def _top_zones() -> str:
 SELECT * FROM ({body}) z
 ORDER BY total_trips DESC, pickup_borough ASC NULLS LAST, pickup_zone ASC NULLS LAST,
     pickup_service_zone ASC NULLS LAST, dropoff_borough ASC NULLS LAST, dropoff_zone ASC NULLS LAST,
-    source_year, source_month
-LIMIT 100""",
+    source_year, source_month""",
     )
 
 

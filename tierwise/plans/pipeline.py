@@ -53,20 +53,14 @@ def trip_domain(
 def weather_domain(
     bronze_rows: tuple[int, int] = quality.WEATHER_BRONZE_ROWS,
     silver_rows: tuple[int, int] = quality.WEATHER_SILVER_ROWS,
-    unique_days: bool = True,
 ) -> Domain:
-    """`unique_days=False` leaves out the check for one row per station day,
-    for sources that report a station several times a day."""
-    silver_suite = quality.weather_silver_suite(silver_rows)
-    if not unique_days:
-        silver_suite = [c for c in silver_suite if c.kind != quality.COMPOUND_UNIQUE]
     return Domain(
         "weather",
         quality.YEARLY,
         audit_weather,
         silver_weather,
         quality.weather_bronze_suite(bronze_rows),
-        silver_suite,
+        quality.weather_silver_suite(silver_rows),
     )
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +17,7 @@ from tierwise.operators.versions import VersionedTable
 from tierwise.plans import layers, sample_files, stored
 from tierwise.session import configure, fresh_dir
 from tierwise.sources import month_files, station_files, tables, zone_lookup
-from tierwise.streaming.catchup import catch_up_trips
+from tierwise.streaming.catchup import catch_up_trips, catch_up_weather
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -40,6 +41,12 @@ def _trip_gold(name: str) -> Query:
     return lambda spark, sf_dir: gold.ordered(name, model.build(source(spark, sf_dir)))
 
 
+def _daily_climate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row-level, so sorted as its files are: within partitions."""
+    days = gold.daily_climate(layers.staged_weather(spark, sf_dir))
+    return days.sortWithinPartitions(*gold.sort_columns("daily_climate")).drop(*_CLOCKS)
+
+
 def _weather_gold(name: str, build: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: gold.ordered(name, build(layers.staged_weather(spark, sf_dir))).drop(
         *_CLOCKS
@@ -47,32 +54,12 @@ def _weather_gold(name: str, build: Callable[[DataFrame], DataFrame]) -> Query:
 
 
 def _one_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
-    combined = gold.trip_models_in_one_pass(layers.zoned_trips(spark, sf_dir))
-    return combined.select(
-        "model",
-        "source_year",
-        "source_month",
-        "total_trips",
-        "total_passengers",
-        "total_fare_revenue",
-        "total_tips",
-        "total_tolls",
-        "total_revenue",
-        "avg_fare",
-        "avg_tip",
-        "avg_trip_distance",
-        "avg_trip_duration_minutes",
-        "avg_passengers_per_trip",
-        "revenue_per_mile",
-        "revenue_per_minute",
-        "tip_percentage",
-    )
+    return gold.trip_models_in_one_pass(layers.zoned_trips(spark, sf_dir))
 
 
 def _enriched_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Columns that cleaning adds to Bronze, with how many rows have a value."""
-    silver = _without_clocks(layers.clean_trips)(spark, sf_dir)
-    return new_columns(layers.bronze_trips(spark, sf_dir), silver)
+    return new_columns(layers.bronze_trips(spark, sf_dir), layers.clean_trips(spark, sf_dir))
 
 
 def _layer_queries() -> dict[str, Query]:
@@ -99,7 +86,7 @@ def _gold_queries() -> dict[str, Query]:
         "gold_payment_summary": _trip_gold("payment_summary"),
         "gold_zone_performance": _trip_gold("zone_performance"),
         "gold_trips_one_pass": _one_pass,
-        "gold_daily_climate": _weather_gold("daily_climate", gold.daily_climate),
+        "gold_daily_climate": _daily_climate,
         "gold_monthly_climate": _weather_gold("monthly_climate", gold.monthly_climate),
         "gold_station_metrics": _weather_gold("station_metrics", gold.station_metrics),
         "gold_station_longterm": _weather_gold("station_longterm", gold.station_longterm),
@@ -123,8 +110,20 @@ def _scan_queries() -> dict[str, Query]:
     def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
         return stored.bronze_table(spark, sf_dir).read().drop(*_CLOCKS)
 
+    def rewritten(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """A first write, a replay of one of its months, and an empty write, which is skipped."""
+        rows = layers.bronze_trips(spark, sf_dir)
+        table = VersionedTable(spark, fresh_dir(configure(spark), "rewritten"))
+        table.commit(rows)
+        month = [(SCAN_YEAR, SCAN_MONTH)]
+        table.commit(pruning.scan_month(rows, *month[0]), replace=month)
+        with warnings.catch_warnings():
+            warnings.simplefilter("ignore")
+            table.commit(rows.where("source_year < 0"), replace=month)
+        return table.read().drop(*_CLOCKS).withColumn("version", F.lit(table.latest_version()))
+
     return {
-        "write_roundtrip": bronze,
+        "write_roundtrip": rewritten,
         "scan_full": bronze,
         "scan_month": lambda s, d: pruning.scan_month(bronze(s, d), SCAN_YEAR, SCAN_MONTH),
         "scan_year": lambda s, d: pruning.scan_year(bronze(s, d), SCAN_YEAR),
@@ -160,20 +159,56 @@ def _typed_days(rows: DataFrame) -> DataFrame:
 
 
 def _weather_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
-    packed = sample_files.archives(tables.weather(spark, sf_dir).drop("source_month"))
-    rows = station_files.parse_pieces(station_files.unpack_archives(packed))
-    bronze = audit_weather(station_files.with_year(rows)).drop(*_CLOCKS)
-    return _typed_days(bronze).drop(*[c for c in bronze.columns if c.endswith("_ATTRIBUTES")])
+    """Archives that land as files; the days of some stations have a column of their own."""
+    root = fresh_dir(configure(spark), "raw-archives")
+    days = tables.weather(spark, sf_dir).drop("source_month")
+    wider = days.withColumn("NETWORK", F.concat(F.lit("net "), F.col("STATION")))
+    odd = F.col("STATION") < "S010"
+    sample_files.land_archives(days.where(~odd), f"{root}/usual")
+    sample_files.land_archives(wider.where(odd), f"{root}/wider")
+    return _read_days(audit_weather(station_files.read_archives(spark, root)))
+
+
+def _read_days(bronze: DataFrame) -> DataFrame:
+    """Days read from archives, typed, without the attribute columns that the
+    samples lack, and with the archive's year for its whole path."""
+    file = F.regexp_replace("source_file", r"^.*/(\d{4})[^/]*$", "raw/weather/$1.tar.gz")
+    typed = _typed_days(bronze.drop(*_CLOCKS)).withColumn("source_file", file)
+    return typed.drop(*[c for c in bronze.columns if c.endswith("_ATTRIBUTES")])
+
+
+def _catch_up_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs, each with new archives of all years; the second replaces them whole."""
+    root, checkpoint = fresh_dir(configure(spark), "raw-archives"), fresh_dir(spark, "catchup-state")
+    table = VersionedTable(spark, fresh_dir(spark, "catchup-weather"))
+    days = tables.weather(spark, sf_dir).drop("source_month")
+    for landing, where in (("first", "STATION < 'S030'"), ("deep/second", "STATION >= 'S030'")):
+        sample_files.land_archives(days.where(where), f"{root}/{landing}")
+        catch_up_weather(spark, root, table, checkpoint)
+    return _read_days(table.read()).drop("bad_record")
+
+
+def _undated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per batch after 1995 was replaced; days without a readable date have no month."""
+    return stored.undated_days(spark, sf_dir).read().groupBy("source_year", "source_month").agg(
+        F.count("*").alias("rows"), F.count(F.col("DATE").try_cast("date")).alias("dated")
+    )
 
 
 def _weather_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = sample_files.station_csvs(configure(spark), sf_dir)
-    return _typed_days(station_files.with_year(station_files.read_station_files(spark, root)))
+    return _typed_days(station_files.with_year(station_files.read_station_files(spark, root))).drop("source_file")
 
 
 def _month_file_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = sample_files.month_files(configure(spark), sf_dir)
-    return audit_trips(month_files.read_months(spark, root)).drop(*_CLOCKS)
+    return _batch_file(audit_trips(month_files.read_months(spark, root)).drop(*_CLOCKS))
+
+
+def _batch_file(trips: DataFrame) -> DataFrame:
+    """The batch that a row's file lies in, for the file's whole path."""
+    file = F.regexp_replace("source_file", "^.*/batch=([^/]*)/[^/]*$", "raw/taxi/$1")
+    return trips.withColumn("source_file", file)
 
 
 def _zone_file(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -191,7 +226,7 @@ def _catch_up(spark: SparkSession, sf_dir: str) -> DataFrame:
     for landing in ("source_year <= 1997", "source_year > 1997"):
         month_files.write_months(rows.where(landing), root)
         catch_up_trips(spark, root, table, checkpoint)
-    return table.read().drop(*_CLOCKS)
+    return _batch_file(table.read().drop(*_CLOCKS))
 
 
 def _ingest_queries() -> dict[str, Query]:
@@ -201,6 +236,8 @@ def _ingest_queries() -> dict[str, Query]:
         "weather_union_by_name": _weather_union,
         "zone_lookup_file": _zone_file,
         "catchup_ingest": _catch_up,
+        "catchup_weather": _catch_up_weather,
+        "undated_days": _undated,
     }
 
 
@@ -252,11 +289,15 @@ def _version_queries() -> dict[str, Query]:
 
 def _suites(spark: SparkSession, sf_dir: str, kinds: tuple[str, ...] | None, *names: str) -> DataFrame:
     """Report of the named suites, or of only some kinds of their checks."""
+
+    def stored_silver_days(s: SparkSession, d: str) -> DataFrame:
+        return stored.silver_weather_table(s, d).read()
+
     suites = {
         "taxi/bronze": (layers.bronze_trips, quality.trip_bronze_suite(), quality.MONTHLY),
         "taxi/silver": (layers.clean_trips, quality.trip_silver_suite(), quality.MONTHLY),
         "weather/bronze": (layers.bronze_weather, quality.weather_bronze_suite(), quality.YEARLY),
-        "weather/silver": (layers.clean_weather, quality.weather_silver_suite(), quality.YEARLY),
+        "weather/silver": (stored_silver_days, quality.weather_silver_suite(), quality.YEARLY),
     }
     result = None
     for name in names:
@@ -279,16 +320,18 @@ _WEATHER_SUITES = ("weather/bronze", "weather/silver")
 def _stored_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_dir(configure(spark), "reports")
     quality.write_report(_suites(spark, sf_dir, None, *_TRIP_SUITES, *_WEATHER_SUITES), path)
-    return quality.verdicts(quality.read_report(spark, path))
+    return quality.read_report(spark, path)
 
 
 def _gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bronze verdicts, and the rows that go on to Silver."""
-    bronze = layers.bronze_trips(spark, sf_dir)
+    """Bronze verdicts from the stored report, and the rows that go on to Silver."""
+    bronze = stored.bronze_table(spark, sf_dir).read()
+    path = fresh_dir(spark, "gate-report")
     report = quality.evaluate(
         bronze, quality.trip_bronze_suite(stored.GATE_ROWS), quality.MONTHLY, "taxi", "bronze"
     )
-    verdict = quality.verdicts(report)
+    quality.write_report(report, path)
+    verdict = quality.verdicts(quality.read_report(spark, path))
     admitted = (
         quality.admit(bronze, verdict, quality.MONTHLY)
         .groupBy(F.expr(quality.batch_label(quality.MONTHLY)).alias("batch"))
@@ -315,25 +358,45 @@ def _quality_queries() -> dict[str, Query]:
 
 
 def _top_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Best zone pairs by trips; the other columns settle ties."""
+    """All zone pairs, best first by trips; the other columns settle ties."""
     model = gold.TRIP_MODELS["zone_performance"]
     zones = model.build(layers.zoned_trips(spark, sf_dir))
     ties = [F.asc_nulls_last(k) for k in model.keys]
-    return zones.orderBy(F.desc("total_trips"), *ties).limit(100)
+    return zones.orderBy(F.desc("total_trips"), *ties)
 
 
 def _catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     flows = (stored.trip_pipeline(spark, sf_dir), stored.weather_pipeline(spark, sf_dir))
     served = {m: flow.gold(m) for flow in flows for m in flow.models()}
-    serving.register(spark, {m: t.read() for m, t in served.items() if t.exists()})
+    found = {m: t.read() for m, t in served.items() if t.exists()}
+    serving.register(spark, found, fresh_dir(spark, "served"))
     return serving.table_rows(spark)
 
 
+def _stored_gold(model: str) -> Query:
+    """A Gold table as the pipeline stored it."""
+    flow = stored.trip_pipeline if model in gold.TRIP_MODELS else stored.weather_pipeline
+    return lambda spark, sf_dir: flow(spark, sf_dir).gold(model).read().drop(*_CLOCKS)
+
+
+def _pipeline_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts of the stopped run: which checks of which batch failed."""
+    flow = stored.weather_pipeline(spark, sf_dir, once=False)
+    return (
+        quality.read_report(spark, flow.report_path)
+        .where("NOT success")
+        .select("domain", "layer", "batch", "expectation", "column", "element_count", "unexpected_count")
+    )
+
+
 def _pipeline_queries() -> dict[str, Query]:
     return {
         "top_zones": _top_zones,
         "pipeline_trips": lambda s, d: stored.trip_pipeline(s, d).summary(),
         "pipeline_weather": lambda s, d: stored.weather_pipeline(s, d).summary(),
+        "pipeline_weather_stopped": lambda s, d: stored.weather_pipeline(s, d, once=False).summary(),
+        "dq_pipeline_weather": _pipeline_report,
+        **{f"stored_{model}": _stored_gold(model) for model in (*gold.TRIP_MODELS, *gold.WEATHER_MODELS)},
         "catalog_tables": _catalog,
     }
 

@@ -9,6 +9,7 @@ import tarfile
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+from pyarrow import fs as filesystem
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -68,10 +69,26 @@ def _pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+def land_archives(days: DataFrame, root: str) -> None:
+    """Write station days as tar.gz archives below `root`, one per year, task and
+    batch, by the tasks themselves."""
+
+    def write(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, folder = filesystem.FileSystem.from_uri(root if "://" in root else f"file://{root}")
+        for batch in batches:
+            for path, content in zip(batch["path"].to_pylist(), batch["content"].to_pylist()):
+                store.create_dir(f"{folder}/{path.split('/')[0]}", recursive=True)
+                with store.open_output_stream(f"{folder}/{path}", compression=None) as out:
+                    out.write(content)
+            yield batch.select(["path"])
+
+    archives(days).mapInArrow(write, "path STRING").count()
+
+
 def archives(days: DataFrame) -> DataFrame:
-    """Station days packed as tar.gz archives of station CSVs: path and content
-    as the file reader gives them. Every batch of a task makes its own archives,
-    so their size does not depend on how many days a year or station has."""
+    """Station days packed as tar.gz archives of station CSVs: path and content.
+    Every batch of a task makes its own archives, so their size does not depend
+    on how many days a year or station has."""
     texts = days.select(
         *[F.col(f"`{c}`").cast("string").alias(c) for c in days.columns if c != "source_year"],
         "source_year",

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierwise.operators.bronze import audit_trips
+from tierwise.operators.bronze import audit_trips, audit_weather
 from tierwise.operators.silver import silver_trips
 from tierwise.operators.versions import VersionedTable
 from tierwise.plans import layers, pipeline
@@ -115,20 +115,39 @@ def trip_pipeline(spark: SparkSession, sf_dir: str) -> pipeline.Medallion:
     return _once(spark, sf_dir, "trip-pipeline", make)
 
 
-def full_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
+def undated_days(spark: SparkSession, sf_dir: str) -> VersionedTable:
+    """Bronze station days, some of them with an unreadable date and so without
+    a month: 0 creates the table, 1 replaces 1995 with its readable days."""
+
+    def make() -> VersionedTable:
+        made = VersionedTable(spark, fresh_dir(spark, "undated-days"))
+        days = tables.weather(spark, sf_dir).withColumn("DATE", F.col("DATE").cast("string"))
+        unreadable = F.expr("STATION IN ('S007', 'S008') AND TEMP > 50")
+        broken = days.withColumn("DATE", F.when(unreadable, F.lit("someday")).otherwise(F.col("DATE")))
+        made.commit(audit_weather(broken))
+        made.commit(audit_weather(broken.where(~unreadable & (F.col("source_year") == 1995))), replace=[(1995, None)])
+        return made
+
+    return _once(spark, sf_dir, "undated", make)
+
+
+def full_weather(days: DataFrame) -> DataFrame:
     """Raw station days with all contract columns, as read from archives."""
-    days = tables.weather(spark, sf_dir)
     absent = {c: F.lit(None).cast("string") for c in WEATHER_SOURCE if c not in days.columns}
     return days.withColumns(absent)
 
 
-def weather_pipeline(spark: SparkSession, sf_dir: str) -> pipeline.Medallion:
+def weather_pipeline(spark: SparkSession, sf_dir: str, once: bool = True) -> pipeline.Medallion:
+    """The pipeline over one row per station day; or, not `once`, over rows that
+    report a station several times a day, which the Silver suite stops."""
+
     def make() -> pipeline.Medallion:
+        days = tables.weather_once(spark, sf_dir) if once else tables.weather(spark, sf_dir)
         return pipeline.run_weather(
             spark,
-            full_weather(spark, sf_dir),
+            full_weather(days),
             fresh_dir(spark, "medallion"),
-            pipeline.weather_domain(GATE_ROWS, GATE_ROWS, unique_days=False),
+            pipeline.weather_domain(GATE_ROWS, GATE_ROWS),
         )
 
-    return _once(spark, sf_dir, "weather-pipeline", make)
+    return _once(spark, sf_dir, "weather-pipeline" if once else "weather-stopped", make)

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # Runtime settings only: they can be applied to a session somebody else made.
 RUNTIME_CONF = {
@@ -31,14 +33,6 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256MB",
 }
 
-# A shuffle starts with one partition per this many bytes of input files, which
-# grow about threefold when decoded, within a limit that keeps the number of
-# shuffle blocks in hand. Adaptive execution merges what turns out too small.
-SHUFFLE_TARGET_BYTES = 256 << 20
-DECODED_PER_STORED = 3
-MAX_SHUFFLE_PARTITIONS = 65_536
-
-
 def configure(spark: SparkSession) -> SparkSession:
     for key, value in RUNTIME_CONF.items():
         if spark.conf.get(key, None) != value:
@@ -49,22 +43,6 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def size_shuffles(scan: DataFrame) -> DataFrame:
-    """Make sure that shuffles start with enough partitions for a table that is
-    about to be read; the fixed default would put terabytes into each.
-
-    Takes a plain scan, whose size is that of its files; returns it unchanged.
-    """
-    spark = scan.sparkSession
-    stored = int(str(scan._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    needed = min(stored * DECODED_PER_STORED // SHUFFLE_TARGET_BYTES + 1, MAX_SHUFFLE_PARTITIONS)
-    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    current = spark.conf.get(key, None) or spark.conf.get("spark.sql.shuffle.partitions")
-    if needed > int(current):
-        spark.conf.set(key, str(needed))
-    return scan
-
-
 def local_session(cores: int = 8, shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
     """A single-machine session for tests and the benchmark."""
     builder = (
@@ -100,6 +78,24 @@ def shared_root(spark: SparkSession) -> str:
     return root
 
 
+_made: list[tuple[SparkSession, str]] = []
+
+
 def fresh_dir(spark: SparkSession, label: str) -> str:
     """A path nobody has used yet, below the shared folder."""
-    return f"{shared_root(spark)}/tierwise/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_root(spark)}/tierwise/{label}-{uuid.uuid4().hex}"
+    _made.append((spark, path))
+    return path
+
+
+def remove_scratch() -> None:
+    """Delete what `fresh_dir` has named, once nothing reads it any more: by the
+    application before it ends, or by the interpreter when it does."""
+    while _made:
+        spark, path = _made.pop()
+        with contextlib.suppress(Exception):  # the session may be gone by now
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+atexit.register(remove_scratch)

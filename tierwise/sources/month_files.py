@@ -6,33 +6,47 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tierwise.schemas import TRIP_SOURCE
-from tierwise.session import size_shuffles
 
 # A batch is a file or folder whose name ends in YYYY-MM.parquet.
-_BATCH = r"^(.*?(\d{4})-(\d{2})\.parquet)"
+_BATCH = r"^(.*?(\d{4})-(0[1-9]|1[0-2])\.parquet)"
 
 
-def landed_months(spark: SparkSession, root: str) -> DataFrame:
-    """Batches found below a folder: year, month and path. File names are
-    listed by Spark; contents are not opened."""
-    files = (
+def listed_files(spark: SparkSession, root: str) -> DataFrame:
+    """Parquet files below a folder; Spark lists names, contents are not opened."""
+    return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.parquet")
         .load(root)
+        .select("path")
     )
-    return landed_in(files)
+
+
+def landed_months(spark: SparkSession, root: str) -> DataFrame:
+    """Batches found below a folder: year, month and path."""
+    return landed_in(listed_files(spark, root))
 
 
 def landed_in(files: DataFrame) -> DataFrame:
-    """The batches that listed files belong to."""
-    return files.select(
-        F.regexp_extract("path", _BATCH, 2).cast("smallint").alias("source_year"),
-        F.regexp_extract("path", _BATCH, 3).cast("tinyint").alias("source_month"),
-        F.regexp_extract("path", _BATCH, 1).alias("path"),
-    ).distinct()
+    """The batches that listed files belong to. Files that are in no batch are
+    none of ours; `stray_files` tells them."""
+    return (
+        files.where(F.col("path").rlike(_BATCH))
+        .select(
+            F.regexp_extract("path", _BATCH, 2).cast("smallint").alias("source_year"),
+            F.regexp_extract("path", _BATCH, 3).cast("tinyint").alias("source_month"),
+            F.regexp_extract("path", _BATCH, 1).alias("path"),
+        )
+        .distinct()
+    )
+
+
+def stray_files(files: DataFrame) -> DataFrame:
+    """Listed files whose name belongs to no batch."""
+    return files.where(~F.col("path").rlike(_BATCH)).select("path").distinct()
 
 
 def missing_months(requested: DataFrame, found: DataFrame) -> DataFrame:
@@ -41,34 +55,51 @@ def missing_months(requested: DataFrame, found: DataFrame) -> DataFrame:
     return requested.select(*keys).join(found.select(*keys).distinct(), keys, "left_anti")
 
 
+def _schemas_of(spark: SparkSession, batch: str) -> list[tuple[list[str], T.StructType]]:
+    """The files of a batch by the schema to read them with.
+
+    Spark reads all footers of the batch in one job and merges them. Only if two
+    of them give a column different types, the files are read one by one, each
+    as it was written.
+    """
+    try:
+        return [([batch], spark.read.option("mergeSchema", "true").parquet(batch).schema)]
+    except Exception as error:
+        if "MERGE" not in str(error).upper():
+            raise
+    files = [r.path for r in listed_files(spark, batch).distinct().collect()]
+    return [([path], spark.read.parquet(path).schema) for path in files]
+
+
 def read_months(spark: SparkSession, root: str, requested: DataFrame | None = None) -> DataFrame:
     """Landed batches as one DataFrame with the contract's names and types.
 
-    Batches are grouped by the schema in their footers, so the number of scans
-    is the number of distinct schemas seen over the years, not of months. A
-    batch that was asked for and has not landed is an error.
+    Every file's footer counts: a column that any file of a batch has is kept.
+    Batches are grouped by schema, so the number of scans is the number of
+    distinct schemas seen over the years, not of months. `source_file` is the
+    file a row was read from. A batch that was asked for and has not landed is
+    an error that names all of them.
     """
     found = landed_months(spark, root)
     if requested is not None:
-        missing = missing_months(requested, found).orderBy("source_year", "source_month").take(20)
+        # At most one row per month asked for.
+        missing = missing_months(requested, found).distinct().orderBy("source_year", "source_month").collect()
         if missing:
             names = ", ".join(f"{m.source_year}-{m.source_month:02d}" for m in missing)
             raise FileNotFoundError(f"batches not found in {root}: {names}")
         found = found.join(requested, ["source_year", "source_month"], "left_semi")
     # One path per requested batch, a dozen a year.
-    paths = [row.path for row in found.select("path").distinct().collect()]
+    batches = [row.path for row in found.select("path").distinct().collect()]
+    if not batches:
+        raise FileNotFoundError(f"no batches in {root}")
     with ThreadPoolExecutor(max_workers=16) as pool:
-        schemas = list(pool.map(lambda p: spark.read.parquet(p).schema, paths))
-    alike: dict[str, list[int]] = {}
-    for i, schema in enumerate(schemas):
-        alike.setdefault(schema.simpleString(), []).append(i)
+        found = [part for parts in pool.map(lambda b: _schemas_of(spark, b), batches) for part in parts]
+    alike: dict[str, tuple[T.StructType, list[str]]] = {}
+    for paths, schema in found:
+        alike.setdefault(schema.simpleString(), (schema, []))[1].extend(paths)
     parts = [
-        conform(
-            size_shuffles(
-                spark.read.schema(schemas[members[0]]).parquet(*[paths[i] for i in members])
-            ).withColumn("_path", F.col("_metadata.file_path"))
-        )
-        for members in alike.values()
+        conform(spark.read.schema(schema).parquet(*paths).withColumn("_path", F.col("_metadata.file_path")))
+        for schema, paths in alike.values()
     ]
     combined = parts[0]
     for part in parts[1:]:
@@ -85,13 +116,14 @@ def conform(df: DataFrame) -> DataFrame:
         (F.col(f"`{spelling[c.lower()]}`") if c.lower() in spelling else F.lit(None)).cast(t).alias(c)
         for c, t in TRIP_SOURCE.items()
     ]
-    contract = {c.lower() for c in TRIP_SOURCE} | {"_path", "source_year", "source_month"}
+    contract = {c.lower() for c in TRIP_SOURCE} | {"_path", "source_year", "source_month", "source_file"}
     others = [F.col(f"`{c}`") for c in df.columns if c.lower() not in contract]
     return df.select(
         *known,
         *others,
         F.regexp_extract("_path", _BATCH, 2).cast("smallint").alias("source_year"),
         F.regexp_extract("_path", _BATCH, 3).cast("tinyint").alias("source_month"),
+        F.col("_path").alias("source_file"),
     )
 
 

@@ -1,9 +1,11 @@
 """Station CSV files, loose or packed in yearly tar.gz archives.
 
 The files differ in which columns they have and in what order, so values are
-matched by header name and read as text; types come later, in Silver. Spark
-reads, distributes and shuffles the files; a task only unpacks an archive into
-its members, or parses one member with Arrow.
+matched by header name and read as text; types come later, in Silver. Loose
+files are grouped by header and read by Spark's own CSV reader. Only archives
+need Python: a task unpacks one into pieces of its members, which are spread
+and parsed with Arrow. A record that does not fit its header is kept as text in
+`bad_record`, with what could be read of it or nothing.
 """
 
 from __future__ import annotations
@@ -12,6 +14,7 @@ import csv
 import io
 import tarfile
 from collections.abc import Iterable, Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from typing import IO
 
 import pyarrow as pa
@@ -20,7 +23,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierwise.schemas import WEATHER_SOURCE
-from tierwise.session import size_shuffles
 
 _PIECES = "path STRING, member STRING, piece INT, content BINARY"
 _PIECE_ARROW = pa.schema(
@@ -47,7 +49,12 @@ def read_files(spark: SparkSession, paths: str | Sequence[str], pattern: str) ->
         .option("pathGlobFilter", pattern)
         .load(paths)
     )
-    return size_shuffles(files).select("path", "content")
+    return files.select("path", "content")
+
+
+def listed_archives(spark: SparkSession, root: str) -> DataFrame:
+    """Paths of the archives below a folder."""
+    return read_files(spark, root, "*.tar.gz").select("path")
 
 
 def split_csv(stream: IO[bytes], piece_bytes: int = PIECE_BYTES) -> Iterator[bytes]:
@@ -106,14 +113,6 @@ def _unpack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     return _batched(pieces())
 
 
-def _split(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    return _batched(
-        (path, path, i, piece)
-        for path, content in _files(batches)
-        for i, piece in enumerate(split_csv(io.BytesIO(content)))
-    )
-
-
 def unpack_archives(archives: DataFrame) -> DataFrame:
     """CSV members of tar.gz archives, in pieces. Gzip cannot be split, so an
     archive is opened by one task, as a stream; its pieces are then spread by
@@ -122,51 +121,75 @@ def unpack_archives(archives: DataFrame) -> DataFrame:
     return pieces.repartition("path", "member", "piece")
 
 
-def csv_pieces(files: DataFrame) -> DataFrame:
-    """Loose CSV files, in pieces, spread likewise."""
-    pieces = files.select("path", "content").mapInArrow(_split, _PIECES)
-    return pieces.repartition("path", "member", "piece")
+def _names(line: str) -> list[str]:
+    """Column names of a header line; those of the contract in its spelling."""
+    found = next(csv.reader([line.lstrip("\ufeff").rstrip("\r\n")]), [])
+    fold = {c.upper(): c for c in WEATHER_SOURCE}
+    return [fold.get(name.strip().upper(), name.strip()) for name in found]
 
 
-def _header(content: bytes) -> list[str]:
-    first = content.split(b"\n", 1)[0].decode("utf-8-sig")
-    names = next(csv.reader([first.rstrip("\r")]), [])
-    return [name.strip() for name in names]
+def _decoded(content: bytes) -> bytes:
+    """UTF-8, with a mark in place of bytes that are not."""
+    try:
+        content.decode("utf-8")
+        return content
+    except UnicodeDecodeError:
+        return content.decode("utf-8", "replace").encode("utf-8")
 
 
-def _headers(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _in_order(names: Iterable[str]) -> list[str]:
+    seen = {n for n in names if n}
+    return [c for c in WEATHER_SOURCE if c in seen] + sorted(seen - set(WEATHER_SOURCE))
+
+
+def _member_headers(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        names = {n for first in batch["first"] for n in _header(first.as_py())}
-        yield pa.RecordBatch.from_pydict({"name": sorted(names)})
+        names = {n for first in batch["first"].to_pylist() for n in _names(first.decode("utf-8", "replace"))}
+        yield pa.RecordBatch.from_pydict({"name": pa.array(sorted(names), pa.string())})
 
 
-def discover_columns(files: DataFrame) -> list[str]:
-    """All header names used by loose CSV files: contract columns first, then
-    the others. Only the first line of a file goes to Python, and only distinct
-    names reach the driver."""
-    first = files.select(F.substring_index(F.decode("content", "UTF-8"), "\n", 1).cast("binary").alias("first"))
-    names = first.distinct().mapInArrow(_headers, "name STRING").distinct().collect()
-    fold = {c.upper(): c for c in WEATHER_SOURCE}
-    seen = {fold.get(r.name.upper(), r.name) for r in names if r.name}
-    return [c for c in WEATHER_SOURCE if c in seen] + sorted(seen - set(WEATHER_SOURCE))
+def archive_columns(archives: DataFrame) -> list[str]:
+    """All columns of the members of archives: the contract's and any others.
+    Members are unpacked once more for that, and only distinct names reach the
+    driver."""
+
+    def firsts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, content in _files(batches):
+            with tarfile.open(fileobj=io.BytesIO(content), mode="r|gz") as archive:
+                lines = {
+                    archive.extractfile(entry).readline()
+                    for entry in archive
+                    if entry.isfile() and entry.name.endswith(".csv")
+                }
+            yield pa.RecordBatch.from_pydict({"first": pa.array(sorted(lines), pa.binary())})
+
+    lines = archives.select("path", "content").mapInArrow(firsts, "first BINARY").distinct()
+    found = lines.mapInArrow(_member_headers, "name STRING").distinct().collect()
+    return _in_order([*WEATHER_SOURCE, *(r.name for r in found)])
 
 
 def parse_pieces(pieces: DataFrame, columns: Sequence[str] = WEATHER_SOURCE) -> DataFrame:
     """Rows of all CSV pieces, by header name, every column as text; a column
-    that a file lacks is null. `path` tells the file or archive of a row."""
+    that a file lacks is null. `path` tells the archive of a row."""
     columns = list(columns)
-    by_name = {c.upper(): c for c in columns}
-    schema = pa.schema([("path", pa.string()), *[(c, pa.string()) for c in columns]])
+    schema = pa.schema([(c, pa.string()) for c in ("path", *columns, "bad_record")])
 
     def parse(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for path, data in _files(batches):
-            names = [by_name.get(n.upper(), n) for n in _header(data)]
+            data = _decoded(data)
+            names = _names(data.split(b"\n", 1)[0].decode("utf-8"))
+            bad: list[str] = []
+
+            def keep_aside(row) -> str:
+                bad.append(row.text)
+                return "skip"
+
             table = arrow_csv.read_csv(
                 io.BytesIO(data),
                 read_options=arrow_csv.ReadOptions(
                     column_names=names, skip_rows=1, use_threads=False
                 ),
-                parse_options=arrow_csv.ParseOptions(newlines_in_values=True),
+                parse_options=arrow_csv.ParseOptions(newlines_in_values=True, invalid_row_handler=keep_aside),
                 convert_options=arrow_csv.ConvertOptions(
                     column_types={n: pa.string() for n in names},
                     strings_can_be_null=True,
@@ -178,26 +201,82 @@ def parse_pieces(pieces: DataFrame, columns: Sequence[str] = WEATHER_SOURCE) ->
                     rows[c] if c in names else pa.nulls(rows.num_rows, pa.string()) for c in columns
                 ]
                 paths = pa.array([path] * rows.num_rows, pa.string())
-                yield pa.RecordBatch.from_arrays([paths, *texts], schema=schema)
-
-    fields = ", ".join(f"`{c}` STRING" for c in columns)
+                none = pa.nulls(rows.num_rows, pa.string())
+                yield pa.RecordBatch.from_arrays([paths, *texts, none], schema=schema)
+            if bad:
+                nothing = [pa.nulls(len(bad), pa.string()) for _ in columns]
+                paths = pa.array([path] * len(bad), pa.string())
+                yield pa.RecordBatch.from_arrays([paths, *nothing, pa.array(bad, pa.string())], schema=schema)
+
+    fields = ", ".join(f"`{c}` STRING" for c in (*columns, "bad_record"))
     return pieces.mapInArrow(parse, f"path STRING, {fields}")
 
 
 def with_year(rows: DataFrame) -> DataFrame:
-    """The batch year, from the archive's or folder's name."""
+    """The batch year, from the archive's or folder's name, and the file itself."""
     name = r"(\d{4})[^/]*(?:\.tar\.gz|/[^/]*\.csv)$"
     year = F.regexp_extract("path", name, 1).try_cast("smallint")
-    return rows.withColumn("source_year", year).drop("path")
+    return rows.withColumn("source_year", year).withColumnRenamed("path", "source_file")
 
 
 def read_archives(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Rows of yearly tar.gz archives, ready for the Bronze audit columns."""
-    return with_year(parse_pieces(unpack_archives(read_files(spark, paths, "*.tar.gz"))))
+    """Rows of yearly tar.gz archives, with every column any member has, ready
+    for the Bronze audit columns."""
+    archives = read_files(spark, paths, "*.tar.gz")
+    return with_year(parse_pieces(unpack_archives(archives), archive_columns(archives)))
+
+
+def _first_lines(spark: SparkSession, paths: Sequence[str]) -> list[str]:
+    """First line of each file, read on the driver without the rest of it."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+
+    def first(path: str) -> str:
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        stream = place.getFileSystem(conf).open(place)
+        try:
+            reader = jvm.java.io.InputStreamReader(stream, "UTF-8")
+            return jvm.java.io.BufferedReader(reader, 4096).readLine() or ""
+        finally:
+            stream.close()
+
+    with ThreadPoolExecutor(max_workers=32) as pool:
+        return list(pool.map(first, paths))
 
 
 def read_station_files(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """Rows of loose station CSVs merged by column name, keeping every column
-    found, with the path of their file."""
-    files = read_files(spark, paths, "*.csv")
-    return parse_pieces(csv_pieces(files), discover_columns(files))
+    found, with the path of their file. One scan per distinct header."""
+    files = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", "*.csv")
+        .load(paths)
+    )
+    listed = [r.path for r in files.select("path").distinct().collect()]
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for path, line in zip(listed, _first_lines(spark, listed), strict=True):
+        if line.strip():
+            by_header.setdefault(tuple(_names(line)), []).append(path)
+    columns = _in_order(n for header in by_header for n in header)
+    fields = ", ".join(f"`{c}` STRING" for c in ("path", *columns, "bad_record"))
+    rows = spark.createDataFrame([], fields)
+    for header, members in by_header.items():
+        # A name that a header repeats would be ambiguous; the first one counts.
+        names = [n if n and n not in header[:i] else f"_unnamed{i}" for i, n in enumerate(header)]
+        read = (
+            spark.read.schema(", ".join(f"`{n}` STRING" for n in (*names, "bad_record")))
+            .option("header", "true")
+            .option("escape", '"')
+            .option("columnNameOfCorruptRecord", "bad_record")
+            # Whether a record fits must not depend on the columns a query uses.
+            .option("columnPruning", "false")
+            .csv(members)
+        )
+        unnamed = [n for n in names if n.startswith("_unnamed")]
+        # Spark refuses to read the bad records alone; nothing of a field is added to them.
+        nothing = F.left(F.coalesce(F.col(f"`{names[0]}`"), F.lit("")), F.lit(0))
+        part = read.withColumns(
+            {"path": F.col("_metadata.file_path"), "bad_record": F.concat("bad_record", nothing)}
+        ).drop(*unnamed)
+        rows = rows.unionByName(part, allowMissingColumns=True)
+    return rows.select("path", *columns, "bad_record")

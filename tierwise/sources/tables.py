@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierwise.session import configure, size_shuffles
+from tierwise.session import configure
 
 _TRIP_COLUMNS = {
     "VendorID": "l_suppkey % 2 + 1",
@@ -71,7 +71,7 @@ _WEATHER_COLUMNS = {
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return size_shuffles(configure(spark).read.parquet(f"{sf_dir}/{name}.parquet"))
+    return configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _project(df: DataFrame, columns: dict[str, str]) -> DataFrame:
@@ -106,3 +106,10 @@ def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
 def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw station days, one row per order, with their batch columns."""
     return _project(table(spark, sf_dir, "orders"), _WEATHER_COLUMNS)
+
+
+def weather_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with one row per station and day: that of the smallest order key."""
+    orders = table(spark, sf_dir, "orders")
+    first = orders.groupBy(F.expr("o_custkey % 50"), "o_orderdate").agg(F.min("o_orderkey").alias("first_key"))
+    return _project(orders.join(first, F.expr("o_orderkey = first_key"), "left_semi"), _WEATHER_COLUMNS)

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tierwise.operators.bronze import audit_trips, audit_weather
 from tierwise.operators.versions import VersionedTable
 from tierwise.sources.month_files import landed_in, read_months
-from tierwise.sources.station_files import read_archives, with_year
+from tierwise.sources.station_files import listed_archives, read_archives, with_year
 
 _FILES = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
 
@@ -70,10 +70,15 @@ def catch_up_weather(
 
     def ingest(files: DataFrame) -> None:
         session = files.sparkSession
-        years = [r.source_year for r in with_year(files).distinct().collect()]
-        if years:
-            archives = [f"{raw_root}/{year}*.tar.gz" for year in years]
+        news = with_year(files).where("source_year IS NOT NULL")
+        years = news.select("source_year").distinct()
+        # Replacing a year takes all of its archives, wherever they lie, those of
+        # earlier runs too; their paths are a handful a year.
+        landed = with_year(listed_archives(session, raw_root)).join(years, "source_year", "left_semi")
+        archives = [r.source_file for r in landed.unionByName(news).select("source_file").distinct().collect()]
+        if archives:
             rows = audit_weather(read_archives(session, archives))
-            VersionedTable(session, table.path).commit(rows, replace=[(y, None) for y in years])
+            replaced = [(r.source_year, None) for r in years.collect()]
+            VersionedTable(session, table.path).commit(rows, replace=replaced)
 
     _take_new_files(spark, raw_root, "*.tar.gz", checkpoint, ingest)
