@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from tierwise.operators import quality as q
+from tierwise.oracle import suites
 from tierwise.oracle.relations import using
 
 _CLOCKED = "SELECT *, now() AS ingested_at, now() AS processed_at FROM "
@@ -18,14 +19,8 @@ _BATCH = {
     "taxi": "printf('%d_%02d', source_year, source_month)",
     "weather": "CAST(source_year AS VARCHAR)",
 }
-_SUITES = {
-    "taxi/bronze": q.trip_bronze_suite,
-    "taxi/silver": q.trip_silver_suite,
-    "weather/bronze": q.weather_bronze_suite,
-    "weather/silver": q.weather_silver_suite,
-}
 # Attribute columns are not part of the station days made from the base tables.
-_ABSENT = tuple(c for c in q.WEATHER_BRONZE_COLUMNS if c.endswith("_ATTRIBUTES"))
+_ABSENT = tuple(c for c in suites.EXISTING["weather/bronze"].split() if c.endswith("_ATTRIBUTES"))
 
 
 def _text(value) -> str:
@@ -91,7 +86,7 @@ def report(
     then: str = "SELECT * FROM report",
     kind: str | None = None,
     also: dict[str, str] | None = None,
-    **rows: tuple[int, int],
+    rows: tuple[int, int] | None = None,
 ) -> str:
     parts, sources, clocked = [], [], {}
     for name in names:
@@ -99,7 +94,7 @@ def report(
         relation, body = _SOURCES[name]
         sources.append(relation)
         clocked[f"clocked_{relation}"] = body
-        for check in _SUITES[name](**rows):
+        for check in suites.suite(name, rows):
             if kind in (None, check.kind):
                 parts.append(_select(check, domain, layer, f"clocked_{relation}"))
     bodies = {**clocked, "report": "\nUNION ALL\n".join(parts), **(also or {})}
