@@ -90,7 +90,7 @@ def similar_by_hand(pairs, words: int, percent: int) -> list[tuple]:
     ]
 
 
-@pytest.mark.parametrize("words, percent", [(3, 90), (5, 80)])
+@pytest.mark.parametrize("words, percent", [(3, 90), (5, 80), (2, 60)])
 def test_jaccard_components(spark, words, percent):
     rng = np.random.default_rng(words)
     pairs = texts()
@@ -116,7 +116,7 @@ def test_jaccard_edges(spark):
     kept = jaccard.drop_similar(docs, 5, 80)
     assert kept.columns == docs.columns
     with pytest.raises(ValueError):
-        jaccard.jaccard_components(docs, 3, 50)
+        jaccard.jaccard_components(docs, 3, 0)
 
 
 def test_jaccard_on_all_documents(spark):
@@ -140,6 +140,19 @@ def test_divide_skip_finds_every_similar_set():
         assert sorted(block.similar(i, np.ones(len(sets), bool))) == want
 
 
+@pytest.mark.parametrize("percent", [60, 80, 90])
+def test_similar_sets_share_a_signature(percent):
+    rng = np.random.default_rng(percent)
+    parts = jaccard.Parts(percent)
+    for _ in range(600):
+        base = np.unique(rng.integers(0, 2**63, rng.integers(1, 80)).astype(np.uint64) * np.uint64(2))
+        other = base[rng.random(len(base)) < 1 - rng.random() / 3]
+        other = np.unique(np.append(other, rng.integers(0, 2**63, rng.integers(0, 6)).astype(np.uint64)))
+        common = len(np.intersect1d(base, other))
+        if jaccard.linked(common, len(base), len(other), percent) and common < max(len(base), len(other)):
+            assert np.intersect1d(parts.signatures(base), parts.signatures(other)).size
+
+
 @pytest.mark.parametrize("shape", ["chain", "star", "two", "none"])
 def test_components(spark, shape):
     edges = {

@@ -1,21 +1,21 @@
 """Documents whose word shingles overlap, by T-occurrence search.
 
 A document is the set of the 64-bit hashes of its distinct shingles; equal sets
-are one node. Two nodes of at least the given Jaccard similarity share a certain
-number of shingles. So if the shingles of every node are put in one global order,
-rare ones first, they share at least COMMON of the few first ones of each, its
-prefix. The order comes from a count sketch of fixed size over all documents.
-
-1. Inverted lists of prefix shingles tell which nodes can have partners at all.
-   Every list is led by its most connected node, and the lists of a leader make
-   up a block: nodes that share a list meet in a block, and a node is in few.
+are one node. Sets of similar nodes differ in few shingles. So if the range of
+hashes is cut into more parts than that, some part holds the same shingles in
+both, and the digest of a part's shingles, its signature, is equal.
+
+1. Inverted lists of signatures tell which nodes can have partners at all. Every
+   list is led by its most connected node, and the lists of a leader make up a
+   block: nodes that share a list meet in a block, and a node is in few.
 2. A block is searched by DivideSkip: every node asks for the nodes that occur at
    least T times in the block's inverted lists of its shingles, T being the
    overlap it needs. The short lists are heap-merged for candidates; those are
    looked up in the long lists by binary search, until they reach T or cannot.
    What links to the leader is connected, and is only compared with the rest.
 3. Links give components. Blocks of any size are split into pairs of chunks of
-   bounded size, and only chunks pass through Python; texts are never shuffled.
+   bounded size, and only chunks pass through Python; texts are never shuffled,
+   and sets only of nodes that share a signature.
 """
 
 from __future__ import annotations
@@ -37,13 +37,13 @@ from tierwise.llm.hashing import mix
 
 SHINGLE_WORDS = 3
 PERCENT = 90
-# Prefix shingles that two similar nodes have in common at least.
-COMMON = 3
-# Counters of the sketch that orders shingles, and bits of the filter that tells
-# in the last pass over the texts which sets are asked for. Both are of fixed
-# size; more data only makes them less selective, never wrong.
-SKETCH_BITS = 16
-FILTER_BITS = 24
+# Parts beyond those that the differences may touch, to make up for parts that
+# are empty in both sets and say nothing.
+SPARE_PARTS = 2
+# Bits of the filters that tell in later passes over the texts which signatures
+# and which sets are asked for. Their size is fixed; more data only makes them
+# less selective, never wrong.
+FILTER_BITS = 25
 # Shingles in one chunk of a block.
 CHUNK_SHINGLES = 1 << 19
 # How much a step of the heap costs against one of a binary search, for the
@@ -171,72 +171,128 @@ def links_in(ids: list[int], sets: list[np.ndarray], sides: list[int], leader: i
     return links
 
 
-def _order(docs: DataFrame, words: int) -> np.ndarray:
-    """Occurrences of shingles by the upper bits of their hash, over all documents."""
+class Parts:
+    """Cuts of the range of hashes, by the sizes of the sets.
+
+    Sizes fall into intervals so wide that the partners of a set lie in its own
+    or a neighbouring one. Interval i has a cut for the pairs whose larger set
+    lies in it, so a set uses the cuts of its own and of the next interval.
+    """
+
+    def __init__(self, percent: int):
+        self.percent = percent
+        self.last = [0]  # largest size of every interval
+        self.cuts: dict[int, np.ndarray] = {}
+
+    def interval(self, size: int) -> int:
+        while self.last[-1] < size:
+            least = self.last[-1] + 1
+            self.last.append(max(least, 100 * least // self.percent))
+        return bisect_left(self.last, size)
+
+    def cut(self, interval: int) -> np.ndarray:
+        """Lower bounds of the parts: one more than the shingles in which two
+        similar sets can differ, and spare ones."""
+        if interval not in self.cuts:
+            while len(self.last) <= interval:
+                self.interval(self.last[-1] + 1)
+            differ = 2 * self.last[interval] * (100 - self.percent) // (100 + self.percent)
+            parts = differ + 1 + SPARE_PARTS
+            self.cuts[interval] = np.array([k * 2**64 // parts for k in range(parts)], np.uint64)
+        return self.cuts[interval]
+
+    def signatures(self, items: np.ndarray) -> np.ndarray:
+        """Signatures of a set, as signed numbers. Empty parts have none, unless
+        there are so many that they could be all that two sets have in common."""
+        size = len(items)
+        if not linked(size, size, size + 1, self.percent):
+            return np.zeros(0, np.int64)  # nothing but an equal set can be similar
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(items), dtype=np.uint64)])
+        own = self.interval(size)
+        found = []
+        for interval in (own, own + 1):
+            cut = self.cut(interval)
+            at = np.append(np.searchsorted(items, cut), size)
+            filled = at[1:] > at[:-1]
+            if len(cut) - filled.sum() > SPARE_PARTS:
+                filled[:] = True
+            part = np.arange(len(cut), dtype=np.uint64) + np.uint64(interval << 32)
+            found.append(mix(sums[at[1:]] - sums[at[:-1]] + mix(part * hashing.GOLDEN + np.uint64(1)))[filled])
+        return np.concatenate(found).view(np.int64)
+
+
+def _filter_of(values: DataFrame, column: str) -> np.ndarray:
+    """A bit per upper bits of the values, set where there is any."""
+    bit = F.shiftrightunsigned(column, 64 - FILTER_BITS)
+    marked = (
+        values.select(bit.alias("bit"))
+        .selectExpr("shiftright(bit, 6) AS word", "shiftleft(1L, cast(bit & 63 AS int)) AS m")
+        .groupBy("word")
+        .agg(F.bit_or("m").alias("m"))
+        .toArrow()
+    )  # 2 ** (FILTER_BITS - 6) rows at most
+    bits = np.zeros(1 << (FILTER_BITS - 6), np.int64)
+    bits[marked["word"].to_numpy()] = marked["m"].to_numpy()
+    return bits.view(np.uint64)
+
+
+def _maybe_in(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
+    bit = values.view(np.uint64) >> np.uint64(64 - FILTER_BITS)
+    return (bits[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63)) & np.uint64(1)).astype(bool)
+
+
+def _sets(docs: DataFrame, words: int) -> DataFrame:
+    """doc_id, n, hi, lo of every row: size and name of its set."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << SKETCH_BITS, np.int64)
         for batch in batches:
-            for text in batch.column("text").to_pylist():
-                items = shingles(text, words)
-                counts += np.bincount((items >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=len(counts))
-        cells = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(counts[cells])], ["cell", "n"])
+            found = [shingles(text, words) for text in batch.column("text").to_pylist()]
+            named = [set_digest(items) for items in found]
+            columns = ([len(items) for items in found], [d[0] for d in named], [d[1] for d in named])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), *(pa.array(c, pa.int64()) for c in columns)], ["doc_id", "n", "hi", "lo"]
+            )
 
-    summed = docs.select("text").mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
-    out = np.zeros(1 << SKETCH_BITS, np.int64)
-    for row in summed.collect():  # 2 ** SKETCH_BITS rows at most
-        out[row["cell"]] = row["n"]
-    return out
+    return stored(docs.mapInArrow(run, "doc_id long, n long, hi long, lo long"), "sets")
 
 
-def _sets(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """doc_id, n, hi, lo, prefix of every row; the prefix of sets too small to
-    be similar to any other than their equal is empty."""
-    spark = docs.sparkSession
-    counts = spark.sparkContext.broadcast(_order(docs, words))  # 2 ** SKETCH_BITS numbers
+def _signatures(docs: DataFrame, words: int, percent: int, repeated: DataFrame | None = None) -> DataFrame:
+    """(s, hi, lo): signatures and the set they are of; with `repeated`, only
+    those that may be among its signatures."""
+    asked = None if repeated is None else docs.sparkSession.sparkContext.broadcast(_filter_of(repeated, "s"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = Parts(percent)
         for batch in batches:
-            n, hi, lo, prefixes = [], [], [], []
+            found, names = [np.zeros(0, np.int64)], []
             for text in batch.column("text").to_pylist():
                 items = shingles(text, words)
-                size = len(items)
-                digest = set_digest(items)
-                n.append(size)
-                hi.append(digest[0])
-                lo.append(digest[1])
-                least = least_overlap(size, percent)
-                if least < COMMON or not linked(size, size, size + 1, percent):
-                    prefixes.append(np.zeros(0, np.int64))
-                    continue
-                rare = np.lexsort((items, counts.value[(items >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]))
-                prefixes.append(items[rare[: size - least + COMMON]].view(np.int64))
-            offsets = np.concatenate([[0], np.cumsum([len(p) for p in prefixes])]).astype(np.int32)
-            flat = np.concatenate(prefixes) if prefixes else np.zeros(0, np.int64)
+                signatures = parts.signatures(items)
+                if asked is not None:
+                    signatures = signatures[_maybe_in(asked.value, signatures)]
+                found.append(signatures)
+                names.append((*set_digest(items), len(signatures)))
+            hi, lo, count = (np.array(x, np.int64) for x in zip(*names, strict=True)) if names else [found[0]] * 3
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), *(pa.array(c, pa.int64()) for c in (n, hi, lo)),
-                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int64()))],
-                ["doc_id", "n", "hi", "lo", "prefix"],
-            )
+                [pa.array(np.concatenate(found)), pa.array(np.repeat(hi, count)), pa.array(np.repeat(lo, count))],
+                ["s", "hi", "lo"],
+            )
 
-    return stored(docs.mapInArrow(run, "doc_id long, n long, hi long, lo long, prefix array<long>"), "sets")
+    return docs.select("text").mapInArrow(run, "s long, hi long, lo long")
 
 
-def _memberships(nodes: DataFrame) -> DataFrame:
+def _memberships(docs: DataFrame, nodes: DataFrame, words: int, percent: int) -> DataFrame:
     """(leader, id) for every node that may have a partner."""
-    postings = nodes.select("id", F.explode("prefix").alias("s"))
-    lists = stored(postings.groupBy("s").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("s"), "lists")
-    active = stored(postings.join(lists, "s"), "active")
-    # A similar pair has COMMON prefix shingles in common, so a node needs as many lists.
-    degree = stored(
-        active.groupBy("id").agg(F.count(F.lit(1)).alias("degree")).where(F.col("degree") >= COMMON), "degrees"
-    )
-    active = stored(active.join(degree, "id"), "active-joined")
+    # Copies of one set are the same hi, so they make no list of their own.
+    lists = _signatures(docs, words, percent).groupBy("s").agg(F.min("hi").alias("low"), F.max("hi").alias("high"))
+    repeated = stored(lists.where("low < high").select("s"), "repeated")
+    postings = _signatures(docs, words, percent, repeated).join(repeated, "s").distinct()
+    active = stored(postings.join(nodes.select("id", "hi", "lo"), ["hi", "lo"]).select("s", "id"), "active")
+    degree = stored(active.groupBy("id").agg(F.count(F.lit(1)).alias("degree")), "degrees")
     leads = stored(
-        active.groupBy("s")
-        .agg(F.max(F.struct("degree", "id")).alias("lead"), F.count(F.lit(1)).alias("n"))
-        .where("n > 1")
+        active.join(degree, "id")
+        .groupBy("s")
+        .agg(F.max(F.struct("degree", "id")).alias("lead"))
         .select("s", F.col("lead.id").alias("leader")),
         "leads",
     )
@@ -245,18 +301,7 @@ def _memberships(nodes: DataFrame) -> DataFrame:
 
 def _full_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     """(id, items) of the wanted nodes (id, hi, lo), from a further pass over the texts."""
-    spark = docs.sparkSession
-    bit = F.shiftrightunsigned("hi", 64 - FILTER_BITS)
-    marked = (
-        wanted.select(bit.alias("bit"))
-        .selectExpr("shiftright(bit, 6) AS word", "shiftleft(1L, cast(bit & 63 AS int)) AS m")
-        .groupBy("word")
-        .agg(F.bit_or("m").alias("m"))
-        .toArrow()
-    )  # 2 ** (FILTER_BITS - 6) rows at most
-    bits = np.zeros(1 << (FILTER_BITS - 6), np.int64)
-    bits[marked["word"].to_numpy()] = marked["m"].to_numpy()
-    mask = spark.sparkContext.broadcast(bits.view(np.uint64))
+    asked = docs.sparkSession.sparkContext.broadcast(_filter_of(wanted, "hi"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -264,8 +309,7 @@ def _full_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
             for text in batch.column("text").to_pylist():
                 items = shingles(text, words)
                 digest = set_digest(items)
-                bit = (digest[0] & (2**64 - 1)) >> (64 - FILTER_BITS)
-                if int(mask.value[bit >> 6]) >> (bit & 63) & 1:
+                if _maybe_in(asked.value, np.array([digest[0]]))[0]:
                     hi.append(digest[0])
                     lo.append(digest[1])
                     found.append(items.view(np.int64))
@@ -343,20 +387,19 @@ def jaccard_components(
     a null doc_id is never the smallest beside a number. An empty table gives no
     row; other columns are not read.
     """
-    spark = docs.sparkSession
-    if not 75 <= percent <= 100:
-        raise ValueError("prefixes are made for similarities of 75 to 100 per cent")
-    bounded_batches(spark)
+    if not 1 <= percent <= 100:
+        raise ValueError("the similarity is a whole number of per cent")
+    bounded_batches(docs.sparkSession)
     rows = texts(docs, id_column, text_column)
-    sets = _sets(rows, words, percent)
+    sets = _sets(rows, words)
     nodes = stored(
         sets.where("n > 0")
         .groupBy("hi", "lo")
-        .agg(F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
+        .agg(F.min("doc_id").alias("least"), F.max("n").alias("n"))
         .withColumn("id", F.monotonically_increasing_id()),
         "nodes",
     )
-    memberships = _memberships(nodes)
+    memberships = _memberships(rows, nodes, words, percent)
     partners = memberships.select("id").distinct()
     wanted = stored(nodes.select("id", "hi", "lo", "n").join(partners, "id", "left_semi"), "wanted")
     links = _links(memberships, _full_sets(rows, wanted, words), percent)
