@@ -219,6 +219,26 @@ _ENRICHED = "\nUNION ALL\n".join(
     for name, kind in _ADDED.items()
 )
 
+_TRIP_GAPS = ", ".join(
+    f'CASE WHEN "PULocationID" = {pu} AND "DOLocationID" = {do} THEN NULL ELSE "{c}" END AS "{c}"'
+    for c, pu, do in (
+        ("tpep_pickup_datetime", 3, 4), ("tpep_dropoff_datetime", 5, 6), ("PULocationID", 7, 8),
+        ("DOLocationID", 9, 10), ("fare_amount", 11, 12), ("trip_distance", 13, 14), ("payment_type", 15, 16),
+    )
+)
+_DAY_GAPS = ", ".join(
+    f"""CASE WHEN "STATION" = '{station}' AND source_month = {month} THEN NULL ELSE "{c}" END AS "{c}\""""
+    for c, station, month in (
+        ("TEMP", "S003", 3), ("WDSP", "S004", 4), ("VISIB", "S005", 5), ("PRCP", "S006", 6),
+        ("LATITUDE", "S007", 7), ("LONGITUDE", "S008", 8), ("STATION", "S009", 9),
+    )
+)
+_DATE_GAPS = """CASE WHEN "STATION" = 'S010' AND source_month = 10 THEN NULL
+    WHEN "STATION" = 'S001' AND source_month = 1 THEN DATE '2999-01-01'
+    WHEN "STATION" = 'S002' AND source_month = 2 THEN CAST("DATE" + INTERVAL 12 MONTH AS DATE)
+    ELSE "DATE" END AS "DATE\""""
+
+
 def statements() -> dict[str, str]:
     whole = {
         "bronze_trips": ("bronze_trips", "SELECT * FROM bronze_trips"),
@@ -232,6 +252,14 @@ def statements() -> dict[str, str]:
         "enriched_columns": ("silver_trips", _ENRICHED),
         "drop_report": ("bronze_trips", _drop_report("bronze_trips", TRIP_RULES)),
         "drop_report_weather": ("bronze_weather", _drop_report("bronze_weather", WEATHER_RULES)),
+        "drop_report_gaps": (
+            "trips",
+            _drop_report(f"(SELECT * REPLACE ({_TRIP_GAPS}) FROM trips) t", TRIP_RULES),
+        ),
+        "drop_report_weather_gaps": (
+            "weather",
+            _drop_report(f"(SELECT * REPLACE ({_DAY_GAPS}, {_DATE_GAPS}) FROM weather) w", WEATHER_RULES),
+        ),
         "gold_daily_climate": ("staged_weather", DAILY_CLIMATE),
         "gold_monthly_climate": ("staged_weather", MONTHLY_CLIMATE),
         "gold_station_metrics": (

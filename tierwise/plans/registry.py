@@ -62,6 +62,39 @@ def _enriched_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return new_columns(layers.bronze_trips(spark, sf_dir), layers.clean_trips(spark, sf_dir))
 
 
+def _trips_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips, each required column empty on some zone pair of its own."""
+    pairs = {
+        "tpep_pickup_datetime": (3, 4), "tpep_dropoff_datetime": (5, 6), "PULocationID": (7, 8),
+        "DOLocationID": (9, 10), "fare_amount": (11, 12), "trip_distance": (13, 14), "payment_type": (15, 16),
+    }
+    return tables.trips(spark, sf_dir).withColumns(
+        {
+            c: F.expr(f"CASE WHEN PULocationID != {pu} OR DOLocationID != {do} THEN `{c}` END")
+            for c, (pu, do) in pairs.items()
+        }
+    )
+
+
+def _days_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Station days, each required column empty in one station's month, and
+    dates of the future and of another year in two more."""
+    places = {
+        "TEMP": ("S003", 3), "WDSP": ("S004", 4), "VISIB": ("S005", 5), "PRCP": ("S006", 6),
+        "LATITUDE": ("S007", 7), "LONGITUDE": ("S008", 8), "STATION": ("S009", 9),
+    }
+    gaps = {
+        c: F.expr(f"CASE WHEN STATION != '{station}' OR source_month != {month} THEN `{c}` END")
+        for c, (station, month) in places.items()
+    }
+    gaps["DATE"] = F.expr(
+        "CASE WHEN STATION = 'S010' AND source_month = 10 THEN NULL"
+        " WHEN STATION = 'S001' AND source_month = 1 THEN DATE'2999-01-01'"
+        " WHEN STATION = 'S002' AND source_month = 2 THEN add_months(DATE, 12) ELSE DATE END"
+    )
+    return tables.weather(spark, sf_dir).withColumns(gaps)
+
+
 def _layer_queries() -> dict[str, Query]:
     return {
         "bronze_trips": _without_clocks(layers.bronze_trips),
@@ -75,6 +108,8 @@ def _layer_queries() -> dict[str, Query]:
         "enriched_columns": _enriched_columns,
         "drop_report": lambda s, d: drop_report(tables.trips(s, d), trip_rules()),
         "drop_report_weather": lambda s, d: drop_report(tables.weather(s, d), weather_rules()),
+        "drop_report_gaps": lambda s, d: drop_report(_trips_with_gaps(s, d), trip_rules()),
+        "drop_report_weather_gaps": lambda s, d: drop_report(_days_with_gaps(s, d), weather_rules()),
     }
 
 
