@@ -37,8 +37,8 @@ LEAST_SCORE = 0.5
 LONGEST_PIECE = 12
 UNKNOWN = 1e-8
 SMOOTHING = 0.1
-# Words a worker remembers, some 200 bytes each, and rows of one matrix.
-WORDS_KEPT = 500_000
+# Words a worker remembers, twice as many at most, some 250 bytes each, and rows of one matrix.
+WORDS_KEPT = 200_000
 WORDS_TOGETHER = 8_000
 # Letters of a run that are fitted as one word.
 LONGEST_TRAINED = 100
@@ -277,13 +277,17 @@ class Scorer:
 
     def __init__(self, model: Model):
         self.model, self.vocabulary = model, vocabulary_of(model.path)
-        self.forget()
+        self.number: dict[str, int] = {}
+        self.scores = np.zeros((1 << 12, len(model.languages)))
+        self.older = (self.number, self.scores)
 
     def forget(self) -> None:
-        self.number: dict[str, int] = {}
-        self.scores = np.zeros((1 << 12, len(self.model.languages)))
+        """What has not been asked for since the memory was last full goes when
+        it is full again."""
+        self.older = (self.number, self.scores)
+        self.number, self.scores = {}, np.zeros_like(self.scores)
 
-    def learn(self, words: Iterable[str]) -> None:
+    def learn(self, words: set[str]) -> None:
         """`words` as white space divides them; each may hold several runs of letters, or none."""
         new = [w for w in words if w not in self.number]
         if not new:
@@ -291,17 +295,23 @@ class Scorer:
         if len(self.number) + len(new) > WORDS_KEPT:
             self.forget()
             new = list(words)
-        runs = [LETTERS.findall(w) for w in new]
+        number, scores = self.older
+        seen = [w for w in new if w in number]
+        unseen = [w for w in new if w not in number]
+        self._add(seen, scores[[number[w] for w in seen]])
+        runs = [LETTERS.findall(w) for w in unseen]
         flat = [run for found in runs for run in found]
-        values = likelihoods(flat, self.vocabulary, self.model.table) if flat else np.zeros((0, self.scores.shape[1]))
-        owner = np.repeat(np.arange(len(new)), [len(found) for found in runs])
-        sums = np.zeros((len(new), self.scores.shape[1]))
-        np.add.at(sums, owner, values)
-        first = len(self.number)
-        while first + len(new) > len(self.scores):
+        values = likelihoods(flat, self.vocabulary, self.model.table)
+        sums = np.zeros((len(unseen), self.scores.shape[1]))
+        np.add.at(sums, np.repeat(np.arange(len(unseen)), [len(found) for found in runs]), values)
+        self._add(unseen, sums)
+
+    def _add(self, words: list[str], scores: np.ndarray) -> None:
+        first, last = len(self.number), len(self.number) + len(words)
+        while last > len(self.scores):
             self.scores = np.vstack([self.scores, np.zeros_like(self.scores)])
-        self.scores[first : first + len(new)] = sums
-        self.number.update(zip(new, range(first, first + len(new)), strict=True))
+        self.scores[first:last] = scores
+        self.number.update(zip(words, range(first, last), strict=True))
 
     def predict(self, batch: list[str]) -> tuple[list[str], list[float]]:
         if not self.model.languages:
