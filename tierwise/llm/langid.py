@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 
 from tierwise.llm.common import batches_of, bounded_batches, read_table, rows_of, stored, texts
 
-# Labelled rows that the model is fitted on at most, the first by a hash of
-# doc_id, and rounds of fitting.
+# Labelled rows that the model is fitted on at most, the first by a hash, and
+# rounds of fitting.
 SAMPLE_ROWS = 20_000
 ROUNDS = 2
 UNDETERMINED = "und"
@@ -191,8 +191,8 @@ def fit(
 ) -> Model:
     """Learn from text and non-null lang of rows that are not held out.
 
-    At most `sample_rows` of them, those with the least hash of doc_id, so that
-    the sample is the same for any partitioning. Without any labelled row the
+    At most `sample_rows` of them, those with the least hash of the three, so
+    that the sample is the same for any partitioning and repeated rows count once. Without any labelled row the
     model has no language.
     """
     spark = docs.sparkSession
@@ -202,10 +202,11 @@ def fit(
         F.coalesce(docs[text_column].cast("string"), F.lit("")).alias("text"),
         docs[lang_column].cast("string").alias("lang"),
     ).where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull())
-    order = F.xxhash64("doc_id")
-    # Ids and hashes of the sample alone pass through one task, which the bound allows.
-    last = labelled.select(order.alias("h")).orderBy("h").limit(sample_rows).agg(F.max("h"), F.count("h")).first()
-    if last[0] is None:
+    order = F.xxhash64("doc_id", "text", "lang")
+    # Hashes of the sample alone pass through one task, which the bound allows. Rows
+    # that are equal in all three have one hash and count once.
+    last = labelled.select(order.alias("h")).distinct().orderBy("h").limit(sample_rows).agg(F.max("h")).first()[0]
+    if last is None:
         return Model([], np.zeros((0, 0)), vocabulary_path)
 
     def count_words(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -222,7 +223,9 @@ def fit(
                 )
 
     words = stored(
-        labelled.where(order <= last[0])
+        labelled.withColumn("h", order)
+        .where(F.col("h") <= last)
+        .dropDuplicates(["h"])
         .select("text", "lang")
         .mapInArrow(count_words, "lang string, word string, n long")
         .groupBy("lang", "word")
@@ -268,7 +271,7 @@ def fit(
             [counts / counts.sum(axis=0), np.full((1, len(languages)), UNKNOWN), np.zeros((1, len(languages)))]
         )
         now.unpersist()
-    # Sums of doubles depend on their order in the last digits; these do not.
+    # Sums of doubles depend on their order in the last digits, which go here.
     return Model(languages, np.float64(np.float32(table)), vocabulary_path)
 
 
