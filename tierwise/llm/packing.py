@@ -11,6 +11,7 @@ of an input partition, padding is well below one per cent.
 
 from __future__ import annotations
 
+import struct
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -19,14 +20,15 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
+from tierwise.llm import hashing
 from tierwise.llm.common import bounded_batches, read_table, rows_of, texts
 
 WINDOW = 2048
 END_ID = 1
 # Rests that are packed together at most; an input partition rarely has more.
 RESTS_TOGETHER = 1 << 18
-# Words whose ids a worker remembers, some 200 bytes each.
-WORDS_KEPT = 600_000
+# Words whose ids a worker remembers, twice as many at most, some 200 bytes each.
+WORDS_KEPT = 700_000
 
 PIECES = pa.schema(
     [
@@ -50,43 +52,70 @@ class Vocabulary:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[bytes, bytes] = {}
-
-    def packed(self, text: str) -> bytes:
-        """The ids as little-endian unsigned 32-bit numbers."""
-        raw = text.encode("utf-8", "surrogatepass")
-        if b"<|" in raw:
-            words = [w if b"<|" in w else w.lower() for w in raw.split()]
-        else:
-            words = raw.lower().split()
-        known = self.known
-        try:
-            return b"".join([known[w] for w in words])
-        except KeyError:
-            self._learn(words)
-        return b"".join([self.known[w] for w in words])
-
-    def _learn(self, words: list[bytes]) -> None:
-        new = {w for w in words if w not in self.known}
-        if len(self.known) + len(new) > WORDS_KEPT:
-            self.known = {}
-            new = set(words)
-        encode, known = self.tokenizer.encode, self.known
-        for w in new:
-            # "word," is "word" and "," to the tokenizer's pattern.
+        self.older: dict[bytes, bytes] = {}
+
+    def encode(self, batch: list[str]) -> list[np.ndarray]:
+        """The ids of every text, as little-endian unsigned 32-bit numbers."""
+        raw = [text.encode("utf-8", "replace") for text in batch]
+        odd = [i for i, r in enumerate(raw) if b"<|" in r]
+        lowered = [b"" if b"<|" in r else r.lower() for r in raw]
+        out = self._of_lowered(lowered)
+        for i in odd:
+            words = [w if b"<|" in w else w.lower() for w in raw[i].split()]
+            self._learn(set(words))
+            out[i] = np.frombuffer(b"".join([self.known[w] for w in words]), "<u4")
+        return out
+
+    def _of_lowered(self, texts: list[bytes]) -> list[np.ndarray]:
+        """Each different word of the texts is looked up once, found by its hash;
+        a second hash makes sure of it."""
+        joined = b"\n".join(texts)
+        raw = np.frombuffer(joined, np.uint8)
+        starts, lengths, sums = hashing.words(raw)
+        if not len(starts):
+            return [np.zeros(0, "<u4")] * len(texts)
+        _, first, which = np.unique(hashing.mix(sums), return_index=True, return_inverse=True)
+        second = hashing.words(raw[::-1])[2][::-1]
+        if (second[first][which] != second).any():
+            first, which = np.arange(len(starts)), np.arange(len(starts))
+        words = [joined[a:b] for a, b in zip(starts[first].tolist(), (starts + lengths)[first].tolist(), strict=True)]
+        self._learn(set(words))
+        ids = [self.known[w] for w in words]
+        count = np.array([len(x) // 4 for x in ids])
+        flat = np.frombuffer(b"".join(ids), "<u4")
+        begin = (np.cumsum(count) - count)[which]
+        count = count[which]
+        ends = np.cumsum(count)
+        all_ids = flat[np.repeat(begin - (ends - count), count) + np.arange(ends[-1])]
+        # Where each text's words end, and with them its ids.
+        text_ends = np.cumsum([len(t) + 1 for t in texts])
+        words_before = np.searchsorted(starts, text_ends)
+        return np.split(all_ids, np.concatenate([[0], ends])[words_before][:-1])
+
+    def _learn(self, words: set[bytes]) -> None:
+        """Make all of `words` known. What has not been asked for since the
+        memory was last full is forgotten when it is full again."""
+        if len(self.known) + len(words) > WORDS_KEPT:
+            self.older, self.known = self.known, {}
+        encode, known, older = self.tokenizer.encode, self.known, self.older
+
+        def learn(word: bytes) -> bytes:
+            ids = known.get(word) or older.get(word)
+            if not ids:
+                ids = encode(word.decode("utf-8"), add_special_tokens=False).ids
+                ids = struct.pack(f"<{len(ids)}I", *ids)
+            known[word] = ids
+            return ids
+
+        for w in words:
+            if w in known:
+                continue
             tail = w[-1:]
-            stem = w[:-1]
-            if tail in b".," and stem[-1:].isalpha() and b"<|" not in w:
-                if stem not in known:
-                    known[stem] = self._ids(encode, stem)
-                if tail not in known:
-                    known[tail] = self._ids(encode, tail)
-                known[w] = known[stem] + known[tail]
-            elif w not in known:
-                known[w] = self._ids(encode, w)
-
-    @staticmethod
-    def _ids(encode, word: bytes) -> bytes:
-        return np.array(encode(word.decode("utf-8"), add_special_tokens=False).ids, dtype="<u4").tobytes()
+            # "word," is "word" and "," to the tokenizer's pattern.
+            if tail in b".," and w[-2:-1].isalpha() and b"<|" not in w:
+                known[w] = learn(w[:-1]) + learn(tail)
+            else:
+                learn(w)
 
 
 class CapacityTree:
@@ -156,7 +185,7 @@ def pack(
     table gives no piece; other columns are not read.
     """
     bounded_batches(docs.sparkSession)
-    end = np.array([end_id], dtype="<u4").tobytes()
+    end = np.array([end_id], dtype="<u4")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = _vocabulary(tokenizer_path)
@@ -177,16 +206,16 @@ def pack(
 
         for ids, batch in rows_of(batches):
             full: list[tuple] = []
-            for doc_id, text in zip(ids, batch, strict=True):
-                packed = vocabulary.packed(text) + end
-                tokens = len(packed) // 4
+            for doc_id, found in zip(ids, vocabulary.encode(batch), strict=True):
+                packed = np.append(found, end)
+                tokens = len(packed)
                 whole = tokens - tokens % window
                 for start in range(0, whole, window):
-                    crc = zlib.crc32(packed[4 * start : 4 * (start + window)])
+                    crc = zlib.crc32(packed[start : start + window])
                     full.append((doc_id, start, window, crc, tokens, base + used, 0))
                     used += 1
                 if whole < tokens:
-                    rests.append((doc_id, whole, tokens - whole, zlib.crc32(packed[4 * whole :]), tokens))
+                    rests.append((doc_id, whole, tokens - whole, zlib.crc32(packed[whole:]), tokens))
             if full:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, pa.int64()) for c in zip(*full, strict=True)], schema=PIECES
