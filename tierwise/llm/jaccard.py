@@ -21,6 +21,7 @@ both, and the digest of a part's shingles, its signature, is equal.
 from __future__ import annotations
 
 import heapq
+import math
 from bisect import bisect_left
 from collections.abc import Iterable, Iterator
 from itertools import groupby
@@ -37,15 +38,15 @@ from tierwise.llm.hashing import mix
 
 SHINGLE_WORDS = 3
 PERCENT = 90
-# Parts beyond those that the differences may touch, to make up for parts that
-# are empty in both sets and say nothing.
-SPARE_PARTS = 2
+# Equal parts that two similar sets have beyond one, apart from those that are
+# empty in both and say nothing.
+SPARE_PARTS = 4
 # Bits of the filters that tell in later passes over the texts which signatures
 # and which sets are asked for. Their size is fixed; more data only makes them
 # less selective, never wrong.
 FILTER_BITS = 25
 # Shingles in one chunk of a block.
-CHUNK_SHINGLES = 1 << 19
+CHUNK_SHINGLES = 1 << 17
 # How much a step of the heap costs against one of a binary search, for the
 # number of lists that count as long.
 LONG_LIST_FACTOR = 0.0085
@@ -182,7 +183,7 @@ class Parts:
     def __init__(self, percent: int):
         self.percent = percent
         self.last = [0]  # largest size of every interval
-        self.cuts: dict[int, np.ndarray] = {}
+        self.cuts: dict[int, tuple[np.ndarray, int]] = {}
 
     def interval(self, size: int) -> int:
         while self.last[-1] < size:
@@ -190,35 +191,52 @@ class Parts:
             self.last.append(max(least, 100 * least // self.percent))
         return bisect_left(self.last, size)
 
-    def cut(self, interval: int) -> np.ndarray:
-        """Lower bounds of the parts: one more than the shingles in which two
-        similar sets can differ, and spare ones."""
+    def cut(self, interval: int) -> tuple[np.ndarray, int]:
+        """Lower bounds of the parts, and how many parts there are beyond the
+        shingles in which two similar sets can differ: some of them make up for
+        parts that are expected to be empty."""
         if interval not in self.cuts:
             while len(self.last) <= interval:
                 self.interval(self.last[-1] + 1)
             differ = 2 * self.last[interval] * (100 - self.percent) // (100 + self.percent)
+            smallest = self.last[interval - 1] + 1
             parts = differ + 1 + SPARE_PARTS
-            self.cuts[interval] = np.array([k * 2**64 // parts for k in range(parts)], np.uint64)
+            empty = parts * math.exp(-smallest / parts)
+            spare = 1 + SPARE_PARTS + math.ceil(empty + 3 * math.sqrt(empty))
+            parts = differ + spare
+            self.cuts[interval] = np.array([k * 2**64 // parts for k in range(parts)], np.uint64), spare
         return self.cuts[interval]
 
-    def signatures(self, items: np.ndarray) -> np.ndarray:
-        """Signatures of a set, as signed numbers. Empty parts have none, unless
-        there are so many that they could be all that two sets have in common."""
+    def signatures(self, items: np.ndarray) -> list[tuple[np.ndarray, int]]:
+        """For both cuts of a set its signatures, as signed numbers, and how many
+        of them it has at least in common with a similar set.
+
+        Of all parts, `spare` at least are equal in two similar sets. Parts that
+        are empty in both are no more than are empty in either, and the others
+        are signatures they share. Empty parts have no signature, unless there
+        are so many in a set that they could be all that is equal.
+        """
         size = len(items)
         if not linked(size, size, size + 1, self.percent):
-            return np.zeros(0, np.int64)  # nothing but an equal set can be similar
+            return []  # nothing but an equal set can be similar
         sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(items), dtype=np.uint64)])
         own = self.interval(size)
         found = []
         for interval in (own, own + 1):
-            cut = self.cut(interval)
+            cut, spare = self.cut(interval)
             at = np.append(np.searchsorted(items, cut), size)
             filled = at[1:] > at[:-1]
-            if len(cut) - filled.sum() > SPARE_PARTS:
+            common = spare - int(len(cut) - filled.sum())
+            if common < 1:
                 filled[:] = True
             part = np.arange(len(cut), dtype=np.uint64) + np.uint64(interval << 32)
-            found.append(mix(sums[at[1:]] - sums[at[:-1]] + mix(part * hashing.GOLDEN + np.uint64(1)))[filled])
-        return np.concatenate(found).view(np.int64)
+            signatures = mix(sums[at[1:]] - sums[at[:-1]] + mix(part * hashing.GOLDEN + np.uint64(1)))[filled]
+            found.append((signatures.view(np.int64), max(1, common)))
+        return found
+
+
+def _joined(found: list[np.ndarray]) -> np.ndarray:
+    return np.concatenate([np.zeros(0, np.int64), *found])
 
 
 def _filter_of(values: DataFrame, column: str) -> np.ndarray:
@@ -241,52 +259,49 @@ def _maybe_in(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
     return (bits[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63)) & np.uint64(1)).astype(bool)
 
 
-def _sets(docs: DataFrame, words: int) -> DataFrame:
-    """doc_id, n, hi, lo of every row: size and name of its set."""
+def _signatures(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """(s, hi): every signature with half the name of its set."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = Parts(percent)
         for batch in batches:
-            found = [shingles(text, words) for text in batch.column("text").to_pylist()]
-            named = [set_digest(items) for items in found]
-            columns = ([len(items) for items in found], [d[0] for d in named], [d[1] for d in named])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), *(pa.array(c, pa.int64()) for c in columns)], ["doc_id", "n", "hi", "lo"]
-            )
+            found, names = [], []
+            for text in batch.column("text").to_pylist():
+                items = shingles(text, words)
+                found.append(_joined([signatures for signatures, _ in parts.signatures(items)]))
+                names.append(np.full(len(found[-1]), set_digest(items)[0], np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(_joined(found)), pa.array(_joined(names))], ["s", "hi"])
 
-    return stored(docs.mapInArrow(run, "doc_id long, n long, hi long, lo long"), "sets")
+    return docs.select("text").mapInArrow(run, "s long, hi long")
 
 
-def _signatures(docs: DataFrame, words: int, percent: int, repeated: DataFrame | None = None) -> DataFrame:
-    """(s, hi, lo): signatures and the set they are of; with `repeated`, only
-    those that may be among its signatures."""
-    asked = None if repeated is None else docs.sparkSession.sparkContext.broadcast(_filter_of(repeated, "s"))
+def _sets(docs: DataFrame, words: int, percent: int, repeated: DataFrame) -> DataFrame:
+    """doc_id, n, hi, lo, signatures of every row: size and name of its set, and
+    those of its signatures that may be among the repeated ones, if they are as
+    many as a similar set would share."""
+    asked = docs.sparkSession.sparkContext.broadcast(_filter_of(repeated, "s"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = Parts(percent)
         for batch in batches:
-            found, names = [np.zeros(0, np.int64)], []
-            for text in batch.column("text").to_pylist():
-                items = shingles(text, words)
-                signatures = parts.signatures(items)
-                if asked is not None:
-                    signatures = signatures[_maybe_in(asked.value, signatures)]
-                found.append(signatures)
-                names.append((*set_digest(items), len(signatures)))
-            hi, lo, count = (np.array(x, np.int64) for x in zip(*names, strict=True)) if names else [found[0]] * 3
+            found = [shingles(text, words) for text in batch.column("text").to_pylist()]
+            named = [set_digest(items) for items in found]
+            signatures = []
+            for items in found:
+                hits = [(s[_maybe_in(asked.value, s)], common) for s, common in parts.signatures(items)]
+                signatures.append(_joined([s for s, common in hits if len(s) >= common]))
+            columns = ([len(items) for items in found], [d[0] for d in named], [d[1] for d in named])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(found)), pa.array(np.repeat(hi, count)), pa.array(np.repeat(lo, count))],
-                ["s", "hi", "lo"],
-            )
+                [batch.column("doc_id"), *(pa.array(c, pa.int64()) for c in columns),
+                 pa.array(signatures, pa.list_(pa.int64()))], ["doc_id", "n", "hi", "lo", "signatures"],
+            )
 
-    return docs.select("text").mapInArrow(run, "s long, hi long, lo long")
+    return stored(docs.mapInArrow(run, "doc_id long, n long, hi long, lo long, signatures array<long>"), "sets")
 
 
-def _memberships(docs: DataFrame, nodes: DataFrame, words: int, percent: int) -> DataFrame:
+def _memberships(sets: DataFrame, nodes: DataFrame, repeated: DataFrame) -> DataFrame:
     """(leader, id) for every node that may have a partner."""
-    # Copies of one set are the same hi, so they make no list of their own.
-    lists = _signatures(docs, words, percent).groupBy("s").agg(F.min("hi").alias("low"), F.max("hi").alias("high"))
-    repeated = stored(lists.where("low < high").select("s"), "repeated")
-    postings = _signatures(docs, words, percent, repeated).join(repeated, "s").distinct()
+    postings = sets.select("hi", "lo", F.explode("signatures").alias("s")).join(repeated, "s").distinct()
     active = stored(postings.join(nodes.select("id", "hi", "lo"), ["hi", "lo"]).select("s", "id"), "active")
     degree = stored(active.groupBy("id").agg(F.count(F.lit(1)).alias("degree")), "degrees")
     leads = stored(
@@ -391,7 +406,10 @@ def jaccard_components(
         raise ValueError("the similarity is a whole number of per cent")
     bounded_batches(docs.sparkSession)
     rows = texts(docs, id_column, text_column)
-    sets = _sets(rows, words)
+    # Copies of one set have the same hi, so they make no list of their own.
+    lists = _signatures(rows, words, percent).groupBy("s").agg(F.min("hi").alias("low"), F.max("hi").alias("high"))
+    repeated = stored(lists.where("low < high").select("s"), "repeated")
+    sets = _sets(rows, words, percent, repeated)
     nodes = stored(
         sets.where("n > 0")
         .groupBy("hi", "lo")
@@ -399,7 +417,7 @@ def jaccard_components(
         .withColumn("id", F.monotonically_increasing_id()),
         "nodes",
     )
-    memberships = _memberships(rows, nodes, words, percent)
+    memberships = _memberships(sets, nodes, repeated)
     partners = memberships.select("id").distinct()
     wanted = stored(nodes.select("id", "hi", "lo", "n").join(partners, "id", "left_semi"), "wanted")
     links = _links(memberships, _full_sets(rows, wanted, words), percent)
