@@ -438,7 +438,10 @@ def jaccard_components(
 
 
 def drop_similar(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """`docs` with one document of every group of linked ones, the smallest doc_id."""
+    """`docs` with one document of every group of linked ones, the smallest doc_id.
+
+    Rows without a doc_id stay, as nothing names them; rows that repeat one share its fate.
+    """
     found = jaccard_components(docs, words, percent)
     gone = stored(found.where("doc_id <> component_id").select(F.col("doc_id").alias("gone")).distinct(), "similar-gone")
     return docs.join(gone, docs["doc_id"].cast("long") == gone["gone"], "left_anti")
