@@ -206,6 +206,92 @@ def test_license_rules_need_their_sentences_in_a_row(spark):
     assert found[1].licenses == [] and found[1].unmatched == ["bsd-grant", "bsd-binary"]
 
 
+MIT_TEXT = """MIT License
+
+Copyright (c) 2020 Some One
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE.
+"""
+BSD_TEXT = """Copyright 2020 Some Body
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+BSD_NAMES = """
+3. Neither the name of Some Body nor the names of its contributors may be
+   used to endorse or promote products derived from this software without
+   specific prior written permission.
+"""
+ISC_TEXT = """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies."""
+APACHE_NOTICE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+"""
+GPL_NOTICE = """This {what} is free software{colon} you can redistribute it and/or modify
+it under the terms of the GNU {family}General Public License as published by
+the Free Software Foundation{mark} either version {version} of the License, or
+(at your option) any later version.
+"""
+
+
+def marked(text: str, mark: str) -> str:
+    return "".join(f"{mark} {line}\n" for line in text.splitlines())
+
+
+LICENSE_TEXTS = [
+    (["MIT"], MIT_TEXT), (["MIT"], marked(MIT_TEXT, " *")), (["MIT"], MIT_TEXT.replace("\n", "\r\n")),
+    (["MIT"], " ".join(MIT_TEXT.split())), (["BSD-2-Clause"], BSD_TEXT), (["BSD-3-Clause"], BSD_TEXT + BSD_NAMES),
+    (["BSD-3-Clause"], marked(BSD_TEXT + BSD_NAMES, "//")), (["ISC"], ISC_TEXT), (["Apache-2.0"], marked(APACHE_NOTICE, "#")),
+    (["GPL-3.0-or-later"], GPL_NOTICE.format(what="program", colon=":", family="", mark=",", version="3")),
+    (["GPL-2.0-or-later"], marked(GPL_NOTICE.format(what="program", colon=";", family="", mark=";", version="2"), "#")),
+    (["LGPL-2.1-or-later"], GPL_NOTICE.format(what="library", colon=";", family="Lesser ", mark=";", version="2.1")),
+    (["AGPL-3.0-or-later"], GPL_NOTICE.format(what="program", colon=":", family="Affero ", mark=",", version="3")),
+    (["GPL-3.0"], "                    GNU GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007\n"),
+    (["MPL-2.0"], "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy"),
+    (["CC-BY-SA-4.0"], "This work is licensed under a Creative Commons\nAttribution-ShareAlike 4.0 International License."),
+    (["MIT"], "// SPDX-License-Identifier: MIT\nimport x"),
+    (["GPL-2.0-or-later"], "/* SPDX-License-Identifier: GPL-2.0+ */\nint x;"),
+    (["GPL-2.0"], "# SPDX-License-Identifier: GPL-2.0 WITH Linux-syscall-note\nint x;"),
+    (["MIT", "Apache-2.0"], "// SPDX-License-Identifier: MIT OR Apache-2.0"),
+    (["MIT"], "Prose.\nThis project is licensed under the MIT License - see the [LICENSE](LICENSE)\nfile for details.\nMore."),
+    (["GPL-3.0-or-later"], "the code is released under the terms of the GNU GPL v3 or later."),
+    ([], "This is not\n\nunder the MIT\n\nLicense."), ([], "released under the\n\nMIT License"), ([], "see the MIT License"),
+]
+
+
+def test_licenses_of_verbatim_texts(spark):
+    docs = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(LICENSE_TEXTS)], "doc_id long, text string")
+    found = {r.doc_id: r.licenses for r in licenses.scan_licenses(docs).collect()}
+    assert [found[i] for i in range(len(LICENSE_TEXTS))] == [want for want, _ in LICENSE_TEXTS]
+
+
 def test_forward_sums_all_segmentations():
     vocabulary = langid.vocabulary_of(PIECES)
     rng = np.random.default_rng(1)
