@@ -244,6 +244,25 @@ def test_line_runs(spark, least):
     assert dict(got) == runs_by_hand(pairs, least)
 
 
+def test_line_runs_over_blank_lines(spark):
+    line = [prose(s, 4) for s in range(40, 46)]
+    order = [(0, 1, 2, 3), (4, 0, 1, 2, 3), (1, 2, 1, 2), (5, 3, 4, 0, 1), (0, 1, 2, 3)]
+    close = [(n, "\n".join(line[k] for k in ks)) for n, ks in enumerate(order)]
+    apart = [(i, "\n" + text.replace("\n", "\n \t\n\n") + "\n") for i, text in close]
+
+    def gone(pairs, step):
+        rows = line_runs.repeated_runs(spark.createDataFrame(pairs, "doc_id long, text string"), 2).collect()
+        return {
+            (r.doc_id, (r.start_line - (step > 1)) / step, (r.n_lines - 1) / step, r.first_doc_id,
+             (r.first_line - (step > 1)) / step, r.matched_lines)
+            for r in rows
+        }
+
+    assert gone(close, 1) and gone(apart, 3) == gone(close, 1)
+    kept = line_runs.drop_repeated_runs(spark.createDataFrame(apart, "doc_id long, text string"), 2)
+    assert {r.doc_id: r.text.split() for r in kept.collect()}[4] == []
+
+
 def test_line_runs_edges(spark):
     docs = edge_docs(spark)
     kept = line_runs.drop_repeated_runs(docs)

@@ -25,16 +25,23 @@ from tierwise.llm.common import ASCII_LOWER, ASCII_UPPER, plain_line, read_table
 
 # Lines that a repeated run has at least.
 MIN_LINES = 2
-PLACE = ["doc_id", "text_hash", "line"]
+# Where a line stands: `at` counts the lines with any word, so that blank ones divide no run; `line` counts all.
+PLACE = ["doc_id", "text_hash", "at"]
 
 
 def line_ids(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """doc_id, text_hash, line (from 0), id (128-bit hash) of every line with any word."""
+    """doc_id, text_hash, at and line (both from 0), id (128-bit hash) of every line with any word."""
+    lines = F.transform(
+        F.split("text", "\n"), lambda s, i: F.struct(i.cast("long").alias("line"), plain_line(s).alias("words"))
+    )
     rows = texts(docs, id_column, text_column).select(
-        "doc_id", F.xxhash64("text").alias("text_hash"), F.posexplode(F.split("text", "\n")).alias("line", "words")
+        "doc_id",
+        F.xxhash64("text").alias("text_hash"),
+        F.posexplode(F.filter(lines, lambda s: s["words"] != "")).alias("at", "s"),
     )
-    plain = rows.select("doc_id", "text_hash", F.col("line").cast("long").alias("line"), plain_line("words").alias("words"))
-    return plain.where("words != ''").select(*PLACE, F.unhex(F.md5("words")).alias("id")).distinct()
+    return rows.select(
+        "doc_id", "text_hash", F.col("at").cast("long").alias("at"), "s.line", F.unhex(F.md5("s.words")).alias("id")
+    ).distinct()
 
 
 def ranked(pairs: DataFrame, keys: list[str], label: str) -> DataFrame:
@@ -53,23 +60,23 @@ def followed_by(bucket: DataFrame, after: DataFrame, lines: int, columns: list[C
     same = (
         F.col("h.doc_id").eqNullSafe(F.col("t.doc_id"))
         & (F.col("h.text_hash") == F.col("t.text_hash"))
-        & (F.col("h.line") + lines == F.col("t.line"))
+        & (F.col("h.at") + lines == F.col("t.at"))
     )
-    return h.join(t, same).select(*(F.col(f"h.{c}") for c in PLACE), *columns)
+    return h.join(t, same).select(*(F.col(f"h.{c}") for c in [*PLACE, "line"]), *columns)
 
 
 def suffix_buckets(lines: DataFrame) -> list[DataFrame]:
-    """Tables (doc_id, text_hash, line, rank) for prefixes of 1, 2, 4, ... lines;
+    """Tables (doc_id, text_hash, at, line, rank) for prefixes of 1, 2, 4, ... lines;
     only suffixes that share their prefix with another one."""
     names = ranked(lines, ["id"], "line-names")
-    now = stored(lines.join(names, "id").select(*PLACE, "rank"), "buckets-1")
+    now = stored(lines.join(names, "id").select(*PLACE, "line", "rank"), "buckets-1")
     levels, width = [], 1
     while not now.isEmpty():
         levels.append(now)
         both = [F.col("h.rank").alias("head"), F.col("t.rank").alias("next")]
         pairs = stored(followed_by(now, now, width, both), f"pairs-{2 * width}")
         names = ranked(pairs, ["head", "next"], f"names-{2 * width}")
-        now = stored(pairs.join(names, ["head", "next"]).select(*PLACE, "rank"), f"buckets-{2 * width}")
+        now = stored(pairs.join(names, ["head", "next"]).select(*PLACE, "line", "rank"), f"buckets-{2 * width}")
         width *= 2
     return levels
 
@@ -94,12 +101,12 @@ def common_prefix(runs: DataFrame, levels: list[DataFrame]) -> DataFrame:
         here = (
             F.col("doc_id").eqNullSafe(F.col("a_doc_id"))
             & (F.col("text_hash") == F.col("a_text_hash"))
-            & (F.col("start_line") + F.col("matched_lines") == F.col("a_line"))
+            & (F.col("start_at") + F.col("matched_lines") == F.col("a_at"))
         )
         there = (
             F.col("first_doc_id").eqNullSafe(F.col("b_doc_id"))
             & (F.col("first_hash") == F.col("b_text_hash"))
-            & (F.col("first_line") + F.col("matched_lines") == F.col("b_line"))
+            & (F.col("first_at") + F.col("matched_lines") == F.col("b_at"))
         )
         joined = runs.join(a, here, "left").join(b, there, "left")
         more = F.when(F.col("a_rank") == F.col("b_rank"), 1 << level).otherwise(0)
@@ -125,8 +132,9 @@ def repeated_runs(
     earlier place; places are ordered by doc_id (null last), text and line, and
     the run of all such lines next to each other is one row. Its source is the
     earliest place where its first `min_lines` lines stand; matched_lines tells
-    how far it goes on like its source. Lines are equal if they are after
-    lower-casing A-Z and collapsing ASCII white space; a blank line ends a run.
+    how many lines it goes on like its source. Lines are equal if they are after
+    lower-casing A-Z and collapsing ASCII white space. Blank lines count neither
+    as lines in a row nor as matched; those inside a run are part of its n_lines.
     Rows that repeat doc_id and text count once and share their fate. Null and
     empty texts have no line; an empty table gives no row; other columns are
     not read.
@@ -137,27 +145,35 @@ def repeated_runs(
         return docs.sparkSession.createDataFrame([], EMPTY)
     if min_lines & (min_lines - 1):
         found = stored(found, "windows")
-    place = F.struct(F.col("doc_id").isNull().alias("nameless"), *PLACE)
+    place = F.struct(F.col("doc_id").isNull().alias("nameless"), *PLACE, "line")
     first = stored(
         found.select("head", "tail", place.alias("place")).groupBy("head", "tail").agg(F.min("place").alias("first")),
         "run-firsts",
     )
     later = found.join(first, ["head", "tail"]).where(place > F.col("first"))
-    in_text = Window.partitionBy("doc_id", "text_hash").orderBy("line")
-    begins = F.coalesce(F.col("line") > F.lag("line").over(in_text) + min_lines, F.lit(True))
+    in_text = Window.partitionBy("doc_id", "text_hash").orderBy("at")
+    begins = F.coalesce(F.col("at") > F.lag("at").over(in_text) + min_lines, F.lit(True))
     numbered = later.withColumn("begins", begins.cast("int")).withColumn(
         "run", F.sum("begins").over(in_text.rowsBetween(Window.unboundedPreceding, 0))
     )
     runs = numbered.groupBy("doc_id", "text_hash", "run").agg(
         F.min("line").alias("start_line"),
-        (F.max("line") - F.min("line") + min_lines).alias("n_lines"),
+        F.min("at").alias("start_at"),
+        (F.max("at") + min_lines - 1).alias("end_at"),
         F.min(F.when(F.col("begins") == 1, F.col("first"))).alias("first"),
     )
-    placed = runs.select(
-        "doc_id", "text_hash", "start_line", "n_lines", F.col("first.doc_id").alias("first_doc_id"),
-        F.col("first.text_hash").alias("first_hash"), F.col("first.line").alias("first_line"),
+    r, last = runs.alias("r"), levels[0].alias("last")  # every line of a run is a repeated one
+    ends = (
+        F.col("r.doc_id").eqNullSafe(F.col("last.doc_id"))
+        & (F.col("r.text_hash") == F.col("last.text_hash"))
+        & (F.col("r.end_at") == F.col("last.at"))
+    )
+    placed = r.join(last, ends).select(
+        "r.doc_id", "r.text_hash", "start_line", (F.col("last.line") - F.col("start_line") + 1).alias("n_lines"),
+        F.col("first.doc_id").alias("first_doc_id"), F.col("first.text_hash").alias("first_hash"),
+        F.col("first.line").alias("first_line"), "start_at", F.col("first.at").alias("first_at"),
     )
-    return common_prefix(stored(placed, "runs"), levels)
+    return common_prefix(stored(placed, "runs"), levels).drop("start_at", "first_at")
 
 
 def drop_repeated_runs(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
