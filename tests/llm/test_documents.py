@@ -167,6 +167,25 @@ def test_secrets_random_strings_are_found(spark):
     assert [tuple(r) for r in redacted.orderBy("doc_id").collect()] == [(1, clean, len(clean)), (2, None, 7), (3, "fine", 4)]
 
 
+def test_secrets_short_random_strings_are_judged(spark):
+    import random
+
+    rng = random.Random(5)
+    alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    # No base pattern knows these: neither 16 hexadecimal digits nor AKIA.
+    strings = {k: ["".join(rng.choices(alphabet, k=k)) for _ in range(500)] for k in (12, 16, 20, 40)}
+    known = [(i, "token=" + "".join(rng.choices(alphabet, k=40))) for i in range(2000)]
+    ordinary = ["configuration", "international", "getElementByIdentifier", "internationalisation", "characteristics"]
+    words = [(5000 + i, " ".join(rng.choices(ordinary, k=40))) for i in range(500)]
+    ratios = secret_scan.train(spark.createDataFrame(known + words, "doc_id long, text string"))
+    recall = {
+        k: sum(secret_scan.all_spans(f"see {s} here", ratios) == [("random", 4, 4 + k)] for s in found) / len(found)
+        for k, found in strings.items()
+    }
+    assert recall[12] > 0.4 and recall[16] > 0.6 and recall[20] > 0.8 and recall[40] > 0.99, recall
+    assert secret_scan.all_spans(" ".join(ordinary), ratios) == []
+
+
 def test_secrets_query(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect()
     got = {r.doc_id: r for r in secret_scan.op5_secrets(spark, SMALL).collect()}

@@ -35,9 +35,8 @@ STATES = len(ALPHABET) + 1
 STATE_OF = np.zeros(256, np.int64)
 STATE_OF[np.frombuffer(ALPHABET.encode(), np.uint8)] = np.arange(1, STATES)
 
-# Tokens that train the ordinary model, and tokens that are judged.
+# Tokens that train the ordinary model and are judged; no base pattern takes shorter ones.
 LONG_TOKEN = re.compile(r"[A-Za-z0-9+/_-]{12,}")
-JUDGED_LEAST = 20
 # Nats by which the random model must win: odds of about 3 million to one.
 THRESHOLD = 15.0
 
@@ -130,7 +129,7 @@ def all_spans(text: str, ratios: np.ndarray | None, threshold: float = THRESHOLD
         spans += [
             ("random", start, end)
             for start, end in other_tokens(text, spans)
-            if end - start >= JUDGED_LEAST and likelihood_ratio(text[start:end], ratios) >= threshold
+            if likelihood_ratio(text[start:end], ratios) >= threshold
         ]
     return sorted(spans, key=lambda s: (s[1], KINDS.index(s[0])))
 
