@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tierwise.llm import bpe, exact, jaccard, langid, licenses, line_runs, packing, secret_scan, topk, units
+from tierwise.llm import (
+    bpe,
+    exact,
+    jaccard,
+    langid,
+    lexical,
+    licenses,
+    line_runs,
+    middle,
+    packing,
+    pieces,
+    secret_scan,
+    topk,
+    units,
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,6 +35,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_langid": langid.op8_langid,
         "op9_line_hash": units.op9_line_hash,
         "op10_line_runs": line_runs.op10_line_runs,
+        "op11_pieces": pieces.op11_pieces,
+        "op12_middle": middle.op12_middle,
+        "op13_search": lexical.op13_search,
     }
 
 
@@ -31,4 +48,6 @@ def oracle_sql() -> dict[str, str]:
         "op6_exact_dedup": exact.OP6_SQL,
         "op9_line_hash": units.OP9_SQL,
         "op10_line_runs": line_runs.OP10_SQL,
+        "op12_middle": middle.OP12_SQL,
+        "op13_search": lexical.OP13_SQL,
     }
