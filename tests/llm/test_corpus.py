@@ -176,31 +176,77 @@ def test_components(spark, shape):
     assert dict(map(tuple, got)) == want and len(got) == len(want)
 
 
-def occurrences(min_words: int) -> list[tuple]:
-    out = set()
-    for doc_id, text in texts():
-        start = 0
-        for unit, line in enumerate((text or "").split("\n")):
-            words = plain(line)
-            if len(words) >= min_words:
-                out.add((doc_id is None, doc_id or 0, text, start, unit, len(line), b" ".join(words)))
-            start += len(line) + 1
-    return sorted(out)
-
-
-def test_units(spark):
-    want, first = [], {}
-    for nameless, doc_id, _, start, unit, length, words in occurrences(10):
-        if words in first:
-            want.append((None if nameless else doc_id, unit, start, start + length, *first[words]))
-        else:
-            first[words] = (None if nameless else doc_id, start)
-    got = units.repeated_units(edge_docs(spark), min_words=10)
+def units_by_hand(pairs, unit_end: str, min_words: int) -> set[tuple]:
+    """(doc_id, unit, start, end, keep_doc_id, keep_start) of what goes."""
+    import re
+
+    found = []
+    for nameless, doc_id, text in sorted({(i is None, i or 0, t or "") for i, t in pairs}):
+        start = unit = 0
+        for end in [*(m.end() for m in re.finditer(unit_end, text)), len(text)]:
+            if words := plain(text[start:end]):
+                found.append(((nameless, doc_id, text), unit, start, end, words))
+                unit += 1
+            start = end
+    first: dict = {}
+    # The hash of the text, which ranks texts of one id, is Spark's; these cases do not need it.
+    for key, unit, start, end, words in sorted(found, key=lambda u: (u[0][:2], u[2])):
+        first.setdefault(b" ".join(words), (key, start))
+    out, stretch = set(), []
+
+    def close():
+        if sum(len(u[4]) for u in stretch) >= min_words:
+            for key, unit, start, end, words in stretch:
+                keep, keep_start = first[b" ".join(words)]
+                out.add((None if key[0] else key[1], unit, start, end, None if keep[0] else keep[1], keep_start))
+        stretch.clear()
+
+    for u in found:
+        if stretch and (stretch[-1][0] != u[0] or stretch[-1][1] + 1 != u[1]):
+            close()
+        if first[b" ".join(u[4])] != (u[0], u[2]):
+            stretch.append(u)
+    close()
+    return out
+
+
+def passages() -> list[tuple[int, str]]:
+    """Passages in short lines, within lines, over blank lines; lone short lines."""
+    short = "\n".join(prose(s, 6) for s in range(40, 44))
+    inside = ". ".join(prose(s, 9) for s in range(50, 54))
+    hello = "hello and welcome"
+    return [
+        (1, f"{hello}\n{short}\n{prose(60, 30)}"), (2, f"{hello}\n{prose(61, 30)}\n{short}"), (3, short.replace("\n", "\n \n\n")),
+        (4, f"{prose(62, 12)}. {inside}. {prose(63, 12)}"), (5, f"{prose(64, 5)}! {inside}. end"), (6, f"{hello}\n{prose(65, 40)}"),
+        (7, f"{prose(40, 6)}\n{prose(66, 9)}\n{prose(41, 6)}"), (8, "\n".join([prose(67, 10)] * 20)), (9, "\n".join([prose(68, 12)] * 5000)),
+        (10, "\n".join([prose(68, 12)] * 5000)), (11, "\n" * 100_000), (12, " ".join([prose(69, 60)] * 2)),
+    ]
+
+
+@pytest.mark.parametrize("unit_end", ["LINE", "SENTENCE", "PARAGRAPH"])
+def test_units(spark, unit_end):
+    rows = texts() + [(i + 100, t) for i, t in passages()]
+    docs = edge_docs(spark).select("doc_id", "text").unionAll(spark.createDataFrame(rows[len(texts()):], "doc_id long, text string"))
+    end = getattr(units, unit_end)
+    got = units.repeated_units(docs, unit_end=end)
     got = got.select("doc_id", "unit", "start", "end", "keep_doc_id", "keep_start").distinct().collect()
-    assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
+    assert {tuple(r) for r in got} == units_by_hand(rows, end, units.MIN_WORDS)
     assert units.repeated_units(empty_docs(spark)).count() == 0
 
 
+def test_passages_go_and_lone_lines_stay(spark):
+    docs = spark.createDataFrame(passages(), "doc_id long, text string")
+    cut = {r.doc_id: r for r in units.drop_repeated_units(docs).collect()}
+    text = dict(passages())
+    assert [i for i, r in sorted(cut.items()) if r.removed_spans is None] == [1, 4, 6, 7, 11, 12]
+    assert all(cut[i].text == text[i] for i in (1, 4, 6, 7, 11, 12))
+    assert cut[2].text == "".join(text[2].splitlines(True)[:2]) and not cut[3].text.strip()
+    assert cut[5].text == f"{prose(64, 5)}! end"
+    assert cut[8].text == prose(67, 10) + "\n" and cut[9].text == prose(68, 12) + "\n"
+    # The last line has no line break after it, which is no difference.
+    assert cut[10].text == ""
+
+
 def test_units_are_cut_out(spark):
     docs = edge_docs(spark)
     cut = units.drop_repeated_units(docs, min_words=10)
@@ -210,10 +256,10 @@ def test_units_are_cut_out(spark):
     first = texts()[11][1]
     shared = first.split("\n")[1]
     assert by_id[9].text == first
-    assert by_id[10].text == "\n" and [tuple(s) for s in by_id[10].removed_spans] == [
-        (0, len(shared)), (len(shared) + 1, 2 * len(shared) + 1)
+    assert by_id[10].text == "" and [tuple(s) for s in by_id[10].removed_spans] == [
+        (0, len(shared) + 1), (len(shared) + 1, 2 * len(shared) + 1)
     ]
-    assert by_id[17].text == "\n\n"
+    assert by_id[17].text == ""
 
 
 def runs_by_hand(pairs, least: int) -> dict[int | None, set]:

@@ -1,10 +1,15 @@
-"""Repeated lines or paragraphs: every passage stays once in the corpus.
-
-Units are normalised and hashed where the text is read; only digests and offsets
-are shuffled. The earliest occurrence of a digest is an aggregate that combines
-before the shuffle, so a line that a third of all documents share is one row per
-task there. Both sides of the join back are stored tables, which lets adaptive
-execution split the rows of such a line over many tasks.
+"""Repeated lines, sentences or paragraphs: every passage stays once in the corpus.
+
+Texts are cut into units, by default at line breaks and at the ends of sentences,
+for a passage that documents share need not begin or end with a line. Units are
+normalised and hashed where the text is read; only digests and offsets are
+shuffled, of every unit that has a word. The earliest occurrence of a digest is an
+aggregate that combines before the shuffle, so a line that a third of all documents
+share is one row per task there. Both sides of the join back are stored tables,
+which lets adaptive execution split the rows of such a line over many tasks.
+
+Short units recur by chance, so length is judged afterwards: what goes are
+stretches of neighbouring repeated units that have enough words together.
 """
 
 from __future__ import annotations
@@ -14,24 +19,26 @@ import re
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tierwise.llm.common import ASCII_LOWER, ASCII_UPPER, bounded_batches, read_table, stored, texts
 
 LINE, PARAGRAPH = r"\n", r"\n(?:[ \t\r]*\n)+"
-# Units of fewer words stay: headings, closing formulas and other short lines
-# that documents share without being copies of each other.
+SENTENCE = r"[.!?][\x20\x09\x0B-\x0D]+|\n"
+# Words that neighbouring repeated units must have together to go. Greetings,
+# headings and other short lines that stand alone are shared by documents that
+# copy nothing from each other.
 MIN_WORDS = 20
 
 UNITS = "doc_id long, text_hash long, unit long, start long, end long, n_words long, digest binary"
 
 
 def unit_rows(
-    docs: DataFrame, min_words: int = MIN_WORDS, unit_end: str = LINE, id_column: str = "doc_id",
-    text_column: str = "text",
-) -> DataFrame:
-    """One row per unit of at least `min_words` words, with its place in code points."""
+    docs: DataFrame, unit_end: str = SENTENCE, id_column: str = "doc_id", text_column: str = "text"
+) -> DataFrame:
+    """One row per unit with a word: its number among those of its text, and its
+    place in code points. A unit takes along what ends it."""
     bounded_batches(docs.sparkSession)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -39,14 +46,15 @@ def unit_rows(
         for batch in batches:
             rows: list[tuple] = []
             for doc_id, text, text_hash in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                start = 0
-                ends = [m.span() for m in between.finditer(text)] + [(len(text), len(text))]
-                for unit, (end, following) in enumerate(ends):
+                start = unit = 0
+                ends = [m.end() for m in between.finditer(text)]
+                for end in (*ends, len(text)):
                     words = text[start:end].encode("utf-8", "replace").lower().split()
-                    if len(words) >= max(1, min_words):
+                    if words:
                         digest = hashlib.md5(b" ".join(words), usedforsecurity=False).digest()
                         rows.append((doc_id, text_hash, unit, start, end, len(words), digest))
-                    start = following
+                        unit += 1
+                    start = end
             if rows:
                 columns = list(zip(*rows, strict=True))
                 yield pa.RecordBatch.from_arrays(
@@ -59,18 +67,20 @@ def unit_rows(
 
 
 def repeated_units(
-    docs: DataFrame, min_words: int = MIN_WORDS, unit_end: str = LINE, id_column: str = "doc_id",
+    docs: DataFrame, min_words: int = MIN_WORDS, unit_end: str = SENTENCE, id_column: str = "doc_id",
     text_column: str = "text",
 ) -> DataFrame:
     """The units to remove: doc_id, text_hash, unit, start, end, n_words, keep_doc_id, keep_start.
 
     Units are equal if they are after lower-casing A-Z and collapsing ASCII
     white space; the one with the smallest (doc_id, start) stays, also within
-    one document, and a null doc_id ranks last. Rows that repeat doc_id and text
+    one document, and a null doc_id ranks last. The others go where they and
+    the units next to them that may go have `min_words` words or more together;
+    what has no word between them does not count. Rows that repeat doc_id and text
     hold the same occurrences and share their fate. Null, empty and blank texts
     have no unit. An empty table gives no row; other columns are not read.
     """
-    units = stored(unit_rows(docs, min_words, unit_end, id_column, text_column), "units")
+    units = stored(unit_rows(docs, unit_end, id_column, text_column), "units")
     rank = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_hash", "start")
     occurrences = units.select("digest", rank.alias("rank"))
     firsts = stored(
@@ -80,9 +90,20 @@ def repeated_units(
         .select("digest", "first"),
         "unit-firsts",
     )
+    later = units.join(firsts, "digest").where(rank != F.col("first"))
+    # Stretches of later occurrences; a step of 0 is the same unit of a repeated row.
+    text = ["doc_id", "text_hash"]
+    in_order = Window.partitionBy(*text).orderBy("unit")
+    step = F.col("unit") - F.lag("unit").over(in_order)
+    begins = F.coalesce((F.col("step") > 1).cast("int"), F.lit(1))
+    stretches = later.withColumn("step", step).withColumn(
+        "stretch", F.sum(begins).over(in_order.rowsBetween(Window.unboundedPreceding, 0))
+    )
+    once = F.when(F.coalesce(F.col("step"), F.lit(1)) > 0, F.col("n_words"))
+    together = F.sum(once).over(Window.partitionBy(*text, "stretch"))
     return (
-        units.join(firsts, "digest")
-        .where(rank != F.col("first"))
+        stretches.withColumn("together", together)
+        .where(F.col("together") >= min_words)
         .select(
             "doc_id", "text_hash", "unit", "start", "end", "n_words",
             F.col("first.doc_id").alias("keep_doc_id"), F.col("first.start").alias("keep_start"),
@@ -90,9 +111,14 @@ def repeated_units(
     )
 
 
-def drop_repeated_units(docs: DataFrame, min_words: int = MIN_WORDS, unit_end: str = LINE) -> DataFrame:
+def drop_repeated_units(docs: DataFrame, min_words: int = MIN_WORDS, unit_end: str = SENTENCE) -> DataFrame:
     """`docs` with the repeated units cut out of `text`, and `removed_spans`, an
-    array of their original (start, end)."""
+    array of their original (start, end).
+
+    Every row stays, with all its columns; a text of which nothing goes is as it
+    was, null too, and has null spans. Rows that repeat doc_id and text, a null id
+    as well, lose the same spans. An empty table stays one.
+    """
     removed = (
         repeated_units(docs, min_words, unit_end)
         .groupBy(F.col("doc_id").alias("cut_id"), F.col("text_hash").alias("cut_hash"))
@@ -122,24 +148,30 @@ def op9_line_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "unit", "start", "end", "n_words", "keep_doc_id", "keep_start")
 
 
+_CUT = (
+    f"string_split(regexp_replace(coalesce(text, ''), '({SENTENCE})', '\\1' || chr(1), 'g'), chr(1))"  # chr(1) is in no table
+)
+
 OP9_SQL = f"""
-WITH lines AS (
-  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
-         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) - 1 AS unit FROM documents),
+WITH pieces AS (
+  SELECT doc_id, unnest({_CUT}) AS piece, generate_subscripts({_CUT}, 1) AS place FROM documents),
 placed AS (
-  SELECT *, coalesce(sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY unit
+  SELECT *, coalesce(sum(length(piece)) OVER (PARTITION BY doc_id ORDER BY place
              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start,
-         trim(regexp_replace(translate(line, '{ASCII_UPPER}', '{ASCII_LOWER}'),
-                             '[\\x20\\x09-\\x0D]+', ' ', 'g'), ' ') AS norm FROM lines),
-counted AS (
-  SELECT *, CASE WHEN norm = '' THEN 0 ELSE len(string_split(norm, ' ')) END AS n_words FROM placed),
+         trim(regexp_replace(translate(piece, '{ASCII_UPPER}', '{ASCII_LOWER}'),
+                             '[\\x20\\x09-\\x0D]+', ' ', 'g'), ' ') AS norm FROM pieces),
+units AS (
+  SELECT *, len(string_split(norm, ' ')) AS n_words,
+         row_number() OVER (PARTITION BY doc_id ORDER BY place) - 1 AS unit FROM placed WHERE norm <> ''),
 ranked AS (
   SELECT *, first_value(doc_id) OVER same AS keep_doc_id, first_value(start) OVER same AS keep_start,
          row_number() OVER same AS nth
-  FROM counted WHERE n_words >= {MIN_WORDS}
-  WINDOW same AS (PARTITION BY norm ORDER BY doc_id, start))
+  FROM units WINDOW same AS (PARTITION BY norm ORDER BY doc_id, start)),
+later AS (
+  SELECT *, unit - row_number() OVER (PARTITION BY doc_id ORDER BY unit) AS stretch FROM ranked WHERE nth > 1),
+weighed AS (SELECT *, sum(n_words) OVER (PARTITION BY doc_id, stretch) AS together FROM later)
 SELECT doc_id, CAST(unit AS BIGINT) AS unit, CAST(start AS BIGINT) AS start,
-       CAST(start + length(line) AS BIGINT) AS "end", CAST(n_words AS BIGINT) AS n_words,
+       CAST(start + length(piece) AS BIGINT) AS "end", CAST(n_words AS BIGINT) AS n_words,
        keep_doc_id, CAST(keep_start AS BIGINT) AS keep_start
-FROM ranked WHERE nth > 1
+FROM weighed WHERE together >= {MIN_WORDS}
 """
