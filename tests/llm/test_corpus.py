@@ -195,7 +195,7 @@ def units_by_hand(pairs, unit_end: str, min_words: int) -> set[tuple]:
     out, stretch = set(), []
 
     def close():
-        if sum(len(u[4]) for u in stretch) >= min_words:
+        if sum(len(u[4]) for u in stretch if len(u[4]) >= units.COUNTED_FROM) >= min_words:
             for key, unit, start, end, words in stretch:
                 keep, keep_start = first[b" ".join(words)]
                 out.add((None if key[0] else key[1], unit, start, end, None if keep[0] else keep[1], keep_start))
@@ -219,7 +219,7 @@ def passages() -> list[tuple[int, str]]:
         (1, f"{hello}\n{short}\n{prose(60, 30)}"), (2, f"{hello}\n{prose(61, 30)}\n{short}"), (3, short.replace("\n", "\n \n\n")),
         (4, f"{prose(62, 12)}. {inside}. {prose(63, 12)}"), (5, f"{prose(64, 5)}! {inside}. end"), (6, f"{hello}\n{prose(65, 40)}"),
         (7, f"{prose(40, 6)}\n{prose(66, 9)}\n{prose(41, 6)}"), (8, "\n".join([prose(67, 10)] * 20)), (9, "\n".join([prose(68, 12)] * 5000)),
-        (10, "\n".join([prose(68, 12)] * 5000)), (11, "\n" * 100_000), (12, " ".join([prose(69, 60)] * 2)),
+        (10, "\n".join([prose(68, 12)] * 5000)), (11, "\n" * 100_000), (13, "AH!! " * 90), (12, " ".join([prose(69, 60)] * 2)),
     ]
 
 
@@ -238,8 +238,8 @@ def test_passages_go_and_lone_lines_stay(spark):
     docs = spark.createDataFrame(passages(), "doc_id long, text string")
     cut = {r.doc_id: r for r in units.drop_repeated_units(docs).collect()}
     text = dict(passages())
-    assert [i for i, r in sorted(cut.items()) if r.removed_spans is None] == [1, 4, 6, 7, 11, 12]
-    assert all(cut[i].text == text[i] for i in (1, 4, 6, 7, 11, 12))
+    assert [i for i, r in sorted(cut.items()) if r.removed_spans is None] == [1, 4, 6, 7, 11, 12, 13]
+    assert all(cut[i].text == text[i] for i in (1, 4, 6, 7, 11, 12, 13))
     assert cut[2].text == "".join(text[2].splitlines(True)[:2]) and not cut[3].text.strip()
     assert cut[5].text == f"{prose(64, 5)}! end"
     assert cut[8].text == prose(67, 10) + "\n" and cut[9].text == prose(68, 12) + "\n"

@@ -198,10 +198,10 @@ LONG_WORDS = 15
 
 # 'This project is licensed under the terms of the ... - see the LICENSE file'.
 UNDER = (
-    "(?:(?:this|the)(?: [a-z0-9]+){1,3} is )?(?:licensed|released|distributed|available|made available|provided) under "
+    "(?:(?:this|the)(?: [a-z0-9]+){1,3}+ is )?(?:licensed|released|distributed|available|made available|provided) under "
     "(?:the terms of )?(?:the |an? )?"
 )
-SEE = " see [^E]{1,80}?"
+SEE = " see [^E]+?"
 
 # A sentence ends at a line's end, or at . ! ? : ; before white space or the text's end.
 SENTENCE_END = "[.!?:;]+(?:[\\x20\\x09-\\x0D]+|$)|[\\n\\r]+"
@@ -233,10 +233,10 @@ def sentence_ids(text: Column) -> Column:
         ("[.!?:;]+(?:[\\x20\\x09-\\x0D]+|$)", "E"),
         ("[^a-z0-9E\\n\\r]+", " "),
         (" ?(?>\\r\\n|\\r|\\n) ?", "L"),
-        ("L(?: ?L)+", "E"),
+        ("L[L ]*L", "E"),
         (" ?([EL]) ?", "$1"),
         (
-            "neither([L ])the[L ]name[L ]of[L ][a-z0-9L ]{1,120}?[L ]nor[L ]the[L ]names[L ]of[L ]its[L ]contributors",
+            "neither([L ])the[L ]name[L ]of[L ][a-z0-9L ]+?[L ]nor[L ]the[L ]names[L ]of[L ]its[L ]contributors",
             "neither$1the name of the copyright holder nor the names of its contributors",
         ),
     ):

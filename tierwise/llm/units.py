@@ -30,6 +30,9 @@ SENTENCE = r"[.!?][\x20\x09\x0B-\x0D]+|\n"
 # headings and other short lines that stand alone are shared by documents that
 # copy nothing from each other.
 MIN_WORDS = 20
+# Units of fewer words go along with their stretch but don't add to it: single
+# words between marks recur in any order, in shouting or in lists.
+COUNTED_FROM = 3
 
 UNITS = "doc_id long, text_hash long, unit long, start long, end long, n_words long, digest binary"
 
@@ -99,8 +102,8 @@ def repeated_units(
     stretches = later.withColumn("step", step).withColumn(
         "stretch", F.sum(begins).over(in_order.rowsBetween(Window.unboundedPreceding, 0))
     )
-    once = F.when(F.coalesce(F.col("step"), F.lit(1)) > 0, F.col("n_words"))
-    together = F.sum(once).over(Window.partitionBy(*text, "stretch"))
+    once = F.when((F.coalesce(F.col("step"), F.lit(1)) > 0) & (F.col("n_words") >= COUNTED_FROM), F.col("n_words"))
+    together = F.coalesce(F.sum(once).over(Window.partitionBy(*text, "stretch")), F.lit(0))
     return (
         stretches.withColumn("together", together)
         .where(F.col("together") >= min_words)
@@ -169,7 +172,9 @@ ranked AS (
   FROM units WINDOW same AS (PARTITION BY norm ORDER BY doc_id, start)),
 later AS (
   SELECT *, unit - row_number() OVER (PARTITION BY doc_id ORDER BY unit) AS stretch FROM ranked WHERE nth > 1),
-weighed AS (SELECT *, sum(n_words) OVER (PARTITION BY doc_id, stretch) AS together FROM later)
+weighed AS (
+  SELECT *, sum(CASE WHEN n_words >= {COUNTED_FROM} THEN n_words END) OVER (PARTITION BY doc_id, stretch) AS together
+  FROM later)
 SELECT doc_id, CAST(unit AS BIGINT) AS unit, CAST(start AS BIGINT) AS start,
        CAST(start + length(piece) AS BIGINT) AS "end", CAST(n_words AS BIGINT) AS n_words,
        keep_doc_id, CAST(keep_start AS BIGINT) AS keep_start
