@@ -357,3 +357,26 @@ def test_langid_edges(spark):
     nothing = langid.fit(empty_docs(spark), PIECES)
     assert nothing.languages == [] and langid.predict(docs, nothing).where("lang_pred <> 'und'").count() == 0
     assert langid.keep_identified(docs, model).columns == docs.columns
+
+
+def test_licenses_in_long_texts(spark):
+    """Separators, and beginnings of what is known, a hundred thousand characters of each."""
+    strange = ["\n", "\r\n", " \n", "- ", "L", "neither the name of ", "the b\n", "see ", "licensed under the ", "foundation;"]
+    end = "\n\nThis great new project of ours is licensed under the MIT License, see the LICENSE file " + "x" * 200 + "."
+    rows = [(i, s * (100_000 // len(s)) + end) for i, s in enumerate(strange)]
+    found = licenses.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()
+    assert len(found) == len(rows) and all(r.licenses == ["MIT"] for r in found)
+
+
+@pytest.mark.parametrize("holder", ["the copyright holder", "Some Company", "n" * 3000 + " and others"])
+def test_clause_on_names_with_any_holder(spark, holder):
+    text = (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
+        "the following conditions are met:\n1. Redistributions of source code must retain the above copyright notice, this "
+        "list of conditions and the following disclaimer.\n2. Redistributions in binary form must reproduce the above "
+        "copyright notice, this list of conditions and the following disclaimer in the documentation and/or other "
+        f"materials provided with the distribution.\n3. Neither the name of {holder} nor the names of its contributors may "
+        "be used to endorse or promote products derived from this software without specific prior written permission."
+    )
+    found = licenses.scan_licenses(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert found.licenses == ["BSD-3-Clause"]

@@ -196,12 +196,14 @@ IS = "is-"
 # Words from which a sentence of the standard texts is known without an end of a sentence before it.
 LONG_WORDS = 15
 
-# 'This project is licensed under the terms of the ... - see the LICENSE file'.
+# 'This project is licensed under the terms of the ... - see the LICENSE file', whatever 'is' follows.
 UNDER = (
-    "(?:(?:this|the)(?: [a-z0-9]+){1,3}+ is )?(?:licensed|released|distributed|available|made available|provided) under "
-    "(?:the terms of )?(?:the |an? )?"
+    "(?:licensed|released|distributed|available|made available|provided) under (?:the terms of )?(?:the |an? )?"
 )
 SEE = " see [^E]+?"
+# The clause on names, whoever the holder is: what stands before the name, and the name with what follows.
+HOLDER_BEFORE = "neither[L ]the[L ]name[L ]of[L ]"
+HOLDER_AFTER = "^[a-z0-9L ]+?[L ]nor[L ]the[L ]names[L ]of[L ]its[L ]contributors"
 
 # A sentence ends at a line's end, or at . ! ? : ; before white space or the text's end.
 SENTENCE_END = "[.!?:;]+(?:[\\x20\\x09-\\x0D]+|$)|[\\n\\r]+"
@@ -216,7 +218,7 @@ def _known_sentences() -> str:
     known = f"(?:{'|'.join(whole)}|{UNDER}(?:{'|'.join(names)})(?:{SEE})?)"
     # Long ones are found after a heading on the same line as well.
     long = [s for s in whole if len(s.split()) >= LONG_WORDS and s not in SENTENCES.values()]
-    known = f"(?:(?<![^EL]){known}|(?<![^EL_])(?:{'|'.join(long)}))"
+    known = f"(?:(?:(?<![^EL])|(?<=_is_)(?={UNDER})){known}|(?<![^EL_])(?:{'|'.join(long)}))"
     return known.replace(" ", "[L ]").replace("_", " ") + "(?![^EL])"
 
 
@@ -235,12 +237,13 @@ def sentence_ids(text: Column) -> Column:
         (" ?(?>\\r\\n|\\r|\\n) ?", "L"),
         ("L[L ]*L", "E"),
         (" ?([EL]) ?", "$1"),
-        (
-            "neither([L ])the[L ]name[L ]of[L ][a-z0-9L ]+?[L ]nor[L ]the[L ]names[L ]of[L ]its[L ]contributors",
-            "neither$1the name of the copyright holder nor the names of its contributors",
-        ),
     ):
         plain = F.regexp_replace(plain, pattern, by)
+    # Cut first, so that each name is looked for from one place only, however long a text is.
+    anyone = "the copyright holder nor the names of its contributors"
+    parts = F.split(plain, HOLDER_BEFORE, -1)
+    parts = F.transform(parts, lambda p, i: F.when(i == 0, p).otherwise(F.regexp_replace(p, HOLDER_AFTER, anyone)))
+    plain = F.array_join(parts, "neither the name of ")
     found = F.regexp_extract_all(F.btrim(plain, F.lit(" ")), F.lit(_known_sentences()), F.lit(0))
     ids = {n: IS + licence for n, licence in NOTICES.items()}
     ids |= {sentence: name for name, sentence in (TEXT_SENTENCES | SENTENCES).items()}
@@ -260,7 +263,8 @@ def scan_licenses(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     rule order, then those that one sentence names), and of the known sentences
     that no rule consumed.
 
-    A null or empty text, or one without any known sentence, has empty arrays.
+    A null or empty text, or one without any known sentence, has empty arrays. A
+    holder's name of over 1,000 characters hides the clause on names.
     Rows are judged one by one, whatever their id; an empty table gives no row;
     other columns are not read.
     """
