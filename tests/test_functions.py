@@ -5,6 +5,8 @@ import decimal
 import duckdb
 import pytest
 
+from pyspark.sql.functions import expr as fn_expr
+
 from tierwise import functions as fn
 
 
@@ -41,6 +43,32 @@ def test_exact_sums_do_not_depend_on_partitions(spark):
     assert exact > 10**11 and sums == {float(round(exact, 2))}
 
 
+@pytest.mark.parametrize(
+    "values, total, mean",
+    [
+        ([5.0, 15.0, 2e10], 2e10 + 20, (2e10 + 20) / 3), ([1e15, 0.25, 0.25], 1e15 + 0.5, (1e15 + 0.5) / 3),
+        ([1e10, -1e10, 0.01], 0.01, 0.01 / 3), ([-0.1, -0.2, 0.3, None], 0.0, 0.0), ([None, None], None, None),
+        ([float("nan"), 2.0], 2.0, 2.0), ([float("inf"), 3.5], 3.5, 3.5), ([9e18, 1e17], 9.1e18, 4.55e18),
+        ([999999.99] * 7, 6999999.93, 999999.99), ([0.1] * 10, 1.0, 0.1),
+    ],
+)
+def test_sums_lose_no_value(spark, values, total, mean):
+    rows = spark.createDataFrame([(v,) for v in values], "x double").repartition(3)
+    found = rows.selectExpr(f"{fn.sum2('x')} AS s", f"{fn.average('x')} AS a").first()
+    assert found.s == total and found.a == (None if mean is None else pytest.approx(mean, rel=1e-15))
+
+
+def test_a_sum_that_no_long_holds_is_an_error(spark):
+    with pytest.raises(Exception, match="OVERFLOW"):
+        spark.createDataFrame([(9e18,), (9e18,)], "x double").selectExpr(fn.sum2("x")).collect()
+
+
+def test_sums_keep_longs_while_rows_are_added(spark):
+    plan = spark.range(9).selectExpr("id % 3 AS k", "CAST(id AS DOUBLE) AS x").groupBy("k").agg(fn_expr(fn.sum2("x")))
+    plan = plan._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan and "decimal" not in plan.split("partial_sum")[-1].lower()
+
+
 @pytest.mark.parametrize("kind", ["TIMESTAMP_NTZ", "TIMESTAMP"])
 @pytest.mark.parametrize(
     "start, end, minutes",

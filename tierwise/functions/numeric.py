@@ -41,10 +41,27 @@ def round2_agg(x: str) -> str:
     return f"round(round(({x}) * 1e7D) / 1e7D * 100D) / 100D"
 
 
+def _whole(x: str) -> str:
+    """The whole part as a long; null for what no long holds: NaN, infinity, 9.3e18 and beyond."""
+    return f"try_cast(CAST({x} AS DOUBLE) AS BIGINT)"
+
+
+def _fraction(x: str) -> str:
+    """What is left of the whole part, in units of 1e-8."""
+    return f"CAST(rint((CAST({x} AS DOUBLE) - {_whole(x)}) * 1e8D) AS BIGINT)"
+
+
 def exact_sum(x: str) -> str:
     """Sum of numbers to eight decimals, as a decimal: exact, so independent of
-    how Spark splits and merges the rows, with a state of constant size."""
-    return f"sum(try_cast(CAST({x} AS DOUBLE) AS DECIMAL(18, 8)))"
+    how Spark splits and merges the rows.
+
+    Its state is two longs, the whole parts and the fractions, which are put
+    together at the end; decimals of more than 18 digits would be an object per
+    row. Values that no long holds are left out here and by `average`; a sum of
+    whole parts beyond 9.2e18 is an error, never a wrong number.
+    """
+    fractions = f"CAST(sum({_fraction(x)}) AS DECIMAL(19, 0)) * CAST(0.00000001 AS DECIMAL(9, 8))"
+    return f"(CAST(sum({_whole(x)}) AS DECIMAL(27, 8)) + {fractions})"
 
 
 def sum2(x: str) -> str:
@@ -53,8 +70,8 @@ def sum2(x: str) -> str:
 
 
 def average(x: str) -> str:
-    """Mean of the values that are not null, from their exact sum."""
-    return ratio(exact_sum(x), f"count({x})")
+    """Mean of the values that `exact_sum` adds, from that sum."""
+    return ratio(exact_sum(x), f"count({_whole(x)})")
 
 
 def ratio(numerator: str, denominator: str) -> str:

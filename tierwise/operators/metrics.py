@@ -1,6 +1,6 @@
 """Aggregate blocks shared by the Gold models, as SQL expression text.
 
-A block maps output names to aggregate expressions. Sums are exact decimals, and
+A block maps output names to aggregate expressions. Sums are exact, and
 sums, averages and ratios are rounded once, on the finished aggregate. All of them have
 constant-size state and merge map-side, so a group that holds most of the rows
 costs no more than any other.

@@ -11,7 +11,7 @@ def _agg2(expression: str) -> str:
 
 
 def _exact(x: str) -> str:
-    return f"sum(CAST(CAST({x} AS DOUBLE) AS DECIMAL(18, 8)))"
+    return f"sum(CAST(CAST({x} AS DOUBLE) AS DECIMAL(38, 8)))"
 
 
 def _sum2(x: str) -> str:
