@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import io
+import json
 import tarfile
 
 import pytest
@@ -81,13 +82,130 @@ def test_bad_records_are_kept_and_counted(spark, tmp_path):
 
 
 def test_a_large_csv_is_cut_between_records():
-    records = [f'{i},"two\nlines {i}"\n'.encode() for i in range(100)]
-    text = b"id,note\n" + b"".join(records)
-    pieces = list(station_files.split_csv(io.BytesIO(text), piece_bytes=100))
-    assert len(pieces) > 5
-    assert all(p.startswith(b"id,note\n") for p in pieces)
-    assert b"".join(p[len(b"id,note\n") :] for p in pieces) == b"".join(records)
-    assert all(p.count(b'"') % 2 == 0 for p in pieces)
+    records = [f'{i},"two\nlines {i}"' for i in range(100)]
+    text = "id,note\n" + "\r\n\n".join(records)
+    pieces = list(station_files.csv_pieces(io.BytesIO(text.encode()), piece_bytes=100))
+    assert len(pieces) > 5 and {header for header, _ in pieces} == {"id,note"}
+    assert [r for _, part in pieces for r in part] == records
+    # A quote that nothing closes takes no other line along.
+    assert list(station_files.csv_pieces(io.BytesIO(b'a,b\n1,"x\n2,y\n'))) == [("a,b", ['1,"x', "2,y"])]
+    assert list(station_files.csv_pieces(io.BytesIO(b"a,b\n"))) == [("a,b", [])]
+    assert list(station_files.csv_pieces(io.BytesIO(b""))) == []
+
+
+class EndlessTar(io.RawIOBase):
+    """A tar.gz of one CSV member, made while it is read: `total` bytes of records."""
+
+    def __init__(self, total: int):
+        self.made, self.most_asked, self.source = 0, 0, self._source(total)
+        self.left = b""
+
+    def _source(self, total: int):
+        import zlib
+
+        record = b"A00001,2023-01-01,50.5\n" * 4096
+        count = total // len(record)
+        entry = tarfile.TarInfo("2023/a.csv")
+        entry.size = len(b"STATION,DATE,TEMP\n") + count * len(record)
+        pack = zlib.compressobj(1, zlib.DEFLATED, 31)
+        yield pack.compress(entry.tobuf() + b"STATION,DATE,TEMP\n")
+        for _ in range(count):
+            yield pack.compress(record)
+            self.made += len(record)
+        yield pack.compress(b"\0" * (-entry.size % 512 + 1024)) + pack.flush()
+
+    def read(self, size: int = -1) -> bytes:
+        self.most_asked = max(self.most_asked, size)
+        while len(self.left) < size and (more := next(self.source, None)) is not None:
+            self.left += more
+        out, self.left = self.left[:size], self.left[size:]
+        return out
+
+
+def test_archives_are_streams():
+    """Records come while most of the archive has not been made yet, in pieces of
+    bounded size, so its length does not matter."""
+    stream = EndlessTar(300 << 20)
+    pieces = station_files.archive_pieces(stream)
+    member, header, records = next(pieces)
+    assert (member, header) == ("2023/a.csv", "STATION,DATE,TEMP") and stream.made < 40 << 20
+    sizes = [sum(map(len, records))]
+    for _, _, records in pieces:
+        sizes.append(sum(map(len, records)))
+    assert max(sizes) <= station_files.PIECE_BYTES + 100 and sum(sizes) > 250 << 20
+    assert stream.most_asked < 1 << 20
+
+
+def test_every_archive_is_read_once(spark, tmp_path):
+    """Headers and rows come from one read of each archive."""
+    for year in (2021, 2022, 2023):
+        write_archive(tmp_path / f"{year}.tar.gz", FIRST.replace("2023", str(year)).encode())
+    opened = tmp_path / "opened"
+    opened.mkdir()
+
+    class CountedReader(station_files.StationArchiveReader):
+        def read(self, partition):
+            import uuid
+
+            (opened / f"{partition.path.rsplit('/', 1)[1]}-{uuid.uuid4().hex}").touch()
+            return super().read(partition)
+
+    class Counted(station_files.StationArchives):
+        @classmethod
+        def name(cls):
+            return "counted_archives"
+
+        def reader(self, schema):
+            return CountedReader(json.loads(self.options["paths"]))
+
+    pieces = station_files.unpack_archives(station_files.listed_archives(spark, str(tmp_path)), Counted)
+    rows = station_files.archive_rows(pieces)
+    assert rows.count() == 6 and rows.where("TEMP = '50.0'").count() == 3
+    assert sorted(p.name.split("-")[0] for p in opened.iterdir()) == ["2021.tar.gz", "2022.tar.gz", "2023.tar.gz"]
+
+
+def test_no_archives(spark, tmp_path):
+    df = station_files.read_archives(spark, str(tmp_path))
+    assert df.count() == 0 and set(WEATHER_SOURCE) <= set(df.columns)
+
+
+def test_many_files_and_few_headers(spark, tmp_path):
+    """5,000 files: headers are found by a job, the driver asks for none of them."""
+    kinds = ["STATION,DATE,TEMP", "TEMP,STATION,DATE", "DATE,STATION,NEW_COLUMN,TEMP"]
+    for i in range(5000):
+        folder = tmp_path / str(2000 + i % 20)
+        folder.mkdir(exist_ok=True)
+        day = f"2023-01-{i % 28 + 1:02d}"
+        row = [f"S{i},{day},{i}.5", f"{i}.5,S{i},{day}", f'{day},S{i},"x, ""{i}""",{i}.5'][i % 3]
+        (folder / f"{i}.csv").write_text(f"{kinds[i % 3]}\n{row}\n")
+    heads = station_files.file_headers(station_files.file_lines(spark, str(tmp_path)))
+    assert {(r.header, r["count"]) for r in heads.groupBy("header").count().collect()} == {
+        (kinds[0], 1667), (kinds[1], 1667), (kinds[2], 1666)
+    }
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("headers", "")
+    df = station_files.read_station_files(spark, str(tmp_path))
+    jobs = len(tracker.getJobIdsForGroup("headers"))
+    spark.sparkContext.setJobGroup("", "")
+    assert jobs < 12  # listing, one pass, its store, the distinct headers
+    assert df.columns == ["path", "STATION", "DATE", "TEMP", "NEW_COLUMN", "bad_record"]
+    rows = {r.STATION: r for r in df.collect()}
+    assert len(rows) == 5000 and all(rows[f"S{i}"].TEMP == f"{i}.5" for i in range(5000))
+    assert rows["S2"].NEW_COLUMN == 'x, "2"' and rows["S3"].NEW_COLUMN is None
+    assert all(r.bad_record is None for r in rows.values())
+
+
+def test_a_large_file_in_many_blocks(spark, tmp_path):
+    """Only the first block begins with the header; all of them are parsed by it."""
+    lines = [f"S{i},2023-01-01,{i}" for i in range(20_000)]
+    (tmp_path / "a.csv").write_text("\n".join(["\ufeffSTATION,DATE,TEMP", *lines[:9000], "\ufeffSTATION,DATE,TEMP", "", *lines[9000:]]))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "32k")
+    try:
+        df = station_files.read_station_files(spark, str(tmp_path))
+        assert station_files.file_lines(spark, str(tmp_path)).select("block").distinct().count() > 5
+        assert sorted(int(r.TEMP) for r in df.select("TEMP").collect()) == list(range(20_000))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
 def test_csv_with_only_a_header_has_no_rows(spark, tmp_path):

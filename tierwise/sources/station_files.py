@@ -1,215 +1,262 @@
 """Station CSV files, loose or packed in yearly tar.gz archives.
 
 The files differ in which columns they have and in what order, so values are
-matched by header name and read as text; types come later, in Silver. Loose
-files are grouped by header and read by Spark's own CSV reader. Only archives
-need Python: a task unpacks one into pieces of its members, which are spread
-and parsed with Arrow. A record that does not fit its header is kept as text in
-`bad_record`, with what could be read of it or nothing.
+matched by header name and read as text; types come later, in Silver. Headers are
+data: a job finds the first line of every file, and each record is joined with the
+header of its file and parsed by Spark's CSV expression for that number of fields.
+The driver learns the distinct headers only, however many files there are. A record
+that does not fit its header is kept as text in `bad_record`, with what could be
+read of it.
+
+Archives are a data source of their own, `station_archives`: a task per archive
+reads it as a stream, once, and hands on the records of its members.
 """
 
 from __future__ import annotations
 
 import csv
-import io
+import json
 import tarfile
 from collections.abc import Iterable, Iterator, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from typing import IO
 
 import pyarrow as pa
-from pyarrow import csv as arrow_csv
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from tierwise.schemas import WEATHER_SOURCE
+from tierwise.session import fresh_dir
 
-_PIECES = "path STRING, member STRING, piece INT, content BINARY"
-_PIECE_ARROW = pa.schema(
-    [
-        ("path", pa.string()),
-        ("member", pa.string()),
-        ("piece", pa.int32()),
-        ("content", pa.large_binary()),
-    ]
-)
-# A CSV is handed on in pieces of about this many bytes, so that one huge file
-# is parsed by many tasks; batches between Python and Spark hold a few pieces.
+# Records of a member are handed on in pieces of about this many bytes, so that
+# one huge file is parsed by many tasks and no row is huge.
 PIECE_BYTES = 4 << 20
-_BATCH_BYTES = 16 << 20
+# As Spark writes and reads CSV: a quote inside quotes is doubled.
+_CSV_OPTIONS = {"escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}
 
-Piece = tuple[str, str, int, bytes]
 
+# --- headers -------------------------------------------------------------------
 
-def read_files(spark: SparkSession, paths: str | Sequence[str], pattern: str) -> DataFrame:
-    """Whole files as rows of path and content."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", pattern)
-        .load(paths)
-    )
-    return files.select("path", "content")
 
+def _names(line: str) -> list[str]:
+    """Column names of a header line; those of the contract in its spelling."""
+    found = next(csv.reader([line.lstrip("﻿").rstrip("\r\n")]), [])
+    fold = {c.upper(): c for c in WEATHER_SOURCE}
+    return [fold.get(name.strip().upper(), name.strip()) for name in found]
 
-def listed_archives(spark: SparkSession, root: str) -> DataFrame:
-    """Paths of the archives below a folder."""
-    return read_files(spark, root, "*.tar.gz").select("path")
 
+def _in_order(names: Iterable[str]) -> list[str]:
+    seen = {n for n in names if n}
+    return [c for c in WEATHER_SOURCE if c in seen] + sorted(seen - set(WEATHER_SOURCE))
 
-def split_csv(stream: IO[bytes], piece_bytes: int = PIECE_BYTES) -> Iterator[bytes]:
-    """Pieces of a CSV, each with the header line and whole records. A line
-    break inside quotes is not the end of a record."""
-    header = stream.readline()
-    if not header.strip():
-        return
-    if not header.endswith(b"\n"):
-        header += b"\n"
-    records, size, quotes, sent = [header], 0, 0, False
-    for line in stream:
-        records.append(line)
-        size += len(line)
-        quotes += line.count(b'"')
-        if size >= piece_bytes and quotes % 2 == 0:
-            yield b"".join(records)
-            records, size, quotes, sent = [header], 0, 0, True
-    if size or not sent:
-        yield b"".join(records)
 
+def _fields(width: int) -> Column:
+    """The fields of `value` as an array, for records of `width` fields, and the
+    record itself as `bad` if it has more or fewer."""
+    names = [f"_{i}" for i in range(width)]
+    schema = ", ".join(f"{n} STRING" for n in (*names, "_bad"))
+    parsed = F.from_csv(F.col("value"), schema, _CSV_OPTIONS)
+    return F.struct(F.array(*[parsed[n] for n in names]).alias("fields"), parsed["_bad"].alias("bad"))
+
+
+def parse_records(records: DataFrame, headers: Iterable[str], at_least: Sequence[str] = ()) -> DataFrame:
+    """Records (path, header, value) as rows of path, all columns that any of the
+    headers or `at_least` names, and bad_record.
+
+    `headers` are the distinct headers of the records. A column that a record's
+    header lacks is null, as is an empty field; of a name that a header repeats
+    the first counts, and fields without a name are left out.
+    """
+    layouts = {header: _names(header) for header in headers}
+    columns = _in_order([*at_least, *(n for names in layouts.values() for n in names)])
+    if not layouts:
+        fields = ", ".join(f"`{c}` STRING" for c in ("path", *columns, "bad_record"))
+        return records.sparkSession.createDataFrame([], fields)
+    # Where each column stands under each header, a row per header.
+    known = records.sparkSession.createDataFrame(
+        [
+            (header, len(names), [names.index(c) if c in names else -1 for c in columns])
+            for header, names in layouts.items()
+        ],
+        "header STRING, width INT, places ARRAY<INT>",
+    )
+    # Few numbers of fields occur; only the branch of a record's own is evaluated.
+    widths = sorted({len(names) for names in layouts.values()})
+    parsed = F.when(F.col("width") == widths[0], _fields(widths[0]))
+    for width in widths[1:]:
+        parsed = parsed.when(F.col("width") == width, _fields(width))
+    rows = records.join(known, "header").select("path", "places", parsed.alias("parsed"))
+    return rows.select(
+        "path",
+        *[
+            F.get(F.col("parsed.fields"), F.nullif(F.col("places")[i], F.lit(-1))).alias(c)
+            for i, c in enumerate(columns)
+        ],
+        F.col("parsed.bad").alias("bad_record"),
+    )
 
-def _batched(pieces: Iterable[Piece]) -> Iterator[pa.RecordBatch]:
-    waiting: list[Piece] = []
-    size = 0
-    for piece in pieces:
-        waiting.append(piece)
-        size += len(piece[3])
-        if size >= _BATCH_BYTES:
-            yield _piece_batch(waiting)
-            waiting, size = [], 0
-    if waiting:
-        yield _piece_batch(waiting)
 
+# --- loose files -----------------------------------------------------------------
 
-def _piece_batch(pieces: list[Piece]) -> pa.RecordBatch:
-    columns = [pa.array(values, type=f.type) for values, f in zip(zip(*pieces), _PIECE_ARROW)]
-    return pa.RecordBatch.from_arrays(columns, schema=_PIECE_ARROW)
 
+def file_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """Lines of the CSV files below `paths` that are not blank, with their file."""
+    lines = (
+        spark.read.option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", "*.csv")
+        .text(paths)
+        .select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), "value")
+    )
+    return lines.where(F.btrim("value") != "")
 
-def _files(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[str, bytes]]:
-    for batch in batches:
-        for path, content in zip(batch["path"], batch["content"]):
-            yield path.as_py(), content.as_py()
 
+def file_headers(lines: DataFrame) -> DataFrame:
+    """path and header, the first line of every file.
 
-def _unpack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def pieces() -> Iterator[Piece]:
-        for path, content in _files(batches):
-            with tarfile.open(fileobj=io.BytesIO(content), mode="r|gz") as archive:
-                for entry in archive:
-                    if entry.isfile() and entry.name.endswith(".csv"):
-                        for i, piece in enumerate(split_csv(archive.extractfile(entry))):
-                            yield path, entry.name, i, piece
+    Lines are numbered as a task reads them, so that the least number in a file's
+    first block is its first line: an aggregate with a row per file.
+    """
+    first = lines.where("block = 0").withColumn("n", F.monotonically_increasing_id())
+    return first.groupBy("path").agg(F.min_by("value", "n").alias("header"))
 
-    return _batched(pieces())
 
+def read_station_files(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """Rows of loose station CSVs merged by column name, keeping every column
+    found, with the path of their file.
 
-def unpack_archives(archives: DataFrame) -> DataFrame:
-    """CSV members of tar.gz archives, in pieces. Gzip cannot be split, so an
-    archive is opened by one task, as a stream; its pieces are then spread by
-    hash, so that parsing a large archive is shared by the whole cluster."""
-    pieces = archives.select("path", "content").mapInArrow(_unpack, _PIECES)
-    return pieces.repartition("path", "member", "piece")
+    Headers take a pass over the text of their own; its result, a row per file, is
+    stored and joined with all lines. A line that repeats its file's header, as in
+    files put together from several, is a header too. Line breaks inside quotes
+    end a record here; archives allow them.
+    """
+    lines = file_lines(spark, paths)
+    place = fresh_dir(spark, "file-headers")
+    file_headers(lines).write.parquet(place)
+    heads = spark.read.schema("path STRING, header STRING").parquet(place)
+    records = lines.join(heads, "path").where("value NOT IN (header, concat('\ufeff', header))")
+    # As many rows as there are kinds of header.
+    kinds = [r.header for r in heads.select("header").distinct().collect()]
+    return parse_records(records.select("path", "header", "value"), kinds)
 
 
-def _names(line: str) -> list[str]:
-    """Column names of a header line; those of the contract in its spelling."""
-    found = next(csv.reader([line.lstrip("\ufeff").rstrip("\r\n")]), [])
-    fold = {c.upper(): c for c in WEATHER_SOURCE}
-    return [fold.get(name.strip().upper(), name.strip()) for name in found]
+# --- archives ----------------------------------------------------------------------
 
 
-def _decoded(content: bytes) -> bytes:
-    """UTF-8, with a mark in place of bytes that are not."""
-    try:
-        content.decode("utf-8")
-        return content
-    except UnicodeDecodeError:
-        return content.decode("utf-8", "replace").encode("utf-8")
+def read_files(spark: SparkSession, paths: str | Sequence[str], pattern: str) -> DataFrame:
+    """Files below `paths` by their names; only `path` is read if nothing else is used."""
+    return (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", pattern)
+        .load(paths)
+    )
 
 
-def _in_order(names: Iterable[str]) -> list[str]:
-    seen = {n for n in names if n}
-    return [c for c in WEATHER_SOURCE if c in seen] + sorted(seen - set(WEATHER_SOURCE))
+def listed_archives(spark: SparkSession, root: str | Sequence[str]) -> DataFrame:
+    """Paths of the archives below a folder."""
+    return read_files(spark, root, "*.tar.gz").select("path")
 
 
-def _member_headers(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        names = {n for first in batch["first"].to_pylist() for n in _names(first.decode("utf-8", "replace"))}
-        yield pa.RecordBatch.from_pydict({"name": pa.array(sorted(names), pa.string())})
-
-
-def archive_columns(archives: DataFrame) -> list[str]:
-    """All columns of the members of archives: the contract's and any others.
-    Members are unpacked once more for that, and only distinct names reach the
-    driver."""
-
-    def firsts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, content in _files(batches):
-            with tarfile.open(fileobj=io.BytesIO(content), mode="r|gz") as archive:
-                lines = {
-                    archive.extractfile(entry).readline()
-                    for entry in archive
-                    if entry.isfile() and entry.name.endswith(".csv")
-                }
-            yield pa.RecordBatch.from_pydict({"first": pa.array(sorted(lines), pa.binary())})
-
-    lines = archives.select("path", "content").mapInArrow(firsts, "first BINARY").distinct()
-    found = lines.mapInArrow(_member_headers, "name STRING").distinct().collect()
-    return _in_order([*WEATHER_SOURCE, *(r.name for r in found)])
-
-
-def parse_pieces(pieces: DataFrame, columns: Sequence[str] = WEATHER_SOURCE) -> DataFrame:
-    """Rows of all CSV pieces, by header name, every column as text; a column
-    that a file lacks is null. `path` tells the archive of a row."""
-    columns = list(columns)
-    schema = pa.schema([(c, pa.string()) for c in ("path", *columns, "bad_record")])
-
-    def parse(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for path, data in _files(batches):
-            data = _decoded(data)
-            names = _names(data.split(b"\n", 1)[0].decode("utf-8"))
-            bad: list[str] = []
-
-            def keep_aside(row) -> str:
-                bad.append(row.text)
-                return "skip"
-
-            table = arrow_csv.read_csv(
-                io.BytesIO(data),
-                read_options=arrow_csv.ReadOptions(
-                    column_names=names, skip_rows=1, use_threads=False
-                ),
-                parse_options=arrow_csv.ParseOptions(newlines_in_values=True, invalid_row_handler=keep_aside),
-                convert_options=arrow_csv.ConvertOptions(
-                    column_types={n: pa.string() for n in names},
-                    strings_can_be_null=True,
-                    null_values=[""],
-                ),
-            )
-            for rows in table.to_batches():
-                texts = [
-                    rows[c] if c in names else pa.nulls(rows.num_rows, pa.string()) for c in columns
-                ]
-                paths = pa.array([path] * rows.num_rows, pa.string())
-                none = pa.nulls(rows.num_rows, pa.string())
-                yield pa.RecordBatch.from_arrays([paths, *texts, none], schema=schema)
-            if bad:
-                nothing = [pa.nulls(len(bad), pa.string()) for _ in columns]
-                paths = pa.array([path] * len(bad), pa.string())
-                yield pa.RecordBatch.from_arrays([paths, *nothing, pa.array(bad, pa.string())], schema=schema)
-
-    fields = ", ".join(f"`{c}` STRING" for c in (*columns, "bad_record"))
-    return pieces.mapInArrow(parse, f"path STRING, {fields}")
+def csv_pieces(stream: IO[bytes], piece_bytes: int = PIECE_BYTES) -> Iterator[tuple[str, list[str]]]:
+    """Header and records of a CSV, some megabytes of records at a time. A line
+    break inside quotes is not the end of a record; bytes that are not UTF-8 are
+    marked; blank lines are left out."""
+    header = stream.readline().decode("utf-8", "replace").rstrip("\r\n")
+    if not header.strip():
+        return
+    records: list[str] = []
+    open_lines: list[bytes] = []
+    size, quotes, sent = 0, 0, False
+    for line in stream:
+        quotes += line.count(b'"')
+        open_lines.append(line)
+        if quotes % 2 == 0:
+            record = b"".join(open_lines).decode("utf-8", "replace").rstrip("\r\n")
+            if record.strip():
+                records.append(record)
+                size += len(record)
+            open_lines = []
+        if size >= piece_bytes:
+            yield header, records
+            records, size, sent = [], 0, True
+    if open_lines:  # a quote that is never closed: line by line, so that no record takes the rest along
+        records += [r for line in open_lines if (r := line.decode("utf-8", "replace").rstrip("\r\n")).strip()]
+    if records or not sent:
+        yield header, records
+
+
+def archive_pieces(stream: IO[bytes]) -> Iterator[tuple[str, str, list[str]]]:
+    """Member, header and records of the CSV members of a tar.gz stream, in order."""
+    with tarfile.open(fileobj=stream, mode="r|gz") as archive:
+        for entry in archive:
+            if entry.isfile() and entry.name.endswith(".csv"):
+                for header, records in csv_pieces(archive.extractfile(entry)):
+                    yield entry.name, header, records
+
+
+def open_stream(path: str) -> IO[bytes]:
+    """A file of any store that Arrow knows, as a stream."""
+    from pyarrow import fs
+
+    # Spark names local files file:/a/b.
+    uri = f"file://{path.removeprefix('file:')}" if path.startswith("file:/") and not path.startswith("file://") else path
+    store, place = fs.FileSystem.from_uri(uri)
+    return store.open_input_stream(place, compression=None)
+
+
+class ArchivePartition(InputPartition):
+    def __init__(self, path: str):
+        super().__init__(path)
+        self.path = path
+
+
+class StationArchives(DataSource):
+    """CSV members of tar.gz archives: path, member, header, and records in pieces.
+
+    Option `paths` lists the archives, as JSON. Gzip cannot be split, so each is a
+    partition; it is read as a stream of any length, once, and a task holds one
+    piece at a time.
+    """
+
+    @classmethod
+    def name(cls) -> str:
+        return "station_archives"
+
+    def schema(self) -> str:
+        return "path STRING, member STRING, header STRING, records ARRAY<STRING>"
+
+    def reader(self, schema) -> DataSourceReader:
+        return StationArchiveReader(json.loads(self.options["paths"]))
+
+
+class StationArchiveReader(DataSourceReader):
+    def __init__(self, paths: list[str]):
+        self.paths = paths
+
+    def partitions(self) -> Sequence[InputPartition]:
+        return [ArchivePartition(path) for path in self.paths]
+
+    def read(self, partition: ArchivePartition) -> Iterator[pa.RecordBatch]:
+        with open_stream(partition.path) as stream:
+            for member, header, records in archive_pieces(stream):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([partition.path]), pa.array([member]), pa.array([header]),
+                     pa.array([records], pa.list_(pa.string()))], ["path", "member", "header", "records"],
+                )
+
+
+def unpack_archives(archives: DataFrame, source: type[DataSource] = StationArchives) -> DataFrame:
+    """path, member, header and records of the archives that `archives` (path)
+    lists, unpacked into the shared folder: what follows reads them from there, by
+    as many tasks as their size asks for. One path per archive reaches the driver."""
+    spark = archives.sparkSession
+    paths = sorted(r.path for r in archives.select("path").distinct().collect())
+    place = fresh_dir(spark, "unpacked")
+    if paths:
+        spark.dataSource.register(source)
+        spark.read.format(source.name()).option("paths", json.dumps(paths)).load().write.parquet(place)
+        return spark.read.parquet(place)
+    return spark.createDataFrame([], StationArchives({}).schema())
 
 
 def with_year(rows: DataFrame) -> DataFrame:
@@ -219,64 +266,13 @@ def with_year(rows: DataFrame) -> DataFrame:
     return rows.withColumn("source_year", year).withColumnRenamed("path", "source_file")
 
 
-def read_archives(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Rows of yearly tar.gz archives, with every column any member has, ready
-    for the Bronze audit columns."""
-    archives = read_files(spark, paths, "*.tar.gz")
-    return with_year(parse_pieces(unpack_archives(archives), archive_columns(archives)))
-
-
-def _first_lines(spark: SparkSession, paths: Sequence[str]) -> list[str]:
-    """First line of each file, read on the driver without the rest of it."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+def archive_rows(pieces: DataFrame) -> DataFrame:
+    """Rows of unpacked archives, with the contract's columns and every other any member has."""
+    kinds = [r.header for r in pieces.select("header").distinct().collect()]
+    records = pieces.select("path", "header", F.explode("records").alias("value")).where("value <> header")
+    return with_year(parse_records(records, kinds, WEATHER_SOURCE))
 
-    def first(path: str) -> str:
-        place = jvm.org.apache.hadoop.fs.Path(path)
-        stream = place.getFileSystem(conf).open(place)
-        try:
-            reader = jvm.java.io.InputStreamReader(stream, "UTF-8")
-            return jvm.java.io.BufferedReader(reader, 4096).readLine() or ""
-        finally:
-            stream.close()
 
-    with ThreadPoolExecutor(max_workers=32) as pool:
-        return list(pool.map(first, paths))
-
-
-def read_station_files(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Rows of loose station CSVs merged by column name, keeping every column
-    found, with the path of their file. One scan per distinct header."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.csv")
-        .load(paths)
-    )
-    listed = [r.path for r in files.select("path").distinct().collect()]
-    by_header: dict[tuple[str, ...], list[str]] = {}
-    for path, line in zip(listed, _first_lines(spark, listed), strict=True):
-        if line.strip():
-            by_header.setdefault(tuple(_names(line)), []).append(path)
-    columns = _in_order(n for header in by_header for n in header)
-    fields = ", ".join(f"`{c}` STRING" for c in ("path", *columns, "bad_record"))
-    rows = spark.createDataFrame([], fields)
-    for header, members in by_header.items():
-        # A name that a header repeats would be ambiguous; the first one counts.
-        names = [n if n and n not in header[:i] else f"_unnamed{i}" for i, n in enumerate(header)]
-        read = (
-            spark.read.schema(", ".join(f"`{n}` STRING" for n in (*names, "bad_record")))
-            .option("header", "true")
-            .option("escape", '"')
-            .option("columnNameOfCorruptRecord", "bad_record")
-            # Whether a record fits must not depend on the columns a query uses.
-            .option("columnPruning", "false")
-            .csv(members)
-        )
-        unnamed = [n for n in names if n.startswith("_unnamed")]
-        # Spark refuses to read the bad records alone; nothing of a field is added to them.
-        nothing = F.left(F.coalesce(F.col(f"`{names[0]}`"), F.lit("")), F.lit(0))
-        part = read.withColumns(
-            {"path": F.col("_metadata.file_path"), "bad_record": F.concat("bad_record", nothing)}
-        ).drop(*unnamed)
-        rows = rows.unionByName(part, allowMissingColumns=True)
-    return rows.select("path", *columns, "bad_record")
+def read_archives(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """Rows of the yearly tar.gz archives below `paths`, ready for the Bronze audit columns."""
+    return archive_rows(unpack_archives(listed_archives(spark, paths)))
