@@ -253,6 +253,47 @@ def test_two_schemas_in_one_batch(spark, tmp_path):
     assert all(r.source_file.startswith("file:") and "/2021-05.parquet/part-" in r.source_file for r in df.collect())
 
 
+def test_footers_of_all_batches_in_one_job(spark, tmp_path):
+    """The number of jobs does not depend on the number of months."""
+    tracker = spark.sparkContext.statusTracker()
+    jobs = []
+    for year in (2020, 2022):
+        root = f"{tmp_path}/{year}"
+        for month in range(1, 5 if year == 2020 else 13):
+            drop = ["source_year", "source_month"] + (["airport_fee"] if month % 2 else [])
+            trips(spark, {}).drop(*drop).coalesce(1).write.parquet(f"{root}/{year}-{month:02d}.parquet")
+        spark.sparkContext.setJobGroup(f"months-{year}", "")
+        df = month_files.read_months(spark, root)
+        jobs.append(len(tracker.getJobIdsForGroup(f"months-{year}")))
+        spark.sparkContext.setJobGroup("", "")
+        assert df.count() == (4 if year == 2020 else 12)
+    assert jobs[0] == jobs[1] <= 4
+
+
+def test_footers_that_spark_has_not_written(spark, tmp_path):
+    import datetime
+
+    import pyarrow as pa
+    from pyarrow import parquet
+
+    when = datetime.datetime(2023, 1, 1, 12, 30)
+    table = pa.table({
+        "tpep_pickup_datetime": pa.array([when], pa.timestamp("us")), "tpep_dropoff_datetime": pa.array([when], pa.timestamp("us")),
+        "passenger_count": pa.array([2], pa.int64()), "fare_amount": pa.array([1.5], pa.float64()), "note": pa.array(["x"], pa.large_string()),
+    })
+    parquet.write_table(table, tmp_path / "2023-01.parquet")
+    parquet.write_table(table, tmp_path / "2023-02.parquet", use_deprecated_int96_timestamps=True)
+    for month in (1, 2):
+        path = f"{tmp_path}/2023-0{month}.parquet"
+        seen = month_files.footers(spark.createDataFrame([(path,)], "path string")).first().schema
+        theirs = spark.read.parquet(path).schema
+        assert [(f["name"], f["type"]) for f in json.loads(seen)["fields"]] == [
+            (f.name, f.dataType.jsonValue()) for f in theirs
+        ]
+    rows = month_files.read_months(spark, str(tmp_path)).orderBy("source_month").collect()
+    assert [r.tpep_pickup_datetime for r in rows] == [when, when] and [r.passenger_count for r in rows] == [2.0, 2.0]
+
+
 def test_stray_files_are_reported_and_left(spark, tmp_path):
     drifting_months(spark, tmp_path)
     for name in ("notes.parquet", "2021-13.parquet"):

@@ -2,17 +2,24 @@
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
+import json
+from collections.abc import Iterable, Iterator
 
+import pyarrow as pa
+from pyarrow import parquet
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import from_arrow_schema
 
 from tierwise.schemas import TRIP_SOURCE
+from tierwise.sources.stores import open_file
 
 # A batch is a file or folder whose name ends in YYYY-MM.parquet.
 _BATCH = r"^(.*?(\d{4})-(0[1-9]|1[0-2])\.parquet)"
 
+_SPARK_SCHEMA = b"org.apache.spark.sql.parquet.row.metadata"
+
 
 def listed_files(spark: SparkSession, root: str) -> DataFrame:
     """Parquet files below a folder; Spark lists names, contents are not opened."""
@@ -55,20 +62,78 @@ def missing_months(requested: DataFrame, found: DataFrame) -> DataFrame:
     return requested.select(*keys).join(found.select(*keys).distinct(), keys, "left_anti")
 
 
-def _schemas_of(spark: SparkSession, batch: str) -> list[tuple[list[str], T.StructType]]:
-    """The files of a batch by the schema to read them with.
+def _spark_schema(path: str) -> T.StructType:
+    """Schema of a Parquet file as Spark's reader sees it: the one Spark has left in
+    the footer, or what the file's own types stand for."""
+    with open_file(path) as file:
+        footer = parquet.ParquetFile(file)
+        own = (footer.metadata.metadata or {}).get(_SPARK_SCHEMA)
+        if own:
+            return T.StructType.fromJson(json.loads(own))
+        schema = from_arrow_schema(footer.schema_arrow, prefer_timestamp_ntz=True)
+        # The old timestamps of 96 bits are points in time for Spark.
+        old = {c.path for c in (footer.schema.column(i) for i in range(len(footer.schema))) if c.physical_type == "INT96"}
+        return T.StructType([T.StructField(f.name, T.TimestampType() if f.name in old else f.dataType) for f in schema])
+
+
+def footers(files: DataFrame) -> DataFrame:
+    """path and schema (JSON) of Parquet files (path): a task reads the footers of
+    many of them, and nothing else. Whether a column may be null is left out."""
+
+    def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            paths = batch.column("path").to_pylist()
+            schemas = [
+                T.StructType([T.StructField(f.name, f.dataType) for f in _spark_schema(path)]).json() for path in paths
+            ]
+            yield pa.RecordBatch.from_pydict({"path": pa.array(paths, pa.string()), "schema": pa.array(schemas, pa.string())})
+
+    return files.select("path").mapInArrow(read, "path STRING, schema STRING")
+
+
+def _merged(schemas: list[T.StructType]) -> T.StructType | None:
+    """All columns of several schemas, or none if one has two types."""
+    fields: dict[str, T.StructField] = {}
+    for schema in schemas:
+        for field in schema:
+            if fields.setdefault(field.name, field).dataType != field.dataType:
+                return None
+    return T.StructType(list(fields.values()))
 
-    Spark reads all footers of the batch in one job and merges them. Only if two
-    of them give a column different types, the files are read one by one, each
-    as it was written.
+
+def schema_groups(files: DataFrame) -> list[tuple[T.StructType, list[str]]]:
+    """Schemas and the paths to read with each, for listed files of batches.
+
+    One job, whatever the number of batches. A batch is one path; only where its
+    files give a column two types, they are read one by one, each as it was written.
     """
-    try:
-        return [([batch], spark.read.option("mergeSchema", "true").parquet(batch).schema)]
-    except Exception as error:
-        if "MERGE" not in str(error).upper():
-            raise
-    files = [r.path for r in listed_files(spark, batch).distinct().collect()]
-    return [([path], spark.read.parquet(path).schema) for path in files]
+    found = footers(files.where(F.col("path").rlike(_BATCH)).distinct())
+    rows = (
+        found.withColumn("batch", F.regexp_extract("path", _BATCH, 1))
+        .groupBy("batch", "schema")
+        .agg(F.min("path").alias("path"), F.count("*").alias("files"))
+        .collect()  # a row per batch and schema in it
+    )
+    by_batch: dict[str, list[T.StructType]] = {}
+    for row in rows:
+        by_batch.setdefault(row.batch, []).append(T.StructType.fromJson(json.loads(row.schema)))
+    alike: dict[str, tuple[T.StructType, list[str]]] = {}
+
+    def add(schema: T.StructType, path: str) -> None:
+        alike.setdefault(schema.simpleString(), (schema, []))[1].append(path)
+
+    apart = []
+    for batch, schemas in sorted(by_batch.items()):
+        whole = _merged(schemas)
+        if whole is None:
+            apart.append(batch)
+        else:
+            add(whole, batch)
+    if apart:
+        rows = found.where(F.regexp_extract("path", _BATCH, 1).isin(apart)).collect()
+        for row in sorted(rows):
+            add(T.StructType.fromJson(json.loads(row.schema)), row.path)
+    return list(alike.values())
 
 
 def read_months(spark: SparkSession, root: str, requested: DataFrame | None = None) -> DataFrame:
@@ -80,26 +145,22 @@ def read_months(spark: SparkSession, root: str, requested: DataFrame | None = No
     file a row was read from. A batch that was asked for and has not landed is
     an error that names all of them.
     """
-    found = landed_months(spark, root)
+    files = listed_files(spark, root)
     if requested is not None:
         # At most one row per month asked for.
-        missing = missing_months(requested, found).distinct().orderBy("source_year", "source_month").collect()
+        missing = missing_months(requested, landed_in(files)).distinct().orderBy("source_year", "source_month").collect()
         if missing:
             names = ", ".join(f"{m.source_year}-{m.source_month:02d}" for m in missing)
             raise FileNotFoundError(f"batches not found in {root}: {names}")
-        found = found.join(requested, ["source_year", "source_month"], "left_semi")
-    # One path per requested batch, a dozen a year.
-    batches = [row.path for row in found.select("path").distinct().collect()]
-    if not batches:
+        wanted = landed_in(files).join(requested, ["source_year", "source_month"], "left_semi")
+        batch = F.regexp_extract(files["path"], _BATCH, 1)
+        files = files.join(wanted.select(F.col("path").alias("wanted")), F.col("wanted") == batch, "left_semi")
+    groups = schema_groups(files)
+    if not groups:
         raise FileNotFoundError(f"no batches in {root}")
-    with ThreadPoolExecutor(max_workers=16) as pool:
-        found = [part for parts in pool.map(lambda b: _schemas_of(spark, b), batches) for part in parts]
-    alike: dict[str, tuple[T.StructType, list[str]]] = {}
-    for paths, schema in found:
-        alike.setdefault(schema.simpleString(), (schema, []))[1].extend(paths)
     parts = [
         conform(spark.read.schema(schema).parquet(*paths).withColumn("_path", F.col("_metadata.file_path")))
-        for schema, paths in alike.values()
+        for schema, paths in groups
     ]
     combined = parts[0]
     for part in parts[1:]:

@@ -27,6 +27,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from tierwise.schemas import WEATHER_SOURCE
 from tierwise.session import fresh_dir
+from tierwise.sources.stores import open_stream
 
 # Records of a member are handed on in pieces of about this many bytes, so that
 # one huge file is parsed by many tasks and no row is huge.
@@ -194,16 +195,6 @@ def archive_pieces(stream: IO[bytes]) -> Iterator[tuple[str, str, list[str]]]:
                     yield entry.name, header, records
 
 
-def open_stream(path: str) -> IO[bytes]:
-    """A file of any store that Arrow knows, as a stream."""
-    from pyarrow import fs
-
-    # Spark names local files file:/a/b.
-    uri = f"file://{path.removeprefix('file:')}" if path.startswith("file:/") and not path.startswith("file://") else path
-    store, place = fs.FileSystem.from_uri(uri)
-    return store.open_input_stream(place, compression=None)
-
-
 class ArchivePartition(InputPartition):
     def __init__(self, path: str):
         super().__init__(path)
