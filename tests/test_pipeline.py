@@ -136,6 +136,29 @@ def test_catch_up_takes_only_what_is_new(spark):
     )
 
 
+def test_a_stream_that_fails_after_its_commit_makes_one_version(spark, monkeypatch):
+    """The batch comes again, since its checkpoint is missing, and is known."""
+    root, state = fresh_dir(spark, "raw"), fresh_dir(spark, "state")
+    table = VersionedTable(spark, fresh_dir(spark, "caught-up"))
+    write_months(trips(spark, month(1), month(2)), root)
+    commit = VersionedTable.commit
+
+    def failing(self, *args, **more):
+        commit(self, *args, **more)
+        raise RuntimeError("lost after the commit")
+
+    monkeypatch.setattr(VersionedTable, "commit", failing)
+    with pytest.raises(Exception, match="lost after the commit"):
+        catch_up_trips(spark, root, table, state)
+    monkeypatch.undo()
+    assert table.latest_version() == 0
+    catch_up_trips(spark, root, table, state)
+    assert table.latest_version() == 0 and table.read().count() == 2
+    write_months(trips(spark, month(3)), root)
+    catch_up_trips(spark, root, table, state)
+    assert table.latest_version() == 1 and table.read().count() == 3
+
+
 def test_weather_catch_up_replaces_years(spark, tmp_path):
     table = VersionedTable(spark, fresh_dir(spark, "caught-up"))
 

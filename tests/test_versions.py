@@ -159,3 +159,58 @@ def test_schema_changes(spark):
         "c": ("int", None, "REMOVED"),
         "d": (None, "int", "ADDED"),
     }
+
+
+def test_a_repeated_batch_of_a_stream_is_committed_once(spark, table):
+    first = rows(spark, (2023, 1, 1))
+    assert table.commit(first, source=("stream", 0)) == 0
+    assert table.commit(rows(spark, (2023, 2, 2)), replace=[(2023, 2)], source=("stream", 1)) == 1
+    # The same batch again, whatever its rows are now: nothing is written.
+    assert table.commit(rows(spark, (2023, 2, 9)), replace=[(2023, 2)], source=("stream", 1)) == 1
+    assert table.latest_version() == 1 and state(table.read()) == [(2023, 1, 1), (2023, 2, 2)]
+    # Another stream's batch of that number is another one.
+    assert table.commit(rows(spark, (2023, 3, 3)), replace=[(2023, 3)], source=("other", 1)) == 2
+    assert table.commit(rows(spark, (2023, 3, 4)), replace=[(2023, 3)]) == 3
+
+
+def served(spark, query):
+    return [tuple(r) for r in spark.sql(query).collect()]
+
+
+def test_served_tables_point_at_live_partitions(spark, table):
+    """Nothing is copied; a refresh moves the changed partitions only, and old ones are no longer seen."""
+    from tierwise.operators import serving
+
+    name = "served_test.taxi_daily_summary"
+    table.commit(rows(spark, (2022, 12, 1), (2023, 1, 1), (2023, None, 7)))
+    serving.register(spark, {"daily_summary": table}, "served_test")
+    everything = f"SELECT source_year, source_month, v FROM {name} ORDER BY ALL"
+    assert served(spark, everything) == [(2022, 12, 1), (2023, None, 7), (2023, 1, 1)]
+    before = serving.served_folders(spark, name)
+    assert set(before.values()) == set(table.live()[1].values())
+    table.commit(rows(spark, (2023, 1, 2), (2023, 1, 3)), replace=[(2023, 1)])
+    assert served(spark, everything) == [(2022, 12, 1), (2023, None, 7), (2023, 1, 1)]
+    serving.refresh(spark, "daily_summary", table, "served_test")
+    assert served(spark, everything) == [(2022, 12, 1), (2023, None, 7), (2023, 1, 2), (2023, 1, 3)]
+    after = serving.served_folders(spark, name)
+    assert [k for k in after if before[k] != after[k]] == [(2023, 1)]
+    table.commit(rows(spark, (2023, 5, 9)), replace=[(2023, None)])
+    serving.refresh(spark, "daily_summary", table, "served_test")
+    assert served(spark, everything) == [(2022, 12, 1), (2023, 5, 9)]
+    # A month's query lists that month alone.
+    plan = spark.sql(f"SELECT v FROM {name} WHERE source_month = 5 AND source_year = 2023")
+    assert "PartitionFilters: [isnotnull" in plan._jdf.queryExecution().executedPlan().toString()
+    wider = spark.createDataFrame([(2022, 12, 4, "x")], "source_year INT, source_month INT, v INT, w STRING")
+    table.commit(wider, replace=[(2022, 12)])
+    serving.refresh(spark, "daily_summary", table, "served_test")
+    assert served(spark, f"SELECT v, w FROM {name} ORDER BY v") == [(4, "x"), (9, None)]
+    spark.sql("DROP SCHEMA served_test CASCADE")
+
+
+def test_scans_tell_what_they_opened(spark, revised):
+    from tierwise.operators import pruning
+
+    figures = {r.read: r for r in pruning.pruning_scans(revised.as_of(1), 2023, 2).collect()}
+    assert (figures["full"].rows, figures["full"].partitions) == (5, 4)
+    assert (figures["month"].rows, figures["month"].partitions) == (2, 1)
+    assert 0 < figures["month"].files < figures["full"].files and 0 < figures["month"].bytes < figures["full"].bytes

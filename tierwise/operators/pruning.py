@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Metrics of a file scan: how they are called in a plan, and here.
+_SCAN_METRICS = {"numFiles": "files", "filesSize": "bytes", "numPartitions": "partitions"}
+
 
 def scan_month(df: DataFrame, year: int, month: int) -> DataFrame:
     """One month; on a partitioned table only its folder is read."""
@@ -33,6 +36,47 @@ def pruning_rows(df: DataFrame, year: int, month: int) -> DataFrame:
     )
 
 
+# What an adaptive plan wraps its parts in, by the method that unwraps it.
+_WRAPPERS = {
+    "executedPlan": ("AdaptiveSparkPlanExec",),
+    "plan": ("ShuffleQueryStageExec", "BroadcastQueryStageExec", "TableCacheQueryStageExec", "ResultQueryStageExec"),
+}
+
+
+def _file_scans(plan) -> Iterator:
+    """The file scans of an executed plan, also within adaptive stages."""
+    for inner in ("executedPlan", "plan"):
+        if plan.getClass().getSimpleName() in _WRAPPERS[inner]:
+            yield from _file_scans(getattr(plan, inner)())
+            return
+    if plan.getClass().getSimpleName() == "FileSourceScanExec":
+        yield plan
+    children = plan.children()
+    for i in range(children.size()):
+        yield from _file_scans(children.apply(i))
+
+
+def scan_figures(df: DataFrame) -> dict[str, int]:
+    """Rows of a plan, and what its file scans have opened for them: files, bytes
+    and partitions, as the executed plan's metrics tell."""
+    counted = df.agg(F.count("*").alias("rows"))
+    # Its own plan has to run: `first` would make another.
+    figures = {"rows": counted.collect()[0].rows, **dict.fromkeys(_SCAN_METRICS.values(), 0)}
+    for scan in _file_scans(counted._jdf.queryExecution().executedPlan()):
+        for metric, name in _SCAN_METRICS.items():
+            value = scan.metrics().get(metric)
+            figures[name] += value.get().value() if value.isDefined() else 0
+    return figures
+
+
+def pruning_scans(df: DataFrame, year: int, month: int) -> DataFrame:
+    """What a whole read and a read with the partition filter have opened, a row each:
+    read, rows, partitions, files, bytes."""
+    reads = {"full": df, "month": scan_month(df, year, month)}
+    rows = [(name, *map(scan_figures(read).get, ("rows", "partitions", "files", "bytes"))) for name, read in reads.items()]
+    return df.sparkSession.createDataFrame(rows, "read STRING, rows BIGINT, partitions BIGINT, files BIGINT, bytes BIGINT")
+
+
 def mean_seconds(plan: Callable[[], DataFrame], runs: int = 3) -> float:
     """Mean time to read every row and column of a plan."""
     total = 0.0

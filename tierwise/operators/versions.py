@@ -28,7 +28,7 @@ _COMMITS = (
     "version INT, ts TIMESTAMP, operation STRING,"
     " replaced ARRAY<STRUCT<source_year: SMALLINT, source_month: TINYINT>>,"
     " partitions ARRAY<STRUCT<source_year: SMALLINT, source_month: TINYINT, rows: BIGINT>>,"
-    " rows BIGINT, schema ARRAY<STRUCT<name: STRING, type: STRING>>"
+    " rows BIGINT, schema ARRAY<STRUCT<name: STRING, type: STRING>>, source STRUCT<stream: STRING, batch: BIGINT>"
 )
 
 Batch = tuple[int, int | None]
@@ -97,6 +97,7 @@ class VersionedTable:
         replace: Sequence[Batch] = (),
         operation: str = "WRITE",
         sort: Sequence[str] = (),
+        source: tuple[str, int] | None = None,
     ) -> int | None:
         """Create the table, or replace whole batches of it in one step.
 
@@ -104,8 +105,16 @@ class VersionedTable:
         replaced year that the new rows lack are gone afterwards, and so are its
         rows without a month. Rows without a year are refused. Returns the new
         version, or None, with a warning, if there were no rows to write.
+
+        `source` names a stream and its batch. It is stored with the version, and a
+        batch that has been committed before is not written again: its version is
+        returned. So a stream that failed after a commit and before its own
+        checkpoint may hand on the same batch once more.
         """
         log = self._log()
+        for done in log if source else ():
+            if done.source and tuple(done.source) == tuple(source):
+                return done.version
         latest, schema = (log[-1].version, {f.name: f.type for f in log[-1].schema}) if log else (-1, {})
         if latest >= 0 and not replace:
             raise ValueError("name the batches to replace in an existing table")
@@ -137,6 +146,7 @@ class VersionedTable:
             written,
             sum(rows for _, _, rows in written),
             list(schema.items()),
+            source,
         )
         self.spark.createDataFrame([record], _COMMITS).coalesce(1).write.mode("errorifexists").json(
             f"{self.path}/commits/v{version}"
@@ -188,37 +198,41 @@ class VersionedTable:
             F.lead("version").over(per_month).alias("to_version"),
         ).where("rows > 0")
 
-    def as_of(self, version: int | None = None) -> DataFrame:
-        """The table as it was at a version, by default the newest.
-
-        The commits tell schema and live partitions in one job. The driver
-        receives a row per commit and makes a path per live partition of them,
-        the same list that Spark keeps for any partitioned table; no other
-        folder is listed.
-        """
+    def live(self, version: int | None = None) -> tuple[list[T.Row], dict[tuple[int, int | None], str]]:
+        """Schema (name, type) of a version, by default the newest, and the folder of
+        every partition that is live then, by (year, month). One job over the
+        commits; the driver receives a row per commit."""
         log = self._log()
         if version is None and log:
             version = log[-1].version
         log = [c for c in log if version is not None and c.version <= version]
         if not log or log[-1].version != version:
             raise ValueError(f"no version {version} in {self.path}")
-        live: dict[tuple[int, int | None], int] = {}
+        wrote: dict[tuple[int, int | None], int] = {}
         for commit in log:
             for year, month in commit.replaced:
-                live = {p: v for p, v in live.items() if p[0] != year or month is not None and p[1] != month}
-            live |= {(p.source_year, p.source_month): commit.version for p in commit.partitions}
-        fields = ", ".join(f"`{f.name}` {f.type}" for f in log[-1].schema)
-        folders = [
-            f"{self.path}/data/_commit={commit}/source_year={year}"
+                wrote = {p: v for p, v in wrote.items() if p[0] != year or month is not None and p[1] != month}
+            wrote |= {(p.source_year, p.source_month): commit.version for p in commit.partitions}
+        return log[-1].schema, {
+            (year, month): f"{self.path}/data/_commit={commit}/source_year={year}"
             f"/source_month={_NO_VALUE if month is None else month}"
-            for (year, month), commit in live.items()
-        ]
+            for (year, month), commit in wrote.items()
+        }
+
+    def as_of(self, version: int | None = None) -> DataFrame:
+        """The table as it was at a version, by default the newest.
+
+        Only the folders of live partitions are listed, the same list that Spark
+        keeps for any partitioned table.
+        """
+        schema, folders = self.live(version)
+        fields = ", ".join(f"`{f.name}` {f.type}" for f in schema)
         if not folders:
             return self.spark.createDataFrame([], fields)
         reader = self.spark.read.schema(f"{fields}, _commit INT").option(
             "basePath", f"{self.path}/data"
         )
-        return reader.parquet(*folders).select(*[f"`{f.name}`" for f in log[-1].schema])
+        return reader.parquet(*folders.values()).select(*[f"`{f.name}`" for f in schema])
 
     def as_of_time(self, at: datetime.datetime | str) -> DataFrame:
         """The table as it was at a point in time."""

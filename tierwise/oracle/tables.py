@@ -68,6 +68,13 @@ SELECT count(*) AS rows_full, count(*) FILTER (WHERE {wanted}) AS rows_read,
     CAST(count(*) FILTER (WHERE {wanted}) AS DOUBLE) * 100 / nullif(CAST(count(*) AS DOUBLE), 0) AS read_pct
 FROM bronze_trips""",
         ),
+        "pruning_scans": using(
+            "bronze_trips",
+            then=f"""
+SELECT 'full' AS "read", count(*) AS "rows", count(DISTINCT (source_year, source_month)) AS partitions FROM bronze_trips
+UNION ALL
+SELECT 'month', count(*), count(DISTINCT (source_year, source_month)) FROM bronze_trips WHERE {wanted}""",
+        ),
     }
 
 
@@ -285,6 +292,8 @@ WHERE "table" LIKE 'gold%'"""
         "pipeline_weather": weather_text,
         "pipeline_weather_stopped": using("staged_weather", also=weather_also, then=all_weather),
         "catalog_tables": served,
+        "catalog_daily_summary": stored["stored_daily_summary"],
+        "catalog_monthly_climate": stored["stored_monthly_climate"],
         **stored,
     }
 

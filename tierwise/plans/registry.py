@@ -163,6 +163,8 @@ def _scan_queries() -> dict[str, Query]:
         "scan_month": lambda s, d: pruning.scan_month(bronze(s, d), SCAN_YEAR, SCAN_MONTH),
         "scan_year": lambda s, d: pruning.scan_year(bronze(s, d), SCAN_YEAR),
         "pruning_rows": lambda s, d: pruning.pruning_rows(bronze(s, d), SCAN_YEAR, SCAN_MONTH),
+        # Files and bytes depend on how the rows were written; partitions do not.
+        "pruning_scans": lambda s, d: pruning.pruning_scans(bronze(s, d), SCAN_YEAR, SCAN_MONTH).drop("files", "bytes"),
     }
 
 
@@ -403,11 +405,20 @@ def _top_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     flows = (stored.trip_pipeline(spark, sf_dir), stored.weather_pipeline(spark, sf_dir))
     served = {m: flow.gold(m) for flow in flows for m in flow.models()}
-    found = {m: t.read() for m, t in served.items() if t.exists()}
-    serving.register(spark, found, fresh_dir(spark, "served"))
+    serving.register(spark, {m: t for m, t in served.items() if t.exists()})
     return serving.table_rows(spark)
 
 
+def _served(model: str) -> Query:
+    """All rows of a served table, as a SQL client asks for them."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        _catalog(spark, sf_dir)
+        return spark.sql(f"SELECT * FROM gold.{serving.SERVED_NAMES[model]}")
+
+    return run
+
+
 def _stored_gold(model: str) -> Query:
     """A Gold table as the pipeline stored it."""
     flow = stored.trip_pipeline if model in gold.TRIP_MODELS else stored.weather_pipeline
@@ -433,6 +444,8 @@ def _pipeline_queries() -> dict[str, Query]:
         "dq_pipeline_weather": _pipeline_report,
         **{f"stored_{model}": _stored_gold(model) for model in (*gold.TRIP_MODELS, *gold.WEATHER_MODELS)},
         "catalog_tables": _catalog,
+        "catalog_daily_summary": _served("daily_summary"),
+        "catalog_monthly_climate": _served("monthly_climate"),
     }
 
 

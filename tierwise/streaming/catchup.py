@@ -2,9 +2,10 @@
 
 A file stream remembers which files it has seen. Every run takes what has
 landed since the previous one, works out the batches concerned, and replaces
-those batches in the Bronze table from all of their files. Because a batch is
-replaced as a whole, running a step again after a failure changes nothing, and
-a batch whose files arrive in two runs still ends up complete.
+those batches in the Bronze table from all of their files, so that a batch whose
+files arrive in two runs still ends up complete. A commit names the stream, by its
+checkpoint, and the stream's batch: a step that is run again because the stream
+failed after the commit finds it there, and makes no second version.
 """
 
 from __future__ import annotations
@@ -26,10 +27,11 @@ def _take_new_files(
     root: str,
     pattern: str,
     checkpoint: str,
-    ingest: Callable[[DataFrame], None],
+    ingest: Callable[[DataFrame, tuple[str, int]], None],
 ) -> None:
-    """Hand the paths of files not seen before to `ingest`, then stop. Only
-    names are read; a failed `ingest` is given the same files again."""
+    """Hand the paths of files not seen before to `ingest`, with the stream and its
+    batch, then stop. Only names are read; a failed `ingest` is given the same files
+    and the same batch again."""
     stream = (
         spark.readStream.format("binaryFile")
         .schema(_FILES)
@@ -39,7 +41,7 @@ def _take_new_files(
         .select("path")
     )
     query = (
-        stream.writeStream.foreachBatch(lambda files, _: ingest(files))
+        stream.writeStream.foreachBatch(lambda files, batch: ingest(files, (checkpoint, batch)))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -52,13 +54,13 @@ def catch_up_trips(
 ) -> None:
     """Months that have landed since the last run."""
 
-    def ingest(files: DataFrame) -> None:
+    def ingest(files: DataFrame, source: tuple[str, int]) -> None:
         session = files.sparkSession
         months = landed_in(files).select("source_year", "source_month").distinct()
         batches = [(r.source_year, r.source_month) for r in months.collect()]
         if batches:
             rows = audit_trips(read_months(session, raw_root, requested=months))
-            VersionedTable(session, table.path).commit(rows, replace=batches)
+            VersionedTable(session, table.path).commit(rows, replace=batches, source=source)
 
     _take_new_files(spark, raw_root, "*.parquet", checkpoint, ingest)
 
@@ -68,7 +70,7 @@ def catch_up_weather(
 ) -> None:
     """Yearly archives that have landed since the last run."""
 
-    def ingest(files: DataFrame) -> None:
+    def ingest(files: DataFrame, source: tuple[str, int]) -> None:
         session = files.sparkSession
         news = with_year(files).where("source_year IS NOT NULL")
         years = news.select("source_year").distinct()
@@ -79,6 +81,6 @@ def catch_up_weather(
         if archives:
             rows = audit_weather(read_archives(session, archives))
             replaced = [(r.source_year, None) for r in years.collect()]
-            VersionedTable(session, table.path).commit(rows, replace=replaced)
+            VersionedTable(session, table.path).commit(rows, replace=replaced, source=source)
 
     _take_new_files(spark, raw_root, "*.tar.gz", checkpoint, ingest)
