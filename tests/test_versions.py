@@ -214,3 +214,15 @@ def test_scans_tell_what_they_opened(spark, revised):
     assert (figures["full"].rows, figures["full"].partitions) == (5, 4)
     assert (figures["month"].rows, figures["month"].partitions) == (2, 1)
     assert 0 < figures["month"].files < figures["full"].files and 0 < figures["month"].bytes < figures["full"].bytes
+
+
+def test_filled_changes(spark):
+    from tierwise.operators.versions import filled_changes
+
+    old = spark.createDataFrame([(1, 2, "x"), (None, 3, None)], "a INT, b INT, gone STRING")
+    new = spark.createDataFrame([(1, 2, None), (2, None, None), (3, None, 0.5)], "a BIGINT, b INT, fresh DOUBLE")
+    found = {(r.name, r.old_type, r.new_type, r.change, r.old_filled, r.new_filled) for r in filled_changes(old, new).collect()}
+    assert found == {
+        ("a", "int", "bigint", "CHANGED", 1, 3), ("gone", "string", None, "REMOVED", 1, None), ("fresh", None, "double", "ADDED", None, 1)
+    }
+    assert filled_changes(old, old).count() == 0

@@ -303,6 +303,27 @@ def schema_changes(old: DataFrame, new: DataFrame) -> DataFrame:
     )
 
 
+def filled_changes(old: DataFrame, new: DataFrame) -> DataFrame:
+    """Columns added, removed or changed from one table to another, with the rows
+    that have a value in them on either side, null where the column is not there.
+
+    One aggregate per table, over the columns that differ only."""
+    spark = old.sparkSession
+    changes = schema_changes(schema_rows(spark, old), schema_rows(spark, new))
+
+    def filled(df: DataFrame, name: str, side: str) -> DataFrame:
+        types = dict(new.dtypes if df is old else old.dtypes)
+        columns = [c for c, t in df.dtypes if types.get(c) != t]
+        counts = [F.struct(F.lit(c).alias("name"), F.count(f"`{c}`").alias(side)) for c in columns]
+        if not counts:
+            return spark.createDataFrame([], f"name STRING, {side} BIGINT")
+        return df.agg(F.array(*counts).alias(name)).select(F.inline(name))
+
+    return changes.join(filled(old, "counts", "old_filled"), "name", "left").join(
+        filled(new, "counts", "new_filled"), "name", "left"
+    )
+
+
 def _has_files(spark: SparkSession, folder: str) -> bool:
     path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/source_year=*")
     fs = path.getFileSystem(spark._jsc.hadoopConfiguration())

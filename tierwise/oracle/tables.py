@@ -26,7 +26,7 @@ _BACKFILL = f"""
     ) t ON c.source_year = t.source_year AND c.source_month = t.source_month"""
 
 
-def _batches() -> dict[str, str]:
+def _batches(span: tuple[tuple[int, int], tuple[int, int]]) -> dict[str, str]:
     also = {"calendar": _WHOLE_YEARS}
     totals = """
 SELECT count(*) FILTER (WHERE status = 'success') AS successful,
@@ -41,6 +41,16 @@ FROM backfill"""
 SELECT c.source_year, c.source_month, count(t.source_year) AS "rows", count(t.source_year) > 0 AS landed
 FROM calendar c LEFT JOIN trips t USING (source_year, source_month)
 GROUP BY c.source_year, c.source_month""",
+        ),
+        "batch_range": using(
+            "trips",
+            then=f"""
+SELECT CAST(year(m) AS SMALLINT) AS source_year, CAST(month(m) AS TINYINT) AS source_month,
+    count(t.source_year) AS "rows", count(t.source_year) > 0 AS landed
+FROM (SELECT unnest(generate_series(DATE '{span[0][0]}-{span[0][1]:02d}-01', DATE '{span[1][0]}-{span[1][1]:02d}-01',
+          INTERVAL 1 MONTH)) AS m) months
+LEFT JOIN trips t ON t.source_year = year(m) AND t.source_month = month(m)
+GROUP BY m""",
         ),
         "missing_batches": using(
             "trips",
@@ -129,6 +139,42 @@ _COLUMNS = {
 }
 
 
+# Columns that differ between raw and staged trips, with their types
+# on both sides. The clocks, which have a value in every row, are no columns here.
+_DRIFT = {
+    "DOLocationID": ("bigint", None), "PULocationID": ("bigint", None), "RatecodeID": ("bigint", None),
+    "VendorID": ("bigint", None), "bronze_ingested_at": (None, "timestamp"), "day_name": (None, "string"),
+    "dropoff_datetime": (None, "timestamp_ntz"), "dropoff_location_id": (None, "int"), "fare_amount": ("double", "float"),
+    "ingested_at": ("timestamp", None), "is_weekend": (None, "boolean"), "passenger_count": ("double", "smallint"),
+    "payment_method": (None, "string"), "payment_type": ("bigint", "smallint"), "pickup_date": (None, "date"),
+    "pickup_datetime": (None, "timestamp_ntz"), "pickup_day_of_week": (None, "smallint"), "pickup_hour": (None, "smallint"),
+    "pickup_location_id": (None, "int"), "rate_code_id": (None, "bigint"), "silver_processed_at": (None, "timestamp"),
+    "tpep_dropoff_datetime": ("timestamp_ntz", None), "tpep_pickup_datetime": ("timestamp_ntz", None),
+    "trip_distance": ("double", "float"), "trip_duration_minutes": (None, "bigint"), "trip_speed_mph": (None, "float"),
+    "vendor_id": (None, "bigint"),
+}
+_CLOCK_COLUMNS = ("bronze_ingested_at", "ingested_at", "silver_processed_at")
+
+
+def _layer_drift() -> str:
+    def filled(table: str, name: str, type_name: str | None) -> str:
+        if type_name is None:
+            return "CAST(NULL AS BIGINT)"
+        return f"(SELECT count({'*' if name in _CLOCK_COLUMNS else name}) FROM {table})"
+
+    def text(value: str | None) -> str:
+        return "CAST(NULL AS VARCHAR)" if value is None else f"'{value}'"
+
+    lines = []
+    for name, (old, new) in _DRIFT.items():
+        change = "ADDED" if old is None else "REMOVED" if new is None else "CHANGED"
+        lines.append(
+            f"SELECT '{name}' AS name, {text(old)} AS old_type, {text(new)} AS new_type, '{change}' AS change,"
+            f" {filled('bronze_trips', name, old)} AS old_filled, {filled('staged_trips', name, new)} AS new_filled"
+        )
+    return "\nUNION ALL\n".join(lines)
+
+
 def _versions() -> dict[str, str]:
     def digest(version: int, more: str = "") -> str:
         return using("bronze_trips", then=_DIGEST.format(state=_REVISED[version], more=more))
@@ -162,6 +208,7 @@ SELECT * FROM (
 SELECT version, name, type, "rows" FROM per_version, (VALUES {base}) c(name, type)
 UNION ALL SELECT version, 'airport_fee', 'double', "rows" FROM per_version WHERE version >= 3""",
         ),
+        "layer_drift": using("staged_trips", then=_layer_drift()),
         "schema_diff": using(
             "trips",
             also={"per_version": _ROWS},
@@ -311,9 +358,11 @@ ORDER BY total_trips DESC, pickup_borough ASC NULLS LAST, pickup_zone ASC NULLS
     )
 
 
-def statements(scan: tuple[int, int], gate_rows: tuple[int, int]) -> dict[str, str]:
+def statements(
+    scan: tuple[int, int], gate_rows: tuple[int, int], span: tuple[tuple[int, int], tuple[int, int]]
+) -> dict[str, str]:
     return {
-        **_batches(),
+        **_batches(span),
         **_scans(*scan),
         **_versions(),
         **_files(),

@@ -13,7 +13,7 @@ from tierwise.operators import batches, dashboards, gold, pruning, quality, serv
 from tierwise.operators.bronze import audit_trips, audit_weather
 from tierwise.operators.rules import drop_report, trip_rules, weather_rules
 from tierwise.operators.silver import WEATHER_METRICS, new_columns
-from tierwise.operators.versions import VersionedTable
+from tierwise.operators.versions import VersionedTable, filled_changes
 from tierwise.plans import layers, sample_files, stored
 from tierwise.session import configure, fresh_dir
 from tierwise.sources import month_files, station_files, tables, zone_lookup
@@ -139,6 +139,8 @@ def _dashboard_queries() -> dict[str, Query]:
 
 # The month and year the scans ask for.
 SCAN_YEAR, SCAN_MONTH = 1996, 6
+# First and last batch of a backfill over part of the history.
+RANGE = ((1993, 3), (1997, 10))
 
 
 def _scan_queries() -> dict[str, Query]:
@@ -180,6 +182,9 @@ def _batch_queries() -> dict[str, Query]:
         "batch_calendar": lambda s, d: batches.calendar_with_rows(
             batches.months_spanned(trips(s, d), True), trips(s, d)
         ),
+        "batch_range": lambda s, d: batches.calendar_with_rows(
+            batches.BatchRange(*RANGE, earliest_year=RANGE[0][0]).calendar(s), trips(s, d)
+        ),
         "missing_batches": lambda s, d: batches.missing_batches(
             batches.months_spanned(trips(s, d), True), trips(s, d)
         ),
@@ -318,6 +323,7 @@ def _version_queries() -> dict[str, Query]:
         .schema_history()
         .drop("position")
         .join(revised(s, d).rows_per_version(), "version"),
+        "layer_drift": lambda s, d: filled_changes(layers.bronze_trips(s, d), layers.staged_trips(s, d)),
         "schema_diff": lambda s, d: revised(s, d)
         .schema_drift()
         .join(revised(s, d).rows_per_version(), "version"),
