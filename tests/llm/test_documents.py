@@ -380,3 +380,33 @@ def test_clause_on_names_with_any_holder(spark, holder):
     )
     found = licenses.scan_licenses(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
     assert found.licenses == ["BSD-3-Clause"]
+
+
+def test_tokens_beside_many_spans():
+    """A megabyte of hex strings takes a time in proportion to it, and what touches no span is found."""
+    import time
+
+    text = " ".join(f"{i:032x}" if i % 3 else f"plain_token_{'x' * (i % 9)}" for i in range(30_000))
+    spans = secret_scan.base_spans(text)
+    start = time.perf_counter()
+    found = list(secret_scan.other_tokens(text, spans))
+    assert time.perf_counter() - start < 10 and len(found) > 5_000
+    some = text[:9_000]
+    spans = secret_scan.base_spans(some)
+    by_hand = [
+        m.span() for m in secret_scan.LONG_TOKEN.finditer(some)
+        if not any(a < m.end() and m.start() < b for _, a, b in spans)
+    ]
+    assert list(secret_scan.other_tokens(some, spans)) == by_hand
+    nested = [("hex", 5, 30), ("assign", 0, 40), ("access", 60, 80)]
+    line = "a" * 12 + " " + "b" * 20 + " " + "c" * 14 + " " + "d" * 12 + " " + "e" * 30
+    by_hand = [
+        m.span() for m in secret_scan.LONG_TOKEN.finditer(line)
+        if not any(a < m.end() and m.start() < b for _, a, b in nested)
+    ]
+    assert list(secret_scan.other_tokens(line, nested)) == by_hand
+
+
+@pytest.mark.parametrize("text, letter", [("½ ² Ⅷ 12", False), ("", False), ("½a", True), ("Ⅷ é", True), ("__", False), ("日", True)])
+def test_number_signs_are_no_letters(text, letter):
+    assert langid.has_letter(text) is letter

@@ -49,6 +49,9 @@ def drop_exact_duplicates(docs: DataFrame) -> DataFrame:
     """The rows of `docs` that stay, with the columns they had.
 
     A row goes if its doc_id and its text both belong to a row that does not stay.
+    Null and empty texts are equal to each other, and one of them stays. Rows that
+    repeat the doc_id and the text of the row that stays are that row, and stay with
+    it; so do rows without a doc_id where no equal row has one. An empty table stays one.
     """
     marked = exact_duplicates(docs).where(~F.col("kept"))
     gone = stored(marked.select("doc_id", "text_sha256").distinct(), "exact-gone")

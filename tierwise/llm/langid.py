@@ -176,6 +176,12 @@ def words_of(text: str) -> list[str]:
     return [run[at : at + LONGEST_TRAINED] for run in runs for at in range(0, len(run), LONGEST_TRAINED)]
 
 
+def has_letter(text: str) -> bool:
+    """Whether any character is a letter: the word pattern takes number signs, such
+    as one half or a Roman numeral, as well."""
+    return any(char.isalpha() for run in LETTERS.finditer(text) for char in run[0])
+
+
 class Model:
     """Languages and their pieces' probabilities: `table`, pieces x languages;
     the row before the last is for unknown characters, the last is zero."""
@@ -323,7 +329,7 @@ class Scorer:
         self.learn({w for words in cut for w in words})
         labels, scores = [], []
         for text, words in zip(batch, cut, strict=True):
-            if LETTERS.search(text) is None:
+            if not has_letter(text):
                 labels.append(UNDETERMINED)
                 scores.append(0.0)
                 continue
@@ -374,7 +380,12 @@ def predict(
 
 
 def keep_identified(docs: DataFrame, model: Model, least: float = LEAST_SCORE) -> DataFrame:
-    """The rows of `docs` whose text has a language with a score of `least` at least."""
+    """The rows of `docs` whose text has a language with a score of `least` at least.
+
+    Null and empty texts, and those without a letter, have none and go; with a model
+    without languages all rows go. Rows are judged one by one, repeated ones alike;
+    an empty table stays one, and all columns stay.
+    """
     spark = docs.sparkSession
     bounded_batches(spark)
     shared = spark.sparkContext.broadcast(model)  # vocabulary x languages

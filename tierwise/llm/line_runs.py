@@ -177,7 +177,12 @@ def repeated_runs(
 
 
 def drop_repeated_runs(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
-    """`docs` without the lines of repeated runs."""
+    """`docs` without the lines of repeated runs.
+
+    Every row stays, with all its columns; null and empty texts and those without a
+    repeated run are as they were. Rows that repeat doc_id and text, a null id as
+    well, lose the same lines. An empty table stays one.
+    """
     gone = (
         repeated_runs(docs, min_lines)
         .groupBy(F.col("doc_id").alias("cut_id"), F.col("text_hash").alias("cut_hash"))

@@ -59,12 +59,18 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 def other_tokens(text: str, spans: list[tuple[str, int, int]]) -> Iterator[tuple[int, int]]:
     """Long tokens that touch none of the spans."""
-    taken = sorted((start, end) for _, start, end in spans)
+    # Spans that overlap as one, so that the first to end after a token's start decides.
+    taken: list[tuple[int, int]] = []
+    for start, end in sorted((start, end) for _, start, end in spans):
+        if taken and start < taken[-1][1]:
+            taken[-1] = (taken[-1][0], max(end, taken[-1][1]))
+        else:
+            taken.append((start, end))
     at = 0
     for m in LONG_TOKEN.finditer(text):
         while at < len(taken) and taken[at][1] <= m.start():
             at += 1
-        if all(start >= m.end() or end <= m.start() for start, end in taken[at:]):
+        if at == len(taken) or taken[at][0] >= m.end():
             yield m.span()
 
 
@@ -159,7 +165,11 @@ def find_secrets(
 
 def redact(docs: DataFrame, ratios: np.ndarray | None, placeholder: str = "[SECRET]") -> DataFrame:
     """The rows of `docs` with every span (overlapping ones as one) replaced in
-    `text`, and `n_chars`, if there is one, counted anew where a text changed."""
+    `text`, and `n_chars`, if there is one, counted anew where a text changed.
+
+    Every row and every other column stays as it is; null and empty texts too. Rows
+    that repeat an id or a text are redacted each by itself; an empty table stays one.
+    """
     bounded_batches(docs.sparkSession)
     schema = docs.schema
 
