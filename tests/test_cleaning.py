@@ -157,3 +157,15 @@ def test_batches_together_equal_batches_alone(spark):
         for m in (1, 2)
     ]
     assert sorted(map(str, whole.collect())) == sorted(map(str, alone[0].unionAll(alone[1]).collect()))
+
+
+def test_drops_are_counted_while_rows_are_read(spark):
+    """The totals of the drop report from the pass that writes the kept rows."""
+    from tierwise.operators.rules import drop_report, keep, observed, trip_rules
+
+    rows = trips(spark, {}, {"fare_amount": -1.0}, {"fare_amount": None, "passenger_count": None}, {"trip_distance": -5.0})
+    seen_rows, seen = observed(rows, trip_rules())
+    assert seen_rows.columns == rows.columns
+    assert keep(seen_rows, trip_rules()).count() == 1
+    expected = drop_report(rows, trip_rules()).drop("source_year", "source_month").groupBy().sum().first().asDict()
+    assert seen.get == {k[4:-1]: v for k, v in expected.items()}

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tierwise.functions import count_where, minutes_between, number
@@ -119,17 +119,36 @@ def keep(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     return df.where(_every([r.condition for r in rules]))
 
 
-def drop_report(
-    df: DataFrame, rules: Sequence[Rule], batch: Sequence[str] = PARTITION_KEYS
-) -> DataFrame:
-    """Per batch: rows read, kept and dropped, and how many rows each rule
-    rejects. A row may fail several rules, so these counts can overlap."""
-    flags = df.selectExpr(*batch, *[f"coalesce({r.condition}, FALSE) AS {r.name}" for r in rules])
+def _measures(rules: Sequence[Rule]) -> list[str]:
+    """Rows read, kept and dropped, and those each rule rejects, over flags by rule name."""
     kept = count_where(_every([r.name for r in rules]))
-    measures = [
+    return [
         "count(*) AS rows_read",
         f"{kept} AS rows_kept",
         f"count(*) - {kept} AS rows_dropped",
         *[f"{count_where(f'NOT {r.name}')} AS failed_{r.name}" for r in rules],
     ]
-    return flags.groupBy(*batch).agg(*[F.expr(x) for x in measures])
+
+
+def _flag(rule: Rule) -> str:
+    return f"coalesce({rule.condition}, FALSE)"
+
+
+def drop_report(
+    df: DataFrame, rules: Sequence[Rule], batch: Sequence[str] = PARTITION_KEYS
+) -> DataFrame:
+    """Per batch: rows read, kept and dropped, and how many rows each rule
+    rejects. A row may fail several rules, so these counts can overlap."""
+    flags = df.selectExpr(*batch, *[f"{_flag(r)} AS {r.name}" for r in rules])
+    return flags.groupBy(*batch).agg(*[F.expr(x) for x in _measures(rules)])
+
+
+def observed(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, Observation]:
+    """The rows as they are, and the totals of their drop report, which are counted
+    while an action reads the rows: cleaning and its report take one pass. A task
+    that is run again after its executor was lost counts once more."""
+    flags = {f"_rule_{r.name}": F.expr(_flag(r)) for r in rules}
+    named = [Rule(f"_rule_{r.name}", r.condition) for r in rules]
+    seen = Observation()
+    measures = [F.expr(x.replace("AS failed__rule_", "AS failed_")) for x in _measures(named)]
+    return df.withColumns(flags).observe(seen, *measures).drop(*flags), seen

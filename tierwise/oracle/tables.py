@@ -334,7 +334,16 @@ WHERE "table" LIKE 'gold%'"""
     for name, body in models.items():
         body = body.replace("FROM staged_weather", "FROM gold_rows")
         stored[f"stored_{name}"] = using("staged_weather", also=weather_also, then=body, instead=once)
+    kept = " AND ".join(f"({c})" for c in TRIP_RULES.values())
+    failed = ", ".join(
+        f"count(*) FILTER (WHERE coalesce({c}, FALSE) = FALSE) AS failed_{name}" for name, c in TRIP_RULES.items()
+    )
+    drops = f"""
+SELECT 'taxi' AS domain, count(*) AS rows_read, count(*) FILTER (WHERE {kept}) AS rows_kept,
+    count(*) - count(*) FILTER (WHERE {kept}) AS rows_dropped, {failed}
+FROM (SELECT t.* FROM bronze_trips t JOIN bronze_ok USING ({month})) t"""
     return {
+        "pipeline_drops": using("bronze_trips", also={"bronze_ok": trips_also["bronze_ok"]}, then=drops),
         "pipeline_trips": trip_text,
         "pipeline_weather": weather_text,
         "pipeline_weather_stopped": using("staged_weather", also=weather_also, then=all_weather),

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from tierwise.operators import gold, quality
 from tierwise.operators.bronze import audit_trips, audit_weather
 from tierwise.operators.dimension import trips_with_zones
+from tierwise.operators.rules import Rule, observed, trip_rules, weather_rules
 from tierwise.operators.silver import silver_trips, silver_weather, stage_trips, stage_weather
 from tierwise.operators.versions import Batch, VersionedTable
 from tierwise.session import configure, fresh_dir
@@ -32,6 +33,7 @@ class Domain:
     batch: tuple[str, ...]
     audit: Callable[[DataFrame], DataFrame]
     clean: Callable[[DataFrame], DataFrame]
+    rules: Sequence[Rule]
     bronze_suite: Sequence[quality.Check]
     silver_suite: Sequence[quality.Check]
 
@@ -45,6 +47,7 @@ def trip_domain(
         quality.MONTHLY,
         audit_trips,
         silver_trips,
+        trip_rules(),
         quality.trip_bronze_suite(bronze_rows),
         quality.trip_silver_suite(silver_rows),
     )
@@ -59,6 +62,7 @@ def weather_domain(
         quality.YEARLY,
         audit_weather,
         silver_weather,
+        weather_rules(),
         quality.weather_bronze_suite(bronze_rows),
         quality.weather_silver_suite(silver_rows),
     )
@@ -73,6 +77,8 @@ class Medallion:
         self.domain = domain
         self.bronze = self._table("bronze")
         self.silver = self._table("silver")
+        # Totals of what cleaning has read, kept and dropped, a row per step.
+        self._cleaned: list[dict[str, int]] = []
 
     def _table(self, layer: str, model: str = "") -> VersionedTable:
         return VersionedTable(
@@ -121,7 +127,10 @@ class Medallion:
         )
 
     def clean(self, batches: Sequence[Batch]) -> None:
-        self._replace(self.silver, self.domain.clean(self._rows(self.bronze, batches)), batches)
+        """Clean batches into Silver. What is dropped is counted while it is written."""
+        rows, seen = observed(self._rows(self.bronze, batches), self.domain.rules)
+        self._replace(self.silver, self.domain.clean(rows), batches)
+        self._cleaned.append(seen.get)
 
     def aggregate(self, batches: Sequence[Batch], build: GoldBuilder) -> None:
         """Write the Gold models. They are separate tables, so their jobs run
@@ -169,6 +178,13 @@ class Medallion:
             result = result.unionAll(part)
         return result
 
+    def drops(self) -> DataFrame:
+        """Rows read, kept, dropped and failing each rule, for every cleaning step of this run."""
+        names = ["rows_read", "rows_kept", "rows_dropped", *(f"failed_{r.name}" for r in self.domain.rules)]
+        rows = [(self.domain.name, step, *(seen[n] for n in names)) for step, seen in enumerate(self._cleaned)]
+        fields = ", ".join(["domain STRING", "step INT", *(f"{n} BIGINT" for n in names)])
+        return self.spark.createDataFrame(rows, fields)
+
     # --- helpers ---------------------------------------------------------
 
     def _replace(self, table, df, batches, sort=()) -> None:

@@ -444,6 +444,7 @@ def _pipeline_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _pipeline_queries() -> dict[str, Query]:
     return {
         "top_zones": _top_zones,
+        "pipeline_drops": lambda s, d: stored.trip_pipeline(s, d).drops().drop("step"),
         "pipeline_trips": lambda s, d: stored.trip_pipeline(s, d).summary(),
         "pipeline_weather": lambda s, d: stored.weather_pipeline(s, d).summary(),
         "pipeline_weather_stopped": lambda s, d: stored.weather_pipeline(s, d, once=False).summary(),
