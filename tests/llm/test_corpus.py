@@ -309,6 +309,23 @@ def test_line_runs_over_blank_lines(spark):
     assert {r.doc_id: r.text.split() for r in kept.collect()}[4] == []
 
 
+def test_line_runs_over_blank_lines_as_sql(spark, tmp_path):
+    """The statement lets blank lines pass, as the operator does."""
+    import duckdb
+
+    body = [prose(s, 5) for s in range(80, 86)]
+    docs = [
+        (1, "\n".join(body)), (2, "\n\n \n".join(body)), (3, "\n" + "\n\n".join(body[2:5]) + "\n\nother\n" + body[0]),
+        (4, "\n".join([*body[4:], "", body[0], "", "", body[1], "end"])), (5, None), (6, " \n\n"), (7, "\n\n".join([body[1]] * 5)),
+    ]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    theirs = con.execute(line_runs.OP10_SQL).fetchall()
+    ours = [tuple(r) for r in line_runs.op10_line_runs(spark, str(tmp_path)).collect()]
+    assert sorted(ours) == sorted(theirs) and len(ours) == 4
+
+
 def test_line_runs_edges(spark):
     docs = edge_docs(spark)
     kept = line_runs.drop_repeated_runs(docs)

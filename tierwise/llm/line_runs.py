@@ -212,40 +212,39 @@ def op10_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _op10_sql() -> str:
     window = " || chr(10) || ".join(["norm", *(f"lead(norm, {i}) OVER place" for i in range(1, MIN_LINES))])
-    whole = " AND ".join(["norm <> ''", *(f"lead(norm, {i}) OVER place <> ''" for i in range(1, MIN_LINES))])
     return f"""
 WITH lines AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS raw,
          generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) - 1 AS line FROM documents),
-plain AS (
+normal AS (
   SELECT doc_id, line, trim(regexp_replace(translate(raw, '{ASCII_UPPER}', '{ASCII_LOWER}'),
                                            '[\\x20\\x09-\\x0D]+', ' ', 'g'), ' ') AS norm FROM lines),
+plain AS (
+  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY line) - 1 AS spot FROM normal WHERE norm <> ''),
 windowed AS (
-  SELECT doc_id, line, CASE WHEN {whole} THEN {window} END AS win FROM plain
-  WINDOW place AS (PARTITION BY doc_id ORDER BY line)),
+  SELECT doc_id, line, spot, {window} AS win FROM plain WINDOW place AS (PARTITION BY doc_id ORDER BY spot)),
 first AS (
-  SELECT *, first_value(doc_id) OVER same AS fdoc, first_value(line) OVER same AS fline,
+  SELECT *, first_value(doc_id) OVER same AS fdoc, first_value(line) OVER same AS fline, first_value(spot) OVER same AS fat,
          row_number() OVER same AS nth FROM windowed WHERE win IS NOT NULL
-  WINDOW same AS (PARTITION BY win ORDER BY doc_id, line)),
+  WINDOW same AS (PARTITION BY win ORDER BY doc_id, spot)),
 later AS (
-  SELECT *, coalesce(line > lag(line) OVER t + {MIN_LINES}, true) AS begins FROM first WHERE nth > 1
-  WINDOW t AS (PARTITION BY doc_id ORDER BY line)),
+  SELECT *, coalesce(spot > lag(spot) OVER t + {MIN_LINES}, true) AS begins FROM first WHERE nth > 1
+  WINDOW t AS (PARTITION BY doc_id ORDER BY spot)),
 numbered AS (
-  SELECT *, sum(CAST(begins AS INTEGER)) OVER (PARTITION BY doc_id ORDER BY line) AS run FROM later),
+  SELECT *, sum(CAST(begins AS INTEGER)) OVER (PARTITION BY doc_id ORDER BY spot) AS run FROM later),
 runs AS (
-  SELECT doc_id, min(line) AS start_line, max(line) - min(line) + {MIN_LINES} AS n_lines,
-         arg_min(fdoc, line) AS fdoc, arg_min(fline, line) AS fline FROM numbered GROUP BY doc_id, run),
+  SELECT doc_id, min(line) AS start_line, min(spot) AS start_at, max(spot) + {MIN_LINES} - 1 AS end_at,
+         arg_min(fdoc, spot) AS fdoc, arg_min(fline, spot) AS fline, arg_min(fat, spot) AS fat FROM numbered GROUP BY doc_id, run),
 compared AS (
-  SELECT r.doc_id, r.start_line, r.fdoc, r.fline,
-         min(CASE WHEN b.norm IS NULL OR a.norm <> b.norm OR a.norm = '' THEN a.line END) AS differs,
-         max(a.line) AS last
-  FROM runs r JOIN plain a ON a.doc_id = r.doc_id AND a.line >= r.start_line
-  LEFT JOIN plain b ON b.doc_id = r.fdoc AND b.line = r.fline + a.line - r.start_line
+  SELECT r.doc_id, r.start_at, min(CASE WHEN b.norm IS NULL OR a.norm <> b.norm THEN a.spot END) AS differs, max(a.spot) AS last
+  FROM runs r JOIN plain a ON a.doc_id = r.doc_id AND a.spot >= r.start_at
+  LEFT JOIN plain b ON b.doc_id = r.fdoc AND b.spot = r.fat + a.spot - r.start_at
   GROUP BY ALL)
-SELECT r.doc_id, CAST(r.start_line AS BIGINT) AS start_line, CAST(r.n_lines AS BIGINT) AS n_lines,
+SELECT r.doc_id, CAST(r.start_line AS BIGINT) AS start_line, CAST(e.line - r.start_line + 1 AS BIGINT) AS n_lines,
        r.fdoc AS first_doc_id, CAST(r.fline AS BIGINT) AS first_line,
-       CAST(coalesce(c.differs, c.last + 1) - r.start_line AS BIGINT) AS matched_lines
-FROM runs r JOIN compared c ON r.doc_id = c.doc_id AND r.start_line = c.start_line
+       CAST(coalesce(c.differs, c.last + 1) - r.start_at AS BIGINT) AS matched_lines
+FROM runs r JOIN compared c ON r.doc_id = c.doc_id AND r.start_at = c.start_at
+JOIN plain e ON e.doc_id = r.doc_id AND e.spot = r.end_at
 """
 
 
