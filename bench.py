@@ -126,6 +126,7 @@ def main() -> None:
                 "unit": "sec",
                 "queries": {name: round(s, 3) for name, s in seconds.items()},
                 "pruning": {name: round(value, 3) for name, value in pruned.items()},
+                "scans": {name: pruning.scan_figures(plan) for name, plan in (("full", cleaned), ("month", queries["scan_month"]()))},
                 "rows": rows,
                 "rows_per_sec": {name: round(n / seconds[name]) for name, n in rows.items()},
                 "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
