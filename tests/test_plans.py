@@ -102,3 +102,8 @@ def test_peak_hours(spark):
     assert (row.peak_pickup_hour, row.modal_pickup_hour) == (23, 23)
     (row,) = summary(spark, hour(0))
     assert (row.peak_pickup_hour, row.modal_pickup_hour) == (0, 0)
+
+
+def test_no_line_is_sorted_for_the_join_with_orders(spark):
+    text = plan(tables.trips(spark, SF))
+    assert "ShuffledHashJoin" in text and "Sort " not in text

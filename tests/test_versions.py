@@ -226,3 +226,21 @@ def test_filled_changes(spark):
         ("a", "int", "bigint", "CHANGED", 1, 3), ("gone", "string", None, "REMOVED", 1, None), ("fresh", None, "double", "ADDED", None, 1)
     }
     assert filled_changes(old, old).count() == 0
+
+
+def test_laid_out_rows_are_written_by_the_tasks_that_read_them(spark, tmp_path):
+    """No shuffle: each of three tasks leaves a file of its own; no setting stays behind."""
+    rows = spark.range(0, 300, numPartitions=3).selectExpr("id", "1996 AS source_year", "id % 2 + 1 AS source_month")
+    table = VersionedTable(spark, str(tmp_path / "laid"))
+    table.commit(rows, laid_out=True)
+    month = tmp_path / "laid/data/_commit=0/source_year=1996/source_month=1"
+    assert len(list(month.glob("*.parquet"))) == 3
+    assert sorted(r.id for r in table.read().collect()) == list(range(300))
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") in (None, "0")
+
+
+def test_laid_out_rows_of_more_partitions_than_open_files(spark, tmp_path):
+    rows = spark.range(0, 4000, numPartitions=1).selectExpr("id", "id % 400 AS source_year", "id % 12 + 1 AS source_month")
+    table = VersionedTable(spark, str(tmp_path / "many"))
+    table.commit(rows, laid_out=True)
+    assert table.read().where("source_year = id % 400 AND source_month = id % 12 + 1").count() == 4000

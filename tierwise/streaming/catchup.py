@@ -60,7 +60,7 @@ def catch_up_trips(
         batches = [(r.source_year, r.source_month) for r in months.collect()]
         if batches:
             rows = audit_trips(read_months(session, raw_root, requested=months))
-            VersionedTable(session, table.path).commit(rows, replace=batches, source=source)
+            VersionedTable(session, table.path).commit(rows, replace=batches, source=source, laid_out=True)
 
     _take_new_files(spark, raw_root, "*.parquet", checkpoint, ingest)
 
