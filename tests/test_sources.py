@@ -10,6 +10,7 @@ from tests.rows import GOOD_TRIP, trips
 from tierwise.operators.batches import BatchRange
 from tierwise.operators.bronze import audit_weather
 from tierwise.schemas import WEATHER_SOURCE
+from tierwise.plans import sample_files
 from tierwise.sources import month_files, station_files, zone_lookup
 
 FIRST = "STATION,DATE,TEMP,NAME\n100,2023-01-01,50.0,\"JAN MAYEN, NO\"\n100,2023-01-02,,X\n"
@@ -328,3 +329,23 @@ def test_zone_names_are_never_null(spark, tmp_path):
     )
     rows = [tuple(r) for r in zone_lookup.read_zones(spark, str(path)).orderBy("LocationID").collect()]
     assert rows[1] == (264, "Unknown", "N/A", "N/A") and rows[2][1] == "N/A"
+
+
+def test_samples_land_as_one_archive_per_year_and_task(spark, tmp_path):
+    """However many batches a task has; small members are read together."""
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")
+    try:
+        days = spark.range(0, 40, numPartitions=1).selectExpr(
+            "concat('S', id % 3) AS STATION", "'1995-01-01' AS DATE", "CAST(id AS DOUBLE) AS TEMP", "1995 + id % 2 AS source_year"
+        )
+        sample_files.land_archives(days, str(tmp_path))
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    paths = sorted(tmp_path.rglob("*.tar.gz"))
+    assert [p.name for p in paths] == ["1995-0.tar.gz", "1996-0.tar.gz"]
+    reader = station_files.StationArchiveReader([str(paths[0])])
+    batches = [b for p in reader.partitions() for b in reader.read(p)]
+    assert len(batches) == 1 and batches[0].num_rows > 3
+    rows = station_files.read_archives(spark, str(tmp_path)).select("source_year", "STATION", "TEMP").collect()
+    assert sorted((r.source_year, r.STATION, float(r.TEMP)) for r in rows) == sorted((1995 + i % 2, f"S{i % 3}", float(i)) for i in range(40))

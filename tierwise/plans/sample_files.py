@@ -5,8 +5,10 @@ from __future__ import annotations
 
 import csv
 import io
+import itertools
 import tarfile
 from collections.abc import Iterable, Iterator
+from typing import IO
 
 import pyarrow as pa
 from pyarrow import fs as filesystem
@@ -45,52 +47,61 @@ def station_csvs(spark: SparkSession, sf_dir: str) -> str:
     return root
 
 
-def _pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    task = TaskContext.get().partitionId()
-    for number, batch in enumerate(batches):
-        names = [n for n in batch.schema.names if n != "source_year"]
-        by_year: dict[int, dict[str, list[dict]]] = {}
-        for row in batch.to_pylist():
-            by_year.setdefault(row["source_year"], {}).setdefault(row["STATION"], []).append(row)
-        for year, stations in by_year.items():
-            packed = io.BytesIO()
-            with tarfile.open(fileobj=packed, mode="w:gz") as archive:
-                for station, rows in stations.items():
-                    text = io.StringIO()
-                    writer = csv.DictWriter(text, names, extrasaction="ignore")
-                    writer.writeheader()
-                    writer.writerows(rows)
-                    data = text.getvalue().encode()
-                    entry = tarfile.TarInfo(f"{year}/{station}.csv")
-                    entry.size = len(data)
-                    archive.addfile(entry, io.BytesIO(data))
-            yield pa.RecordBatch.from_pydict(
-                {"path": [f"raw/{year}-{task}-{number}.tar.gz"], "content": [packed.getvalue()]}
-            )
+class _Archive:
+    """A tar.gz under way: members go to its stream as they come."""
+
+    def __init__(self, stream: IO[bytes]):
+        self.stream = stream
+        self.tar = tarfile.open(fileobj=stream, mode="w|gz", compresslevel=6)
+
+    def add(self, name: str, data: bytes) -> None:
+        entry = tarfile.TarInfo(name)
+        entry.size = len(data)
+        self.tar.addfile(entry, io.BytesIO(data))
+
+    def close(self) -> None:
+        self.tar.close()
+        self.stream.close()
+
+
+def _members(batch: pa.RecordBatch) -> Iterator[tuple[int, str, bytes]]:
+    """Year, station and CSV of a batch's rows of one station and year, in their order."""
+    names = [n for n in batch.schema.names if n != "source_year"]
+    table = pa.Table.from_batches([batch]).append_column("_row", pa.array(range(batch.num_rows)))
+    table = table.sort_by([("source_year", "ascending"), ("STATION", "ascending"), ("_row", "ascending")])
+    header = io.StringIO()
+    csv.writer(header).writerow(names)
+    years, stations = table["source_year"].to_pylist(), table["STATION"].to_pylist()
+    rows = zip(*(table[n].to_pylist() for n in names))
+    for (year, station), group in itertools.groupby(zip(years, stations, rows), lambda r: r[:2]):
+        text = io.StringIO()
+        text.write(header.getvalue())
+        csv.writer(text).writerows(row for _, _, row in group)
+        yield year, station, text.getvalue().encode()
 
 
 def land_archives(days: DataFrame, root: str) -> None:
-    """Write station days as tar.gz archives below `root`, one per year, task and
-    batch, by the tasks themselves."""
+    """Write station days as tar.gz archives below `root`, one per year and task, by
+    the tasks themselves: every batch of a task adds members to its archives."""
 
     def write(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, folder = filesystem.FileSystem.from_uri(root if "://" in root else f"file://{root}")
-        for batch in batches:
-            for path, content in zip(batch["path"].to_pylist(), batch["content"].to_pylist()):
-                store.create_dir(f"{folder}/{path.split('/')[0]}", recursive=True)
-                with store.open_output_stream(f"{folder}/{path}", compression=None) as out:
-                    out.write(content)
-            yield batch.select(["path"])
-
-    archives(days).mapInArrow(write, "path STRING").count()
-
+        task = TaskContext.get().partitionId()
+        store.create_dir(f"{folder}/raw", recursive=True)
+        paths: dict[int, str] = {}
+        under_way: dict[int, _Archive] = {}
+        for number, batch in enumerate(batches):
+            for year, station, data in _members(batch):
+                if year not in under_way:
+                    paths[year] = f"raw/{year}-{task}.tar.gz"
+                    under_way[year] = _Archive(store.open_output_stream(f"{folder}/{paths[year]}", compression=None))
+                under_way[year].add(f"{year}/{station}-{number}.csv", data)
+        for archive in under_way.values():
+            archive.close()
+        yield pa.RecordBatch.from_pydict({"path": pa.array(paths.values(), pa.string())})
 
-def archives(days: DataFrame) -> DataFrame:
-    """Station days packed as tar.gz archives of station CSVs: path and content.
-    Every batch of a task makes its own archives, so their size does not depend
-    on how many days a year or station has."""
     texts = days.select(
         *[F.col(f"`{c}`").cast("string").alias(c) for c in days.columns if c != "source_year"],
         "source_year",
     )
-    return texts.mapInArrow(_pack, "path STRING, content BINARY")
+    texts.mapInArrow(write, "path STRING").count()

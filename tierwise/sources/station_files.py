@@ -56,8 +56,11 @@ def _fields(width: int) -> Column:
     record itself as `bad` if it has more or fewer."""
     names = [f"_{i}" for i in range(width)]
     schema = ", ".join(f"{n} STRING" for n in (*names, "_bad"))
-    parsed = F.from_csv(F.col("value"), schema, _CSV_OPTIONS)
-    return F.struct(F.array(*[parsed[n] for n in names]).alias("fields"), parsed["_bad"].alias("bad"))
+    # A function of the parsed record, so that it is parsed once and not for every field.
+    parsed = F.array(F.from_csv(F.col("value"), schema, _CSV_OPTIONS))
+    return F.transform(
+        parsed, lambda r: F.struct(F.array(*[r[n] for n in names]).alias("fields"), r["_bad"].alias("bad"))
+    )[0]
 
 
 def parse_records(records: DataFrame, headers: Iterable[str], at_least: Sequence[str] = ()) -> DataFrame:
@@ -205,8 +208,8 @@ class StationArchives(DataSource):
     """CSV members of tar.gz archives: path, member, header, and records in pieces.
 
     Option `paths` lists the archives, as JSON. Gzip cannot be split, so each is a
-    partition; it is read as a stream of any length, once, and a task holds one
-    piece at a time.
+    partition; it is read as a stream of any length, once. Small members
+    are handed on together, up to the size of a piece; a task holds two at most.
     """
 
     @classmethod
@@ -228,12 +231,23 @@ class StationArchiveReader(DataSourceReader):
         return [ArchivePartition(path) for path in self.paths]
 
     def read(self, partition: ArchivePartition) -> Iterator[pa.RecordBatch]:
+        def together(pieces: list[tuple[str, str, list[str]]]) -> pa.RecordBatch:
+            members, headers, records = zip(*pieces)
+            return pa.RecordBatch.from_arrays(
+                [pa.array([partition.path] * len(pieces)), pa.array(members), pa.array(headers),
+                 pa.array(records, pa.list_(pa.string()))], ["path", "member", "header", "records"],
+            )
+
         with open_stream(partition.path) as stream:
-            for member, header, records in archive_pieces(stream):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([partition.path]), pa.array([member]), pa.array([header]),
-                     pa.array([records], pa.list_(pa.string()))], ["path", "member", "header", "records"],
-                )
+            pieces, size = [], 0
+            for piece in archive_pieces(stream):
+                pieces.append(piece)
+                size += sum(map(len, piece[2]))
+                if size >= PIECE_BYTES:
+                    yield together(pieces)
+                    pieces, size = [], 0
+            if pieces:
+                yield together(pieces)
 
 
 def unpack_archives(archives: DataFrame, source: type[DataSource] = StationArchives) -> DataFrame:
