@@ -349,3 +349,11 @@ def test_samples_land_as_one_archive_per_year_and_task(spark, tmp_path):
     assert len(batches) == 1 and batches[0].num_rows > 3
     rows = station_files.read_archives(spark, str(tmp_path)).select("source_year", "STATION", "TEMP").collect()
     assert sorted((r.source_year, r.STATION, float(r.TEMP)) for r in rows) == sorted((1995 + i % 2, f"S{i % 3}", float(i)) for i in range(40))
+
+
+def test_records_are_not_shuffled_by_header(spark):
+    """There are few headers, so all records would meet in a few tasks."""
+    records = spark.range(4).selectExpr("'f' AS path", "'STATION,TEMP' AS header", "concat('S,', id) AS value")
+    rows = station_files.parse_records(records, ["STATION,TEMP"])
+    assert "hashpartitioning" not in rows._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r.TEMP for r in rows.collect()) == ["0", "1", "2", "3"]

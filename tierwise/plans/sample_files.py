@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierwise.session import fresh_dir
+from tierwise.session import fresh_dir, open_writers
 from tierwise.sources import tables
 from tierwise.sources.month_files import write_months
 
@@ -43,7 +43,8 @@ def station_csvs(spark: SparkSession, sf_dir: str) -> str:
     reordered = days.select(*reversed(days.columns)).drop("SNDP").where(number == 1)
     wider = days.withColumn("NETWORK", F.concat(F.lit("net "), F.col("STATION"))).where(number == 2)
     for df in (usual, reordered, wider):
-        df.write.mode("append").option("header", "true").partitionBy("source_year").csv(root)
+        with open_writers(spark):  # few years, so a task needs no sort to keep them apart
+            df.write.mode("append").option("header", "true").partitionBy("source_year").csv(root)
     return root
 
 

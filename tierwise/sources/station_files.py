@@ -76,7 +76,7 @@ def parse_records(records: DataFrame, headers: Iterable[str], at_least: Sequence
     if not layouts:
         fields = ", ".join(f"`{c}` STRING" for c in ("path", *columns, "bad_record"))
         return records.sparkSession.createDataFrame([], fields)
-    # Where each column stands under each header, a row per header.
+    # Where each column stands under each header, a row per header: too few keys to shuffle by.
     known = records.sparkSession.createDataFrame(
         [
             (header, len(names), [names.index(c) if c in names else -1 for c in columns])
@@ -89,7 +89,7 @@ def parse_records(records: DataFrame, headers: Iterable[str], at_least: Sequence
     parsed = F.when(F.col("width") == widths[0], _fields(widths[0]))
     for width in widths[1:]:
         parsed = parsed.when(F.col("width") == width, _fields(width))
-    rows = records.join(known, "header").select("path", "places", parsed.alias("parsed"))
+    rows = records.join(F.broadcast(known), "header").select("path", "places", parsed.alias("parsed"))
     return rows.select(
         "path",
         *[
