@@ -7,6 +7,7 @@ import tarfile
 import pytest
 
 from tests.rows import GOOD_TRIP, trips
+from tierwise import session
 from tierwise.operators.batches import BatchRange
 from tierwise.operators.bronze import audit_weather
 from tierwise.schemas import WEATHER_SOURCE
@@ -239,6 +240,28 @@ def test_drifting_month_files(spark, tmp_path):
     assert got == [(1, 0, None), (1, 2.0, None), (2, 0, 0.0), (2, 2.0, 0.0), (3, 0, 0.0), (3, 2.0, 0.0)]
 
 
+def test_the_month_of_a_path(spark):
+    """The first `.parquet` after a month counts, whatever ends in `.parquet` before it."""
+    paths = {
+        "file:///x/2023-01.parquet": "2023-01",
+        "file:///x/batch=2024-12.parquet/part-0.c000.snappy.parquet": "2024-12",
+        "file:///x/all.parquet/2023-02.parquet/2022-05.parquet": "2023-02",
+        "file:///x/2023-13.parquet/trips_2023-03.parquet": "2023-03",
+        "file:///x/2023-04.parquet/2021-05.parquet": "2023-04",
+    }
+    df = spark.createDataFrame([(p,) for p in paths], "path STRING")
+    assert {r.path: r.month for r in df.select("path", month_files.month_of("path").alias("month")).collect()} == paths
+
+
+def test_months_are_written_without_a_sort(spark, tmp_path, monkeypatch):
+    used = []
+    monkeypatch.setattr(month_files, "open_writers", lambda s: used.append(s) or session.open_writers(s))
+    month_files.write_months(trips(spark, {}, {"source_month": 2}, {"source_year": 2022}), str(tmp_path))
+    assert used
+    found = month_files.read_months(spark, str(tmp_path)).select("source_year", "source_month").collect()
+    assert sorted(map(tuple, found)) == [(2022, 1), (2023, 1), (2023, 2)]
+
+
 def test_two_schemas_in_one_batch(spark, tmp_path):
     whole = trips(spark, {}).drop("source_year", "source_month")
     batch = f"{tmp_path}/2021-05.parquet"

@@ -7,16 +7,18 @@ from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyarrow import parquet
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import from_arrow_schema
 
 from tierwise.schemas import TRIP_SOURCE
+from tierwise.session import open_writers
 from tierwise.sources.stores import open_file
 
 # A batch is a file or folder whose name ends in YYYY-MM.parquet.
 _BATCH = r"^(.*?(\d{4})-(0[1-9]|1[0-2])\.parquet)"
+_MONTH = r"^\d{4}-(0[1-9]|1[0-2])$"
 
 _SPARK_SCHEMA = b"org.apache.spark.sql.parquet.row.metadata"
 
@@ -179,26 +181,38 @@ def conform(df: DataFrame) -> DataFrame:
     ]
     contract = {c.lower() for c in TRIP_SOURCE} | {"_path", "source_year", "source_month", "source_file"}
     others = [F.col(f"`{c}`") for c in df.columns if c.lower() not in contract]
-    return df.select(
+    return df.withColumn("_month", month_of("_path")).select(
         *known,
         *others,
-        F.regexp_extract("_path", _BATCH, 2).cast("smallint").alias("source_year"),
-        F.regexp_extract("_path", _BATCH, 3).cast("tinyint").alias("source_month"),
+        F.substring("_month", 1, 4).cast("smallint").alias("source_year"),
+        F.substring("_month", 6, 2).cast("tinyint").alias("source_month"),
         F.col("_path").alias("source_file"),
     )
 
 
+def month_of(path: str) -> Column:
+    """YYYY-MM of the batch that a file lies in, for every row of it.
+
+    Searching a path for the pattern takes longer than reading the row. What stands
+    before the first `.parquet` is the batch wherever it ends in a month; only other
+    paths are searched.
+    """
+    stem = F.substring(F.substring_index(path, ".parquet", 1), -7, 7)
+    found = F.concat(F.regexp_extract(path, _BATCH, 2), F.lit("-"), F.regexp_extract(path, _BATCH, 3))
+    return F.when(stem.rlike(_MONTH), stem).otherwise(found)
+
+
 def write_months(trips: DataFrame, root: str) -> None:
     """Lay rows down the way batches land, one folder per month. A month that
-    holds most of the rows is spread over several files."""
-    (
+    holds most of the rows is spread over several files. A task has the rows of
+    few months, so it needs no sort to keep them apart."""
+    spread = (
         trips.withColumn(
             "batch",
             F.expr("concat(source_year, '-', lpad(source_month, 2, '0'), '.parquet')"),
         )
         .drop("source_year", "source_month")
         .hint("rebalance", "batch")
-        .write.mode("append")
-        .partitionBy("batch")
-        .parquet(root)
     )
+    with open_writers(trips.sparkSession):
+        spread.write.mode("append").partitionBy("batch").parquet(root)
