@@ -107,3 +107,18 @@ def test_peak_hours(spark):
 def test_no_line_is_sorted_for_the_join_with_orders(spark):
     text = plan(tables.trips(spark, SF))
     assert "ShuffledHashJoin" in text and "Sort " not in text
+
+
+def test_a_history_is_made_from_the_stored_batches(spark, monkeypatch):
+    """Replacements read their partitions of Bronze; lines and orders are not joined for each."""
+    stored.bronze_table(spark, SF)
+    key = (spark.sparkContext.applicationId, SF, "revised")
+    monkeypatch.delitem(stored._made, key, raising=False)
+    monkeypatch.setattr(tables, "trips", lambda *_: pytest.fail("joined again"))
+    assert stored.revised_trips(spark, SF).latest_version() == 4
+
+
+def test_orders_are_joined_by_what_is_used_of_them(spark):
+    """The join holds a key and one digit per order, no text."""
+    joined = plan(tables.trips(spark, SF)).split("ShuffledHashJoin")[1].split("Exchange hashpartitioning(o_orderkey")[1]
+    assert "AS TINYINT" in joined.upper() or "as tinyint" in joined

@@ -2,7 +2,10 @@ from __future__ import annotations
 
 import pytest
 
+from tierwise import session
+from tierwise.operators import versions
 from tierwise.operators.versions import VersionedTable, schema_changes, schema_rows
+from tierwise.schemas import PARTITION_KEYS
 from tierwise.session import fresh_dir
 
 
@@ -244,3 +247,34 @@ def test_laid_out_rows_of_more_partitions_than_open_files(spark, tmp_path):
     table = VersionedTable(spark, str(tmp_path / "many"))
     table.commit(rows, laid_out=True)
     assert table.read().where("source_year = id % 400 AND source_month = id % 12 + 1").count() == 4000
+
+
+@pytest.mark.parametrize("sort", [(), ("v",)])
+def test_only_a_wanted_order_is_sorted_for(spark, table, monkeypatch, sort):
+    """Rows that are rebalanced are not sorted again to keep their partitions apart."""
+    used = []
+    monkeypatch.setattr(versions, "open_writers", lambda s: used.append(s) or session.open_writers(s))
+    table.commit(rows(spark, (2023, 1, 2), (2023, 2, 1), (2023, 1, 1)), sort=sort)
+    assert bool(used) != bool(sort)
+    assert state(table.read()) == [(2023, 1, 1), (2023, 1, 2), (2023, 2, 1)]
+
+
+def test_batches_that_the_rows_are_in_are_replaced(spark, revised):
+    assert revised.replaced(revised.commit(rows(spark, (2023, 3, 7), (2024, 1, 7)), replace_by=PARTITION_KEYS)) == [(2023, 3), (2024, 1)]
+    assert state(revised.read()) == [(2022, 12, 1), (2023, 1, 5), (2023, 3, 7), (2024, 1, 7)]
+    assert revised.replaced(revised.commit(rows(spark, (2023, 2, 8)), replace_by=("source_year",))) == [(2023, None)]
+    assert state(revised.read()) == [(2022, 12, 1), (2023, 2, 8), (2024, 1, 7)]
+    with pytest.raises(ValueError, match="source_month"):
+        revised.commit(rows(spark, (2023, None, 9)), replace_by=PARTITION_KEYS)
+    assert state(revised.read()) == [(2022, 12, 1), (2023, 2, 8), (2024, 1, 7)]
+
+
+def test_writes_side_by_side_leave_no_setting(spark):
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key, None)
+    first, second = session.open_writers(spark), session.open_writers(spark)
+    first.__enter__(), second.__enter__()
+    first.__exit__(None, None, None)
+    assert spark.conf.get(key) == str(session.OPEN_WRITERS)
+    second.__exit__(None, None, None)
+    assert spark.conf.get(key, None) == before
