@@ -67,6 +67,15 @@ def test_replaying_a_batch(spark, zones):
     assert totals == {1: 1, 2: 2}
 
 
+def test_raw_rows_are_read_once(spark, zones, monkeypatch):
+    """The batches are those that were stored; nothing asks the raw rows for them first."""
+    monkeypatch.setattr(pipeline, "batches_of", lambda *_: pytest.fail("raw rows were read for their batches"))
+    domain = pipeline.trip_domain(ANY, ANY)
+    flow = pipeline.run_trips(spark, trips(spark, month(1), month(3)), zones, fresh_dir(spark, "flow"), domain)
+    assert flow.bronze.replaced(0) == [(2023, 1), (2023, 3)]
+    assert rows(flow)["gold_hourly_summary"] == 2
+
+
 def test_weather_year_needs_all_months_and_unique_days(spark):
     year = [
         {"DATE": f"{y}-{m:02d}-01", "source_year": y, "source_month": m, "SNDP": "0", **extra}
