@@ -110,6 +110,24 @@ def test_jaccard_in_chunks(spark, monkeypatch):
     test_jaccard_components(spark, 3, 90)
 
 
+def test_jaccard_sketches_in_chunks(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "CHUNK_WORDS", 12)
+    test_jaccard_components(spark, 5, 80)
+
+
+def test_jaccard_sends_no_sets_of_dissimilar_documents(spark, monkeypatch):
+    shared = prose(31, 900).split()
+    pairs = [(i, " ".join([f"x{i}y{k}" for k in range(400)] + shared)) for i in range(40)]
+    pairs.append((40, pairs[7][1] + " more"))
+    sent = []
+    full_sets = jaccard._full_sets
+    monkeypatch.setattr(jaccard, "_full_sets", lambda docs, wanted, words: sent.append(wanted.count()) or full_sets(docs, wanted, words))
+    docs = spark.createDataFrame(pairs, "doc_id long, text string").repartition(4)
+    got = jaccard.jaccard_components(docs, 5, 80).collect()
+    assert counted(got) == counted(similar_by_hand(pairs, 5, 80))
+    assert sent == [2]
+
+
 def test_jaccard_edges(spark):
     assert jaccard.jaccard_components(empty_docs(spark)).count() == 0
     docs = edge_docs(spark)
@@ -140,6 +158,27 @@ def test_divide_skip_finds_every_similar_set():
         assert sorted(block.similar(i, np.ones(len(sets), bool))) == want
 
 
+@pytest.mark.parametrize("percent", [60, 80, 90])
+def test_sketches_connect_every_similar_pair(percent):
+    rng = np.random.default_rng(percent)
+    base = rng.integers(0, 2**63, 300).astype(np.uint64)
+    sets = []
+    for size in rng.integers(1, 300, 120):  # of four widths
+        extra = rng.integers(0, 2**63, rng.integers(0, 30)).astype(np.uint64)
+        sets.append(np.unique(np.append(base[:size], extra)))
+    sketches, sizes = [jaccard.sketch(s) for s in sets], [len(s) for s in sets]
+    assert {len(s) for s in sketches} >= {1, 2, 4}
+    for sides in ([0] * 120, [k % 2 for k in range(120)]):
+        root = list(range(120))
+        for a, b in jaccard.near_in(list(range(120)), sizes, sketches, sides, percent):
+            old, new = root[b], root[a]
+            root = [new if r == old else r for r in root]
+        for i, a in enumerate(sets):
+            for j, b in enumerate(sets[:i]):
+                if jaccard.linked(len(np.intersect1d(a, b)), len(a), len(b), percent):
+                    assert root[i] == root[j] or sides[i] == sides[j] and len(set(sides)) > 1
+
+
 @pytest.mark.parametrize("percent", [60, 80, 90])
 def test_similar_sets_share_a_signature(percent):
     rng = np.random.default_rng(percent)

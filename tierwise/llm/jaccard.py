@@ -8,14 +8,19 @@ both, and the digest of a part's shingles, its signature, is equal.
 1. Inverted lists of signatures tell which nodes can have partners at all. Every
    list is led by its most connected node, and the lists of a leader make up a
    block: nodes that share a list meet in a block, and a node is in few.
-2. A block is searched by DivideSkip: every node asks for the nodes that occur at
-   least T times in the block's inverted lists of its shingles, T being the
+2. There nodes meet as sketches, some bit per shingle: whether it falls to the bit
+   an odd number of times. Each bit in which two sketches differ is a shingle or
+   more that only one of the sets has, so sets whose sketches differ in too many
+   are not similar. Nodes that the other pairs connect are a group; similar nodes
+   are in one group, a node is in one at most, and most nodes are in none.
+3. A group is searched by DivideSkip: every node asks for the nodes that occur at
+   least T times in the group's inverted lists of its shingles, T being the
    overlap it needs. The short lists are heap-merged for candidates; those are
    looked up in the long lists by binary search, until they reach T or cannot.
    What links to the leader is connected, and is only compared with the rest.
-3. Links give components. Blocks of any size are split into pairs of chunks of
-   bounded size, and only chunks pass through Python; texts are never shuffled,
-   and sets only of nodes that share a signature.
+4. Links give components. Blocks and groups of any size are split into pairs of
+   chunks of bounded size, and only chunks pass through Python; texts are never
+   shuffled, and sets only of nodes in a group.
 """
 
 from __future__ import annotations
@@ -23,7 +28,7 @@ from __future__ import annotations
 import heapq
 import math
 from bisect import bisect_left
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from itertools import groupby
 
 import numpy as np
@@ -45,8 +50,9 @@ SPARE_PARTS = 4
 # and which sets are asked for. Their size is fixed; more data only makes them
 # less selective, never wrong.
 FILTER_BITS = 25
-# Shingles in one chunk of a block.
+# Shingles in one chunk of a group, and 64-bit words of sketches in one of a block.
 CHUNK_SHINGLES = 1 << 17
+CHUNK_WORDS = 1 << 19
 # How much a step of the heap costs against one of a binary search, for the
 # number of lists that count as long.
 LONG_LIST_FACTOR = 0.0085
@@ -72,6 +78,15 @@ def set_digest(items: np.ndarray) -> tuple[int, int]:
     return tuple(int(x.sum(dtype=np.uint64).astype(np.int64)) for x in (a, b))
 
 
+def sketch(items: np.ndarray) -> np.ndarray:
+    """Which bits an odd number of shingles falls to, in 64-bit words. There are as
+    many bits as the first power of two that the set does not exceed, 64 at least;
+    the two halves of a sketch combined by exclusive or are the one of half the bits."""
+    bits = max(64, 1 << (len(items) - 1).bit_length())
+    odd = np.bincount((items & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<u8")
+
+
 def least_overlap(size: int, percent: int = PERCENT) -> int:
     """Shingles that a set shares with any set similar to it, at least."""
     return -(-percent * size // 100)
@@ -172,6 +187,48 @@ def links_in(ids: list[int], sets: list[np.ndarray], sides: list[int], leader: i
     return links
 
 
+def near_in(ids: list[int], sizes: list[int], sketches: list[np.ndarray], sides: list[int], percent: int) -> list[tuple]:
+    """Pairs of nodes of one pair of chunks that connect all whose sketches let
+    them be similar; `sides` as in `links_in`."""
+    order = sorted(range(len(ids)), key=lambda k: (sizes[k], ids[k]))
+    size, side = np.array(sizes)[order], np.array(sides)[order]
+    alone = not (side == 1).any()
+    # Sketches grow with the sets, so those of one width are in a row.
+    width = np.array([len(sketches[k]) for k in order])
+    begins = {int(w): int(np.searchsorted(width, w)) for w in np.unique(width)}
+    ends = {w: int(np.searchsorted(width, w, "right")) for w in begins}
+    made = {(w, w): np.stack([sketches[k] for k in order[begins[w] : ends[w]]]) for w in begins}
+
+    def folded(w: int, to: int) -> np.ndarray:
+        if (w, to) not in made:
+            wider = folded(w, 2 * to)
+            made[w, to] = wider[:, :to] ^ wider[:, to:]
+        return made[w, to]
+
+    group = np.arange(len(ids))
+    pairs = []
+    # A smaller set's share of a larger one is `percent` at least.
+    upto = np.searchsorted(size * percent, size * 100, "right")
+    for q in range(len(ids)):
+        able = group[q + 1 : upto[q]] != group[q]
+        if not alone:
+            able &= side[q + 1 : upto[q]] != side[q]
+        others = q + 1 + np.flatnonzero(able)
+        for w in begins:
+            some = others[(others >= begins[w]) & (others < ends[w])]
+            some = some[group[some] != group[q]]
+            if not len(some):
+                continue
+            own = int(width[q])
+            differ = np.bitwise_count(folded(w, own)[some - begins[w]] ^ made[own, own][q - begins[own]]).sum(1, np.int64)
+            both = size[q] + size[some]
+            some = some[differ <= both - 2 * -(-percent * both // (100 + percent))]
+            met, first = np.unique(group[some], return_index=True)
+            pairs += [(ids[order[q]], ids[order[k]]) for k in some[first]]
+            group[np.isin(group, met)] = group[q]
+    return pairs
+
+
 class Parts:
     """Cuts of the range of hashes, by the sizes of the sets.
 
@@ -276,9 +333,9 @@ def _signatures(docs: DataFrame, words: int, percent: int) -> DataFrame:
 
 
 def _sets(docs: DataFrame, words: int, percent: int, repeated: DataFrame) -> DataFrame:
-    """doc_id, n, hi, lo, signatures of every row: size and name of its set, and
+    """doc_id, n, hi, lo, signatures, sketch of every row: size and name of its set,
     those of its signatures that may be among the repeated ones, if they are as
-    many as a similar set would share."""
+    many as a similar set would share, and if there are any, its sketch."""
     asked = docs.sparkSession.sparkContext.broadcast(_filter_of(repeated, "s"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -290,13 +347,16 @@ def _sets(docs: DataFrame, words: int, percent: int, repeated: DataFrame) -> Dat
             for items in found:
                 hits = [(s[_maybe_in(asked.value, s)], common) for s, common in parts.signatures(items)]
                 signatures.append(_joined([s for s, common in hits if len(s) >= common]))
+            sketches = [sketch(x).view(np.int64) if len(s) else s for x, s in zip(found, signatures, strict=True)]
             columns = ([len(items) for items in found], [d[0] for d in named], [d[1] for d in named])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), *(pa.array(c, pa.int64()) for c in columns),
-                 pa.array(signatures, pa.list_(pa.int64()))], ["doc_id", "n", "hi", "lo", "signatures"],
+                 *(pa.array(c, pa.list_(pa.int64())) for c in (signatures, sketches))],
+                ["doc_id", "n", "hi", "lo", "signatures", "sketch"],
             )
 
-    return stored(docs.mapInArrow(run, "doc_id long, n long, hi long, lo long, signatures array<long>"), "sets")
+    schema = "doc_id long, n long, hi long, lo long, signatures array<long>, sketch array<long>"
+    return stored(docs.mapInArrow(run, schema), "sets")
 
 
 def _memberships(sets: DataFrame, nodes: DataFrame, repeated: DataFrame) -> DataFrame:
@@ -339,16 +399,16 @@ def _full_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     return stored(wanted.join(one, ["hi", "lo"]).select("id", "n", "items"), "full-sets")
 
 
-def _links(memberships: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) that connect all similar nodes, block by block."""
-    spark = sets.sparkSession
-    sized = memberships.join(sets.select("id", "n"), "id")
+def _cells(memberships: DataFrame, sizes: DataFrame, most: int, label: str) -> DataFrame:
+    """leader, i, j, id, own: the cells of every block (or group) of (leader, id) in
+    which a node takes part, by chunks of the sizes (id, size) that add up to some `most`."""
     blocks = stored(
-        sized.groupBy("leader")
-        .agg(F.count(F.lit(1)).alias("members"), F.ceil(F.sum("n") / CHUNK_SHINGLES).cast("int").alias("chunks"))
+        memberships.join(sizes, "id")
+        .groupBy("leader")
+        .agg(F.count(F.lit(1)).alias("members"), F.ceil(F.sum("size") / most).cast("int").alias("chunks"))
         .where("members > 1")
         .select("leader", "chunks"),
-        "blocks",
+        f"{label}-blocks",
     )
     placed = memberships.join(blocks, "leader").withColumn("own", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int"))
     # Every pair of chunks (i <= j) is a cell; a node goes to all cells of its
@@ -361,32 +421,65 @@ def _links(memberships: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     cells = placed.select(
         "leader", "id", "own", F.explode(F.when(F.col("id") == F.col("leader"), all_cells).otherwise(own_cells)).alias("cell")
     ).select("leader", "cell.i", "cell.j", "id", "own")
-    rows = stored(cells, "cells").join(sets.select("id", "items"), "id")
-    dealt = rows.repartition("leader", "i", "j").sortWithinPartitions("leader", "i", "j", "id")
+    return stored(cells, f"{label}-cells")
+
+
+def _cell_members(batches: Iterable[pa.RecordBatch], column: str) -> Iterator[tuple]:
+    """leader, i, j, id, own, size and the numbers of `column` of every row."""
+    for batch in batches:
+        keys = [batch.column(c).to_pylist() for c in ("leader", "i", "j", "id", "own", "n")]
+        numbers = batch.column(column)
+        flat = numbers.flatten().to_numpy().view(np.uint64)
+        offsets = np.concatenate([[0], np.cumsum(numbers.value_lengths().to_numpy())])
+        for k, key in enumerate(zip(*keys, strict=True)):
+            yield (*key, flat[offsets[k] : offsets[k + 1]])
+
+
+def _pairs_by_cell(rows: DataFrame, column: str, find: Callable, label: str) -> DataFrame:
+    """Pairs (a, b) that `find` has in the cells of `rows`, given of each cell its
+    leader and of its nodes ids, sides, sizes and the numbers of `column`."""
+    dealt = rows.select("leader", "i", "j", "id", "own", "n", column).repartition("leader", "i", "j")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def members() -> Iterator[tuple]:
-            for batch in batches:
-                keys = [batch.column(c).to_pylist() for c in ("leader", "i", "j", "id", "own")]
-                items = batch.column("items")
-                flat = items.flatten().to_numpy().view(np.uint64)
-                offsets = np.concatenate([[0], np.cumsum(items.value_lengths().to_numpy())])
-                for k, key in enumerate(zip(*keys, strict=True)):
-                    yield (*key, flat[offsets[k] : offsets[k + 1]])
-
-        for (leader, i, j), group in groupby(members(), key=lambda m: m[:3]):
-            ids, sides, sets = [], [], []
-            for *_, node, own, items in group:
+        for (leader, i, j), group in groupby(_cell_members(batches, column), key=lambda m: m[:3]):
+            ids, sides, sizes, numbers = [], [], [], []
+            for *_, node, own, n, x in group:
                 ids.append(node)
                 sides.append(0 if own == i else 1 if own == j else 2)
-                sets.append(items)
-            found = links_in(ids, sets, sides, leader, percent) if len(ids) > 1 else []
+                sizes.append(n)
+                numbers.append(x)
+            found = find(leader, ids, sides, sizes, numbers) if len(ids) > 1 else []
             if found:
                 a, b = zip(*found, strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-    with batches_of(spark, 256):
-        return stored(dealt.mapInArrow(run, "a long, b long"), "links")
+    with batches_of(rows.sparkSession, 256):
+        return stored(dealt.sortWithinPartitions("leader", "i", "j", "id").mapInArrow(run, "a long, b long"), label)
+
+
+def _groups(memberships: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """(leader, id) for every node whose sketch lets it be similar to another's: the
+    groups they connect, led by the node with most of the connecting pairs."""
+    rows = _cells(memberships, nodes.select("id", F.size("sketch").alias("size")), CHUNK_WORDS, "sketch")
+
+    def find(leader, ids, sides, sizes, sketches) -> list[tuple]:
+        return near_in(ids, sizes, sketches, sides, percent)
+
+    pairs = _pairs_by_cell(rows.join(nodes.select("id", "n", "sketch"), "id"), "sketch", find, "near")
+    degree = pairs.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("degree"))
+    found = stored(components(pairs).join(degree, "id"), "near-components")
+    leads = found.groupBy("component").agg(F.max(F.struct("degree", "id")).alias("lead"))
+    return stored(found.join(leads, "component").select(F.col("lead.id").alias("leader"), "id"), "groups")
+
+
+def _links(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) that connect all similar nodes, group by group."""
+    rows = _cells(groups, sets.select("id", F.col("n").alias("size")), CHUNK_SHINGLES, "set")
+
+    def find(leader, ids, sides, sizes, items) -> list[tuple]:
+        return links_in(ids, items, sides, leader, percent)
+
+    return _pairs_by_cell(rows.join(sets, "id"), "items", find, "links")
 
 
 def jaccard_components(
@@ -413,14 +506,13 @@ def jaccard_components(
     nodes = stored(
         sets.where("n > 0")
         .groupBy("hi", "lo")
-        .agg(F.min("doc_id").alias("least"), F.max("n").alias("n"))
+        .agg(F.min("doc_id").alias("least"), F.max("n").alias("n"), F.first("sketch").alias("sketch"))
         .withColumn("id", F.monotonically_increasing_id()),
         "nodes",
     )
-    memberships = _memberships(sets, nodes, repeated)
-    partners = memberships.select("id").distinct()
-    wanted = stored(nodes.select("id", "hi", "lo", "n").join(partners, "id", "left_semi"), "wanted")
-    links = _links(memberships, _full_sets(rows, wanted, words), percent)
+    groups = _groups(_memberships(sets, nodes, repeated), nodes, percent)
+    wanted = stored(nodes.select("id", "hi", "lo", "n").join(groups, "id", "left_semi"), "wanted")
+    links = _links(groups, _full_sets(rows, wanted, words), percent)
     found = stored(components(links), "components")
     grouped = nodes.select("id", "hi", "lo", "least").join(found, "id", "left")
     names = stored(
